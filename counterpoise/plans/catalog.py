@@ -286,3 +286,233 @@ def q_indexed_join(spark, sf_dir):
     preds = scored.select("id", "prediction")
     _, test = split(FRAMES["orders"](spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED)
     return test.select("id", "label").join(preds, "id", "inner")
+
+
+# ---------------------------------------------------------------- M1, M2 (+ B1 feeding them)
+# Model sizes for the registered queries; the API defaults stay the published ones.
+Q_RF_TREES = 20
+Q_PCARD_TREES = 10
+Q_PCARD_DEPTH = 5
+Q_HME_TREES = 20
+Q_FCNN_MAX_ROWS = 200  # several buckets even on the small frames
+
+
+def _orders_split(spark, sf_dir):
+    return split(FRAMES["orders"](spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED)
+
+
+@query("dt_metrics")
+def q_dt_metrics(spark, sf_dir):
+    from counterpoise.operators.trees import fit_dt
+
+    train, test = _orders_split(spark, sf_dir)
+    model = fit_dt(balance.ros(train, 1.0, SEED), max_depth=10, max_bins=100, seed=SEED)
+    return evaluate.evaluate(model.transform(test))
+
+
+@query("rf_metrics")
+def q_rf_metrics(spark, sf_dir):
+    from counterpoise.operators.trees import fit_rf
+
+    train, test = _orders_split(spark, sf_dir)
+    model = fit_rf(balance.ros(train, 1.0, SEED, as_weights=True), num_trees=Q_RF_TREES, max_depth=10,
+                   max_bins=100, weight_col="weight", seed=SEED)
+    return evaluate.evaluate(model.transform(test))
+
+
+# ---------------------------------------------------------------- M3, M4, T3, T4
+@query("pcard_predict")
+def q_pcard_predict(spark, sf_dir):
+    from counterpoise.operators.pcard import fit_pcard
+
+    train, test = split(FRAMES["emb"](spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED)
+    model = fit_pcard(balance.ros(train, 1.0, SEED), trees=Q_PCARD_TREES, cuts=10, max_depth=Q_PCARD_DEPTH, seed=SEED)
+    return model.transform(test).select("id", "label", "prediction")
+
+
+DISC_MEMBERS, DISC_CUTS = 10, 10
+
+
+@query(
+    "discretized",
+    f"""WITH src AS ({S.LP['emb']}),
+ranked AS (SELECT features, row_number() OVER (ORDER BY {S.hu('id', SEED)}, id) - 1 AS r FROM src),
+cutrows AS (SELECT r // {DISC_CUTS} AS member, features FROM ranked WHERE r < {DISC_MEMBERS * DISC_CUTS}),
+cuts AS (SELECT member, UNNEST(range(0, len(features))) AS j, UNNEST(features) AS c FROM cutrows),
+l AS ({S.long_form('src')}),
+mem AS (SELECT DISTINCT member FROM cutrows),
+bins AS (SELECT m.member, l.j, l.id, count(c.c) AS bin
+         FROM l CROSS JOIN mem m LEFT JOIN cuts c ON c.member = m.member AND c.j = l.j AND c.c < l.x
+         GROUP BY m.member, l.j, l.id)
+SELECT CAST(member AS INTEGER) AS member, CAST(j AS INTEGER) AS j, CAST(bin AS DOUBLE) AS bin, count(*) AS n
+FROM bins GROUP BY member, j, bin""",
+)
+def q_discretized(spark, sf_dir):
+    from counterpoise.frame import num_features
+    from counterpoise.operators.pcard import discretize, draw_cuts
+
+    df = FRAMES["emb"](spark, sf_dir)
+    table = draw_cuts(df, DISC_MEMBERS, DISC_CUTS, SEED, num_features(df))
+    per_member = F.array(
+        *[F.struct(F.lit(t).alias("member"), discretize(F.col("features"), table[t]).alias("bins")) for t in range(len(table))]
+    )
+    m = df.select(F.explode(per_member).alias("m")).select("m.member", F.posexplode("m.bins").alias("j", "bin"))
+    return m.groupBy("member", "j", "bin").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- T5, B4, B8
+HME_K, HME_SEED = 4, 48151623
+
+
+@query(
+    "hme_folds",
+    f"SELECT id, label, CAST(floor({S.hu('id', HME_SEED)} * {HME_K}.0) AS INTEGER) AS fold FROM ({S.LP['toxic']})",
+)
+def q_hme_folds(spark, sf_dir):
+    from counterpoise.operators.noise import assign_folds
+
+    return assign_folds(FRAMES["toxic"](spark, sf_dir), HME_K, HME_SEED).select("id", "label", "fold")
+
+
+@query("hme_filter")
+def q_hme_filter(spark, sf_dir):
+    from counterpoise.operators.noise import hme_filter
+
+    kept = hme_filter(FRAMES["toxic"](spark, sf_dir), num_trees=Q_HME_TREES, k=HME_K, seed=HME_SEED)
+    return kept.select("id", "label", "fold")
+
+
+@query("ros_hme")
+def q_ros_hme(spark, sf_dir):
+    from counterpoise.operators.noise import hme_filter
+
+    r = balance.ros(FRAMES["toxic"](spark, sf_dir), 1.0, SEED)
+    return hme_filter(r, num_trees=Q_HME_TREES, k=HME_K, seed=HME_SEED).select("id", "label", "copy_no", "fold")
+
+
+# ---------------------------------------------------------------- B5, B6, B7, T6
+FCNN_SEED = 2015
+
+
+def _fcnn_nb(n: int) -> int:
+    import math
+
+    return max(1, math.ceil(n / Q_FCNN_MAX_ROWS))
+
+
+@query(
+    "fcnn_seed",
+    f"""WITH src AS ({S.LP['emb']}),
+nb AS (SELECT CAST(ceil(count(*) / {float(Q_FCNN_MAX_ROWS)!r}) AS BIGINT) AS k FROM src),
+b AS (SELECT s.*, CAST(floor({S.hu('s.id', FCNN_SEED)} * CAST(nb.k AS DOUBLE)) AS INTEGER) AS bucket FROM src s, nb),
+l AS (SELECT id, label, bucket, UNNEST(range(0, len(features))) AS j, UNNEST(features) AS x FROM b),
+cen AS (SELECT bucket, label, j, avg(x) AS c FROM l GROUP BY bucket, label, j),
+dist AS (SELECT l.bucket, l.label, l.id, sum((l.x - cen.c) * (l.x - cen.c)) AS d
+         FROM l JOIN cen ON l.bucket = cen.bucket AND l.label = cen.label AND l.j = cen.j
+         GROUP BY l.bucket, l.label, l.id)
+SELECT bucket, label, id FROM (
+  SELECT *, row_number() OVER (PARTITION BY bucket, label ORDER BY d, id) AS rn FROM dist) WHERE rn = 1""",
+)
+def q_fcnn_seed(spark, sf_dir):
+    from counterpoise.operators.neighbours import fcnn_seeds
+
+    df = FRAMES["emb"](spark, sf_dir)
+    return fcnn_seeds(df, _fcnn_nb(df.count()), FCNN_SEED)
+
+
+@query("fcnn_select")
+def q_fcnn_select(spark, sf_dir):
+    from counterpoise.operators.neighbours import fcnn_select
+
+    out = fcnn_select(FRAMES["emb"](spark, sf_dir), k=3, max_rows=Q_FCNN_MAX_ROWS, seed=FCNN_SEED)
+    return out.select("id", "label", "bucket")
+
+
+@query("ros_fcnn")
+def q_ros_fcnn(spark, sf_dir):
+    from counterpoise.operators.neighbours import fcnn_select
+
+    r = balance.ros(FRAMES["emb"](spark, sf_dir), 1.8, SEED)
+    return fcnn_select(r, k=3, max_rows=Q_FCNN_MAX_ROWS, seed=FCNN_SEED).select("id", "label", "copy_no", "bucket")
+
+
+@query("fcnn_ros")
+def q_fcnn_ros(spark, sf_dir):
+    from counterpoise.operators.neighbours import fcnn_select
+
+    f = fcnn_select(FRAMES["emb"](spark, sf_dir), k=3, max_rows=Q_FCNN_MAX_ROWS, seed=FCNN_SEED).drop("bucket")
+    return balance.ros(f, 1.0, SEED).select("id", "label", "copy_no")
+
+
+# ---------------------------------------------------------------- E10, S9
+@query("experiment_grid")
+def q_experiment_grid(spark, sf_dir):
+    from counterpoise.plans.grid import GridParams, run_grid
+
+    train, test = split(FRAMES["toxic"](spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED)
+    p = GridParams(rf_trees=Q_RF_TREES, rf_trees_ros180=Q_RF_TREES, pcard_trees=Q_PCARD_TREES,
+                   pcard_depth=Q_PCARD_DEPTH, hme_trees=Q_HME_TREES, fcnn_max_rows=Q_FCNN_MAX_ROWS)
+    return run_grid(train, test, params=p)
+
+
+@query("metrics_report")
+def q_metrics_report(spark, sf_dir):
+    model, test = _nb_fit(spark, sf_dir)
+    m = evaluate.evaluate(model.transform(test)).select(F.lit("ros").alias("prep"), F.lit("nb").alias("model"), "*")
+    return evaluate.report_lines(m)
+
+
+# ---------------------------------------------------------------- J1, S1, S2, S3, S4
+@query(
+    "row_index",
+    """SELECT count(*) AS n, CAST(0 AS BIGINT) AS min_idx, count(*) - 1 AS max_idx, count(*) AS n_distinct,
+  CAST(count(*) * (count(*) - 1) // 2 AS BIGINT) AS sum_idx FROM lineitem""",
+)
+def q_row_index(spark, sf_dir):
+    from counterpoise.operators.index import with_row_index
+    from counterpoise.sources.tables import table
+
+    idx = with_row_index(table(spark, sf_dir, "lineitem"))
+    return idx.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("row_index").alias("min_idx"),
+        F.max("row_index").alias("max_idx"),
+        F.count_distinct("row_index").alias("n_distinct"),
+        F.sum("row_index").alias("sum_idx"),
+    )
+
+
+_ORDERS_WIDE_SQL = (
+    "SELECT id, label, features[1] AS f0, features[2] AS f1, features[3] AS f2, features[4] AS f3, "
+    f"features[5] AS f4 FROM ({S.LP['orders']})"
+)
+
+
+def _wide(df: DataFrame, d: int = 5) -> DataFrame:
+    return df.select("id", "label", *[F.col("features")[j].alias(f"f{j}") for j in range(d)])
+
+
+@query("csv_labelled_parse", _ORDERS_WIDE_SQL)
+def q_csv_labelled_parse(spark, sf_dir):
+    from counterpoise.sources.text import parse_labelled_csv
+
+    lp = FRAMES["orders"](spark, sf_dir)
+    lines = lp.select("id", F.concat_ws(",", *[F.col("features")[j].cast("string") for j in range(5)],
+                                        F.col("label").cast("string")).alias("value"))
+    good, _ = parse_labelled_csv(lines)
+    return _wide(good)
+
+
+@query("keel_roundtrip", f"SELECT *, CAST(2 AS INTEGER) AS num_classes FROM ({_ORDERS_WIDE_SQL})")
+def q_keel_roundtrip(spark, sf_dir):
+    from counterpoise.session import scratch_path
+    from counterpoise.sources.text import header_for, read_keel, write_keel
+
+    lp = FRAMES["orders"](spark, sf_dir)
+    fitted = MinMaxScaler().fit(lp)
+    names = [f"f{j}" for j in range(5)]
+    header = header_for(names, list(zip(fitted.lo, fitted.hi)), "orders", id_attribute="id")
+    path = scratch_path(spark, "keel-orders")
+    write_keel(lp, header, path, id_attribute="id")
+    good, _, h = read_keel(spark, f"{path}/header", f"{path}/data", scale=False, id_attribute="id")
+    return _wide(good).withColumn("num_classes", F.lit(h.num_classes))
