@@ -21,6 +21,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from counterpoise.functions.literals import sql_double, sql_double_array, sql_ident
+
 TWO_POW_32 = 4294967296.0
 # Above this many CDF entries the CASE tree gets too large for one generated
 # method; a higher-order ``filter`` over a literal array is used instead.
@@ -67,20 +69,23 @@ def poisson_cdf(lam: float) -> tuple[int, list[float]]:
     return lo, cdf
 
 
-def _first_above(u: Column, cdf: list[float], lo: int, hi: int) -> Column:
-    # smallest i in [lo, hi] with cdf[i] > u (hi == len(cdf) means none)
+def _first_above(u: str, cdf: list[float], lo: int, hi: int) -> str:
+    # SQL for the smallest i in [lo, hi] with cdf[i] > u (hi == len(cdf) means none)
     if lo == hi:
-        return F.lit(lo)
+        return str(lo)
     mid = (lo + hi) // 2
-    return F.when(u < F.lit(cdf[mid]), _first_above(u, cdf, lo, mid)).otherwise(_first_above(u, cdf, mid + 1, hi))
+    return (
+        f"CASE WHEN {u} < {sql_double(cdf[mid])} THEN {_first_above(u, cdf, lo, mid)} "
+        f"ELSE {_first_above(u, cdf, mid + 1, hi)} END"
+    )
 
 
-def poisson_copies(u: Column, lam: float) -> Column:
-    """Poisson(lam) draw from a uniform column ``u``: ``#{k : CDF(k) <= u}``."""
+def poisson_copies(u: str, lam: float) -> Column:
+    """Poisson(lam) draw from the uniform column named ``u``: ``#{k : CDF(k) <= u}``."""
     lo, cdf = poisson_cdf(lam)
+    ref = sql_ident(u)
     if len(cdf) <= _MAX_TREE:
-        inside = _first_above(u, cdf, 0, len(cdf))
+        inside = _first_above(ref, cdf, 0, len(cdf))
     else:
-        arr = F.array(*[F.lit(c) for c in cdf])
-        inside = F.size(F.filter(arr, lambda c: c <= u))
-    return (F.lit(lo) + inside).cast("int")
+        inside = f"size(filter({sql_double_array(cdf)}, c -> c <= {ref}))"
+    return F.expr(f"CAST({lo} + {inside} AS INT)")

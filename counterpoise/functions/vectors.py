@@ -3,12 +3,12 @@ and become ``VectorUDT`` only at the boundary of ``pyspark.ml`` estimators."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from counterpoise.functions.literals import sql_double, sql_ident
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -28,11 +28,11 @@ def to_array(c) -> Column:
     return vector_to_array(_col(c), "float64")
 
 
-def dot_literal(c, weights: list[float], bias: float = 0.0) -> Column:
-    """``bias + sum_j c[j] * weights[j]`` with the weights inlined (codegen'd)."""
-    arr = _col(c)
-    terms = [arr[j] * F.lit(float(w)) for j, w in enumerate(weights)]
-    return reduce(lambda a, b: a + b, terms, F.lit(float(bias)))
+def dot_literal(c: str, weights: list[float], bias: float = 0.0) -> Column:
+    """``bias + sum_j c[j] * weights[j]`` with the weights inlined (one codegen'd sum)."""
+    ref = sql_ident(c)
+    terms = " + ".join(f"{ref}[{j}] * {sql_double(w)}" for j, w in enumerate(weights))
+    return F.expr(f"{sql_double(bias)} + {terms}" if terms else sql_double(bias))
 
 
 def squared_distance(a, b) -> Column:

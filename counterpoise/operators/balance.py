@@ -89,7 +89,7 @@ def ros_copies(
     minority, lam = ros_rate(counts, rate, strict)
     # the draw is materialised once per row, then searched by the CASE tree
     u = df.where(binary_only(df, label_col)).withColumn("_u", hash_uniform(id_col, seed))
-    copies = F.when(F.col(label_col) == F.lit(minority), poisson_copies(F.col("_u"), lam)).otherwise(F.lit(1))
+    copies = F.when(F.col(label_col) == F.lit(minority), poisson_copies("_u", lam)).otherwise(F.lit(1))
     return u.withColumn("copies", copies).drop("_u")
 
 
@@ -149,15 +149,15 @@ def rate_sweep(
     aggregation sums them all, then a stack turns the result long.
     """
     counts = class_counts_map(df, label_col)
-    u = hash_uniform(id_col, seed)
     aggs, stack_args = [], []
     for i, r in enumerate(rates):
         minority, lam = ros_rate(counts, r, strict)
         _, n_min, n_maj = sides(counts, strict)
-        copies = F.when(F.col(label_col) == F.lit(minority), poisson_copies(u, lam)).otherwise(F.lit(1))
+        copies = F.when(F.col(label_col) == F.lit(minority), poisson_copies("_u", lam)).otherwise(F.lit(1))
         aggs.append(F.sum(copies).cast("long").alias(f"n_{i}"))
         stack_args.append((float(r), f"n_{i}", n_maj * float(r), float(n_maj)))
-    per_label = df.where(binary_only(df, label_col)).groupBy(label_col).agg(*aggs)
+    drawn = df.where(binary_only(df, label_col)).withColumn("_u", hash_uniform(id_col, seed))
+    per_label = drawn.groupBy(label_col).agg(*aggs)
     minority, _, _ = sides(counts, strict)
     n = len(stack_args)
     expr = ", ".join(f"CAST({r!r} AS DOUBLE), {c}" for r, c, _, _ in stack_args)

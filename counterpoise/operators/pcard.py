@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from counterpoise.frame import FEATURES, ID, LABEL, num_features
 from counterpoise.functions.hashing import hash_uniform
+from counterpoise.functions.literals import sql_double_array, sql_ident
 from counterpoise.functions.vectors import to_array, to_vector
 from counterpoise.operators.trees import fit_dt
 
@@ -56,16 +57,16 @@ def draw_cuts(df: DataFrame, members: int, cuts: int, seed: int, d: int) -> list
     return [[sorted(vals) for vals in m] for m in out]
 
 
-def discretize(features: Column, member_cuts: list[list[float]]) -> Column:
+def discretize(features: str, member_cuts: list[list[float]]) -> Column:
     """Bin index of every feature: ``#{c in cuts[j] : c < x_j}``.
 
     One higher-order expression over a literal ``array<array<double>>`` of cut
     points; per-feature CASE trees would overflow the 64 KB generated-method
     limit for wide inputs and push the whole stage out of codegen.
     """
-    table = F.array(*[F.array(*[F.lit(float(c)) for c in cuts]) for cuts in member_cuts])
-    return F.transform(
-        features, lambda x, j: F.size(F.filter(F.element_at(table, j + 1), lambda c: c < x)).cast("double")
+    table = "array(" + ", ".join(sql_double_array(c) for c in member_cuts) + ")"
+    return F.expr(
+        f"transform({sql_ident(features)}, (x, j) -> CAST(size(filter(element_at({table}, j + 1), c -> c < x)) AS DOUBLE))"
     )
 
 
@@ -92,7 +93,7 @@ class PCARDModel:
 
     def member_features(self, t: int) -> Column:
         return F.concat(
-            discretize(F.col(self.features_col), self.cuts[t]),
+            discretize(self.features_col, self.cuts[t]),
             F.slice(F.col(PCA_COL), 1, self.components[t]),
         )
 

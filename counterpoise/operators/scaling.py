@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from counterpoise.frame import FEATURES, num_features
+from counterpoise.functions.literals import sql_double, sql_ident
 
 
 @dataclass
@@ -24,16 +25,16 @@ class MinMaxModel:
     clip: bool = True
     features_col: str = FEATURES
 
-    def scaled(self, arr=None):
-        arr = F.col(self.features_col) if arr is None else arr
+    def scaled(self):
+        ref = sql_ident(self.features_col)
         out = []
         for j, (lo, hi) in enumerate(zip(self.lo, self.hi)):
             if hi is None or lo is None or not hi > lo:
-                out.append(F.lit(0.0))
+                out.append("0.0D")
                 continue
-            v = (arr[j] - F.lit(lo)) / F.lit(hi - lo)
-            out.append(F.least(F.greatest(v, F.lit(0.0)), F.lit(1.0)) if self.clip else v)
-        return F.array(*out)
+            v = f"({ref}[{j}] - {sql_double(lo)}) / {sql_double(hi - lo)}"
+            out.append(f"least(greatest({v}, 0.0D), 1.0D)" if self.clip else v)
+        return F.expr("array(" + ", ".join(out) + ")")
 
     def transform(self, df: DataFrame, output_col: str | None = None) -> DataFrame:
         return df.withColumn(output_col or self.features_col, self.scaled())

@@ -354,7 +354,7 @@ def q_discretized(spark, sf_dir):
     df = FRAMES["emb"](spark, sf_dir)
     table = draw_cuts(df, DISC_MEMBERS, DISC_CUTS, SEED, num_features(df))
     per_member = F.array(
-        *[F.struct(F.lit(t).alias("member"), discretize(F.col("features"), table[t]).alias("bins")) for t in range(len(table))]
+        *[F.struct(F.lit(t).alias("member"), discretize("features", table[t]).alias("bins")) for t in range(len(table))]
     )
     m = df.select(F.explode(per_member).alias("m")).select("m.member", F.posexplode("m.bins").alias("j", "bin"))
     return m.groupBy("member", "j", "bin").agg(F.count(F.lit(1)).alias("n"))
