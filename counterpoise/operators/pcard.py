@@ -70,6 +70,12 @@ def discretize(features: str, member_cuts: list[list[float]]) -> Column:
     )
 
 
+def majority_vote(votes: list[Column]) -> Column:
+    """1.0 when more than half of the 0/1 member predictions are 1; a tie gives 0.0."""
+    total = reduce(lambda a, b: a + b, votes)
+    return F.when(total * 2.0 > F.lit(float(len(votes))), F.lit(1.0)).otherwise(F.lit(0.0))
+
+
 def member_components(seed: int, t: int, d: int) -> int:
     return random.Random(seed * 1_000_003 + t).randint(1, d)
 
@@ -105,8 +111,7 @@ class PCARDModel:
             scorer.features_col = f"_m{t}"
             x = scorer.transform(x, prediction_col=f"_p{t}").drop(f"_m{t}")
             votes.append(F.col(f"_p{t}"))
-        total = reduce(lambda a, b: a + b, votes)
-        pred = F.when(total * 2.0 > F.lit(float(len(votes))), F.lit(1.0)).otherwise(F.lit(0.0))
+        pred = majority_vote(votes)
         return x.withColumn(self.prediction_col, pred).drop(PCA_COL, *[f"_p{t}" for t in range(len(votes))])
 
 

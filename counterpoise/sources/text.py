@@ -123,7 +123,7 @@ def _value(field_col, a: Attribute, scale: bool):
     if a.kind == "nominal":
         pos = F.array_position(F.array(*[F.lit(v) for v in a.values]), raw)
         return F.when(pos > 0, (pos - 1).cast("double"))
-    v = F.when(raw != "?", raw).cast("double")
+    v = F.when(raw != "?", raw).try_cast("double")
     if scale and a.lo is not None and a.hi is not None:
         return (v - F.lit(a.lo)) / F.lit(a.hi - a.lo) if a.hi > a.lo else F.when(v.isNotNull(), F.lit(0.0))
     return v
@@ -141,7 +141,7 @@ def parse_keel_lines(df: DataFrame, header: KeelHeader, scale: bool = True, id_a
         F.array(*feats).alias(FEATURES),
         label.alias(LABEL),
         F.size(fields).alias("_n"),
-        *([F.trim(fields[pos[id_attribute]]).cast("long").alias(ID)] if id_attribute else []),
+        *([F.trim(fields[pos[id_attribute]]).try_cast("long").alias(ID)] if id_attribute else []),
     )
     ok = (F.col("_n") == len(header.attributes)) & F.col(LABEL).isNotNull()
     ok = ok & (F.size(F.filter(FEATURES, lambda x: x.isNull())) == 0)
@@ -194,7 +194,7 @@ def header_for(names: list[str], ranges: list[tuple[float, float]], relation: st
 
 def parse_labelled_csv(df: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """Comma-separated doubles, label last -> ``(labelled, rejected)``; other columns are kept."""
-    arr = F.transform(F.split(F.col(value_col), ","), lambda s: F.trim(s).cast("double"))
+    arr = F.transform(F.split(F.col(value_col), ","), lambda s: F.trim(s).try_cast("double"))
     parsed = df.withColumn("_a", arr)
     n = F.size("_a")
     feats = F.slice("_a", 1, n - 1)
