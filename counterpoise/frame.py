@@ -23,31 +23,48 @@ def labelled(df: DataFrame, id_col: str = ID, label_col: str = LABEL, features_c
     return df.select(
         F.col(id_col).alias(ID),
         F.col(label_col).cast("double").alias(LABEL),
-        F.transform(F.col(features_col), lambda x: x.cast("double")).alias(FEATURES),
+        F.transform(F.col(features_col), lambda x: x.cast("double")).alias(FEATURES, metadata=df.schema[features_col].metadata),
         *[c for c in df.columns if c not in (id_col, label_col, features_col)],
     )
 
 
+DIM_KEY = "num_features"
+
+
+def with_dim(c: Column, d: int, name: str = FEATURES) -> Column:
+    """Alias a feature-array column and record its length in the column metadata."""
+    return c.alias(name, metadata={DIM_KEY: int(d)})
+
+
 def num_features(df: DataFrame, features_col: str = FEATURES) -> int:
-    """Length of the feature arrays, read from one row (no full scan)."""
+    """Length of the feature arrays: from the column metadata when the frame
+    builder recorded it, else read from one row."""
+    meta = df.schema[features_col].metadata or {}
+    if DIM_KEY in meta:
+        return int(meta[DIM_KEY])
     row = df.select(F.size(features_col).alias("d")).where(F.col("d") >= 0).limit(1).collect()
     if not row:
         raise ValueError("cannot read the feature length of an empty frame")
     return int(row[0]["d"])
 
 
-def class_counts_map(df: DataFrame, label_col: str = LABEL, weight_col: str | None = None) -> dict[float, float]:
-    """``{label: count}`` from one partial/final aggregation (at most a few rows reach the driver)."""
+def class_counts_map(df: DataFrame, label_col: str = LABEL, weight_col: str | None = None) -> dict:
+    """``{0.0: n_neg, 1.0: n_pos, "other": n_foreign}`` from ONE global aggregation
+    (one row reaches the driver, however many distinct labels there are)."""
+    y = F.col(label_col)
     w = F.col(weight_col) if weight_col else F.lit(1)
-    rows = df.groupBy(label_col).agg(F.sum(w).alias("n")).collect()
-    return {float(r[label_col]) if r[label_col] is not None else None: r["n"] for r in rows}
+    r = df.agg(
+        F.sum(F.when(y == 0.0, w).otherwise(0)).alias("n0"),
+        F.sum(F.when(y == 1.0, w).otherwise(0)).alias("n1"),
+        F.sum(F.when(~F.coalesce(y.isin(*BINARY), F.lit(False)), w).otherwise(0)).alias("nx"),
+    ).first()
+    return {0.0: r["n0"] or 0, 1.0: r["n1"] or 0, "other": r["nx"] or 0}
 
 
 def check_binary(counts: dict, strict: bool = True) -> tuple[int, int]:
     """Return ``(n_neg, n_pos)``; raise on foreign labels (or ignore them when not strict)."""
-    foreign = [k for k in counts if k not in BINARY]
-    if foreign and strict:
-        raise ValueError(f"labels outside {{0, 1}}: {sorted(map(str, foreign))}")
+    if counts.get("other", 0) and strict:
+        raise ValueError(f"{counts['other']} rows have labels outside {{0, 1}} (use strict=False to drop them)")
     return int(counts.get(0.0, 0)), int(counts.get(1.0, 0))
 
 

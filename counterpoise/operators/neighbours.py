@@ -2,7 +2,9 @@
 
 The rows are dealt into buckets by ``hash_bucket(id, seed, n_buckets)`` with
 ``n_buckets = ceil(n / max_rows)`` — uniform whatever the labels, so no bucket
-is hot, and a bucket's size is bounded by ``max_rows`` in expectation.  Each
+is hot, and a bucket's size is bounded by ``max_rows`` in expectation.  After
+oversampling the key is ``(id, copy_no)``, so the copies of one row spread
+over many buckets however many there are.  Each
 bucket is condensed independently by an Arrow-batched numpy kernel
 (``groupBy(bucket).applyInPandas``); the output is the union of the selected
 rows.  The result depends only on the ids, not on the partitioning.
@@ -95,6 +97,14 @@ def _bucket_fn(k: int, key_cols: list[str]):
     return run
 
 
+def _bucket_key(df: DataFrame):
+    # Oversampled copies are dealt by (id, copy_no): an id with a huge number
+    # of copies is spread over many buckets instead of filling one.
+    if "copy_no" in df.columns:
+        return F.concat(F.col(ID).cast("string"), F.lit("#"), F.col("copy_no").cast("string"))
+    return F.col(ID)
+
+
 def n_buckets_for(df: DataFrame, max_rows: int) -> int:
     return max(1, math.ceil(df.count() / max_rows))
 
@@ -104,8 +114,8 @@ def fcnn_select(
 ) -> DataFrame:
     """Condensed subset of ``df`` (same columns plus ``bucket``)."""
     nb = n_buckets or n_buckets_for(df, max_rows)
-    b = df.withColumn(BUCKET, hash_bucket(ID, seed, nb))
     keys = [ID] + (["copy_no"] if "copy_no" in df.columns else [])
+    b = df.withColumn(BUCKET, hash_bucket(_bucket_key(df), seed, nb))
     return b.groupBy(BUCKET).applyInPandas(_bucket_fn(k, keys), schema=b.schema)
 
 

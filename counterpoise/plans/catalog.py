@@ -451,7 +451,8 @@ def q_experiment_grid(spark, sf_dir):
 
     train, test = split(FRAMES["toxic"](spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED)
     p = GridParams(rf_trees=Q_RF_TREES, rf_trees_ros180=Q_RF_TREES, pcard_trees=Q_PCARD_TREES,
-                   pcard_depth=Q_PCARD_DEPTH, hme_trees=Q_HME_TREES, fcnn_max_rows=Q_FCNN_MAX_ROWS)
+                   pcard_depth=Q_PCARD_DEPTH, hme_trees=Q_HME_TREES, fcnn_max_rows=Q_FCNN_MAX_ROWS,
+                   prep_parallelism=3)
     return run_grid(train, test, params=p)
 
 

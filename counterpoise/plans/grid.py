@@ -50,6 +50,9 @@ class GridParams:
     fcnn_max_rows: int = 5000
     ros_as_weights: bool = False
     parallelism: int = 8
+    # preprocessed training sets alive (persisted) at once; each can be about
+    # twice the training set after oversampling, so keep this small at scale
+    prep_parallelism: int = 1
     rf_trees_by_prep: dict = field(default_factory=dict)
 
 
@@ -136,19 +139,23 @@ def run_grid(train: DataFrame, test: DataFrame, preps=PUBLISHED_PREPS, models=MO
     p = params or GridParams()
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     scaler = MinMaxScaler().fit(train) if "nb" in models else None
-    prepped = {}
+    fitted = {}
+
+    def fit_prep(prep):
+        pt = preprocess(train, prep, p).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            with ThreadPoolExecutor(max(1, min(p.parallelism, len(models)))) as pool:
+                return prep, list(pool.map(lambda m: fit_model(m, pt, prep, p, scaler), models))
+        finally:
+            pt.unpersist()
+
     try:
-        for prep in preps:
-            prepped[prep] = preprocess(train, prep, p).persist(StorageLevel.MEMORY_AND_DISK)
-        # Fits are independent Spark jobs over shared cached inputs: run them
-        # concurrently so small per-level jobs of many trees overlap.
-        pairs = [(prep, m) for prep in preps for m in models]
-        with ThreadPoolExecutor(max(1, p.parallelism)) as pool:
-            models_fitted = list(pool.map(lambda pm: fit_model(pm[1], prepped[pm[0]], pm[0], p, scaler), pairs))
-        fitted = dict(zip(pairs, models_fitted))
+        # Fits are independent Spark jobs over a shared cached input: they run
+        # concurrently so the small per-level jobs of many trees overlap.
+        with ThreadPoolExecutor(max(1, p.prep_parallelism)) as pool:
+            for prep, ms in pool.map(fit_prep, preps):
+                fitted.update({(prep, m): model for m, model in zip(models, ms)})
     finally:
-        for df in prepped.values():
-            df.unpersist()
         train.unpersist()
     scored = test.withColumn(SCALED, scaler.scaled()) if scaler else test
     cols = {}

@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from counterpoise.frame import FEATURES, ID, LABEL
+from counterpoise.frame import FEATURES, ID, LABEL, with_dim
+
+EMB_DIM = 64  # length of the embedding vectors in the embeddings table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,7 +25,7 @@ def lp_emb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         F.col("vec_id").alias(ID),
         (F.col("label") == 0).cast("double").alias(LABEL),
-        F.transform("embedding", lambda x: x.cast("double")).alias(FEATURES),
+        with_dim(F.transform("embedding", lambda x: x.cast("double")), EMB_DIM),
     )
 
 
@@ -32,24 +34,32 @@ def _count_of(text, pattern: str):
     return (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).cast("double")
 
 
-def _doc_features(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels").select("doc_id", target)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
-    j = labels.join(docs, "doc_id")
+def doc_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, features)`` from the whole text of every document (narrow, no shuffle)."""
     t = F.col("text")
-    return j.select(
-        F.col("doc_id").alias(ID),
-        F.col(target).cast("double").alias(LABEL),
-        F.array(
-            F.col("n_chars").cast("double"),
-            _count_of(t, "\n") + F.lit(1.0),
-            _count_of(t, " "),
-            _count_of(t, "[0-9]"),
-            _count_of(t, "[A-Z]"),
-        ).alias(FEATURES),
+    return table(spark, sf_dir, "documents").select(
+        "doc_id",
+        with_dim(
+            F.array(
+                F.col("n_chars").cast("double"),
+                _count_of(t, "\n") + F.lit(1.0),
+                _count_of(t, " "),
+                _count_of(t, "[0-9]"),
+                _count_of(t, "[A-Z]"),
+            ),
+            5,
+        ),
     )
 
 
+def _doc_features(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
+    # Features are computed on the documents side BEFORE the join: the join
+    # then moves (doc_id, 5 doubles) per document instead of whole texts.
+    labels = table(spark, sf_dir, "labels").select("doc_id", target)
+    j = labels.join(doc_features(spark, sf_dir), "doc_id")
+    return j.select(F.col("doc_id").alias(ID), F.col(target).cast("double").alias(LABEL), FEATURES)
+
+
 def lp_toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """labels ⋈ documents, label = toxic (positive minority)."""
     return _doc_features(spark, sf_dir, "toxic")
@@ -82,13 +92,16 @@ def lp_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         F.col("o_orderkey").alias(ID),
         (F.col("o_orderpriority") == "1-URGENT").cast("double").alias(LABEL),
-        F.array(
-            F.col("o_totalprice").cast("double"),
-            F.col("n_lines").cast("double"),
-            F.col("sum_qty").cast("double"),
-            F.col("max_disc").cast("double"),
-            F.col("max_tax").cast("double"),
-        ).alias(FEATURES),
+        with_dim(
+            F.array(
+                F.col("o_totalprice").cast("double"),
+                F.col("n_lines").cast("double"),
+                F.col("sum_qty").cast("double"),
+                F.col("max_disc").cast("double"),
+                F.col("max_tax").cast("double"),
+            ),
+            5,
+        ),
     )
 
 
