@@ -123,7 +123,7 @@ def fit_pcard(
     max_bins: int = 32,
     seed: int = 1,
     weight_col: str | None = None,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> PCARDModel:
     d = num_features(df)
     pca = PCA(k=d, inputCol="_pca_in", outputCol="_pca_out").fit(df.select(to_vector(FEATURES).alias("_pca_in")))

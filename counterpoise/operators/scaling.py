@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from counterpoise.frame import FEATURES, num_features
+from counterpoise.frame import FEATURES, num_features, with_dim
 from counterpoise.functions.literals import sql_double, sql_ident
 
 
@@ -37,7 +37,8 @@ class MinMaxModel:
         return F.expr("array(" + ", ".join(out) + ")")
 
     def transform(self, df: DataFrame, output_col: str | None = None) -> DataFrame:
-        return df.withColumn(output_col or self.features_col, self.scaled())
+        name = output_col or self.features_col
+        return df.withColumn(name, with_dim(self.scaled(), len(self.lo), name))
 
 
 class MinMaxScaler:

@@ -1,0 +1,8 @@
+"""Streaming.
+
+The workloads this library reproduces are batch jobs only: no stream is read,
+no state is kept across batches.  Nothing here is needed for them.  A fitted
+model from this package is a plain column expression (NB, PCARD vote) or a
+``pyspark.ml`` transformer (trees), so ``model.transform(stream_df)`` already
+works on a Structured Streaming frame; no separate streaming operator exists.
+"""
