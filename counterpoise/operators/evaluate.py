@@ -49,6 +49,17 @@ def confusion(
     return (df.groupBy(*by) if by else df.groupBy()).agg(*aggs)
 
 
+def confusion_long(df: DataFrame, label_col: str = LABEL, prediction_col: str = PREDICTION,
+                   by: list[str] | None = None) -> DataFrame:
+    """Long-form matrix for any number of classes: ``(label, prediction, n)``.
+
+    One grouped aggregation with map-side partial counts; pivot it with
+    ``groupBy(label).pivot(prediction)`` when a square table is wanted.
+    """
+    keys = list(by or []) + [label_col, prediction_col]
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
 def _ratio(a, b):
     return F.try_divide(a.cast("double"), b.cast("double"))
 

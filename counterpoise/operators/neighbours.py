@@ -110,13 +110,28 @@ def n_buckets_for(df: DataFrame, max_rows: int) -> int:
 
 
 def fcnn_select(
-    df: DataFrame, k: int = 3, max_rows: int = 5000, seed: int = 2015, n_buckets: int | None = None
+    df: DataFrame,
+    k: int = 3,
+    max_rows: int = 5000,
+    seed: int = 2015,
+    n_buckets: int | None = None,
+    checkpoint: bool = False,
 ) -> DataFrame:
-    """Condensed subset of ``df`` (same columns plus ``bucket``)."""
+    """Condensed subset of ``df`` (same columns plus ``bucket``).
+
+    ``checkpoint=True`` writes the result to ``spark.checkpoint.dir`` so a lost
+    executor does not re-run the quadratic kernels of its buckets.
+    """
     nb = n_buckets or n_buckets_for(df, max_rows)
     keys = [ID] + (["copy_no"] if "copy_no" in df.columns else [])
     b = df.withColumn(BUCKET, hash_bucket(_bucket_key(df), seed, nb))
-    return b.groupBy(BUCKET).applyInPandas(_bucket_fn(k, keys), schema=b.schema)
+    out = b.groupBy(BUCKET).applyInPandas(_bucket_fn(k, keys), schema=b.schema)
+    if checkpoint:
+        from counterpoise.session import checkpoint_dir
+
+        checkpoint_dir(df.sparkSession)
+        out = out.checkpoint(eager=True)
+    return out
 
 
 def fcnn_seeds(df: DataFrame, n_buckets: int, seed: int = 2015, d: int | None = None) -> DataFrame:

@@ -517,3 +517,57 @@ def q_keel_roundtrip(spark, sf_dir):
     write_keel(lp, header, path, id_attribute="id")
     good, _, h = read_keel(spark, f"{path}/header", f"{path}/data", scale=False, id_attribute="id")
     return _wide(good).withColumn("num_classes", F.lit(h.num_classes))
+
+
+# ---------------------------------------------------------------- E1-E3 by error count, M5 via pyspark.ml, B4 report, T4
+@query(
+    "accuracy",
+    f"""SELECT count_if(label <> prediction OR prediction IS NULL) AS errors, count(*) AS n,
+  1.0 - CAST(count_if(label <> prediction OR prediction IS NULL) AS DOUBLE) / count(*) AS accuracy
+FROM {_RULE_SQL}""",
+)
+def q_accuracy(spark, sf_dir):
+    s = _rule_scored(spark, sf_dir)
+    wrong = (F.col("label") != F.col("prediction")) | F.col("prediction").isNull()
+    return s.agg(F.count_if(wrong).alias("errors"), F.count(F.lit(1)).alias("n")).select(
+        "errors", "n", (F.lit(1.0) - F.col("errors").cast("double") / F.col("n")).alias("accuracy")
+    )
+
+
+@query("nb_ml_predictions", _nb_sql("SELECT id, label, prediction FROM pred"))
+def q_nb_ml_predictions(spark, sf_dir):
+    from counterpoise.functions.vectors import to_vector
+    from counterpoise.operators.bayes import ml_naive_bayes
+
+    train, test = split(FRAMES["emb"](spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED)
+    scaler = MinMaxScaler().fit(train)
+    model = ml_naive_bayes(balance.ros(scaler.transform(train), 1.0, SEED, as_weights=True), weight_col="weight")
+    scored = model.transform(scaler.transform(test).withColumn("_vec", to_vector("features")))
+    return scored.select("id", "label", "prediction")
+
+
+@query("hme_report")
+def q_hme_report(spark, sf_dir):
+    from counterpoise.operators.noise import hme_report, hme_scored
+
+    scored, _ = hme_scored(FRAMES["toxic"](spark, sf_dir), num_trees=Q_HME_TREES, k=HME_K, seed=HME_SEED)
+    return hme_report(scored)
+
+
+@query("pca_projection")
+def q_pca_projection(spark, sf_dir):
+    from pyspark.ml.feature import PCA
+
+    from counterpoise.functions.vectors import to_array, to_vector
+
+    train, test = split(FRAMES["emb"](spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED)
+    pca = PCA(k=3, inputCol="v", outputCol="p").fit(train.select(to_vector("features").alias("v")))
+    out = pca.transform(test.withColumn("v", to_vector("features")))
+    return out.select("id", "label", to_array("p").alias("p")).select(
+        "id", "label", *[F.col("p")[j].alias(f"pc{j}") for j in range(3)]
+    )
+
+
+@query("confusion_long", f"SELECT label, prediction, count(*) AS n FROM {_RULE_SQL} GROUP BY label, prediction")
+def q_confusion_long(spark, sf_dir):
+    return evaluate.confusion_long(_rule_scored(spark, sf_dir))

@@ -73,7 +73,7 @@ def _hme(df, p):
 
 
 def _fcnn(df, p):
-    return fcnn_select(df, k=p.fcnn_k, max_rows=p.fcnn_max_rows, seed=2015 + p.seed - 1).drop("bucket")
+    return fcnn_select(df, k=p.fcnn_k, max_rows=p.fcnn_max_rows, seed=2015 + p.seed - 1, checkpoint=True).drop("bucket")
 
 
 def _none(df, p):
