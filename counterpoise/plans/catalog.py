@@ -69,7 +69,8 @@ def q_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         [
             f"""SELECT '{n}' AS frame, n_neg, n_pos, n, CAST(CASE WHEN n_pos > n_neg THEN 0 ELSE 1 END AS DOUBLE) AS minority,
   CAST(greatest(n_neg, n_pos) AS DOUBLE) / NULLIF(CAST(least(n_neg, n_pos) AS DOUBLE), 0) AS imbalance_ratio
-FROM (SELECT count_if(label = 0) AS n_neg, count_if(label = 1) AS n_pos, count(*) AS n FROM ({S.LP[n]}))"""
+FROM (SELECT CAST(count_if(label = 0) AS BIGINT) AS n_neg, CAST(count_if(label = 1) AS BIGINT) AS n_pos,
+             count(*) AS n FROM ({S.LP[n]}))"""
             for n in ALL
         ]
     ),
@@ -237,9 +238,11 @@ def _metrics_sql(src: str, orientation: str = "true") -> str:
   CAST(tn + tp AS DOUBLE) / NULLIF(n, 0) AS accuracy,
   CAST({tnr} AS DOUBLE) AS tnr, CAST({tpr} AS DOUBLE) AS tpr,
   CAST({tnr} AS DOUBLE) * CAST({tpr} AS DOUBLE) AS product
-FROM (SELECT count_if(label = 0 AND prediction = 0) AS tn, count_if(label = 0 AND prediction = 1) AS fp,
-             count_if(label = 1 AND prediction = 0) AS fn, count_if(label = 1 AND prediction = 1) AS tp,
-             count_if(prediction IS NULL) AS n_null, count(*) AS n FROM {src})"""
+FROM (SELECT CAST(count_if(label = 0 AND prediction = 0) AS BIGINT) AS tn,
+             CAST(count_if(label = 0 AND prediction = 1) AS BIGINT) AS fp,
+             CAST(count_if(label = 1 AND prediction = 0) AS BIGINT) AS fn,
+             CAST(count_if(label = 1 AND prediction = 1) AS BIGINT) AS tp,
+             CAST(count_if(prediction IS NULL) AS BIGINT) AS n_null, count(*) AS n FROM {src})"""
 
 
 @query("nb_metrics", _nb_sql(_metrics_sql("pred")))
@@ -522,7 +525,7 @@ def q_keel_roundtrip(spark, sf_dir):
 # ---------------------------------------------------------------- E1-E3 by error count, M5 via pyspark.ml, B4 report, T4
 @query(
     "accuracy",
-    f"""SELECT count_if(label <> prediction OR prediction IS NULL) AS errors, count(*) AS n,
+    f"""SELECT CAST(count_if(label <> prediction OR prediction IS NULL) AS BIGINT) AS errors, count(*) AS n,
   1.0 - CAST(count_if(label <> prediction OR prediction IS NULL) AS DOUBLE) / count(*) AS accuracy
 FROM {_RULE_SQL}""",
 )
