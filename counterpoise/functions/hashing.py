@@ -18,10 +18,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from counterpoise.functions.literals import sql_double, sql_double_array, sql_ident
+from counterpoise.functions.literals import sql_double, sql_ident
 
 TWO_POW_32 = 4294967296.0
 # Above this many CDF entries the CASE tree gets too large for one generated
@@ -85,7 +86,6 @@ def poisson_copies(u: str, lam: float) -> Column:
     lo, cdf = poisson_cdf(lam)
     ref = sql_ident(u)
     if len(cdf) <= _MAX_TREE:
-        inside = _first_above(ref, cdf, 0, len(cdf))
-    else:
-        inside = f"size(filter({sql_double_array(cdf)}, c -> c <= {ref}))"
-    return F.expr(f"CAST({lo} + {inside} AS INT)")
+        return F.expr(f"CAST({lo} + {_first_above(ref, cdf, 0, len(cdf))} AS INT)")
+    table = F.lit(np.asarray(cdf, dtype=np.float64))  # one array literal
+    return (F.lit(lo) + F.size(F.filter(table, lambda c: c <= F.col(u)))).cast("int")

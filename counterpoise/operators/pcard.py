@@ -14,7 +14,7 @@ Spark-first choices:
   ``hash_uniform(id, seed)``, ranks ``[t*cuts, (t+1)*cuts)`` give member t its
   cut rows (``members * cuts`` rows reach the driver — a parameter bound);
 * a bin index is the count of cuts below the value: one JVM higher-order
-  expression over the literal cut table (no Python UDF);
+  expression over the cut table passed as a single array literal (no UDF);
 * members are fitted from a small driver thread pool over the shared cached
   input; scoring chains all members over ONE scan of the scored frame.
 """
@@ -26,6 +26,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml.feature import PCA
 from pyspark.sql import Column, DataFrame
@@ -33,7 +34,6 @@ from pyspark.sql import functions as F
 
 from counterpoise.frame import FEATURES, ID, LABEL, num_features
 from counterpoise.functions.hashing import hash_uniform
-from counterpoise.functions.literals import sql_double_array, sql_ident
 from counterpoise.functions.vectors import to_array, to_vector
 from counterpoise.operators.trees import fit_dt
 
@@ -60,13 +60,19 @@ def draw_cuts(df: DataFrame, members: int, cuts: int, seed: int, d: int) -> list
 def discretize(features: str, member_cuts: list[list[float]]) -> Column:
     """Bin index of every feature: ``#{c in cuts[j] : c < x_j}``.
 
-    One higher-order expression over a literal ``array<array<double>>`` of cut
-    points; per-feature CASE trees would overflow the 64 KB generated-method
-    limit for wide inputs and push the whole stage out of codegen.
+    The cut table travels as ONE array literal (feature j owns the slice
+    ``[j*w, (j+1)*w)``, padded with +inf, which no value exceeds), and one JVM
+    higher-order expression counts the cuts below each value.  A single
+    literal keeps the plan small however many features and members there are.
     """
-    table = "array(" + ", ".join(sql_double_array(c) for c in member_cuts) + ")"
-    return F.expr(
-        f"transform({sql_ident(features)}, (x, j) -> CAST(size(filter(element_at({table}, j + 1), c -> c < x)) AS DOUBLE))"
+    width = max([len(c) for c in member_cuts] + [1])
+    flat = np.full(len(member_cuts) * width, np.inf)
+    for j, cuts in enumerate(member_cuts):
+        flat[j * width : j * width + len(cuts)] = sorted(cuts)
+    table = F.lit(flat)
+    return F.transform(
+        F.col(features),
+        lambda x, j: F.size(F.filter(F.slice(table, j * width + 1, width), lambda c: c < x)).cast("double"),
     )
 
 
@@ -93,8 +99,8 @@ class PCARDModel:
         m = self.pca.copy()
         m.setInputCol("_pca_in")
         m.setOutputCol("_pca_out")
-        out = m.transform(df.withColumn("_pca_in", to_vector(self.features_col)))
-        return out.withColumn(PCA_COL, to_array("_pca_out")).drop("_pca_in", "_pca_out")
+        out = m.transform(df.select("*", to_vector(self.features_col).alias("_pca_in")))
+        return out.select(*df.columns, to_array("_pca_out").alias(PCA_COL))
 
     def member_features(self, t: int) -> Column:
         return F.concat(
@@ -103,15 +109,15 @@ class PCARDModel:
         )
 
     def transform(self, df: DataFrame) -> DataFrame:
+        """Score with every member (chained over one scan) and take the majority vote."""
         x = self.with_pca(df)
         votes = []
         for t, scorer in enumerate(self.scorers):
-            x = x.withColumn(f"_m{t}", self.member_features(t))
             scorer.features_col = f"_m{t}"
-            x = scorer.transform(x, prediction_col=f"_p{t}").drop(f"_m{t}")
+            x = scorer.transform(x.withColumn(f"_m{t}", self.member_features(t)), prediction_col=f"_p{t}")
             votes.append(F.col(f"_p{t}"))
-        pred = majority_vote(votes)
-        return x.withColumn(self.prediction_col, pred).drop(PCA_COL, *[f"_p{t}" for t in range(len(votes))])
+        keep = [c for c in df.columns if c != self.prediction_col]
+        return x.select(*keep, majority_vote(votes).alias(self.prediction_col))
 
 
 def fit_pcard(

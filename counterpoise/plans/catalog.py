@@ -207,7 +207,7 @@ pred AS (SELECT id, label, CAST(max(score) FILTER (WHERE c = 1) > max(score) FIL
 
 
 def _nb_fit(spark, sf_dir):
-    train, test = split(FRAMES["emb"](spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED)
+    train, test = split(_persisted(FRAMES["emb"](spark, sf_dir)), TRAIN_FRACTION, SPLIT_SEED)
     scaler = MinMaxScaler().fit(train)
     train_s = balance.ros(scaler.transform(train), 1.0, SEED, as_weights=True)
     model = MultinomialNB(weight_col="weight").fit(train_s)
@@ -300,8 +300,17 @@ Q_HME_TREES = 20
 Q_FCNN_MAX_ROWS = 200  # several buckets even on the small frames
 
 
+def _persisted(df: DataFrame) -> DataFrame:
+    # Model queries read their frame several times (class counts, split
+    # finding, fitting, scoring): compute it once.  MEMORY_AND_DISK spills
+    # instead of failing, and lost blocks are recomputed from lineage.
+    from pyspark import StorageLevel
+
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _orders_split(spark, sf_dir):
-    return split(FRAMES["orders"](spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED)
+    return split(_persisted(FRAMES["orders"](spark, sf_dir)), TRAIN_FRACTION, SPLIT_SEED)
 
 
 @query("dt_metrics")
@@ -328,7 +337,7 @@ def q_rf_metrics(spark, sf_dir):
 def q_pcard_predict(spark, sf_dir):
     from counterpoise.operators.pcard import fit_pcard
 
-    train, test = split(FRAMES["emb"](spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED)
+    train, test = split(_persisted(FRAMES["emb"](spark, sf_dir)), TRAIN_FRACTION, SPLIT_SEED)
     model = fit_pcard(balance.ros(train, 1.0, SEED), trees=Q_PCARD_TREES, cuts=10, max_depth=Q_PCARD_DEPTH, seed=SEED)
     return model.transform(test).select("id", "label", "prediction")
 
@@ -452,7 +461,7 @@ def q_fcnn_ros(spark, sf_dir):
 def q_experiment_grid(spark, sf_dir):
     from counterpoise.plans.grid import GridParams, run_grid
 
-    train, test = split(FRAMES["toxic"](spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED)
+    train, test = split(_persisted(FRAMES["toxic"](spark, sf_dir)), TRAIN_FRACTION, SPLIT_SEED)
     p = GridParams(rf_trees=Q_RF_TREES, rf_trees_ros180=Q_RF_TREES, pcard_trees=Q_PCARD_TREES,
                    pcard_depth=Q_PCARD_DEPTH, hme_trees=Q_HME_TREES, fcnn_max_rows=Q_FCNN_MAX_ROWS,
                    prep_parallelism=3)
