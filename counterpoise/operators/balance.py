@@ -102,20 +102,32 @@ def ros(
     label_col: str = LABEL,
     id_col: str = ID,
     counts: dict | None = None,
+    repartition: int | str | None = None,
 ) -> DataFrame:
     """Random oversampling with replacement of the minority class.
 
     Returns the rows with ``copy_no`` (1..copies), or with ``weight`` when
     ``as_weights``.  Expected minority size = ``|majority| * rate``.
+
+    No shuffle is needed (the copies are generated in place).  ``repartition``
+    re-deals the result round-robin into ``n`` partitions (``"input"``: as many
+    as the input has), for callers that want evenly sized partitions; it is
+    round-robin, not by id, so the copies of one row never pile up in one
+    partition.
     """
     c = ros_copies(df, rate, seed, strict, label_col, id_col, counts)
     if as_weights:
-        return c.where(F.col("copies") > 0).withColumn(WEIGHT, F.col("copies").cast("double")).drop("copies")
-    # Rows drawing 0 copies explode to nothing.  (sequence(1, 0) would count
-    # down to [1, 0], hence the empty-array branch; a separate copies > 0
-    # filter would be pushed below the scan and evaluate the draw twice.)
-    seq = F.when(F.col("copies") > 0, F.sequence(F.lit(1), F.col("copies"))).otherwise(F.array().cast("array<int>"))
-    return c.withColumn(COPY_NO, F.explode(seq)).drop("copies")
+        out = c.where(F.col("copies") > 0).withColumn(WEIGHT, F.col("copies").cast("double")).drop("copies")
+    else:
+        # Rows drawing 0 copies explode to nothing.  (sequence(1, 0) would count
+        # down to [1, 0], hence the empty-array branch; a separate copies > 0
+        # filter would be pushed below the scan and evaluate the draw twice.)
+        seq = F.when(F.col("copies") > 0, F.sequence(F.lit(1), F.col("copies"))).otherwise(F.array().cast("array<int>"))
+        out = c.withColumn(COPY_NO, F.explode(seq)).drop("copies")
+    if repartition is not None:
+        n = df.rdd.getNumPartitions() if repartition == "input" else int(repartition)
+        out = out.repartition(n)
+    return out
 
 
 def rus(

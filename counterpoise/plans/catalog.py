@@ -542,7 +542,7 @@ def q_accuracy(spark, sf_dir):
     s = _rule_scored(spark, sf_dir)
     wrong = (F.col("label") != F.col("prediction")) | F.col("prediction").isNull()
     return s.agg(F.count_if(wrong).alias("errors"), F.count(F.lit(1)).alias("n")).select(
-        "errors", "n", (F.lit(1.0) - F.col("errors").cast("double") / F.col("n")).alias("accuracy")
+        "errors", "n", (F.lit(1.0) - F.try_divide(F.col("errors").cast("double"), F.col("n"))).alias("accuracy")
     )
 
 

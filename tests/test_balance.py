@@ -108,3 +108,11 @@ def test_rate_sweep_matches_individual_runs(spark):
     for rate in (1.0, 1.8):
         c = _counts(balance.ros(df, rate, seed=2))
         assert sweep[(rate, 1.0)] == c[1.0] and sweep[(rate, 0.0)] == c[0.0]
+
+
+def test_ros_repartition_option(spark):
+    df = lp_toxic(spark, SF01).repartition(3)
+    out = balance.ros(df, 1.0, seed=1, repartition="input")
+    assert out.rdd.getNumPartitions() == 3
+    same = balance.ros(df, 1.0, seed=1).select("id", "copy_no")
+    assert out.select("id", "copy_no").exceptAll(same).count() == 0

@@ -48,3 +48,22 @@ def test_report_lines(spark):
     assert text[0] == "Precision: 1.0"
     assert text[1].startswith("Confusion Matrix 1.0  0.0")
     assert text[3:] == ["TNR: 1.0", "TPR: 1.0", "Resultado: 1.0"]
+
+
+def test_metric_sinks_roundtrip(spark):
+    import os
+    import tempfile
+
+    from counterpoise.sources.sinks import write_metrics, write_reports
+
+    m = evaluate(_frame(spark, [(0.0, 0.0), (1.0, 1.0), (1.0, 0.0)])).selectExpr("'ros' AS prep", "'nb' AS model", "*")
+    base = tempfile.mkdtemp(prefix="sinks-")
+    for fmt in ("parquet", "json", "csv"):
+        write_metrics(m, f"{base}/{fmt}", fmt)
+    back = spark.read.parquet(f"{base}/parquet").first()
+    assert back.prep == "ros" and back.tp == 1 and back.fn == 1
+    assert spark.read.json(f"{base}/json").count() == 1
+    write_reports(m, f"{base}/reports")
+    assert os.path.isdir(f"{base}/reports/prep=ros/model=nb")
+    lines = spark.read.text(f"{base}/reports").collect()
+    assert len(lines) == 6 and lines[0].value.startswith("Precision: ")
