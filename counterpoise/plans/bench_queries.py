@@ -7,13 +7,11 @@ These run the same work on the whole frame (train = test = lp_orders).
 
 from __future__ import annotations
 
-from pyspark.ml.feature import PCA
 from pyspark.sql import functions as F
 
-from counterpoise.frame import FEATURES
-from counterpoise.functions.vectors import to_vector
 from counterpoise.operators.bayes import MultinomialNB
 from counterpoise.operators.evaluate import evaluate
+from counterpoise.operators.pca import fit_pca
 from counterpoise.operators.scaling import MinMaxScaler
 from counterpoise.operators.trees import fit_dt, fit_rf
 from counterpoise.sources.tables import lp_orders
@@ -46,9 +44,8 @@ def b_nb(spark, sf_dir):
 
 def b_pca(spark, sf_dir):
     df = _frame(spark, sf_dir)
-    v = df.select(to_vector(FEATURES).alias("v"))
-    m = PCA(k=5, inputCol="v", outputCol="p").fit(v)
-    return m.transform(v).agg(F.count(F.lit(1)).alias("n"))
+    m = fit_pca(df, k=5)
+    return df.select(m.project().alias("p")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("p")[0]).alias("s"))
 
 
 BENCH = {"dt_orders": b_dt, "rf20_orders": b_rf, "nb_orders": b_nb, "pca_orders": b_pca}

@@ -568,14 +568,11 @@ def q_hme_report(spark, sf_dir):
 
 @query("pca_projection")
 def q_pca_projection(spark, sf_dir):
-    from pyspark.ml.feature import PCA
-
-    from counterpoise.functions.vectors import to_array, to_vector
+    from counterpoise.operators.pca import fit_pca
 
     train, test = split(FRAMES["emb"](spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED)
-    pca = PCA(k=3, inputCol="v", outputCol="p").fit(train.select(to_vector("features").alias("v")))
-    out = pca.transform(test.withColumn("v", to_vector("features")))
-    return out.select("id", "label", to_array("p").alias("p")).select(
+    model = fit_pca(train, k=3)
+    return test.select("id", "label", model.project().alias("p")).select(
         "id", "label", *[F.col("p")[j].alias(f"pc{j}") for j in range(3)]
     )
 

@@ -79,3 +79,19 @@ def test_weighted_trees_accept_ros_weights(spark):
     # rows that drew 0 copies left the training set; the kept rows are separable
     assert evaluate(fit_dt(w, weight_col="weight").transform(w)).first().accuracy == 1.0
     assert evaluate(fit_rf(w, num_trees=3, weight_col="weight").transform(df)).first().accuracy > 0.9
+
+
+def test_one_pass_pca_matches_pyspark_ml(spark):
+    import numpy as np
+    from pyspark.ml.feature import PCA
+
+    from counterpoise.operators.pca import fit_pca
+    from counterpoise.sources.tables import lp_orders
+
+    for frame, k in ((lp_orders(spark, SF01), 3), (lp_emb(spark, SF01), 4)):  # SQL path, numpy path
+        ours = fit_pca(frame, k)
+        ml = PCA(k=k, inputCol="v", outputCol="p").fit(frame.select(array_to_vector("features").alias("v")))
+        cos = np.abs((ours.components * ml.pc.toArray()).sum(0))
+        assert cos.min() > 1 - 1e-9
+        row = frame.select(ours.project().alias("p"), "features").first()
+        assert np.allclose(np.abs(row.p), np.abs(np.array(row.features) @ ml.pc.toArray()), rtol=1e-9, atol=1e-9)
