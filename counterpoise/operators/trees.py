@@ -41,13 +41,17 @@ class MLScorer:
 
     def transform(self, df: DataFrame, prediction_col: str | None = None) -> DataFrame:
         vec = f"_vec{next(_ids)}"
+        return self.transform_vector(df.withColumn(vec, to_vector(self.features_col)), vec, prediction_col).drop(vec)
+
+    def transform_vector(self, df: DataFrame, vector_col: str, prediction_col: str | None = None) -> DataFrame:
+        """Score a frame that already holds the feature vector (adds one column)."""
         m = self.model.copy()
-        m.setFeaturesCol(vec)
+        m.setFeaturesCol(vector_col)
         m.setPredictionCol(prediction_col or self.prediction_col)
         for p in ("rawPredictionCol", "probabilityCol"):
             if m.hasParam(p):
                 m.set(m.getParam(p), "")
-        return m.transform(df.withColumn(vec, to_vector(self.features_col))).drop(vec)
+        return m.transform(df)
 
 
 def _prepare(df: DataFrame, features_col: str, partitions: int | None) -> DataFrame:
