@@ -35,7 +35,7 @@ from counterpoise.functions.hashing import hash_bucket
 from counterpoise.functions.vectors import squared_distance
 
 BUCKET = "bucket"
-_CHUNK = 1024
+_CHUNK = 512  # columns of the distance block: bounds kernel memory to ~n*512 doubles
 
 
 def _sqdist(a: np.ndarray, b: np.ndarray) -> np.ndarray:
