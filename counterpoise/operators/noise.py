@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from counterpoise.frame import ID, LABEL
 from counterpoise.functions.hashing import hash_bucket
-from counterpoise.operators.trees import fit_rf
+from counterpoise.operators.trees import fit_rf, stable_order
 from counterpoise.session import checkpoint_dir
 
 FOLD = "fold"
@@ -41,9 +41,18 @@ def hme_scored(
     seed: int = 48151623,
     weight_col: str | None = None,
     parallelism: int = 4,
+    partitions: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(scored, folded)``: every row with its out-of-fold ``prediction``; caller unpersists ``folded``."""
-    folded = assign_folds(df, k, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    """``(scored, folded)``: every row with its out-of-fold ``prediction``; caller unpersists ``folded``.
+
+    ``partitions=n`` deals the rows by id hash into n sorted partitions once,
+    before the fits, so the seeded forests (whose bagging seeds are per
+    partition) are the same whatever the input partitioning.
+    """
+    folded = assign_folds(df, k, seed)
+    if partitions:
+        folded = stable_order(folded, partitions)
+    folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit(f):
         return fit_rf(

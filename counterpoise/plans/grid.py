@@ -23,7 +23,7 @@ from counterpoise.operators.neighbours import fcnn_select
 from counterpoise.operators.noise import hme_filter
 from counterpoise.operators.pcard import fit_pcard
 from counterpoise.operators.scaling import MinMaxScaler
-from counterpoise.operators.trees import fit_dt, fit_rf
+from counterpoise.operators.trees import fit_dt, fit_rf, stable_order
 
 SCALED = "_xs"
 
@@ -53,6 +53,9 @@ class GridParams:
     # preprocessed training sets alive (persisted) at once; each can be about
     # twice the training set after oversampling, so keep this small at scale
     prep_parallelism: int = 1
+    # deal each preprocessed set by id hash into n sorted partitions before the
+    # fits: seeded forests then do not depend on the input partitioning
+    stable_partitions: int | None = None
     rf_trees_by_prep: dict = field(default_factory=dict)
 
 
@@ -69,7 +72,7 @@ def _rus(df, p):
 
 def _hme(df, p):
     return hme_filter(df, num_trees=p.hme_trees, k=p.hme_folds, max_depth=p.hme_depth, seed=48151623 + p.seed - 1,
-                      parallelism=p.parallelism).drop("fold")
+                      parallelism=p.parallelism, partitions=p.stable_partitions).drop("fold")
 
 
 def _fcnn(df, p):
@@ -142,7 +145,10 @@ def run_grid(train: DataFrame, test: DataFrame, preps=PUBLISHED_PREPS, models=MO
     fitted = {}
 
     def fit_prep(prep):
-        pt = preprocess(train, prep, p).persist(StorageLevel.MEMORY_AND_DISK)
+        pt = preprocess(train, prep, p)
+        if p.stable_partitions:
+            pt = stable_order(pt, p.stable_partitions)
+        pt = pt.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             with ThreadPoolExecutor(max(1, min(p.parallelism, len(models)))) as pool:
                 return prep, list(pool.map(lambda m: fit_model(m, pt, prep, p, scaler), models))

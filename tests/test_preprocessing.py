@@ -132,3 +132,10 @@ def test_pcard_separable(spark):
     df = labelled_rows(spark, [(i, float(i >= 50), [i / 10.0, (i % 7) / 7.0]) for i in range(100)])
     m = fit_pcard(df, trees=5, cuts=10, max_depth=4, seed=3)
     assert evaluate(m.transform(df)).first().accuracy >= 0.95
+
+
+def test_hme_same_on_2_and_7_partitions(spark):
+    df = separable(spark, 160, flips=(4, 150)).cache()
+    a = hme_filter(df.repartition(2), num_trees=5, k=4, max_depth=4, seed=3, partitions=4)
+    b = hme_filter(df.repartition(7), num_trees=5, k=4, max_depth=4, seed=3, partitions=4)
+    assert {r.id for r in a.collect()} == {r.id for r in b.collect()}
