@@ -352,10 +352,9 @@ ranked AS (SELECT features, row_number() OVER (ORDER BY {S.hu('id', SEED)}, id)
 cutrows AS (SELECT r // {DISC_CUTS} AS member, features FROM ranked WHERE r < {DISC_MEMBERS * DISC_CUTS}),
 cuts AS (SELECT member, UNNEST(range(0, len(features))) AS j, UNNEST(features) AS c FROM cutrows),
 l AS ({S.long_form('src')}),
-mem AS (SELECT DISTINCT member FROM cutrows),
-bins AS (SELECT m.member, l.j, l.id, count(c.c) AS bin
-         FROM l CROSS JOIN mem m LEFT JOIN cuts c ON c.member = m.member AND c.j = l.j AND c.c < l.x
-         GROUP BY m.member, l.j, l.id)
+bins AS (SELECT c.member, l.j, l.id, count_if(c.c < l.x) AS bin
+         FROM l JOIN cuts c ON c.j = l.j
+         GROUP BY c.member, l.j, l.id)
 SELECT CAST(member AS INTEGER) AS member, CAST(j AS INTEGER) AS j, CAST(bin AS DOUBLE) AS bin, count(*) AS n
 FROM bins GROUP BY member, j, bin""",
 )
