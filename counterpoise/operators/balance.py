@@ -115,6 +115,8 @@ def ros(
     round-robin, not by id, so the copies of one row never pile up in one
     partition.
     """
+    if COPY_NO in df.columns or WEIGHT in df.columns:
+        raise ValueError("input is already oversampled (has copy_no/weight); oversample the original rows once")
     c = ros_copies(df, rate, seed, strict, label_col, id_col, counts)
     if as_weights:
         out = c.where(F.col("copies") > 0).withColumn(WEIGHT, F.col("copies").cast("double")).drop("copies")

@@ -116,3 +116,9 @@ def test_ros_repartition_option(spark):
     assert out.rdd.getNumPartitions() == 3
     same = balance.ros(df, 1.0, seed=1).select("id", "copy_no")
     assert out.select("id", "copy_no").exceptAll(same).count() == 0
+
+
+def test_ros_refuses_oversampled_input(spark):
+    once = balance.ros(_toy(spark, 30, 5), 1.0, seed=1)
+    with pytest.raises(ValueError):
+        balance.ros(once, 1.0)
