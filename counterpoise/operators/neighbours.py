@@ -24,9 +24,11 @@ Cost is quadratic in the bucket size only (n * |S| distances per bucket).
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,11 @@ from counterpoise.frame import FEATURES, ID, LABEL
 from counterpoise.functions.hashing import hash_bucket
 from counterpoise.functions.vectors import squared_distance
 
+# The pandas functions of this module run in Python workers: ship them by
+# value so executors need not have this package installed or on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 BUCKET = "bucket"
 _CHUNK = 512  # columns of the distance block: bounds kernel memory to ~n*512 doubles
 

@@ -16,16 +16,23 @@ components are interchangeable with Spark's up to sign.
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from counterpoise.frame import FEATURES, num_features, with_dim
 from counterpoise.functions.literals import sql_double, sql_ident
 
+# The pandas functions of this module run in Python workers: ship them by
+# value so executors need not have this package installed or on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 _SQL_MAX_DIM = 16
 _INLINE_MAX_TERMS = 256
 
