@@ -41,11 +41,11 @@ def hme_scored(
     seed: int = 48151623,
     weight_col: str | None = None,
     parallelism: int = 4,
-    partitions: int | None = None,
+    partitions: int | str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(scored, folded)``: every row with its out-of-fold ``prediction``; caller unpersists ``folded``.
 
-    ``partitions=n`` deals the rows by id hash into n sorted partitions once,
+    ``partitions=n`` (or ``"auto"``) deals the rows by id hash into n sorted partitions once,
     before the fits, so the seeded forests (whose bagging seeds are per
     partition) are the same whatever the input partitioning.
     """

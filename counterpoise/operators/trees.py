@@ -25,10 +25,17 @@ from counterpoise.functions.vectors import to_vector
 _ids = itertools.count()
 
 
-def stable_order(df: DataFrame, partitions: int) -> DataFrame:
-    """Fixed hash partitioning by id (+ copy_no) and sorted partitions."""
+def stable_order(df: DataFrame, partitions: int | str) -> DataFrame:
+    """Fixed hash partitioning by id (+ copy_no) and sorted partitions.
+
+    ``partitions="auto"`` takes ``spark.sql.shuffle.partitions`` — the
+    cluster's own sizing, fixed for a given configuration.  The count is
+    explicit, so AQE does not coalesce it away.
+    """
+    if partitions == "auto":
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [ID] + (["copy_no"] if "copy_no" in df.columns else [])
-    return df.repartition(partitions, ID).sortWithinPartitions(*keys)
+    return df.repartition(int(partitions), ID).sortWithinPartitions(*keys)
 
 
 @dataclass
@@ -54,7 +61,7 @@ class MLScorer:
         return m.transform(df)
 
 
-def _prepare(df: DataFrame, features_col: str, partitions: int | None) -> DataFrame:
+def _prepare(df: DataFrame, features_col: str, partitions: int | str | None) -> DataFrame:
     if partitions:
         df = stable_order(df, partitions)
     return df.withColumn("_vec", to_vector(features_col))
@@ -67,7 +74,7 @@ def fit_dt(
     impurity: str = "gini",
     weight_col: str | None = None,
     seed: int = 1,
-    partitions: int | None = None,
+    partitions: int | str | None = None,
     features_col: str = FEATURES,
     label_col: str = LABEL,
 ) -> MLScorer:
@@ -88,7 +95,7 @@ def fit_rf(
     impurity: str = "gini",
     weight_col: str | None = None,
     seed: int = 1,
-    partitions: int | None = None,
+    partitions: int | str | None = None,
     features_col: str = FEATURES,
     label_col: str = LABEL,
 ) -> MLScorer:

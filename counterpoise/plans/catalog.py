@@ -389,7 +389,7 @@ def q_hme_folds(spark, sf_dir):
 def q_hme_filter(spark, sf_dir):
     from counterpoise.operators.noise import hme_filter
 
-    kept = hme_filter(FRAMES["toxic"](spark, sf_dir), num_trees=Q_HME_TREES, k=HME_K, seed=HME_SEED, partitions=8)
+    kept = hme_filter(FRAMES["toxic"](spark, sf_dir), num_trees=Q_HME_TREES, k=HME_K, seed=HME_SEED, partitions="auto")
     return kept.select("id", "label", "fold")
 
 
@@ -463,7 +463,7 @@ def q_experiment_grid(spark, sf_dir):
     train, test = split(_persisted(FRAMES["toxic"](spark, sf_dir)), TRAIN_FRACTION, SPLIT_SEED)
     p = GridParams(rf_trees=Q_RF_TREES, rf_trees_ros180=Q_RF_TREES, pcard_trees=Q_PCARD_TREES,
                    pcard_depth=Q_PCARD_DEPTH, hme_trees=Q_HME_TREES, fcnn_max_rows=Q_FCNN_MAX_ROWS,
-                   prep_parallelism=3, stable_partitions=8)
+                   prep_parallelism=3, stable_partitions="auto")
     return run_grid(train, test, params=p)
 
 

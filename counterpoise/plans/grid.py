@@ -55,7 +55,7 @@ class GridParams:
     prep_parallelism: int = 1
     # deal each preprocessed set by id hash into n sorted partitions before the
     # fits: seeded forests then do not depend on the input partitioning
-    stable_partitions: int | None = None
+    stable_partitions: int | str | None = None
     rf_trees_by_prep: dict = field(default_factory=dict)
 
 
