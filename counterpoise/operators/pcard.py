@@ -139,7 +139,8 @@ def fit_pcard(
 
     def fit(t):
         member = base.select(LABEL, model.member_features(t).alias("_m"), *([weight_col] if weight_col else []))
-        return fit_dt(member, max_depth=max_depth, max_bins=max_bins, weight_col=weight_col, seed=seed + t, features_col="_m")
+        return fit_dt(member, max_depth=max_depth, max_bins=max_bins, weight_col=weight_col, seed=seed + t,
+                      features_col="_m", num_features=d + comps[t])
 
     try:
         with ThreadPoolExecutor(max(1, parallelism)) as pool:

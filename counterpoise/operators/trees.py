@@ -19,7 +19,9 @@ from dataclasses import dataclass
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.sql import DataFrame
 
-from counterpoise.frame import FEATURES, ID, LABEL
+from pyspark.sql import functions as F
+
+from counterpoise.frame import FEATURES, ID, LABEL, num_features
 from counterpoise.functions.vectors import to_vector
 
 _ids = itertools.count()
@@ -61,10 +63,16 @@ class MLScorer:
         return m.transform(df)
 
 
-def _prepare(df: DataFrame, features_col: str, partitions: int | str | None) -> DataFrame:
+def _prepare(df: DataFrame, features_col: str, partitions: int | str | None, label_col: str = LABEL,
+             d: int | None = None) -> DataFrame:
+    """Vector column plus ML attribute metadata (binary nominal label, vector
+    width), so the estimator does not run extra jobs to discover them."""
     if partitions:
         df = stable_order(df, partitions)
-    return df.withColumn("_vec", to_vector(features_col))
+    d = d or num_features(df, features_col)
+    label = F.col(label_col).alias(label_col, metadata={"ml_attr": {"type": "nominal", "num_vals": 2}})
+    vec = to_vector(features_col).alias("_vec", metadata={"ml_attr": {"num_attrs": int(d)}})
+    return df.select(*[c for c in df.columns if c != label_col], label, vec)
 
 
 def fit_dt(
@@ -77,13 +85,14 @@ def fit_dt(
     partitions: int | str | None = None,
     features_col: str = FEATURES,
     label_col: str = LABEL,
+    num_features: int | None = None,
 ) -> MLScorer:
     dt = DecisionTreeClassifier(
         featuresCol="_vec", labelCol=label_col, impurity=impurity, maxDepth=max_depth, maxBins=max_bins, seed=seed
     )
     if weight_col:
         dt.setWeightCol(weight_col)
-    return MLScorer(dt.fit(_prepare(df, features_col, partitions)), features_col)
+    return MLScorer(dt.fit(_prepare(df, features_col, partitions, label_col, num_features)), features_col)
 
 
 def fit_rf(
@@ -98,6 +107,7 @@ def fit_rf(
     partitions: int | str | None = None,
     features_col: str = FEATURES,
     label_col: str = LABEL,
+    num_features: int | None = None,
 ) -> MLScorer:
     rf = RandomForestClassifier(
         featuresCol="_vec",
@@ -111,4 +121,4 @@ def fit_rf(
     )
     if weight_col:
         rf.setWeightCol(weight_col)
-    return MLScorer(rf.fit(_prepare(df, features_col, partitions)), features_col)
+    return MLScorer(rf.fit(_prepare(df, features_col, partitions, label_col, num_features)), features_col)
