@@ -139,3 +139,10 @@ def test_hme_same_on_2_and_7_partitions(spark):
     a = hme_filter(df.repartition(2), num_trees=5, k=4, max_depth=4, seed=3, partitions=4)
     b = hme_filter(df.repartition(7), num_trees=5, k=4, max_depth=4, seed=3, partitions=4)
     assert {r.id for r in a.collect()} == {r.id for r in b.collect()}
+
+
+def test_pcard_same_on_2_and_7_partitions(spark):
+    df = lp_emb(spark, SF01).cache()
+    a = fit_pcard(df.repartition(2), trees=2, cuts=5, max_depth=3, seed=4).transform(df).select("id", "prediction")
+    b = fit_pcard(df.repartition(7), trees=2, cuts=5, max_depth=3, seed=4).transform(df).select("id", "prediction")
+    assert a.exceptAll(b).count() == 0
