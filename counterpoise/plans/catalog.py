@@ -192,9 +192,9 @@ def q_minmax_scaled(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- M5, M6 (+ E on NB)
-def _nb_sql(select: str) -> str:
-    train = S.split_sql("emb", "train", TRAIN_FRACTION, SPLIT_SEED)
-    test = S.split_sql("emb", "test", TRAIN_FRACTION, SPLIT_SEED)
+def _nb_sql(select: str, frame: str = "emb") -> str:
+    train = S.split_sql(frame, "train", TRAIN_FRACTION, SPLIT_SEED)
+    test = S.split_sql(frame, "test", TRAIN_FRACTION, SPLIT_SEED)
     return f"""WITH train AS ({train}),
 test AS ({test}),
 {S.minmax_ctes('train')},
@@ -215,8 +215,8 @@ pred AS (SELECT id, label, CAST(max(score) FILTER (WHERE c = 1) > max(score) FIL
 {select}"""
 
 
-def _nb_fit(spark, sf_dir):
-    train, test = split(_persisted(FRAMES["emb"](spark, sf_dir)), TRAIN_FRACTION, SPLIT_SEED)
+def _nb_fit(spark, sf_dir, frame: str = "emb"):
+    train, test = split(_persisted(FRAMES[frame](spark, sf_dir)), TRAIN_FRACTION, SPLIT_SEED)
     scaler = MinMaxScaler().fit(train)
     train_s = balance.ros(scaler.transform(train), 1.0, SEED, as_weights=True)
     model = MultinomialNB(weight_col="weight").fit(train_s)
@@ -579,3 +579,9 @@ def q_pca_projection(spark, sf_dir):
 @query("confusion_long", f"SELECT label, prediction, count(*) AS n FROM {_RULE_SQL} GROUP BY label, prediction")
 def q_confusion_long(spark, sf_dir):
     return evaluate.confusion_long(_rule_scored(spark, sf_dir))
+
+
+@query("nb_predictions_orders", _nb_sql("SELECT id, label, prediction FROM pred", "orders"))
+def q_nb_predictions_orders(spark, sf_dir):
+    model, test = _nb_fit(spark, sf_dir, "orders")
+    return model.transform(test).select("id", "label", "prediction")
