@@ -122,4 +122,8 @@ def fit_pca(df: DataFrame, k: int | None = None, features_col: str = FEATURES) -
     cov = (g - n * np.outer(mean, mean)) / (n - 1)
     w, v = np.linalg.eigh(cov)
     order = np.argsort(w)[::-1][:k]
-    return PCAModel(v[:, order], w[order], features_col)
+    v = v[:, order]
+    # fix each component's sign (largest |entry| positive) so refits agree
+    flip = np.sign(v[np.abs(v).argmax(0), np.arange(v.shape[1])])
+    v = v * np.where(flip == 0, 1.0, flip)
+    return PCAModel(v, w[order], features_col)

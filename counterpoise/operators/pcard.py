@@ -7,7 +7,8 @@ concatenation and the members vote (majority; a tie predicts 0).
 
 Spark-first choices:
 
-* ONE PCA fit (k = D, a distributed Gramian) shared by all members; each
+* ONE PCA fit (k = D: a one-pass distributed Gramian, eigendecomposed in
+  numpy on the driver) shared by all members; each
   member slices its leading components — the projection is computed once
   and persisted with the training rows;
 * the cut points of all members come from ONE bounded top-k: rows ranked by
@@ -28,13 +29,12 @@ from functools import reduce
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.ml.feature import PCA
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from counterpoise.frame import FEATURES, ID, LABEL, num_features
 from counterpoise.functions.hashing import hash_uniform
-from counterpoise.functions.vectors import to_array, to_vector
+from counterpoise.operators.pca import fit_pca
 from counterpoise.operators.trees import fit_dt
 
 PCA_COL = "_pca"
@@ -96,11 +96,7 @@ class PCARDModel:
     prediction_col: str = "prediction"
 
     def with_pca(self, df: DataFrame) -> DataFrame:
-        m = self.pca.copy()
-        m.setInputCol("_pca_in")
-        m.setOutputCol("_pca_out")
-        out = m.transform(df.select("*", to_vector(self.features_col).alias("_pca_in")))
-        return out.select(*df.columns, to_array("_pca_out").alias(PCA_COL))
+        return df.withColumn(PCA_COL, self.pca.project(self.features_col))
 
     def member_features(self, t: int) -> Column:
         return F.concat(
@@ -131,7 +127,9 @@ def fit_pcard(
     parallelism: int = 8,
 ) -> PCARDModel:
     d = num_features(df)
-    pca = PCA(k=d, inputCol="_pca_in", outputCol="_pca_out").fit(df.select(to_vector(FEATURES).alias("_pca_in")))
+    # one-pass PCA: distributed Gramian, eigendecomposition in numpy on the
+    # driver (thread-safe, unlike concurrent JVM LAPACK calls from parallel fits)
+    pca = fit_pca(df, k=d)
     cut_table = draw_cuts(df, trees, cuts, seed, d)
     comps = [member_components(seed, t, d) for t in range(trees)]
     model = PCARDModel(pca, cut_table, comps, [])

@@ -167,7 +167,7 @@ def run_grid(train: DataFrame, test: DataFrame, preps=PUBLISHED_PREPS, models=MO
     cols = {}
     for (prep, m), model in fitted.items():
         col = f"p_{prep}_{m}"
-        if isinstance(model, MultinomialNB) or hasattr(model, "predict_col"):
+        if hasattr(model, "predict_col"):  # NB: a column expression
             scored = scored.withColumn(col, model.predict_col())
         elif hasattr(model, "scorers"):
             model.prediction_col = col
