@@ -123,5 +123,8 @@ def ml_naive_bayes(df: DataFrame, smoothing: float = 1.0, weight_col: str | None
     )
     if weight_col:
         nb.setWeightCol(weight_col)
-    model = nb.fit(df.withColumn("_vec", to_vector(FEATURES)))
-    return model
+    d = num_features(df)
+    label = F.col(LABEL).alias(LABEL, metadata={"ml_attr": {"type": "nominal", "num_vals": 2}})
+    vec = to_vector(FEATURES).alias("_vec", metadata={"ml_attr": {"num_attrs": d}})
+    # ML attribute metadata: the estimator need not run jobs to find them
+    return nb.fit(df.select(*[c for c in df.columns if c != LABEL], label, vec))
