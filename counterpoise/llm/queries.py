@@ -28,3 +28,17 @@ def q_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = kd_shards(table(spark, sf_dir, "documents"), shards=8)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op1_pattern_packing")
+def q_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from counterpoise.llm.packing import pack_documents
+
+    out = pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), capacity=2048)
+    return out.withColumn("length", F.col("length").cast("long"))
