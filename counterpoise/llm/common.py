@@ -34,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def gapless(df: DataFrame, keys: list[str], order: list[str], out: str, n_rows: int, per_bucket: int = 20_000) -> DataFrame:
+def gapless(df: DataFrame, keys: list[str], order: list[str], out: str, n_rows: int, per_bucket: int = 5_000) -> DataFrame:
     """Number the rows of every key from 0 without gaps, by buckets of the order columns' hash.
 
     No task holds a whole key: a key's rows are numbered inside hash buckets of about

@@ -42,3 +42,13 @@ def q_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), capacity=2048)
     return out.withColumn("length", F.col("length").cast("long"))
+
+
+@query("op8_token_files")
+def q_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from counterpoise.llm.tokenfile import read_token_files, write_token_files
+    from counterpoise.session import scratch_path
+
+    path = scratch_path(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"), closing_id=2)
+    return read_token_files(spark, path, digests=True)
