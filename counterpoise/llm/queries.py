@@ -52,3 +52,19 @@ def q_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"), closing_id=2)
     return read_token_files(spark, path, digests=True)
+
+
+@query("op9_hyperplane_dedup")
+def q_hyperplane_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from counterpoise.llm.embdedup import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+@query("op3_quality_mil")
+def q_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from counterpoise.llm.quality import fit_quality, score_quality
+
+    docs = table(spark, sf_dir, "documents")
+    scored = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
