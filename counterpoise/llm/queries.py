@@ -68,3 +68,12 @@ def q_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query("op10_counterfactual_toxicity")
+def q_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from counterpoise.llm.toxicity import fit_toxicity, score_toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    scored = score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
