@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from counterpoise.llm import urlfilter
 from counterpoise.llm.common import table
 
 QUERIES: dict = {}
@@ -77,3 +78,12 @@ def q_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+
+
+@query("op4_path_templates", urlfilter.duckdb_sql(URL_RULES))
+def q_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = urlfilter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+    return out.select("page_id", "host", "path", "rule", "verdict")
