@@ -71,6 +71,7 @@ def nnls(patterns: np.ndarray, want: np.ndarray, weight: np.ndarray, tol: float
 
     target = want * weight
     cols = np.zeros((len(want), 0))
+    gram = np.zeros((0, 0))
     rest = target.copy()
     for _ in range(3 * len(want)):
         gain = np.where(use, (rest * weight)[patterns], 0.0).sum(1)
@@ -79,9 +80,12 @@ def nnls(patterns: np.ndarray, want: np.ndarray, weight: np.ndarray, tol: float
         if j < 0 or gain[j] <= tol * max(1.0, float(np.abs(target).max())) * 0.1:
             break
         active.append(j)
-        cols = np.column_stack([cols, column(j)])
+        new = column(j)
+        dots = new @ cols
+        gram = np.block([[gram, dots[:, None]], [dots[None, :], new @ new + 1e-9]])
+        cols = np.column_stack([cols, new])
         while True:
-            s = np.linalg.lstsq(cols, target, rcond=None)[0]
+            s = np.linalg.solve(gram, target @ cols)
             if (s > 0).all():
                 x[active] = s
                 break
@@ -94,7 +98,7 @@ def nnls(patterns: np.ndarray, want: np.ndarray, weight: np.ndarray, tol: float
                 keep[np.flatnonzero(bad)[0]] = False
             x[[a for a, k in zip(active, keep) if not k]] = 0.0
             active = [a for a, k in zip(active, keep) if k]
-            cols = cols[:, keep]
+            cols, gram = cols[:, keep], gram[np.ix_(keep, keep)]
             if not active:
                 break
         rest = target - cols @ x[active]
@@ -227,9 +231,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, closing_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = tokens.encoder(tokenizer_path, tokens.cut_word)
         for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            for lo, hi in tokens.batches_by_bytes(texts):
-                ids, at = enc.encode(texts[lo:hi])
+            for lo, hi, texts in tokens.text_slices(b.column(1)):
+                ids, at = enc.encode(texts)
                 n = np.diff(at) + 1
                 pieces = -(-n // capacity)
                 doc = np.repeat(np.arange(hi - lo), pieces)
@@ -285,9 +288,8 @@ def sequences(docs: DataFrame, placed: DataFrame, tokenizer_path: str, capacity:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = tokens.encoder(tokenizer_path, tokens.cut_word)
         for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            for lo, hi in tokens.batches_by_bytes(texts):
-                ids, at = enc.encode(texts[lo:hi])
+            for lo, hi, texts in tokens.text_slices(b.column(1)):
+                ids, at = enc.encode(texts)
                 doc, piece, out = [], [], []
                 for i in range(hi - lo):
                     own = np.append(ids[at[i] : at[i + 1]], closing_id).astype(np.int32)

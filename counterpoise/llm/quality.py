@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from counterpoise.llm.common import ship
 from counterpoise.llm.labels import held_out, labelled_sample
+from counterpoise.llm.tokens import text_slices
 
 ship(__name__)
 
@@ -180,20 +181,13 @@ def score_quality(docs: DataFrame, model: AttentionMIL | float, id_col: str = "d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [t or "" for t in b.column(b.num_columns - 1).to_pylist()]
-            scores = np.zeros(len(texts))
-            lo = 0
-            while lo < len(texts):
-                hi, size = lo, 0
-                while hi < len(texts) and (hi == lo or size + len(texts[hi]) < 1_000_000):
-                    size += len(texts[hi])
-                    hi += 1
+            scores = np.zeros(b.num_rows)
+            for lo, hi, texts in text_slices(b.column(b.num_columns - 1), 1_000_000):
                 if isinstance(model, float):
                     scores[lo:hi] = model
                 else:
-                    x, owner = encode_passages(texts[lo:hi])
+                    x, owner = encode_passages(texts)
                     scores[lo:hi] = model.forward(x, np.searchsorted(owner, np.arange(hi - lo)))[0]
-                lo = hi
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(scores)], names=[*columns, "_score"])
 
     schema = docs.select(*columns).schema.add("_score", "double")

@@ -87,3 +87,24 @@ URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1
 def q_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = urlfilter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
     return out.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op5_substring_dedup")
+def q_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from counterpoise.llm.substring import repeated_spans
+
+    return repeated_spans(table(spark, sf_dir, "documents")).select("doc_id", "first_doc_id", "start", "end")
+
+
+@query("op6_qgram_decontamination")
+def q_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from counterpoise.llm.decontaminate import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_ngram_jaccard")
+def q_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from counterpoise.llm.jaccard import near_documents
+
+    return near_documents(table(spark, sf_dir, "documents"))

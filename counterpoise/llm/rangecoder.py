@@ -30,11 +30,11 @@ from counterpoise.llm.common import ship
 
 ship(__name__)
 
-BLOCK = 8192
+BLOCK = 2048
 MAGIC = b"TKB1"
 _HEAD, _HEAD_SIZE = "<4sIIII", 20
 _TOTAL = 1 << 16
-_CTX2, _CTX1 = 1 << 13, 1 << 12  # entries of a lane's prediction tables
+_CTX2, _CTX1 = 1 << 11, 1 << 10  # entries of a lane's prediction tables
 _MAX_MIX = _TOTAL - _TOTAL // 8  # order 0 keeps an eighth: each of up to BLOCK ids has a place
 _START = np.array([0, 3000, 26000, 50000], np.int64)  # hit probability by confidence, of 65536
 _RATE = 4
@@ -103,7 +103,8 @@ class _Mix:
     def update(self, x: np.ndarray, hit: np.ndarray) -> None:
         """After id ``x``; ``hit`` tells where the predictions were right."""
         e = self.entry
-        self.table[self.at] = np.where(hit, np.minimum(e + 1, e | 3), (x << 2) + 5)
+        fresh = (x << 2) + 5
+        np.put(self.table, self.at, fresh + hit * (np.minimum(e + 1, e | 3) - fresh), mode="clip")
         self.hits[self.where] = self.q + ((hit * 65535 - self.q) >> _RATE)
 
 

@@ -31,7 +31,7 @@ from counterpoise.llm.common import ship
 
 ship(__name__)
 
-SEGMENT = 640 * rangecoder.BLOCK  # ids after which a segment ends with its document
+SEGMENT = 2560 * rangecoder.BLOCK  # ids after which a segment ends with its document
 PARTITION_BYTES = 24 << 20  # text of a file
 
 
@@ -65,10 +65,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, closing_i
             return out
 
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for lo, hi in tokens.batches_by_bytes(texts):
+            for lo, hi, texts in tokens.text_slices(b.column(1)):
                 file = b.column(2)[lo].as_py()
-                own, at = enc.encode(texts[lo:hi])
+                own, at = enc.encode(texts)
                 n = np.diff(at) + 1
                 flat = np.full(len(own) + len(n), closing_id, np.uint32)
                 flat[np.arange(len(own)) + np.repeat(np.arange(len(n)), n - 1)] = own

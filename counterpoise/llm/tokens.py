@@ -11,14 +11,17 @@ feed is not cut for the latter but encoded whole.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from counterpoise.llm.common import ship
 
 ship(__name__)
 
-MAX_CHUNKS = 1_000_000  # distinct chunks kept by a worker; then the table starts anew
+MAX_CHUNKS = 500_000  # distinct chunks kept by a worker; beyond it those seen once are forgotten
 # Whole runs of these marks between a letter and white space are pre-tokens of their own.
 _MARKS = r"[.,;:!?%&$#*|]+"
 _BLANK = re.compile(rf" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?={_MARKS}(?:[ \n]|\Z))|(?<=[A-Za-zÀ-ÖØ-öø-ÿ]){_MARKS}(?=[ \n]|\Z)| ?[^ \n]+|[ \n]+(?![^ \n])|[ \n]+")
@@ -69,6 +72,21 @@ class Encoder:
         self.table = _Table()
         self.ids = np.zeros(1 << 16, np.uint32)
         self.at = np.zeros(1, np.int64)
+        self.seen = np.zeros(0, np.int64)
+
+    def _forget(self):
+        """Keep the chunks seen most often, at most half the room."""
+        old, ids, at, seen = self.table, self.ids, self.at, self.seen
+        keep = np.flatnonzero(seen > 1)
+        keep = np.sort(keep[np.argsort(-seen[keep], kind="stable")][: MAX_CHUNKS // 2])
+        stays = np.zeros(len(seen), bool)
+        stays[keep] = True
+        lens = np.diff(at)[keep]
+        self._reset()
+        self.table.update(zip((c for c, k in old.items() if stays[k]), range(len(keep))))  # in order of number
+        self.at = np.concatenate([[0], np.cumsum(lens)])
+        self.ids = ids[np.repeat(at[keep] - self.at[:-1], lens) + np.arange(self.at[-1])]
+        self.seen = np.ones(len(keep), np.int64)
 
     def _learn(self):
         new = self.table.fresh
@@ -95,7 +113,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and where each text's ids begin (one more entry than texts)."""
         if len(self.table) > MAX_CHUNKS:
-            self._reset()
+            self._forget()
         numbers, per_text = [], np.zeros(len(texts) + 1, np.int64)
         look = self.table.__getitem__
         for i, t in enumerate(texts):
@@ -104,6 +122,9 @@ class Encoder:
             numbers.append(np.fromiter(map(look, chunks), np.int64, len(chunks)))
         self._learn()
         flat = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
+        seen = np.bincount(flat, minlength=len(self.at) - 1)
+        seen[: len(self.seen)] += self.seen
+        self.seen = seen
         lens = (self.at[1:] - self.at[:-1])[flat]
         ends = np.concatenate([[0], np.cumsum(lens)])
         where = np.repeat(self.at[flat] - ends[:-1], lens) + np.arange(ends[-1])
@@ -121,13 +142,12 @@ def encoder(path: str, cut) -> Encoder:
     return held[key]
 
 
-def batches_by_bytes(texts: list[str], most: int = 4_000_000):
-    """Slices of about ``most`` characters; a longer text is a slice of its own."""
-    first, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > most:
-            yield first, i
-            first, size = i, 0
-        size += len(t)
-    if first < len(texts):
-        yield first, len(texts)
+def text_slices(column: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, int, list[str]]]:
+    """A string column in slices of about ``most`` bytes: (from, to, texts), null as empty; a longer text is a slice of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo, n = 0, len(column)
+    while lo < n:
+        base = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, base + most, side="right")))
+        yield lo, hi, [t or "" for t in column.slice(lo, hi - lo).to_pylist()]
+        lo = hi

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from counterpoise.llm.common import ship, staged
 from counterpoise.llm.labels import held_out, labelled_sample
+from counterpoise.llm.tokens import text_slices
 
 ship(__name__)
 
@@ -170,8 +171,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([model.score(t or "") for t in b.column(1).to_pylist()], pa.float64())],
-                                             names=["doc_id", "score"])
+            scores = [model.score(t) for _, _, texts in text_slices(b.column(1)) for t in texts]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     scored = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, score double")
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score")
