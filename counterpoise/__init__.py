@@ -6,7 +6,6 @@ Layout:
 * ``sources``    labelled frames from tables, KEEL / CSV text readers, metric sinks
 * ``operators``  rebalancing, scaling, noise filtering, instance selection, models, metrics
 * ``plans``      preprocessing chains and the preprocessing x model grid
-* ``streaming``  scoring of streams with fitted models
 
 Every operator is a ``DataFrame -> DataFrame`` function (or an estimator whose
 ``fit`` runs Spark jobs and whose ``transform`` is a lazy column expression).

@@ -2,9 +2,7 @@
 
 from counterpoise.functions.hashing import hash_uniform, hash_bucket, poisson_cdf, poisson_copies  # noqa: F401
 from counterpoise.functions.vectors import (  # noqa: F401
-    as_double_array,
     squared_distance,
     dot_literal,
     to_vector,
-    to_array,
 )

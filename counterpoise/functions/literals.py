@@ -19,9 +19,5 @@ def sql_double(v: float) -> str:
     return f"{v!r}D"
 
 
-def sql_double_array(values) -> str:
-    return "array(" + ", ".join(sql_double(v) for v in values) + ")" if len(values) else "CAST(array() AS ARRAY<DOUBLE>)"
-
-
 def sql_ident(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"

@@ -7,9 +7,8 @@ narrow, single-pass projection:
 * class counts come from one partial/final aggregation (two rows reach the driver);
 * ROS gives every minority row ``Poisson(lam)`` copies drawn from
   ``hash_uniform(id, seed)`` (``lam = |majority| * rate / |minority|``), majority rows
-  one copy; rows drawing 0 copies vanish, the rest are exploded with ``copy_no``.
-  ``explode`` is a narrow generator, so no repartition/shuffle is needed (the
-  original repartitioned after the union);
+  one copy; rows drawing 0 copies vanish, the rest are exploded with ``copy_no``
+  and dealt out by ``(id, copy_no)``;
 * ``as_weights=True`` keeps one row per id with ``weight = copies`` instead of
   physical copies (DT, RF and NB all accept a weight column);
 * RUS keeps the minority and majority rows with ``hash_uniform < |minority|/|majority|``.
@@ -102,18 +101,17 @@ def ros(
     label_col: str = LABEL,
     id_col: str = ID,
     counts: dict | None = None,
-    repartition: int | str | None = None,
+    repartition: int | bool = True,
 ) -> DataFrame:
     """Random oversampling with replacement of the minority class.
 
     Returns the rows with ``copy_no`` (1..copies), or with ``weight`` when
     ``as_weights``.  Expected minority size = ``|majority| * rate``.
 
-    No shuffle is needed (the copies are generated in place).  ``repartition``
-    re-deals the result round-robin into ``n`` partitions (``"input"``: as many
-    as the input has), for callers that want evenly sized partitions; it is
-    round-robin, not by id, so the copies of one row never pile up in one
-    partition.
+    The copies are dealt out by a hash of ``(id, copy_no)``, so a partition that held
+    most of the minority does not keep all its copies (``repartition=n`` fixes the number
+    of partitions; ``False`` leaves the copies where their row is).  ``as_weights`` makes
+    no copies and needs no shuffle.
     """
     if COPY_NO in df.columns or WEIGHT in df.columns:
         raise ValueError("input is already oversampled (has copy_no/weight); oversample the original rows once")
@@ -126,9 +124,10 @@ def ros(
         # filter would be pushed below the scan and evaluate the draw twice.)
         seq = F.when(F.col("copies") > 0, F.sequence(F.lit(1), F.col("copies"))).otherwise(F.array().cast("array<int>"))
         out = c.withColumn(COPY_NO, F.explode(seq)).drop("copies")
-    if repartition is not None:
-        n = df.rdd.getNumPartitions() if repartition == "input" else int(repartition)
-        out = out.repartition(n)
+        if repartition is True:
+            out = out.repartition(id_col, COPY_NO)
+        elif repartition:
+            out = out.repartition(int(repartition), id_col, COPY_NO)
     return out
 
 

@@ -82,8 +82,11 @@ class MultinomialNB:
         d = num_features(df, self.features_col)
         x = F.col(self.features_col)
         w = F.col(self.weight_col).cast("double") if self.weight_col else F.lit(1.0)
+        # Labels other than the classes fall into one group (null), so at most
+        # three rows reach the driver whatever the label column holds.
+        group = F.when(F.col(self.label_col).isin(*CLASSES), F.col(self.label_col)).alias("_class")
         rows = (
-            df.groupBy(self.label_col)
+            df.groupBy(group)
             .agg(
                 F.sum(w).alias("n"),
                 F.min(F.array_min(x)).alias("xmin"),
@@ -91,10 +94,9 @@ class MultinomialNB:
             )
             .collect()
         )
-        by_label = {float(r[self.label_col]): r for r in rows}
-        foreign = set(by_label) - set(CLASSES)
-        if foreign:
-            raise ValueError(f"labels outside {{0, 1}}: {sorted(foreign)}")
+        by_label = {r["_class"]: r for r in rows}
+        if None in by_label:
+            raise ValueError(f"{by_label[None]['n']} rows (by weight) have labels outside {{0, 1}}")
         if any(r["xmin"] is not None and r["xmin"] < 0 for r in rows):
             raise ValueError("multinomial naive Bayes needs non-negative features (scale them first)")
         lam = self.smoothing
@@ -111,7 +113,7 @@ class MultinomialNB:
 
 
 def ml_naive_bayes(df: DataFrame, smoothing: float = 1.0, weight_col: str | None = None, prediction_col: str = "prediction"):
-    """Fit ``pyspark.ml`` multinomial NB on the array features; returns ``(model, vector_col)``."""
+    """Fit ``pyspark.ml`` multinomial NB on the array features; returns the model (it reads the column ``_vec``)."""
     nb = NaiveBayes(
         smoothing=smoothing,
         modelType="multinomial",

@@ -129,6 +129,8 @@ def fcnn_select(
     ``checkpoint=True`` writes the result to ``spark.checkpoint.dir`` so a lost
     executor does not re-run the quadratic kernels of its buckets.
     """
+    if "weight" in df.columns:
+        raise ValueError("condensation counts every row once: pass copies (copy_no), not weights")
     nb = n_buckets or n_buckets_for(df, max_rows)
     keys = [ID] + (["copy_no"] if "copy_no" in df.columns else [])
     b = df.withColumn(BUCKET, hash_bucket(_bucket_key(df), seed, nb))
@@ -156,3 +158,24 @@ def fcnn_seeds(df: DataFrame, n_buckets: int, seed: int = 2015, d: int | None =
     j = b.join(cent, [BUCKET, LABEL]).withColumn("_d", squared_distance(FEATURES, "_c"))
     best = j.groupBy(BUCKET, LABEL).agg(F.min(F.struct("_d", ID)).alias("_m"))
     return best.select(BUCKET, LABEL, F.col("_m")[ID].alias(ID))
+
+
+def bucket_errors(rows: DataFrame) -> DataFrame:
+    """Per bucket ``(bucket, n, classes, errors, strangers)`` of rows marked ``chosen`` (1 or null).
+
+    ``errors``: rows whose nearest chosen row (ties: the smallest id) has another label;
+    ``classes``: labels among the chosen rows; ``strangers``: chosen rows not in the frame.
+    """
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        known = pdf[pdf[LABEL].notna()].sort_values(ID, kind="stable")
+        strangers = len(pdf) - len(known)
+        x, y = np.stack(known[FEATURES].to_numpy()).astype(np.float64), known[LABEL].to_numpy()
+        s = np.flatnonzero(known["chosen"].notna().to_numpy())
+        errors = 0
+        for lo in range(0, len(x), _CHUNK):
+            d = ((x[lo : lo + _CHUNK, None, :] - x[s][None, :, :]) ** 2).sum(2) if len(s) else np.zeros((len(x[lo : lo + _CHUNK]), 0))
+            errors += int((y[s][d.argmin(1)] != y[lo : lo + _CHUNK]).sum()) if len(s) else len(d)
+        return pd.DataFrame({BUCKET: [pdf[BUCKET].iloc[0]], "n": [len(known)], "classes": [len(set(y[s]))], "errors": [errors], "strangers": [strangers]})
+
+    return rows.groupBy(BUCKET).applyInPandas(run, f"{BUCKET} int, n long, classes long, errors long, strangers long")

@@ -41,13 +41,14 @@ def hme_scored(
     seed: int = 48151623,
     weight_col: str | None = None,
     parallelism: int = 4,
-    partitions: int | str | None = None,
+    partitions: int | str | None = "auto",
 ) -> tuple[DataFrame, DataFrame]:
     """``(scored, folded)``: every row with its out-of-fold ``prediction``; caller unpersists ``folded``.
 
-    ``partitions=n`` (or ``"auto"``) deals the rows by id hash into n sorted partitions once,
-    before the fits, so the seeded forests (whose bagging seeds are per
-    partition) are the same whatever the input partitioning.
+    The rows are dealt by id hash into sorted partitions once, before the fits (a
+    number of them, or ``"auto"``: by the row count), so the seeded forests (whose
+    bagging seeds are per partition) are the same whatever the input partitioning
+    and the cluster.  ``weight_col`` reaches every forest.
     """
     folded = assign_folds(df, k, seed)
     if partitions:
@@ -70,15 +71,14 @@ def hme_scored(
     return reduce(lambda a, b: a.unionByName(b), parts), folded
 
 
-def hme_filter(df: DataFrame, checkpoint: bool = True, **kw) -> DataFrame:
-    """Rows whose out-of-fold forest prediction equals their label (plus ``fold``)."""
+def hme_filter(df: DataFrame, **kw) -> DataFrame:
+    """Rows whose out-of-fold forest prediction equals their label (plus ``fold``), written to the checkpoint folder."""
     scored, folded = hme_scored(df, **kw)
-    kept = scored.where(F.col("prediction") == F.col(LABEL)).drop("prediction")
-    if checkpoint:
-        checkpoint_dir(kept.sparkSession)
-        kept = kept.checkpoint(eager=True)
+    try:
+        checkpoint_dir(df.sparkSession)
+        return scored.where(F.col("prediction") == F.col(LABEL)).drop("prediction").checkpoint(eager=True)
+    finally:
         folded.unpersist()
-    return kept
 
 
 def hme_report(scored: DataFrame) -> DataFrame:

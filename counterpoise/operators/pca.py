@@ -1,77 +1,26 @@
-"""Principal components from ONE pass over the data.
+"""Principal components by ``pyspark.ml``, with fixed signs and an array projection.
 
-The covariance comes from the sums ``n``, ``Σx`` and the Gramian ``Σxxᵀ``,
-gathered in one distributed aggregation:
-
-* up to ``_SQL_MAX_DIM`` features: one SQL aggregate with D + D(D+1)/2 sums
-  (map-side partial aggregation, codegen'd);
-* wider inputs: each partition adds up its block with numpy (``mapInPandas``,
-  one BLAS ``XᵀX`` per Arrow batch) and one small grouped sum combines the
-  per-partition partials (#partitions × D² numbers).
-
-The D×D eigendecomposition runs on the driver (its size is fixed by the
-schema).  As in ``pyspark.ml`` the projection is ``x · V`` (no centring), so
-components are interchangeable with Spark's up to sign.
+``pyspark.ml.feature.PCA`` gathers the covariance on the executors and decomposes it on
+the driver (D x D, fixed by the schema).  Fits from parallel driver threads take turns:
+concurrent decompositions in one JVM were seen to hang.  Each component's sign is set so
+that its largest entry is positive, so refits agree.  Rows may carry an integer weight:
+they then count that many times.
 """
 
 from __future__ import annotations
 
-import sys
+import threading
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
+from pyspark.ml.feature import PCA
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from counterpoise.frame import FEATURES, num_features, with_dim
-from counterpoise.functions.literals import sql_double, sql_ident
-
-# The pandas functions of this module run in Python workers: ship them by
-# value so executors need not have this package installed or on their path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-_SQL_MAX_DIM = 16
-_INLINE_MAX_TERMS = 256
-
-
-def _moments_sql(df: DataFrame, d: int, col: str):
-    x = F.col(col)
-    pairs = [(i, j) for i in range(d) for j in range(i, d)]
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(x[i]).alias(f"s{i}") for i in range(d)],
-        *[F.sum(x[i] * x[j]).alias(f"g{i}_{j}") for i, j in pairs],
-    ).first()
-    s = np.array([row[f"s{i}"] or 0.0 for i in range(d)])
-    g = np.zeros((d, d))
-    for i, j in pairs:
-        g[i, j] = g[j, i] = row[f"g{i}_{j}"] or 0.0
-    return int(row["n"]), s, g
-
-
-def _moments_numpy(df: DataFrame, d: int, col: str):
-    width = 1 + d + d * d
-
-    def partial(batches):
-        acc = np.zeros(width)
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = np.stack(pdf[col].to_numpy()).astype(np.float64)
-            acc[0] += len(x)
-            acc[1 : 1 + d] += x.sum(0)
-            acc[1 + d :] += (x.T @ x).ravel()
-        yield pd.DataFrame({"m": [acc]})
+from counterpoise.functions.vectors import to_vector
 
-    parts = df.select(col).mapInPandas(partial, "m array<double>")
-    summed = parts.select(F.posexplode("m").alias("k", "v")).groupBy("k").agg(F.sum("v").alias("v"))
-    flat = np.zeros(width)
-    for r in summed.collect():  # width = 1 + D + D² values, fixed by the schema
-        flat[r["k"]] = r["v"]
-    return int(round(flat[0])), flat[1 : 1 + d], flat[1 + d :].reshape(d, d)
+_ONE_AT_A_TIME = threading.Lock()
 
 
 @dataclass
@@ -88,13 +37,6 @@ class PCAModel:
         """``array<double>`` of the k projections ``x · V[:, i]``."""
         col = col or self.features_col
         d, k = self.components.shape
-        ref = sql_ident(col)
-        if d * k <= _INLINE_MAX_TERMS:
-            comps = []
-            for i in range(k):
-                terms = " + ".join(f"{ref}[{j}] * {sql_double(self.components[j, i])}" for j in range(d))
-                comps.append(terms or "0.0D")
-            return with_dim(F.expr("array(" + ", ".join(comps) + ")"), k, "_pca")
         flat = F.lit(np.ascontiguousarray(self.components.T).ravel())  # row i = component i
         proj = F.transform(
             F.sequence(F.lit(0), F.lit(k - 1)),
@@ -110,20 +52,16 @@ class PCAModel:
         return df.withColumn(output_col, self.project())
 
 
-def fit_pca(df: DataFrame, k: int | None = None, features_col: str = FEATURES) -> PCAModel:
+def fit_pca(df: DataFrame, k: int | None = None, features_col: str = FEATURES, weight_col: str | None = None) -> PCAModel:
     d = num_features(df, features_col)
     k = d if k is None else k
     if not 1 <= k <= d:
         raise ValueError(f"k must be in 1..{d}")
-    n, s, g = (_moments_sql if d <= _SQL_MAX_DIM else _moments_numpy)(df, d, features_col)
-    if n < 2:
-        raise ValueError("PCA needs at least two rows")
-    mean = s / n
-    cov = (g - n * np.outer(mean, mean)) / (n - 1)
-    w, v = np.linalg.eigh(cov)
-    order = np.argsort(w)[::-1][:k]
-    v = v[:, order]
-    # fix each component's sign (largest |entry| positive) so refits agree
+    if weight_col:
+        df = df.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col(weight_col).cast("int"))))
+    vec = to_vector(features_col).alias("_vec", metadata={"ml_attr": {"num_attrs": int(d)}})
+    with _ONE_AT_A_TIME:
+        fitted = PCA(k=k, inputCol="_vec", outputCol="_pc").fit(df.select(vec))
+    v = fitted.pc.toArray()
     flip = np.sign(v[np.abs(v).argmax(0), np.arange(v.shape[1])])
-    v = v * np.where(flip == 0, 1.0, flip)
-    return PCAModel(v, w[order], features_col)
+    return PCAModel(v * np.where(flip == 0, 1.0, flip), fitted.explainedVariance.toArray(), features_col)

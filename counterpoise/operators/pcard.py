@@ -7,21 +7,25 @@ concatenation and the members vote (majority; a tie predicts 0).
 
 Spark-first choices:
 
-* ONE PCA fit (k = D: a one-pass distributed Gramian, eigendecomposed in
-  numpy on the driver) shared by all members; each
+* ONE PCA fit (k = D, ``pyspark.ml``) shared by all members; each
   member slices its leading components — the projection is computed once
   and persisted with the training rows;
 * the cut points of all members come from ONE bounded top-k: rows ranked by
-  ``hash_uniform(id, seed)``, ranks ``[t*cuts, (t+1)*cuts)`` give member t its
-  cut rows (``members * cuts`` rows reach the driver — a parameter bound);
+  a hash of ``(id, copy)``, ranks ``[t*cuts, (t+1)*cuts)`` give member t its
+  cut rows (``members * cuts`` rows reach the driver — a parameter bound),
+  all of them different rows;
 * a bin index is the count of cuts below the value: one JVM higher-order
-  expression over the cut table passed as a single array literal (no UDF);
+  expression over the cut table passed as a single array literal (no UDF;
+  generated CASE trees outgrow a method from some 60 features on);
 * members are fitted from a small driver thread pool over the shared cached
-  input; scoring chains all members over ONE scan of the scored frame.
+  input; for scoring every fitted tree becomes one CASE expression on the raw
+  features and components (bin <= k is x <= k-th cut), so all members and the
+  vote are ONE projection over one scan.
 """
 
 from __future__ import annotations
 
+import math
 import random
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -29,31 +33,49 @@ from functools import reduce
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from counterpoise.frame import FEATURES, ID, LABEL, num_features
 from counterpoise.functions.hashing import hash_uniform
+from counterpoise.functions.literals import sql_double, sql_ident
 from counterpoise.operators.pca import fit_pca
-from counterpoise.operators.trees import fit_dt
+from counterpoise.operators.trees import fit_dt, tree_sql
 
 PCA_COL = "_pca"
 
 
-def draw_cuts(df: DataFrame, members: int, cuts: int, seed: int, d: int) -> list[list[list[float]]]:
+def cut_rows(df: DataFrame, members: int, cuts: int, seed: int, weight_col: str | None = None) -> DataFrame:
+    """``(member, id, features)``: the ``members * cuts`` distinct rows that give the cut points.
+
+    Every copy of a row draws a number from ``(id, copy)`` (a row of weight w draws w
+    numbers), and the row stands with its smallest, so rows are drawn in proportion to
+    their copies but no row is taken twice.  The draw has a step name of its own: it is
+    independent of draws that resampled the rows with the same seed.
+    """
+
+    def draw(copy):
+        return hash_uniform(F.concat(F.col(ID).cast("string"), F.lit(":"), copy.cast("string")), f"cuts-{seed}")
+
+    if "copy_no" in df.columns:
+        rows = df.select(ID, FEATURES, draw(F.col("copy_no")).alias("_u")).groupBy(ID).agg(F.min("_u").alias("_u"), F.any_value(FEATURES).alias(FEATURES))
+    elif weight_col:
+        each = F.transform(F.sequence(F.lit(1), F.col(weight_col).cast("int")), draw)
+        rows = df.select(ID, FEATURES, F.array_min(each).alias("_u"))
+    else:
+        rows = df.select(ID, FEATURES, draw(F.lit(1)).alias("_u"))
+    top = rows.orderBy("_u", ID).limit(members * cuts)
+    # At most members * cuts rows from here on.
+    rank = F.row_number().over(Window.orderBy("_u", ID)) - 1
+    return top.select(F.floor(rank / cuts).cast("int").alias("member"), ID, FEATURES)
+
+
+def draw_cuts(df: DataFrame, members: int, cuts: int, seed: int, d: int, weight_col: str | None = None) -> list[list[list[float]]]:
     """``cuts[t][j]``: ascending cut values of feature j for member t."""
-    keys = [ID] + (["copy_no"] if "copy_no" in df.columns else [])
-    rows = (
-        df.withColumn("_u", hash_uniform(ID, seed))
-        .orderBy("_u", *keys)
-        .limit(members * cuts)
-        .select(FEATURES)
-        .collect()
-    )
     out = [[[] for _ in range(d)] for _ in range(members)]
-    for r, row in enumerate(rows):
+    for row in cut_rows(df, members, cuts, seed, weight_col).collect():
         for j, v in enumerate(row[FEATURES]):
-            out[r // cuts][j].append(float(v))
+            out[row["member"]][j].append(float(v))
     return [[sorted(vals) for vals in m] for m in out]
 
 
@@ -104,16 +126,32 @@ class PCARDModel:
             F.slice(F.col(PCA_COL), 1, self.components[t]),
         )
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Score with every member (chained over one scan) and take the majority vote."""
-        x = self.with_pca(df)
-        votes = []
+    def vote_exprs(self) -> list[str]:
+        """SQL of every member's 0/1 vote on the feature array and the components."""
+        x, pc = sql_ident(self.features_col), sql_ident(PCA_COL)
+        out = []
         for t, scorer in enumerate(self.scorers):
-            scorer.features_col = f"_m{t}"
-            x = scorer.transform(x.withColumn(f"_m{t}", self.member_features(t)), prediction_col=f"_p{t}")
-            votes.append(F.col(f"_p{t}"))
+            cuts = self.cuts[t]
+            d = len(cuts)
+
+            def test(feature: int, threshold: float, cuts=cuts, d=d) -> str:
+                if feature >= d:
+                    return f"{pc}[{feature - d}] <= {sql_double(threshold)}"
+                # bin <= threshold means at most floor(threshold) cuts lie below x.
+                k = math.floor(threshold)
+                return f"{x}[{feature}] <= {sql_double(cuts[feature][k])}" if k < len(cuts[feature]) else "true"
+
+            out.append(tree_sql(scorer.model, test))
+        return out
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Every member's vote and their majority, over one scan."""
         keep = [c for c in df.columns if c != self.prediction_col]
-        return x.select(*keep, majority_vote(votes).alias(self.prediction_col))
+        # As elements of an array the trees are compiled into methods of their own.
+        votes = F.expr("array(" + ", ".join(self.vote_exprs()) + ")")
+        x = self.with_pca(df).withColumn("_votes", votes)
+        ones = F.aggregate("_votes", F.lit(0.0), lambda s, v: s + v)
+        return x.select(*keep, F.when(ones * 2.0 > F.lit(float(len(self.scorers))), F.lit(1.0)).otherwise(F.lit(0.0)).alias(self.prediction_col))
 
 
 def fit_pcard(
@@ -127,10 +165,8 @@ def fit_pcard(
     parallelism: int = 8,
 ) -> PCARDModel:
     d = num_features(df)
-    # one-pass PCA: distributed Gramian, eigendecomposition in numpy on the
-    # driver (thread-safe, unlike concurrent JVM LAPACK calls from parallel fits)
-    pca = fit_pca(df, k=d)
-    cut_table = draw_cuts(df, trees, cuts, seed, d)
+    pca = fit_pca(df, k=d, weight_col=weight_col)
+    cut_table = draw_cuts(df, trees, cuts, seed, d, weight_col)
     comps = [member_components(seed, t, d) for t in range(trees)]
     model = PCARDModel(pca, cut_table, comps, [])
     base = model.with_pca(df).persist(StorageLevel.MEMORY_AND_DISK)

@@ -14,6 +14,7 @@ executors).  What we add:
 from __future__ import annotations
 
 import itertools
+import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
@@ -27,17 +28,41 @@ from counterpoise.functions.vectors import to_vector
 _ids = itertools.count()
 
 
+ROWS_PER_PARTITION = 100_000
+
+
 def stable_order(df: DataFrame, partitions: int | str) -> DataFrame:
-    """Fixed hash partitioning by id (+ copy_no) and sorted partitions.
+    """Fixed hash partitioning by (id, copy_no) and sorted partitions.
 
-    ``partitions="auto"`` takes ``spark.sql.shuffle.partitions`` — the
-    cluster's own sizing, fixed for a given configuration.  The count is
-    explicit, so AQE does not coalesce it away.
+    ``partitions="auto"`` takes one partition per ``ROWS_PER_PARTITION`` rows: the rule
+    depends on the data only, so seeded fits agree on any cluster and configuration.
+    The count is explicit, so AQE does not coalesce it away.
     """
     if partitions == "auto":
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(1, -(-df.count() // ROWS_PER_PARTITION))
     keys = [ID] + (["copy_no"] if "copy_no" in df.columns else [])
-    return df.repartition(int(partitions), ID).sortWithinPartitions(*keys)
+    return df.repartition(int(partitions), *keys).sortWithinPartitions(*keys)
+
+
+_LINE = re.compile(r"^(\s*)(?:(If|Else) \(feature (\d+) (<=|>) ([^)]+)\)|Predict: (\S+))$")
+
+
+def tree_sql(model, test) -> str:
+    """A fitted tree classifier as one SQL CASE expression.
+
+    ``test(feature, threshold)`` gives the SQL of "feature <= threshold".
+    """
+    lines = [m for line in model.toDebugString.splitlines() if (m := _LINE.match(line))]
+
+    def read(i: int) -> tuple[str, int]:
+        m = lines[i]
+        if m[6] is not None:
+            return f"{float(m[6])!r}D", i + 1
+        yes, i = read(i + 1)
+        no, i = read(i + 1)  # past the Else line
+        return f"CASE WHEN {test(int(m[3]), float(m[5]))} THEN {yes} ELSE {no} END", i
+
+    return read(0)[0]
 
 
 @dataclass

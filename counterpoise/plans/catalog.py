@@ -13,12 +13,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from counterpoise.frame import split
+from counterpoise.frame import class_counts_map, split
 from counterpoise.operators import balance, evaluate
 from counterpoise.operators.bayes import MultinomialNB
 from counterpoise.operators.scaling import MinMaxScaler, minmax
 from counterpoise.plans import oracle_sql as S
-from counterpoise.sources.tables import FRAMES
+from counterpoise.sources.tables import FRAMES, orders_labels
 
 SEED = 1
 SPLIT_SEED = 7
@@ -47,13 +47,16 @@ def _tagged(spark, sf_dir, names, fn) -> DataFrame:
     return _union([fn(FRAMES[n](spark, sf_dir)).select(F.lit(n).alias("frame"), "*") for n in names])
 
 
-def _persisted(df: DataFrame) -> DataFrame:
+def _written(df: DataFrame) -> DataFrame:
     # Model queries read their frame several times (class counts, split
-    # finding, fitting, scoring): compute it once.  MEMORY_AND_DISK spills
-    # instead of failing, and lost blocks are recomputed from lineage.
-    from pyspark import StorageLevel
+    # finding, fitting, scoring) and hand on a lazy result: compute it once, into
+    # the shared folder.  Nothing stays in the session's cache, and a lost
+    # executor costs no more than reading a part again.
+    from counterpoise.session import scratch_path
 
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = scratch_path(df.sparkSession, "frame")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _sql_union(parts: list[str]) -> str:
@@ -111,7 +114,8 @@ def q_ros_copies(spark, sf_dir):
     + "SELECT id, label, CAST(UNNEST(range(1, copies + 1)) AS INTEGER) AS copy_no FROM r_copies WHERE copies > 0",
 )
 def q_ros_rows(spark, sf_dir):
-    return balance.ros(FRAMES["orders"](spark, sf_dir), 1.0, SEED).select("id", "label", "copy_no")
+    counts = class_counts_map(orders_labels(spark, sf_dir))
+    return balance.ros(FRAMES["orders"](spark, sf_dir), 1.0, SEED, counts=counts).select("id", "label", "copy_no")
 
 
 @query(
@@ -119,7 +123,8 @@ def q_ros_rows(spark, sf_dir):
     _ros_copies_sql("orders") + "SELECT id, label, CAST(copies AS DOUBLE) AS weight FROM r_copies WHERE copies > 0",
 )
 def q_ros_weights(spark, sf_dir):
-    return balance.ros(FRAMES["orders"](spark, sf_dir), 1.0, SEED, as_weights=True).select("id", "label", "weight")
+    counts = class_counts_map(orders_labels(spark, sf_dir))
+    return balance.ros(FRAMES["orders"](spark, sf_dir), 1.0, SEED, as_weights=True, counts=counts).select("id", "label", "weight")
 
 
 ROS_FRAMES = ("toxic", "quality", "orders")
@@ -135,7 +140,11 @@ ROS_FRAMES = ("toxic", "quality", "orders")
     ),
 )
 def q_ros_class_counts(spark, sf_dir):
-    return _tagged(spark, sf_dir, ROS_FRAMES, lambda df: balance.class_counts(balance.ros(df, 1.0, SEED)))
+    def per_class(df):
+        copies = balance.ros(df, 1.0, SEED, as_weights=True)  # no copies made to be counted
+        return copies.groupBy("label").agg(F.sum("weight").cast("long").alias("n"))
+
+    return _tagged(spark, sf_dir, ROS_FRAMES, per_class)
 
 
 def _sweep_sql(frame: str) -> str:
@@ -164,7 +173,8 @@ def q_ros_rate_sweep(spark, sf_dir):
     f"WITH src AS ({S.LP['orders']}),\n{S.rus_ctes('src', SEED)}\nSELECT id, label FROM u_kept",
 )
 def q_rus_rows(spark, sf_dir):
-    return balance.rus(FRAMES["orders"](spark, sf_dir), SEED).select("id", "label")
+    counts = class_counts_map(orders_labels(spark, sf_dir))
+    return balance.rus(FRAMES["orders"](spark, sf_dir), SEED, counts=counts).select("id", "label")
 
 
 @query(
@@ -216,7 +226,7 @@ pred AS (SELECT id, label, CAST(max(score) FILTER (WHERE c = 1) > max(score) FIL
 
 
 def _nb_fit(spark, sf_dir, frame: str = "emb"):
-    train, test = split(_persisted(FRAMES[frame](spark, sf_dir)), TRAIN_FRACTION, SPLIT_SEED)
+    train, test = split(_written(FRAMES[frame](spark, sf_dir)), TRAIN_FRACTION, SPLIT_SEED)
     scaler = MinMaxScaler().fit(train)
     train_s = balance.ros(scaler.transform(train), 1.0, SEED, as_weights=True)
     model = MultinomialNB(weight_col="weight").fit(train_s)
@@ -301,16 +311,8 @@ def q_indexed_join(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- M1, M2 (+ B1 feeding them)
-# Model sizes for the registered queries; the API defaults stay the published ones.
-Q_RF_TREES = 20
-Q_PCARD_TREES = 10
-Q_PCARD_DEPTH = 5
-Q_HME_TREES = 20
-Q_FCNN_MAX_ROWS = 200  # several buckets even on the small frames
-
-
 def _orders_split(spark, sf_dir):
-    return split(_persisted(FRAMES["orders"](spark, sf_dir)), TRAIN_FRACTION, SPLIT_SEED)
+    return split(_written(FRAMES["orders"](spark, sf_dir)), TRAIN_FRACTION, SPLIT_SEED)
 
 
 @query("dt_metrics")
@@ -318,7 +320,7 @@ def q_dt_metrics(spark, sf_dir):
     from counterpoise.operators.trees import fit_dt
 
     train, test = _orders_split(spark, sf_dir)
-    model = fit_dt(balance.ros(train, 1.0, SEED), max_depth=10, max_bins=100, seed=SEED)
+    model = fit_dt(balance.ros(train, 1.0, SEED, as_weights=True), max_depth=10, max_bins=100, weight_col="weight", seed=SEED)
     return evaluate.evaluate(model.transform(test))
 
 
@@ -327,8 +329,8 @@ def q_rf_metrics(spark, sf_dir):
     from counterpoise.operators.trees import fit_rf
 
     train, test = _orders_split(spark, sf_dir)
-    model = fit_rf(balance.ros(train, 1.0, SEED, as_weights=True), num_trees=Q_RF_TREES, max_depth=10,
-                   max_bins=100, weight_col="weight", seed=SEED)
+    model = fit_rf(balance.ros(train, 1.0, SEED, as_weights=True), num_trees=100, max_depth=10,
+                   max_bins=100, weight_col="weight", seed=SEED, partitions="auto")
     return evaluate.evaluate(model.transform(test))
 
 
@@ -337,8 +339,8 @@ def q_rf_metrics(spark, sf_dir):
 def q_pcard_predict(spark, sf_dir):
     from counterpoise.operators.pcard import fit_pcard
 
-    train, test = split(_persisted(FRAMES["emb"](spark, sf_dir)), TRAIN_FRACTION, SPLIT_SEED)
-    model = fit_pcard(balance.ros(train, 1.0, SEED), trees=Q_PCARD_TREES, cuts=10, max_depth=Q_PCARD_DEPTH, seed=SEED)
+    train, test = split(_written(FRAMES["emb"](spark, sf_dir)), TRAIN_FRACTION, SPLIT_SEED)
+    model = fit_pcard(balance.ros(train, 1.0, SEED), trees=50, cuts=10, max_depth=10, seed=SEED)
     return model.transform(test).select("id", "label", "prediction")
 
 
@@ -348,7 +350,7 @@ DISC_MEMBERS, DISC_CUTS = 10, 10
 @query(
     "discretized",
     f"""WITH src AS ({S.LP['emb']}),
-ranked AS (SELECT features, row_number() OVER (ORDER BY {S.hu('id', SEED)}, id) - 1 AS r FROM src),
+ranked AS (SELECT features, row_number() OVER (ORDER BY {S.cut_draw('id', 1, SEED)}, id) - 1 AS r FROM src),
 cutrows AS (SELECT r // {DISC_CUTS} AS member, features FROM ranked WHERE r < {DISC_MEMBERS * DISC_CUTS}),
 cuts AS (SELECT member, UNNEST(range(0, len(features))) AS j, UNNEST(features) AS c FROM cutrows),
 l AS ({S.long_form('src')}),
@@ -389,7 +391,7 @@ def q_hme_folds(spark, sf_dir):
 def q_hme_filter(spark, sf_dir):
     from counterpoise.operators.noise import hme_filter
 
-    kept = hme_filter(FRAMES["toxic"](spark, sf_dir), num_trees=Q_HME_TREES, k=HME_K, seed=HME_SEED, partitions="auto")
+    kept = hme_filter(FRAMES["toxic"](spark, sf_dir), num_trees=100, k=HME_K, seed=HME_SEED)
     return kept.select("id", "label", "fold")
 
 
@@ -398,23 +400,24 @@ def q_ros_hme(spark, sf_dir):
     from counterpoise.operators.noise import hme_filter
 
     r = balance.ros(FRAMES["toxic"](spark, sf_dir), 1.0, SEED)
-    return hme_filter(r, num_trees=Q_HME_TREES, k=HME_K, seed=HME_SEED).select("id", "label", "copy_no", "fold")
+    return hme_filter(r, num_trees=100, k=HME_K, seed=HME_SEED).select("id", "label", "copy_no", "fold")
 
 
 # ---------------------------------------------------------------- B5, B6, B7, T6
 FCNN_SEED = 2015
+FCNN_MAX_ROWS = 5000
 
 
 def _fcnn_nb(n: int) -> int:
     import math
 
-    return max(1, math.ceil(n / Q_FCNN_MAX_ROWS))
+    return max(1, math.ceil(n / FCNN_MAX_ROWS))
 
 
 @query(
     "fcnn_seed",
     f"""WITH src AS ({S.LP['emb']}),
-nb AS (SELECT CAST(ceil(count(*) / {float(Q_FCNN_MAX_ROWS)!r}) AS BIGINT) AS k FROM src),
+nb AS (SELECT CAST(ceil(count(*) / {float(FCNN_MAX_ROWS)!r}) AS BIGINT) AS k FROM src),
 b AS (SELECT s.*, CAST(floor({S.hu('s.id', FCNN_SEED)} * CAST(nb.k AS DOUBLE)) AS INTEGER) AS bucket FROM src s, nb),
 l AS (SELECT id, label, bucket, UNNEST(range(0, len(features))) AS j, UNNEST(features) AS x FROM b),
 cen AS (SELECT bucket, label, j, avg(x) AS c FROM l GROUP BY bucket, label, j),
@@ -435,7 +438,7 @@ def q_fcnn_seed(spark, sf_dir):
 def q_fcnn_select(spark, sf_dir):
     from counterpoise.operators.neighbours import fcnn_select
 
-    out = fcnn_select(FRAMES["emb"](spark, sf_dir), k=3, max_rows=Q_FCNN_MAX_ROWS, seed=FCNN_SEED)
+    out = fcnn_select(FRAMES["emb"](spark, sf_dir), k=3, max_rows=FCNN_MAX_ROWS, seed=FCNN_SEED)
     return out.select("id", "label", "bucket")
 
 
@@ -444,30 +447,36 @@ def q_ros_fcnn(spark, sf_dir):
     from counterpoise.operators.neighbours import fcnn_select
 
     r = balance.ros(FRAMES["emb"](spark, sf_dir), 1.8, SEED)
-    return fcnn_select(r, k=3, max_rows=Q_FCNN_MAX_ROWS, seed=FCNN_SEED).select("id", "label", "copy_no", "bucket")
+    return fcnn_select(r, k=3, max_rows=FCNN_MAX_ROWS, seed=FCNN_SEED).select("id", "label", "copy_no", "bucket")
 
 
 @query("fcnn_ros")
 def q_fcnn_ros(spark, sf_dir):
     from counterpoise.operators.neighbours import fcnn_select
 
-    f = fcnn_select(FRAMES["emb"](spark, sf_dir), k=3, max_rows=Q_FCNN_MAX_ROWS, seed=FCNN_SEED).drop("bucket")
+    f = fcnn_select(FRAMES["emb"](spark, sf_dir), k=3, max_rows=FCNN_MAX_ROWS, seed=FCNN_SEED).drop("bucket")
     return balance.ros(f, 1.0, SEED).select("id", "label", "copy_no")
 
 
 # ---------------------------------------------------------------- E10, S9
 @query("experiment_grid")
 def q_experiment_grid(spark, sf_dir):
-    from counterpoise.plans.grid import GridParams, run_grid
+    from counterpoise.plans.grid import PREPS, GridParams, run_grid
 
-    train, test = split(_persisted(FRAMES["toxic"](spark, sf_dir)), TRAIN_FRACTION, SPLIT_SEED)
-    p = GridParams(rf_trees=Q_RF_TREES, rf_trees_ros180=Q_RF_TREES, pcard_trees=Q_PCARD_TREES,
-                   pcard_depth=Q_PCARD_DEPTH, hme_trees=Q_HME_TREES, fcnn_max_rows=Q_FCNN_MAX_ROWS,
-                   prep_parallelism=3, stable_partitions="auto")
-    return run_grid(train, test, params=p)
+    train, test = split(_written(FRAMES["toxic"](spark, sf_dir)), TRAIN_FRACTION, SPLIT_SEED)
+    return run_grid(train, test, preps=tuple(PREPS), params=GridParams(prep_parallelism=3))
 
 
-@query("metrics_report")
+@query(
+    "metrics_report",
+    _nb_sql(
+        "SELECT 'ros' AS prep, 'nb' AS model, concat_ws(chr(10), 'Precision: ' || CAST(accuracy AS VARCHAR), "
+        "'Confusion Matrix ' || CAST(CAST(tn AS DOUBLE) AS VARCHAR) || '  ' || CAST(CAST(fp AS DOUBLE) AS VARCHAR) || '  ', "
+        "CAST(CAST(fn AS DOUBLE) AS VARCHAR) || '  ' || CAST(CAST(tp AS DOUBLE) AS VARCHAR) || '  ', "
+        "'TNR: ' || CAST(tnr AS VARCHAR), 'TPR: ' || CAST(tpr AS VARCHAR), 'Resultado: ' || CAST(product AS VARCHAR)) AS value "
+        f"FROM ({_metrics_sql('pred')})"
+    ),
+)
 def q_metrics_report(spark, sf_dir):
     model, test = _nb_fit(spark, sf_dir)
     m = evaluate.evaluate(model.transform(test)).select(F.lit("ros").alias("prep"), F.lit("nb").alias("model"), "*")
@@ -477,20 +486,24 @@ def q_metrics_report(spark, sf_dir):
 # ---------------------------------------------------------------- J1, S1, S2, S3, S4
 @query(
     "row_index",
-    """SELECT count(*) AS n, CAST(0 AS BIGINT) AS min_idx, count(*) - 1 AS max_idx, count(*) AS n_distinct,
-  CAST(count(*) * (count(*) - 1) // 2 AS BIGINT) AS sum_idx FROM lineitem""",
+    """SELECT n, CAST(0 AS BIGINT) AS min_idx, n - 1 AS max_idx, CAST(n * (n - 1) // 2 AS BIGINT) AS sum_idx,
+  CAST(CAST(n AS HUGEINT) * (n - 1) * (2 * n - 1) // 6 AS DOUBLE) AS sum_sq FROM (SELECT count(*) AS n FROM lineitem)""",
 )
 def q_row_index(spark, sf_dir):
     from counterpoise.operators.index import with_row_index
     from counterpoise.sources.tables import table
 
-    idx = with_row_index(table(spark, sf_dir, "lineitem"))
+    return _index_sums(with_row_index(table(spark, sf_dir, "lineitem")))
+
+
+def _index_sums(idx: DataFrame) -> DataFrame:
     return idx.agg(
         F.count(F.lit(1)).alias("n"),
         F.min("row_index").alias("min_idx"),
         F.max("row_index").alias("max_idx"),
-        F.count_distinct("row_index").alias("n_distinct"),
+        # n numbers in 0 .. n-1 with these two sums are all different.
         F.sum("row_index").alias("sum_idx"),
+        F.sum(F.col("row_index").cast("decimal(38,0)") * F.col("row_index")).cast("double").alias("sum_sq"),
     )
 
 
@@ -511,7 +524,7 @@ def q_csv_labelled_parse(spark, sf_dir):
     lp = FRAMES["orders"](spark, sf_dir)
     lines = lp.select("id", F.concat_ws(",", *[F.col("features")[j].cast("string") for j in range(5)],
                                         F.col("label").cast("string")).alias("value"))
-    good, _ = parse_labelled_csv(lines)
+    good, _ = parse_labelled_csv(lines, num_fields=6)
     return _wide(good)
 
 
@@ -520,7 +533,7 @@ def q_keel_roundtrip(spark, sf_dir):
     from counterpoise.session import scratch_path
     from counterpoise.sources.text import header_for, read_keel, write_keel
 
-    lp = FRAMES["orders"](spark, sf_dir)
+    lp = _written(FRAMES["orders"](spark, sf_dir))
     fitted = MinMaxScaler().fit(lp)
     names = [f"f{j}" for j in range(5)]
     header = header_for(names, list(zip(fitted.lo, fitted.hi)), "orders", id_attribute="id")
@@ -559,10 +572,9 @@ def q_nb_ml_predictions(spark, sf_dir):
 
 @query("hme_report")
 def q_hme_report(spark, sf_dir):
-    from counterpoise.operators.noise import hme_report, hme_scored
+    from counterpoise.operators.noise import hme_report
 
-    scored, _ = hme_scored(FRAMES["toxic"](spark, sf_dir), num_trees=Q_HME_TREES, k=HME_K, seed=HME_SEED)
-    return hme_report(scored)
+    return _written(hme_report(_hme_scored(spark, sf_dir)))
 
 
 @query("pca_projection")
@@ -585,3 +597,157 @@ def q_confusion_long(spark, sf_dir):
 def q_nb_predictions_orders(spark, sf_dir):
     model, test = _nb_fit(spark, sf_dir, "orders")
     return model.transform(test).select("id", "label", "prediction")
+
+
+# ---------------------------------------------------------------- further SQL-checked results of the non-SQL operators
+@query(
+    "row_index_shuffled",
+    """SELECT n, CAST(0 AS BIGINT) AS min_idx, n - 1 AS max_idx, CAST(n * (n - 1) // 2 AS BIGINT) AS sum_idx,
+  CAST(CAST(n AS HUGEINT) * (n - 1) * (2 * n - 1) // 6 AS DOUBLE) AS sum_sq FROM (SELECT count(DISTINCT l_partkey) AS n FROM lineitem)""",
+)
+def q_row_index_shuffled(spark, sf_dir):
+    """The index of a frame that comes out of a shuffle keeps every row."""
+    from counterpoise.operators.index import with_row_index
+    from counterpoise.sources.tables import table
+
+    parts = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.sum("l_quantity").alias("q"))
+    return _index_sums(with_row_index(parts))
+
+
+CUT_MEMBERS, CUTS = 50, 10
+
+
+@query(
+    "pcard_cuts",
+    _ros_copies_sql("quality")
+    + f"""SELECT CAST((rn - 1) // {CUTS} AS INTEGER) AS member, id FROM (
+  SELECT id, row_number() OVER (ORDER BY u, id) AS rn FROM (
+    SELECT id, min({S.cut_draw('id', 'k', SEED)}) AS u FROM (SELECT id, UNNEST(range(1, copies + 1)) AS k FROM r_copies WHERE copies > 0) GROUP BY id))
+WHERE rn <= {CUT_MEMBERS * CUTS}""",
+)
+def q_pcard_cuts(spark, sf_dir):
+    """The rows whose values are the members' cut points, after oversampling with the same seed: all different rows."""
+    from counterpoise.operators.pcard import cut_rows
+
+    return cut_rows(balance.ros(FRAMES["quality"](spark, sf_dir), 1.0, SEED), CUT_MEMBERS, CUTS, SEED).select("member", "id")
+
+
+@query(
+    "csv_rejected",
+    f"""SELECT count(*) AS n, CAST(count(*) FILTER (WHERE id % 4 = 0) AS BIGINT) AS good, CAST(count(*) FILTER (WHERE id % 4 <> 0) AS BIGINT) AS rejected
+FROM ({S.LP['orders']})""",
+)
+def q_csv_rejected(spark, sf_dir):
+    """Three of four lines are spoilt: a field too few, a field too many, a label of 2."""
+    from counterpoise.sources.text import parse_labelled_csv
+
+    lp = FRAMES["orders"](spark, sf_dir)
+    fields = [F.col("features")[j].cast("string") for j in range(5)]
+    kind = F.col("id") % 4
+    line = (F.when(kind == 1, F.concat_ws(",", *fields[1:], F.col("label").cast("string")))
+            .when(kind == 2, F.concat_ws(",", *fields, F.lit("7.0"), F.col("label").cast("string")))
+            .when(kind == 3, F.concat_ws(",", *fields, F.lit("2.0")))
+            .otherwise(F.concat_ws(",", *fields, F.col("label").cast("string"))))
+    good, bad = parse_labelled_csv(lp.select("id", line.alias("value")), num_fields=6)
+    both = good.select(F.lit(1).alias("g")).unionByName(bad.select(F.lit(0).alias("g")))
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("g") == 1).alias("good"), F.count_if(F.col("g") == 0).alias("rejected"))
+
+
+@query(
+    "keel_scaled",
+    f"""WITH src AS ({S.LP['orders']}),
+{S.minmax_ctes('src')}
+SELECT label, j, count(*) AS n, round(sum(x), 6) AS total, round(min(x), 9) AS lo, round(max(x), 9) AS hi FROM (
+  SELECT l.label, CAST(l.j AS INTEGER) AS j, CASE WHEN r.hi > r.lo THEN (l.x - r.lo) / (r.hi - r.lo) ELSE 0.0 END AS x
+  FROM ({S.long_form('src')}) l JOIN m_range r ON l.j = r.j WHERE l.id % 10 <> 0)
+GROUP BY label, j""",
+)
+def q_keel_scaled(spark, sf_dir):
+    """KEEL text read with scaled inputs, a nominal class, no id, and every tenth line malformed."""
+    from counterpoise.session import scratch_path
+    from counterpoise.sources.text import header_for, read_keel, write_keel
+
+    lp = _written(FRAMES["orders"](spark, sf_dir))
+    fitted = MinMaxScaler().fit(lp)
+    header = header_for([f"f{j}" for j in range(5)], list(zip(fitted.lo, fitted.hi)), "orders")
+    path = scratch_path(spark, "keel-scaled")
+    write_keel(lp.where("id % 10 <> 0"), header, path)
+    lp.where("id % 10 = 0").select(F.concat_ws(",", F.lit("x"), F.col("id").cast("string")).alias("value")).write.mode("append").text(f"{path}/data")
+    good, _, _ = read_keel(spark, f"{path}/header", f"{path}/data", scale=True)
+    long = good.select("label", F.posexplode("features").alias("j", "x"))
+    return long.groupBy("label", "j").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("x"), 6).alias("total"),
+                                          F.round(F.min("x"), 9).alias("lo"), F.round(F.max("x"), 9).alias("hi"))
+
+
+def _hme_scored(spark, sf_dir) -> DataFrame:
+    from counterpoise.operators.noise import hme_scored
+
+    scored, folded = hme_scored(FRAMES["toxic"](spark, sf_dir), num_trees=100, k=HME_K, seed=HME_SEED)
+    try:
+        return _written(scored.select("id", "label", "fold", "prediction"))
+    finally:
+        folded.unpersist()
+
+
+@query(
+    "hme_fold_totals",
+    f"""SELECT fold, label, count(*) AS n FROM (SELECT label, CAST(floor({S.hu('id', HME_SEED)} * {HME_K}.0) AS INTEGER) AS fold FROM ({S.LP['toxic']}))
+GROUP BY fold, label""",
+)
+def q_hme_fold_totals(spark, sf_dir):
+    """Kept and removed rows of the filter together are the folds."""
+    from counterpoise.operators.noise import hme_report
+
+    return hme_report(_hme_scored(spark, sf_dir)).select("fold", "label", (F.col("kept") + F.col("removed")).alias("n"))
+
+
+@query(
+    "fcnn_consistent",
+    f"""WITH src AS ({S.LP['emb']}),
+nb AS (SELECT CAST(ceil(count(*) / {float(FCNN_MAX_ROWS)!r}) AS BIGINT) AS k FROM src)
+SELECT bucket, count(*) AS n, count(DISTINCT label) AS classes, CAST(0 AS BIGINT) AS errors, CAST(0 AS BIGINT) AS strangers
+FROM (SELECT s.label, CAST(floor({S.hu('s.id', FCNN_SEED)} * CAST(nb.k AS DOUBLE)) AS INTEGER) AS bucket FROM src s, nb) GROUP BY bucket""",
+)
+def q_fcnn_consistent(spark, sf_dir):
+    """At k = 1 every row of a bucket is classified by the selection as labelled, which holds all classes and no strange rows."""
+    from counterpoise.operators.neighbours import BUCKET, bucket_errors, fcnn_select
+    from counterpoise.functions.hashing import hash_bucket
+
+    df = _written(FRAMES["emb"](spark, sf_dir))
+    nb = _fcnn_nb(df.count())
+    chosen = fcnn_select(df, k=1, n_buckets=nb, seed=FCNN_SEED).select("id", F.lit(1).alias("chosen"))
+    rows = df.withColumn(BUCKET, hash_bucket("id", FCNN_SEED, nb)).join(chosen, "id", "full")
+    return bucket_errors(rows)
+
+
+@query(
+    "pca_variance",
+    f"""SELECT round(sum(v), 6) AS total FROM (SELECT var_samp(x) AS v FROM ({S.long_form('(' + S.LP['emb'] + ')')}) GROUP BY j)""",
+)
+def q_pca_variance(spark, sf_dir):
+    """All components together hold the frame's whole variance."""
+    from counterpoise.operators.pca import fit_pca
+
+    df = _written(FRAMES["emb"](spark, sf_dir))
+    p = df.select(F.posexplode(fit_pca(df).project()).alias("j", "x"))
+    return p.groupBy("j").agg(F.var_samp("x").alias("v")).agg(F.round(F.sum("v"), 6).alias("total"))
+
+
+def _test_sizes_sql(frame: str, names) -> str:
+    test = S.split_sql(frame, "test", TRAIN_FRACTION, SPLIT_SEED)
+    return _sql_union([f"SELECT '{n}' AS model, label, count(*) AS n FROM ({test}) GROUP BY label" for n in names])
+
+
+@query("model_row_sums", _test_sizes_sql("emb", ("dt", "rf", "pcard")))
+def q_model_row_sums(spark, sf_dir):
+    """Every tree model predicts a class for every test row."""
+    from counterpoise.operators.pcard import fit_pcard
+    from counterpoise.operators.trees import fit_dt, fit_rf
+
+    train, test = split(_written(FRAMES["emb"](spark, sf_dir)), TRAIN_FRACTION, SPLIT_SEED)
+    w = _written(balance.ros(train, 1.0, SEED, as_weights=True))
+    models = {"dt": fit_dt(w, weight_col="weight", seed=SEED), "rf": fit_rf(w, 100, weight_col="weight", seed=SEED, partitions="auto"),
+              "pcard": fit_pcard(w, 50, 10, 10, seed=SEED, weight_col="weight")}
+    scored = [m.transform(test).where(F.col("prediction").isin(0.0, 1.0)).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+              .select(F.lit(name).alias("model"), "label", "n") for name, m in models.items()]
+    return _union(scored)

@@ -1,7 +1,7 @@
 """Run one or more preprocessing x model experiments on KEEL files, end to end.
 
-    python -m counterpoise.plans.experiment --header higgs.header \\
-        --train higgs-tra.data --test higgs-tst.data \\
+    python -m counterpoise.plans.experiment --header data.header \\
+        --train train.data --test test.data \\
         --prep ros --prep rus --model dt --model rf --model pcard --model nb --out results/
 
 reads the header and both data files (text, distributed), fits every model on

@@ -55,7 +55,7 @@ class GridParams:
     prep_parallelism: int = 1
     # deal each preprocessed set by id hash into n sorted partitions before the
     # fits: seeded forests then do not depend on the input partitioning
-    stable_partitions: int | str | None = None
+    stable_partitions: int | str = "auto"
     rf_trees_by_prep: dict = field(default_factory=dict)
 
 
@@ -72,7 +72,7 @@ def _rus(df, p):
 
 def _hme(df, p):
     return hme_filter(df, num_trees=p.hme_trees, k=p.hme_folds, max_depth=p.hme_depth, seed=48151623 + p.seed - 1,
-                      parallelism=p.parallelism, partitions=p.stable_partitions).drop("fold")
+                      parallelism=p.parallelism, partitions=p.stable_partitions, weight_col=_weight(df)).drop("fold")
 
 
 def _fcnn(df, p):
@@ -146,9 +146,7 @@ def run_grid(train: DataFrame, test: DataFrame, preps=PUBLISHED_PREPS, models=MO
 
     def fit_prep(prep):
         pt = preprocess(train, prep, p)
-        if p.stable_partitions:
-            pt = stable_order(pt, p.stable_partitions)
-        pt = pt.persist(StorageLevel.MEMORY_AND_DISK)
+        pt = stable_order(pt, p.stable_partitions).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             with ThreadPoolExecutor(max(1, min(p.parallelism, len(models)))) as pool:
                 return prep, list(pool.map(lambda m: fit_model(m, pt, prep, p, scaler), models))

@@ -14,6 +14,11 @@ def hu(id_expr: str, seed) -> str:
     return f"(('0x' || substr(md5('{seed}:' || CAST({id_expr} AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0)"
 
 
+def cut_draw(id_expr: str, copy_expr, seed) -> str:
+    """The draw of a row's copy for PCARD's cut rows."""
+    return hu(f"CAST({id_expr} AS VARCHAR) || ':' || CAST({copy_expr} AS VARCHAR)", f"cuts-{seed}")
+
+
 def _doc(target: str) -> str:
     def cnt(pattern):
         return f"CAST(length(d.text) - length(regexp_replace(d.text, '{pattern}', '', 'g')) AS DOUBLE)"
@@ -28,8 +33,8 @@ LP = {
     "toxic": _doc("toxic"),
     "quality": _doc("quality"),
     "orders": """SELECT o.o_orderkey AS id, CAST(o.o_orderpriority = '1-URGENT' AS DOUBLE) AS label,
-  [o.o_totalprice, CAST(li.n_lines AS DOUBLE), li.sum_qty, li.max_disc, li.max_tax] AS features
-FROM orders o JOIN (SELECT l_orderkey, count(*) AS n_lines, sum(l_quantity) AS sum_qty,
+  [o.o_totalprice, CAST(coalesce(li.n_lines, 0) AS DOUBLE), coalesce(li.sum_qty, 0.0), coalesce(li.max_disc, 0.0), coalesce(li.max_tax, 0.0)] AS features
+FROM orders o LEFT JOIN (SELECT l_orderkey, count(*) AS n_lines, sum(l_quantity) AS sum_qty,
                            max(l_discount) AS max_disc, max(l_tax) AS max_tax
                     FROM lineitem GROUP BY l_orderkey) li ON o.o_orderkey = li.l_orderkey""",
 }

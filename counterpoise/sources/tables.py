@@ -71,7 +71,7 @@ def lp_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lp_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders ⋈ per-order lineitem aggregates, label = urgent priority.
+    """orders with per-order lineitem aggregates (0 where an order has no line), label = urgent priority.
 
     The lineitem side is aggregated before the join (map-side partial
     aggregation, so a hot order key collapses before the shuffle) and is
@@ -88,21 +88,27 @@ def lp_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max("l_tax").alias("max_tax"),
         )
     )
-    j = o.join(li, o["o_orderkey"] == li["l_orderkey"])
+    j = o.join(li, o["o_orderkey"] == li["l_orderkey"], "left")
     return j.select(
         F.col("o_orderkey").alias(ID),
         (F.col("o_orderpriority") == "1-URGENT").cast("double").alias(LABEL),
         with_dim(
             F.array(
                 F.col("o_totalprice").cast("double"),
-                F.col("n_lines").cast("double"),
-                F.col("sum_qty").cast("double"),
-                F.col("max_disc").cast("double"),
-                F.col("max_tax").cast("double"),
+                F.coalesce(F.col("n_lines").cast("double"), F.lit(0.0)),
+                F.coalesce(F.col("sum_qty").cast("double"), F.lit(0.0)),
+                F.coalesce(F.col("max_disc").cast("double"), F.lit(0.0)),
+                F.coalesce(F.col("max_tax").cast("double"), F.lit(0.0)),
             ),
             5,
         ),
     )
 
 
+def orders_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, label)`` of ``lp_orders`` from orders alone: class counts need no lineitem."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").alias(ID), (F.col("o_orderpriority") == "1-URGENT").cast("double").alias(LABEL))
+
+
 FRAMES = {"emb": lp_emb, "toxic": lp_toxic, "quality": lp_quality, "orders": lp_orders}

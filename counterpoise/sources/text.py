@@ -26,8 +26,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from counterpoise.frame import FEATURES, ID, LABEL
-from counterpoise.operators.index import with_row_index
+from counterpoise.frame import FEATURES, ID, LABEL, with_dim
+from counterpoise.operators.index import with_content_id
 
 _ATTR = re.compile(r"@attribute\s+('[^']*'|\S+)\s+(.*)$", re.IGNORECASE)
 _RANGE = re.compile(r"^(real|integer|numeric)\s*(?:\[\s*([^,\]]+)\s*,\s*([^\]]+)\s*\])?\s*$", re.IGNORECASE)
@@ -67,7 +67,8 @@ class KeelHeader:
             if a.kind == "nominal":
                 out.append(f"@attribute {a.name} {{{', '.join(a.values)}}}")
             else:
-                out.append(f"@attribute {a.name} {a.kind} [{a.lo!r}, {a.hi!r}]")
+                span = f" [{a.lo!r}, {a.hi!r}]" if a.lo is not None and a.hi is not None else ""
+                out.append(f"@attribute {a.name} {a.kind}{span}")
         out.append(f"@inputs {', '.join(self.inputs)}")
         out.append(f"@outputs {', '.join(self.outputs)}")
         out.append("@data")
@@ -113,9 +114,13 @@ def parse_keel_header(lines: list[str]) -> KeelHeader:
 
 
 def read_keel_header(spark: SparkSession, path: str) -> KeelHeader:
-    # only '@' lines reach the driver (one per attribute), never the data section
-    lines = spark.read.text(path).where(F.trim("value").startswith("@")).collect()
-    return parse_keel_header([r["value"] for r in lines])
+    """The lines up to ``@data``.  ``take`` reads the file's first split in growing steps and stops there."""
+    n = 64
+    while True:
+        lines = [r["value"] for r in spark.read.text(path).limit(n).collect()]
+        if len(lines) < n or any(line.strip().lower().startswith("@data") for line in lines):
+            return parse_keel_header(lines)
+        n *= 4
 
 
 def _value(field_col, a: Attribute, scale: bool):
@@ -156,14 +161,14 @@ def read_keel(spark: SparkSession, header_path: str, data_path: str | None = Non
     """KEEL dataset -> ``(labelled, rejected, header)``.
 
     ``data_path`` defaults to the header file itself (data after ``@data``).
-    Without ``id_attribute`` the id is the line's position (``with_row_index``).
+    Without ``id_attribute`` the id comes from the line's content (``with_content_id``).
     """
     header = read_keel_header(spark, header_path)
     lines = spark.read.text(data_path or header_path)
     v = F.trim("value")
     lines = lines.where((F.length(v) > 0) & ~v.startswith("@") & ~v.startswith("%"))
     if id_attribute is None:
-        lines = with_row_index(lines, ID)
+        lines = with_content_id(lines, ID)
     good, bad = parse_keel_lines(lines, header, scale, id_attribute)
     return good, bad, header
 
@@ -183,7 +188,7 @@ def write_keel(df: DataFrame, header: KeelHeader, path: str, id_attribute: str |
 
 
 def header_for(names: list[str], ranges: list[tuple[float, float]], relation: str = "table",
-               id_attribute: str | None = None, id_range: tuple[float, float] = (0, 0)) -> KeelHeader:
+               id_attribute: str | None = None, id_range: tuple[float | None, float | None] = (None, None)) -> KeelHeader:
     attrs = ([Attribute(id_attribute, "integer", *id_range)] if id_attribute else []) + [
         Attribute(n, "real", lo, hi) for n, (lo, hi) in zip(names, ranges)
     ]
@@ -192,19 +197,23 @@ def header_for(names: list[str], ranges: list[tuple[float, float]], relation: st
     return KeelHeader(relation, attrs, inputs, ["class"])
 
 
-def parse_labelled_csv(df: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Comma-separated doubles, label last -> ``(labelled, rejected)``; other columns are kept."""
+def parse_labelled_csv(df: DataFrame, num_fields: int, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Comma-separated doubles, label last -> ``(labelled, rejected)``; other columns are kept.
+
+    Rows with another number of fields than ``num_fields`` (features and label), with a
+    field that is no number or with a label other than 0 or 1 are rejected.
+    """
     arr = F.transform(F.split(F.col(value_col), ","), lambda s: F.trim(s).try_cast("double"))
-    parsed = df.withColumn("_a", arr)
-    n = F.size("_a")
-    feats = F.slice("_a", 1, n - 1)
-    label = F.element_at("_a", -1)
-    parsed = parsed.withColumn(FEATURES, F.when(n >= 2, feats)).withColumn(LABEL, F.when(n >= 2, label))
-    ok = (n >= 2) & F.col(LABEL).isin(0.0, 1.0) & (F.size(F.filter(FEATURES, lambda x: x.isNull())) == 0)
+    parsed = df.withColumn("_a", arr).withColumn("_n", F.size("_a"))
+    parsed = parsed.withColumn(LABEL, F.element_at("_a", -1))
+    parsed = parsed.withColumn(FEATURES, F.slice("_a", 1, num_fields - 1))
+    ok = (F.col("_n") == num_fields) & F.col(LABEL).isin(0.0, 1.0) & (F.size(F.filter(FEATURES, lambda x: x.isNull())) == 0)
+    ok = F.coalesce(ok, F.lit(False))
     rest = [c for c in df.columns if c != value_col]
-    return parsed.where(ok).select(*rest, LABEL, FEATURES), parsed.where(~F.coalesce(ok, F.lit(False))).select(*df.columns)
+    good = parsed.where(ok).select(*rest, LABEL, with_dim(F.col(FEATURES), num_fields - 1))
+    return good, parsed.where(~ok).select(*df.columns)
 
 
-def read_labelled_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_labelled_csv(spark: SparkSession, path: str, num_fields: int) -> tuple[DataFrame, DataFrame]:
     lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
-    return parse_labelled_csv(with_row_index(lines, ID))
+    return parse_labelled_csv(with_content_id(lines, ID), num_fields)

@@ -94,7 +94,7 @@ def test_poisson_cdf_and_large_rate(spark):
     lo, cdf = poisson_cdf(4.0)
     assert lo == 0 and cdf[-1] > 1 - 2**-32 and all(a <= b for a, b in zip(cdf, cdf[1:]))
     lo, cdf = poisson_cdf(5000.0)
-    assert lo > 0 and len(cdf) > 256  # the array (non-tree) path
+    assert lo > 0 and len(cdf) > 256
     df = spark.range(4000).withColumn("_u", hash_uniform("id", 1))
     mean = df.select(poisson_copies("_u", 5000.0).alias("c")).agg(F.avg("c")).first()[0]
     assert abs(mean - 5000) < 10
@@ -110,11 +110,13 @@ def test_rate_sweep_matches_individual_runs(spark):
         assert sweep[(rate, 1.0)] == c[1.0] and sweep[(rate, 0.0)] == c[0.0]
 
 
-def test_ros_repartition_option(spark):
-    df = lp_toxic(spark, SF01).repartition(3)
-    out = balance.ros(df, 1.0, seed=1, repartition="input")
-    assert out.rdd.getNumPartitions() == 3
-    same = balance.ros(df, 1.0, seed=1).select("id", "copy_no")
+def test_ros_spreads_the_copies(spark):
+    rows = [(i, 0.0, [float(i)]) for i in range(20000)] + [(20000 + i, 1.0, [float(i)]) for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, label double, features array<double>").repartitionByRange(8, "label", "id")
+    out = balance.ros(df, 1.0, seed=1, repartition=8)
+    sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) == 8 and sizes[-1] < 2 * sizes[4]
+    same = balance.ros(df, 1.0, seed=1, repartition=False).select("id", "copy_no")
     assert out.select("id", "copy_no").exceptAll(same).count() == 0
 
 

@@ -81,17 +81,36 @@ def test_weighted_trees_accept_ros_weights(spark):
     assert evaluate(fit_rf(w, num_trees=3, weight_col="weight").transform(df)).first().accuracy > 0.9
 
 
-def test_one_pass_pca_matches_pyspark_ml(spark):
+def test_pca_components_and_projection(spark):
     import numpy as np
-    from pyspark.ml.feature import PCA
 
     from counterpoise.operators.pca import fit_pca
     from counterpoise.sources.tables import lp_orders
 
-    for frame, k in ((lp_orders(spark, SF01), 3), (lp_emb(spark, SF01), 4)):  # SQL path, numpy path
-        ours = fit_pca(frame, k)
-        ml = PCA(k=k, inputCol="v", outputCol="p").fit(frame.select(array_to_vector("features").alias("v")))
-        cos = np.abs((ours.components * ml.pc.toArray()).sum(0))
-        assert cos.min() > 1 - 1e-9
-        row = frame.select(ours.project().alias("p"), "features").first()
-        assert np.allclose(np.abs(row.p), np.abs(np.array(row.features) @ ml.pc.toArray()), rtol=1e-9, atol=1e-9)
+    for frame, k in ((lp_orders(spark, SF01), 3), (lp_emb(spark, SF01), 4)):
+        m = fit_pca(frame, k)
+        x = np.array([r.features for r in frame.select("features").collect()])
+        w, v = np.linalg.eigh(np.cov(x.T))
+        assert np.abs((m.components * v[:, ::-1][:, :k]).sum(0)).min() > 1 - 1e-6
+        row = frame.select(m.project().alias("p"), "features").first()
+        assert np.allclose(row.p, np.array(row.features) @ m.components, rtol=1e-9, atol=1e-9)
+
+
+def test_pca_weights_are_copies(spark):
+    import numpy as np
+
+    from counterpoise.operators.pca import fit_pca
+
+    df = balance.ros(lp_emb(spark, SF01), 1.0, seed=1)
+    w = balance.ros(lp_emb(spark, SF01), 1.0, seed=1, as_weights=True)
+    assert np.allclose(fit_pca(df, 3).components, fit_pca(w, 3, weight_col="weight").components, atol=1e-8)
+
+
+def test_tree_as_sql_scores_like_the_model(spark):
+    from counterpoise.operators.trees import tree_sql
+
+    df = lp_emb(spark, SF01)
+    m = fit_dt(df, max_depth=6)
+    sql = tree_sql(m.model, lambda f, t: f"features[{f}] <= {t!r}D")
+    both = m.transform(df).withColumn("s", F.expr(sql))
+    assert both.where("s <> prediction").count() == 0 and both.where("s is null").count() == 0

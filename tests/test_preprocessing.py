@@ -146,3 +146,60 @@ def test_pcard_same_on_2_and_7_partitions(spark):
     a = fit_pcard(df.repartition(2), trees=2, cuts=5, max_depth=3, seed=4).transform(df).select("id", "prediction")
     b = fit_pcard(df.repartition(7), trees=2, cuts=5, max_depth=3, seed=4).transform(df).select("id", "prediction")
     assert a.exceptAll(b).count() == 0
+
+
+def test_cut_rows_are_distinct_after_heavy_oversampling(spark):
+    rows = [(i, 0.0, [float(i)]) for i in range(20000)] + [(20000 + i, 1.0, [30000.0 + i]) for i in range(100)]
+    df = spark.createDataFrame(rows, "id long, label double, features array<double>")
+    cuts = draw_cuts(balance.ros(df, 1.0, 1), 50, 10, 1, 1)
+    assert min(len(set(m[0])) for m in cuts) >= 9
+
+
+def test_cuts_and_folds_of_weights_equal_copies(spark):
+    df = lp_emb(spark, SF01)
+    copies, weights = balance.ros(df, 1.0, 3), balance.ros(df, 1.0, 3, as_weights=True)
+    assert draw_cuts(copies, 4, 5, 2, 64) == draw_cuts(weights, 4, 5, 2, 64, "weight")
+    a = assign_folds(copies, 4, 9).select("id", "fold").distinct()
+    assert a.exceptAll(assign_folds(weights, 4, 9).select("id", "fold")).count() == 0
+
+
+def test_cut_rows_do_not_follow_the_undersampling_draw(spark):
+    rows = [(i, float(i % 20 == 0), [float(i)]) for i in range(8000)]
+    df = balance.rus(spark.createDataFrame(rows, "id long, label double, features array<double>"), 1)
+    from counterpoise.operators.pcard import cut_rows
+
+    shares = [cut_rows(df, 20, 10, seed).join(df, "id").agg(F.avg("label")).first()[0] for seed in (1, 2, 3, 4)]
+    share = sum(shares) / len(shares)
+    whole = df.agg(F.avg("label")).first()[0]
+    assert abs(share - whole) < 0.08
+
+
+def test_condensation_refuses_weights(spark):
+    with pytest.raises(ValueError):
+        fcnn_select(balance.ros(lp_emb(spark, SF01), 1.0, 1, as_weights=True))
+
+
+def test_hme_does_not_depend_on_shuffle_partitions(spark):
+    df = separable(spark, 160, flips=(4, 150)).cache()
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    out = []
+    try:
+        for n in ("8", "32"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            out.append({r.id for r in hme_filter(df, num_trees=5, k=4, max_depth=4, seed=3).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert out[0] == out[1]
+
+
+def test_pcard_scoring_equals_member_models(spark):
+    from counterpoise.operators.pcard import majority_vote as vote
+
+    df = lp_emb(spark, SF01)
+    m = fit_pcard(df, trees=3, cuts=6, max_depth=4, seed=2)
+    x = m.with_pca(df)
+    for t, scorer in enumerate(m.scorers):
+        scorer.features_col = "_m"
+        x = scorer.transform(x.withColumn("_m", m.member_features(t)), prediction_col=f"_p{t}").drop("_m")
+    slow = x.select("id", vote([F.col(f"_p{t}") for t in range(3)]).alias("prediction"))
+    assert slow.exceptAll(m.transform(df).select("id", "prediction")).count() == 0

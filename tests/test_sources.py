@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001, SF01
-from counterpoise.operators.index import with_row_index
+from counterpoise.operators.index import with_content_id, with_row_index
 from counterpoise.sources.tables import FRAMES
 from counterpoise.sources.text import parse_keel_header, read_keel, read_labelled_csv
 
@@ -34,7 +34,7 @@ def test_keel_header_and_scaled_row(spark):
     assert h.num_classes == 2 and h.inputs == ["f0", "f1"]
     good, bad, _ = read_keel(spark, _write(HEADER), _write("0.5,0.0,1\n"), scale=True)
     r = good.first()
-    assert r.features == [0.5, 0.5] and r.label == 1.0 and r.id == 0
+    assert r.features == [0.5, 0.5] and r.label == 1.0 and r.id is not None
     assert bad.count() == 0
 
 
@@ -61,11 +61,11 @@ no,1,red
 
 
 def test_labelled_csv_bad_rows(spark):
-    text = "0.91,0.12,-1.30,1\n0.33,0.80,0.25,0\n5\n1,2\n0.1,abc,1\n0.2,0.3,2\n\n"
-    good, bad = read_labelled_csv(spark, _write(text))
+    text = "0.91,0.12,-1.30,1\n0.33,0.80,0.25,0\n5\n0.1,1\n0.1,0.2,0.3,0.4,1\n0.1,abc,0.2,1\n0.2,0.3,0.4,2\n\n"
+    good, bad = read_labelled_csv(spark, _write(text), num_fields=4)
     assert sorted((r.label, r.features) for r in good.collect()) == [(0.0, [0.33, 0.8, 0.25]), (1.0, [0.91, 0.12, -1.3])]
-    # too few fields, label 2 (twice), a non-number; the empty line is skipped
-    assert bad.count() == 4
+    # too few fields (twice), too many, a non-number, label 2; the empty line is skipped
+    assert bad.count() == 5
 
 
 def test_row_index_consecutive(spark):
@@ -74,6 +74,34 @@ def test_row_index_consecutive(spark):
     assert tuple(r) == (0, 999, 1000)
 
 
+def test_row_index_after_aggregate_with_coalescing(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+        df = spark.range(40000).withColumn("v", F.col("id") * 3).groupBy("id").agg(F.max("v").alias("v"))
+        r = with_row_index(df).agg(F.count("*"), F.min("row_index"), F.max("row_index"), F.countDistinct("row_index")).first()
+        assert tuple(r) == (40000, 0, 39999, 40000)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_content_id_is_unique_and_partition_free(spark):
+    lines = spark.createDataFrame([(f"row {i % 50}",) for i in range(300)], "value string")
+    a = with_content_id(lines.repartition(2))
+    b = with_content_id(lines.repartition(9))
+    assert a.count() == 300 and a.select("id").distinct().count() == 300
+    assert a.exceptAll(b).count() == 0
+    assert with_content_id(lines.limit(0)).count() == 0
+
+
+def test_keel_header_without_range_round_trips(spark):
+    h = parse_keel_header(["@relation t", "@attribute f real", "@attribute class {0, 1}", "@data"])
+    again = parse_keel_header(h.lines())
+    assert again.attribute("f").lo is None and again.num_classes == 2
+
+
 @pytest.mark.parametrize("name", sorted(FRAMES))
 def test_frames_contract(spark, name):
     df = FRAMES[name](spark, SF01)
