@@ -13,7 +13,7 @@ Equal coordinates are ordered by a hash, so ties can be cut anywhere.
 Hot groups: a group heavier than ``1 / 64`` of a shard is "heavy" (there are at
 most ``64 * shards``); each is placed whole on the side of its coordinate as far as
 that side has room, and the median of the rest makes up the difference.  A group
-heavier than half a shard cannot stay whole without unbalancing the shards: its
+heavier than three quarters of a shard cannot stay whole without unbalancing the shards: its
 rows are dealt out as light units by a hash of their id.
 
 Defined cases: null text has size 1 (no bytes plus 1) and counts as the empty text;
@@ -79,10 +79,10 @@ def kd_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col
     rows = staged(rows, "shard-rows")
     n_rows, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     target = total / shards
-    whole = max(target / 2, 1.0)
+    whole = max(0.75 * target, 1.0)
     group = ["g", "text_crc32", "size"]
     big = rows.groupBy(*group).agg(F.sum("size").alias("w")).where(F.col("w") > whole).select(*group)
-    # Groups over half a shard (fewer than 2 * shards): their rows become units of their own.
+    # Groups over three quarters of a shard (fewer than 2 * shards): their rows become units of their own.
     big_keys = [r["g"] for r in big.collect()]
     salt: Column = F.lit(0).cast("long")
     if big_keys:

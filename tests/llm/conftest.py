@@ -1,0 +1,44 @@
+import sys
+import tempfile
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pyspark.sql import SparkSession
+
+    s = (
+        SparkSession.builder.master("local[*]").appName("counterpoise-tests").config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+    )
+    s.sparkContext.setLogLevel("ERROR")
+    if not s.sparkContext.getCheckpointDir():
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cp-tests-"))
+    yield s
+
+
+DOC = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    """Nulls, empty and blank texts, ties, repeated rows, a long text, clashing extra columns."""
+    long = " ".join(f"word{i % 997}x{i}" for i in range(30000))
+    rows = [
+        (1, None), (2, ""), (3, "   \n\t "), (4, "one two"), (5, "one two"), (6, "One TWO"), (7, "alpha beta gamma delta epsilon zeta eta theta"),
+        (7, "alpha beta gamma delta epsilon zeta eta theta"), (8, "Ünïcode ñandú größe — 漢字 　 end"), (9, long), (10, long + " tail"),
+        (None, "a row without an id"), (11, "x"),
+    ]
+    df = spark.createDataFrame([(i, t, None if i == 3 else "en", "s", None if t is None else len(t)) for i, t in rows], DOC)
+    from pyspark.sql import functions as F
+
+    return df.withColumn("score", F.lit("clash")).withColumn("key", F.lit(1)).withColumn("shard", F.lit(None).cast("int")).withColumn("n", F.lit("x"))
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], DOC)
