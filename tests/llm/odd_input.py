@@ -1,26 +1,7 @@
-import sys
-import tempfile
-from pathlib import Path
+"""Documents that operators must not stumble over."""
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
-
-
-@pytest.fixture(scope="session")
-def spark():
-    from pyspark.sql import SparkSession
-
-    s = (
-        SparkSession.builder.master("local[*]").appName("counterpoise-tests").config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate()
-    )
-    s.sparkContext.setLogLevel("ERROR")
-    if not s.sparkContext.getCheckpointDir():
-        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cp-tests-"))
-    yield s
-
-
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 
 

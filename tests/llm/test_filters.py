@@ -10,6 +10,7 @@ from counterpoise.llm import decontaminate, quality, substring, toxicity
 from counterpoise.llm.labels import held_out
 from counterpoise.llm.sharding import kd_shards
 from counterpoise.llm.urlfilter import duckdb_sql, host_and_path, judge_urls
+from odd_input import no_docs, odd_docs  # noqa: F401
 
 LABELS = "doc_id long, quality int, toxic int"
 

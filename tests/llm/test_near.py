@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from counterpoise.llm import jaccard
 from counterpoise.llm.common import connected_components, gapless
 from counterpoise.llm.embdedup import near_vectors
+from odd_input import no_docs, odd_docs  # noqa: F401
 
 
 def _union(n, links):

@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 from counterpoise.llm import packing, rangecoder, tokens
 from counterpoise.llm.tokenfile import read_token_files, write_token_files
 from counterpoise.session import scratch_path
+from odd_input import no_docs, odd_docs  # noqa: F401
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = ["Hello there, it's  a Test.\nNew line", "tabs\there \n\tand", "", " ", "\n\n x", "ÀÉ ñandú İstanbul ΣΑΣ groß!?", "a" * 300, "3.14 10,000 'll <|endoftext|> x…y",
