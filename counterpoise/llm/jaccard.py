@@ -17,7 +17,16 @@ chance meetings of small parts, and sets left uncovered.  Such sets (too many em
 segments) meet through single tokens instead, as do all sets of tiny bands: exact, too.
 
 *Counting.*  By the same argument a linked pair shares at least ``non-empty - (a + b) / 7``
-signatures; pairs that share fewer are dropped without looking at their sets.
+signatures; pairs that share fewer are dropped without looking at their sets.  Nor are
+sets compared whose parity maps (token counts by hash, modulo 2) differ in more than
+``(a + b) / 7`` bits.
+
+*Skipping common parts.*  A set meets a partner in at least ``non-empty - n / 3`` of its
+segments (``0.75 n`` of its tokens in the tiny band), so it may leave out all but one more
+than that bound allows: its most frequent signatures, known once groups are counted.
+Pairs are looked for only where the set in its own band (of two: the one with the larger
+class number) has kept the signature; a passage that a third of all documents hold is
+thus left out by nearly all of them, and none of their links is lost.
 
 *Verification* is exact on the token sets.  Only components matter, so groups of sets
 with a common signature are not expanded into pairs at first: each is linked as a star,
@@ -37,7 +46,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from counterpoise.llm.common import connected_components, ship, staged
@@ -47,9 +56,12 @@ ship(__name__)
 
 WIDTH = 5
 TINY = 12  # sets up to this size, and their partners, meet through single tokens
-_BATCH = 16_000_000  # bytes of text before records leave a task
-_BUCKET = 16 << 20  # bytes of text per signature bucket
-_MAX_WORDS = 400_000  # words whose hash a worker keeps
+_BATCH = 8_000_000  # bytes of text before records leave a task
+_BUCKET = 8 << 20  # bytes of text per signature bucket
+_MAX_WORDS = 200_000  # words whose hash a worker keeps
+MAP_WORDS = 16
+MAPS = [f"m{i}" for i in range(MAP_WORDS)]
+HOT = 8  # from this size on a group's signature may be left out
 RECORD = np.dtype([("g", "<u4"), ("j", "u1"), ("k", "<u8")])  # signature, space (128: own band), class
 _OWN = 128
 
@@ -107,6 +119,14 @@ def class_keys(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mix(d + n.astype(np.uint64)).view(np.int64)
 
 
+def parity_maps(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Per set MAP_WORDS * 64 parities of token counts: two sets' maps differ in at most as many bits as the sets in tokens."""
+    n, width = len(at) - 1, 64 * MAP_WORDS
+    owner = np.repeat(np.arange(n, dtype=np.int64), np.diff(at))
+    odd = np.bincount(owner * width + (sets >> np.uint64(20)).astype(np.int64) % width, minlength=n * width) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(n, width), axis=1).view("<i8").reshape(n, MAP_WORDS)
+
+
 # ---------------------------------------------------------------- bands and their allocation
 def _edges() -> tuple[int, ...]:
     out = [TINY]
@@ -119,7 +139,7 @@ EDGES = _edges()  # upper sizes of the bands; band 0 is tiny
 _ALLOCATED: dict[int, tuple[int, int, int]] = {}
 
 
-def allocate(band: int, chance: float = 0.15, meeting: float = 60.0) -> tuple[int, int, int]:
+def allocate(band: int, chance: float = 0.1, meeting: float = 60.0) -> tuple[int, int, int]:
     """(segments, of them with one-deletion neighbourhoods, most differing tokens) of a band, by expected cost.
 
     ``chance``: a token is shared with an unrelated set; ``meeting``: cost of a chance
@@ -231,7 +251,7 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     buckets = max(1, math.ceil(size / _BUCKET), min(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / (1 << 20))))
-    schema = "kind int, bucket int, doc_id array<long>, n array<long>, key array<long>, own array<int>, below array<int>, payload binary"
+    schema = "kind int, bucket int, doc_id array<long>, n array<long>, key array<long>, own array<int>, below array<int>, map array<long>, payload binary"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
@@ -251,11 +271,11 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             nothing = [None] * k
             return pa.RecordBatch.from_arrays(
                 [pa.array([1] * k, pa.int32()), pa.array(bucket[cut], pa.int32()), *(pa.array(nothing, pa.list_(pa.int64())) for _ in range(3)),
-                 *(pa.array(nothing, pa.list_(pa.int32())) for _ in range(2)),
+                 *(pa.array(nothing, pa.list_(pa.int32())) for _ in range(2)), pa.array(nothing, pa.list_(pa.int64())),
                  pa.array([rec[a:b].tobytes() for a, b in zip(cut, np.append(cut[1:], len(rec)))], pa.binary())], schema=arrow)
 
         for b in batches:
-            for lo, hi, texts in text_slices(b.column(1), 2_000_000):
+            for lo, hi, texts in text_slices(b.column(1), 1_000_000):
                 sets, at = shingle_sets(texts, words)
                 n, keys = np.diff(at), class_keys(sets, at)
                 # A class leaves a batch once.
@@ -268,7 +288,8 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 one = pa.array([0, len(n)], pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([0], pa.int32()), pa.array([int(keys[0]) % buckets if len(keys) else 0], pa.int32()), pa.ListArray.from_arrays(one, b.column(0).slice(lo, hi - lo)),
-                     *(pa.ListArray.from_arrays(one, pa.array(z)) for z in (n, keys, own, below)), pa.array([None], pa.binary())], schema=arrow)
+                     *(pa.ListArray.from_arrays(one, pa.array(z)) for z in (n, keys, own, below)),
+                     pa.ListArray.from_arrays(pa.array([0, len(n) * MAP_WORDS], pa.int32()), pa.array(parity_maps(sets, at).ravel())), pa.array([None], pa.binary())], schema=arrow)
                 read += sum(map(len, texts))
                 if read > _BATCH:
                     yield leave()
@@ -277,9 +298,9 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield leave()
 
     arrow = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), *((c, pa.list_(pa.int64())) for c in ("doc_id", "n", "key")),
-                       *((c, pa.list_(pa.int32())) for c in ("own", "below")), ("payload", pa.binary())])
+                       *((c, pa.list_(pa.int32())) for c in ("own", "below")), ("map", pa.list_(pa.int64())), ("payload", pa.binary())])
     meet_schema = pa.schema([("kind", pa.int32()), ("space", pa.int32()), ("id", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()),
-                             ("own", pa.int32()), ("below", pa.int32())])
+                             ("own", pa.int32()), ("below", pa.int32()), *((m, pa.int64()) for m in MAPS)])
 
     def meet(group: pa.Table) -> pa.Table:
         """Rows of kind 0: (id, b = size, a = class) of documents; 1: pairs a, b with c common signatures; 2: members a (c = 1: own band) of group id."""
@@ -293,7 +314,9 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         docs_ = group.filter(pa.compute.equal(group["kind"], 0))
         if docs_.num_rows:
             flat = {c: docs_[c].combine_chunks().flatten() for c in ("doc_id", "n", "key", "own", "below")}
-            add(0, len(flat["n"]), id=flat["doc_id"], b=flat["n"], a=flat["key"], own=flat["own"], below=flat["below"])
+            maps = docs_["map"].combine_chunks().flatten().to_numpy().reshape(-1, MAP_WORDS)
+            add(0, len(flat["n"]), id=flat["doc_id"], b=flat["n"], a=flat["key"], own=flat["own"], below=flat["below"],
+                **{m: np.ascontiguousarray(maps[:, i]) for i, m in enumerate(MAPS)})
         payload = b"".join(p for p in group["payload"].to_pylist() if p is not None)
         number, rec = common_groups(np.frombuffer(payload, RECORD))
         if len(rec):
@@ -311,24 +334,26 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 add(2, len(r), space=(r["j"] & 127).astype(np.int64), id=number[~two] + first, a=np.ascontiguousarray(r["k"]).view(np.int64), c=(r["j"] >= _OWN).astype(np.int64))
         return pa.concat_tables(out) if out else meet_schema.empty_table()
 
-    met = rows.mapInArrow(sign, schema).groupBy("bucket").applyInArrow(meet, "kind int, space int, id long, a long, b long, c long, own int, below int")
+    met = rows.mapInArrow(sign, schema).groupBy("bucket").applyInArrow(meet, "kind int, space int, id long, a long, b long, c long, own int, below int, " + ", ".join(f"{m} long" for m in MAPS))
     met = staged(met, "near-met")
-    members = met.where("kind = 0").select(F.col("id").alias("doc_id"), F.col("b").alias("n"), F.col("a").alias("key"), "own", "below")
-    classes = members.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("own").alias("own"), F.max("below").alias("below"))
+    members = met.where("kind = 0").select(F.col("id").alias("doc_id"), F.col("b").alias("n"), F.col("a").alias("key"), "own", "below", *MAPS)
+    classes = members.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), *[F.max(c).alias(c) for c in ("n", "own", "below", *MAPS)])
     classes = staged(classes, "near-classes")
     pairs = met.where("kind = 1").groupBy("space", "a", "b").agg(F.sum("c").alias("c"))
     groups = met.where("kind = 2").select("space", "id", F.col("a").alias("key"), (F.col("c") > 0).alias("in_band"))
 
-    def worth(p: DataFrame, counted: bool) -> DataFrame:
-        """Pairs whose sizes allow a link and, if ``counted``, that share enough signatures."""
-        side = lambda x: classes.select(F.col("key").alias(x), F.col("n").alias(f"n{x}"), F.col("own").alias(f"own{x}"), F.col("below").alias(f"below{x}"))
-        p = p.join(side("a"), "a").join(side("b"), "b").where(4 * F.least("na", "nb") >= 3 * F.greatest("na", "nb"))
-        if counted:
-            # The smaller set's band is the space; the other may come from the band above.
-            filled = lambda x: F.when(_band(F.col(f"n{x}")) == F.col("space"), F.col(f"own{x}")).otherwise(F.col(f"below{x}"))
-            need = F.greatest(F.lit(1), F.least(filled("a"), filled("b")) - F.floor((F.col("na") + F.col("nb")) / 7))
-            p = p.where(F.col("c") >= need)
-        return p.select("a", "b").distinct()
+    def worth(p: DataFrame) -> DataFrame:
+        """Pairs (with ``c`` common signatures of a space) whose sizes and counts allow a link."""
+        side = lambda x: info.select(F.col("key").alias(x), *[F.col(c).alias(f"{c}{x}") for c in ("n", "own", "below", "fewer", *MAPS)])
+        p = p.join(side("a"), "a").join(side("b"), "b").where(_possible("a", "b"))
+        both = F.col("na") + F.col("nb")
+        # What the asking set (in its own band; of two the one with the larger number) has left out is not counted.
+        first = (_band(F.col("na")) == F.col("space")) & (_band(F.col("nb")) != F.col("space"))
+        ask = lambda c: F.when(first, F.col(f"{c}a")).otherwise(F.col(f"{c}b"))
+        # Space 0 signs single tokens: there the count is the intersection itself.
+        need = F.when(F.col("space") == 0, F.floor((3 * both + 6) / 7)).otherwise(ask("own") - F.floor(both / 7))
+        need = F.greatest(F.lit(1), need - ask("fewer"))
+        return p.where(F.col("c") >= need).select("a", "b").distinct()
 
     def linked(p: DataFrame, name: str) -> DataFrame:
         """The pairs of ``p`` whose sets have 100 |a & b| >= 75 |a | b|, checked on the sets."""
@@ -339,7 +364,7 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = _Words()
             for b in batches:
-                for lo, hi, texts in text_slices(b.column(1), 2_000_000):
+                for lo, hi, texts in text_slices(b.column(1), 1_000_000):
                     sets, at = shingle_sets(texts, words)
                     yield pa.RecordBatch.from_arrays([pa.array(class_keys(sets, at)), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(sets.view(np.int64)))],
                                                      names=["key", "tokens"])
@@ -351,10 +376,28 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         common = F.size(F.array_intersect("x", "y"))
         return staged(both.where(100 * common >= 75 * (F.size("x") + F.size("y") - common)).select("a", "b"), f"{name}-links")
 
-    # First round: pairs and stars.
-    lowest = groups.groupBy("space", "id").agg(F.min(F.when(F.col("in_band"), F.col("key"))).alias("hub"))
-    stars = groups.join(lowest, ["space", "id"]).where("key <> hub").select("space", F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b"))
-    tried = staged(worth(pairs, True).unionByName(worth(stars.distinct(), False)).distinct(), "near-first")
+    # Signatures that a set in its own band leaves out: its most frequent ones, as far as the bound allows.
+    sizes = groups.groupBy("space", "id").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= HOT)
+    spare = F.when(F.col("space") == 0, F.floor((3 * F.col("n") + 3) / 4) - 1).otherwise(F.col("own") - F.floor(F.col("n") / 3) - 1)
+    hot = groups.where("in_band").join(sizes, ["space", "id"]).join(classes.select("key", "n", "own"), "key")
+    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("size"), "id"))
+    left_out = hot.withColumn("rank", rank).where(F.col("rank") <= spare).select("space", "id", "key")
+    left_out = staged(left_out, "near-left-out")
+    fewer = left_out.groupBy("key").agg(F.count(F.lit(1)).alias("fewer"))
+    groups = groups.join(left_out.withColumn("out", F.lit(True)), ["space", "id", "key"], "left")
+    groups = groups.withColumn("asks", F.col("in_band") & F.col("out").isNull()).drop("out")
+    asked = groups.groupBy("space", "id").agg(F.max("asks").alias("any")).where("any").select("space", "id")
+    groups = staged(groups.join(asked, ["space", "id"], "left_semi"), "near-groups")
+    info = classes.join(fewer, "key", "left").withColumn("fewer", F.coalesce("fewer", F.lit(0)))
+
+    # First round: pairs and stars.  A star counts only the groups with this hub; what that
+    # misses is in the second round.
+    # The hub is the member with most groups: copies of one text then have the same hub almost everywhere.
+    often = groups.groupBy("space", "key").agg(F.count(F.lit(1)).alias("times"))
+    hubs = groups.where("asks").join(often, ["space", "key"]).groupBy("space", "id").agg(F.max(F.struct("times", "key")).alias("hub"))
+    stars = groups.join(hubs.select("space", "id", F.col("hub.key").alias("hub")), ["space", "id"]).where("key <> hub").select("space", F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b"))
+    first = pairs.unionByName(stars.withColumn("c", F.lit(1).cast("long"))).groupBy("space", "a", "b").agg(F.sum("c").alias("c"))
+    tried = staged(worth(first), "near-first")
     links = linked(tried, "near-one")
     comps = connected_components(links, "a", "b").select(F.col("node").alias("key"), "component")
 
@@ -362,11 +405,15 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     placed = groups.join(comps, "key", "left").withColumn("component", F.coalesce("component", "key"))
     mixed = placed.groupBy("space", "id").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("space", "id")
     placed = staged(placed.join(mixed, ["space", "id"], "left_semi"), "near-mixed")
-    x = placed.select("space", "id", F.col("key").alias("a"), F.col("component").alias("ca"), F.col("in_band").alias("ia"))
-    y = placed.select("space", "id", F.col("key").alias("b"), F.col("component").alias("cb"), F.col("in_band").alias("ib"))
-    cross = x.join(y, ["space", "id"]).where("a < b AND ca <> cb AND (ia OR ib)").groupBy("space", "a", "b").agg(F.count(F.lit(1)).alias("c"))
+    placed = placed.join(classes.select("key", "n", *MAPS), "key")
+    x, y = placed.where("asks").alias("x"), placed.alias("y")
+    role = (F.col("x.component") != F.col("y.component")) & (~F.col("y.in_band") | (F.col("y.key") < F.col("x.key")))
+    # The sizes and parity maps are part of the join's condition: pairs of a common passage alone never leave it.
+    cross = x.join(y, (F.col("x.space") == F.col("y.space")) & (F.col("x.id") == F.col("y.id")) & role & _possible("x.", "y."))
+    cross = cross.select(F.col("x.space").alias("space"), F.col("x.key").alias("x"), F.col("y.key").alias("y"))
+    cross = cross.groupBy("space", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count(F.lit(1)).alias("c"))
     cross = cross.unionByName(pairs).groupBy("space", "a", "b").agg(F.sum("c").alias("c"))
-    open_ = worth(cross, True).join(tried, ["a", "b"], "left_anti")
+    open_ = worth(cross).join(tried, ["a", "b"], "left_anti")
     side = lambda k: comps.select(F.col("key").alias(k), F.col("component").alias(f"c{k}"))
     open_ = open_.join(side("a"), "a", "left").join(side("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     more = linked(open_, "near-two")
@@ -385,3 +432,14 @@ def _band(n):
     for j, e in enumerate(EDGES[:-1]):
         out = F.when(n > e, F.lit(j + 1)).otherwise(out)
     return out
+
+
+def _possible(a: str, b: str):
+    """Whether two sets may link by their sizes and parity maps; columns are ``na``, ``m0a`` .. or ``x.n``, ``x.m0`` .."""
+
+    def of(side: str, c: str):
+        return F.col(side + c if side.endswith(".") else c + side)
+
+    na, nb = of(a, "n"), of(b, "n")
+    apart = sum((F.bit_count(of(a, m).bitwiseXOR(of(b, m))) for m in MAPS[1:]), F.bit_count(of(a, MAPS[0]).bitwiseXOR(of(b, MAPS[0]))))
+    return (4 * F.least(na, nb) >= 3 * F.greatest(na, nb)) & (7 * apart <= na + nb)
