@@ -15,8 +15,9 @@ The coder works on numpy vectors over blocks ("lanes"), all with 64-bit integers
 exact quotients, so files do not depend on the machine.  Low and range are 48 bits, output is 16-bit words;
 carries are settled in the finished word lists.
 
-Block: ``<4s`` magic, ``<I`` ids, ``<I`` distinct ids, ``<I`` words, ``<I`` crc32 of what
-follows; then the distinct ids as varint gaps with their counts, then the words.
+Block: ``<4s`` magic, ``<I`` ids, ``<I`` distinct ids, ``<I`` bytes of the header, ``<I``
+words, ``<I`` crc32 of what follows; then the header (distinct ids as varint gaps with
+their counts) and the words.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ ship(__name__)
 
 BLOCK = 2048
 MAGIC = b"TKB1"
-_HEAD, _HEAD_SIZE = "<4sIIII", 20
+_HEAD, _HEAD_SIZE = "<4sIIIII", 24
 _TOTAL = 1 << 16
 _CTX2, _CTX1 = 1 << 11, 1 << 10  # entries of a lane's prediction tables
 _MAX_MIX = _TOTAL - _TOTAL // 8  # order 0 keeps an eighth: each of up to BLOCK ids has a place
@@ -44,28 +45,28 @@ class CorruptBlock(ValueError):
     pass
 
 
-def _varints(values: np.ndarray) -> bytes:
-    """Unsigned LEB128 of values below 2**28."""
+def _varints(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unsigned LEB128 of values below 2**28, and the place after each value."""
     v = values.astype(np.uint32)
     n = 1 + (v >= 1 << 7) + (v >= 1 << 14) + (v >= 1 << 21)
-    at = np.cumsum(n) - n
-    out = np.zeros(int(n.sum()), np.uint8)
+    ends = np.cumsum(n)
+    out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
     for k in range(4):
-        on = n > k
-        out[at[on] + k] = ((v[on] >> (7 * k)) & 127) | np.where(n[on] > k + 1, 128, 0)
-    return out.tobytes()
+        on = np.flatnonzero(n > k)
+        out[ends[on] - n[on] + k] = ((v[on] >> (7 * k)) & 127) | np.where(n[on] > k + 1, 128, 0)
+    return out, ends
 
 
-def _read_varints(data: np.ndarray, count: int) -> tuple[np.ndarray, int]:
-    ends = np.flatnonzero(data < 128)[:count]
-    if len(ends) < count:
+def _read_varints(data: np.ndarray, count: int) -> np.ndarray:
+    ends = np.flatnonzero(data < 128)
+    if len(ends) != count:
         raise CorruptBlock("short header")
     begins = np.concatenate([[0], ends[:-1] + 1]) if count else ends
     out = np.zeros(count, np.int64)
     for k in range(4):
-        on = begins + k <= ends
+        on = np.flatnonzero(begins + k <= ends)
         out[on] |= (data[begins[on] + k].astype(np.int64) & 127) << (7 * k)
-    return out, int(ends[-1]) + 1 if count else 0
+    return out
 
 
 class _Mix:
@@ -118,13 +119,21 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     n = np.array([len(blocks[i]) for i in order], np.int64)
     lanes, longest = len(n), int(n[0]) if len(n) else 0
-    heads, syms, lows, counts = [], *(np.zeros((longest, lanes), np.int32) for _ in range(3))
+    syms, lows, counts = (np.zeros((longest, lanes), np.int32) for _ in range(3))
+    low_of, count_of = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
+    pairs, distinct = [], np.zeros(lanes, np.int64)
     for j, i in enumerate(order):
-        ids, inverse, count = np.unique(blocks[i], return_inverse=True, return_counts=True)
-        cum = np.cumsum(count) - count
-        k = len(blocks[i])
-        syms[:k, j], lows[:k, j], counts[:k, j] = blocks[i], cum[inverse], count[inverse]
-        heads.append((len(ids), _varints(np.column_stack([np.diff(ids.astype(np.int64), prepend=0), count]).ravel())))
+        block = blocks[i].astype(np.uint16)
+        inorder = np.sort(block, kind="stable")  # 16 bits: radix sort
+        cum = np.flatnonzero(np.concatenate([[True], inorder[1:] != inorder[:-1]]))
+        ids, count = inorder[cum], np.diff(np.append(cum, len(block)))
+        low_of[ids], count_of[ids] = cum, count
+        k = len(block)
+        syms[:k, j], lows[:k, j], counts[:k, j] = block, low_of[block], count_of[block]
+        distinct[j] = len(ids)
+        pairs.append(np.column_stack([np.diff(ids.astype(np.int64), prepend=0), count]).ravel())
+    header, ends = _varints(np.concatenate(pairs) if pairs else np.zeros(0, np.int64))
+    head_at = np.concatenate([[0], ends[2 * np.cumsum(distinct) - 1]]) if lanes else np.zeros(1, np.int64)
     mix = _Mix(lanes)
     low, rng = np.zeros(lanes, np.int64), np.full(lanes, 1 << 48, np.int64)
     words = np.zeros((longest + 4, lanes), np.uint32)
@@ -162,30 +171,26 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         while (over := np.flatnonzero(w >> 16)).size:
             w[over] &= 0xFFFF
             w[over[over > 0] - 1] += 1
-        body = heads[j][1] + w.astype("<u2").tobytes()
-        out[i] = struct.pack(_HEAD, MAGIC, int(n[j]), heads[j][0], len(w), zlib.crc32(body)) + body
+        body = header[head_at[j] : head_at[j + 1]].tobytes() + w.astype("<u2").tobytes()
+        out[i] = struct.pack(_HEAD, MAGIC, int(n[j]), int(distinct[j]), int(head_at[j + 1] - head_at[j]), len(w), zlib.crc32(body)) + body
     return out
 
 
-def split_blocks(data: bytes) -> list[tuple[int, int, int, np.ndarray]]:
-    """(ids, distinct, words, body) of every block of a payload, checksums verified."""
+def split_blocks(data: bytes) -> list[tuple[int, int, bytes, bytes]]:
+    """(ids, distinct, header, words) of every block of a payload, checksums verified."""
     out, at = [], 0
     while at < len(data):
         if len(data) - at < _HEAD_SIZE:
             raise CorruptBlock("short block")
-        magic, n, distinct, words, crc = struct.unpack_from(_HEAD, data, at)
+        magic, n, distinct, head, words, crc = struct.unpack_from(_HEAD, data, at)
         at += _HEAD_SIZE
-        if magic != MAGIC or n > BLOCK or distinct > n or words > BLOCK + 8:
+        if magic != MAGIC or not 0 < n <= BLOCK or distinct > n or head > 8 * distinct or not 3 <= words <= BLOCK + 8:
             raise CorruptBlock("not a block")
-        ends = np.flatnonzero(np.frombuffer(data, np.uint8, min(len(data) - at, 8 * distinct), at) < 128)
-        if len(ends) < 2 * distinct:
-            raise CorruptBlock("short header")
-        size = int(ends[2 * distinct - 1]) + 1 + 2 * words
-        body = data[at : at + size]
-        if len(body) < size or zlib.crc32(body) != crc:
+        body = data[at : at + head + 2 * words]
+        if len(body) < head + 2 * words or zlib.crc32(body) != crc:
             raise CorruptBlock("checksum differs")
-        out.append((n, distinct, words, np.frombuffer(body, np.uint8)))
-        at += size
+        out.append((n, distinct, body[:head], body[head:]))
+        at += len(body)
     return out
 
 
@@ -198,15 +203,17 @@ def decode_blocks(payload: bytes) -> list[np.ndarray]:
     # The block's ids in order: slot -> id, first slot of the id, its count (28, 14 and 14 bits).
     slots = np.zeros((lanes, longest), np.int64)
     words = np.zeros((longest + 8, lanes), np.int64)
+    pairs = _read_varints(np.frombuffer(b"".join(parts[i][2] for i in order), np.uint8), 2 * sum(p[1] for p in parts))
+    at = 0
     for j, i in enumerate(order):
-        k, distinct, w, body = parts[i]
-        pairs, at = _read_varints(body, 2 * distinct)
-        ids, count = np.cumsum(pairs[::2]), pairs[1::2]
-        if count.sum() != k:
+        k, distinct, _, body = parts[i]
+        ids, count = np.cumsum(pairs[at : at + 2 * distinct : 2]), pairs[at + 1 : at + 2 * distinct : 2]
+        at += 2 * distinct
+        ends = np.cumsum(count)
+        if not len(ends) or ends[-1] != k:
             raise CorruptBlock("counts differ")
-        cum = np.cumsum(count) - count
-        slots[j, :k] = np.repeat((ids << 28) + (cum << 14) + count, count)
-        words[:w, j] = np.frombuffer(body.tobytes(), "<u2", w, at)
+        slots[j, :k] = np.repeat((ids << 28) + ((ends - count) << 14) + count, count)
+        words[: len(body) // 2, j] = np.frombuffer(body, "<u2")
     mix = _Mix(lanes)
     value = (words[0] << 32) + (words[1] << 16) + words[2]
     rng, used = np.full(lanes, 1 << 48, np.int64), np.full(lanes, 3, np.int64)

@@ -21,12 +21,12 @@ from counterpoise.llm.common import ship
 
 ship(__name__)
 
-MAX_CHUNKS = 500_000  # distinct chunks kept by a worker; beyond it those seen once are forgotten
+MAX_CHUNKS = 800_000  # distinct chunks kept by a worker; beyond it those seen once are forgotten
 # Whole runs of these marks between a letter and white space are pre-tokens of their own.
 _MARKS = r"[.,;:!?%&$#*|]+"
 _BLANK = re.compile(rf" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?={_MARKS}(?:[ \n]|\Z))|(?<=[A-Za-zÀ-ÖØ-öø-ÿ]){_MARKS}(?=[ \n]|\Z)| ?[^ \n]+|[ \n]+(?![^ \n])|[ \n]+")
 _TRAILING = re.compile(rf"(?<=[a-zß-öø-ÿ])({_MARKS})(?=[ \n]|\Z)")
-_OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‏    　﻿]")
+_OTHER_SPACE = re.compile("[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200f\\u2028\\u2029\\u202f\\u205f\\u3000\\ufeff]")
 
 
 def cut_word(text: str) -> list[str]:
@@ -39,8 +39,27 @@ def cut_word(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
+# Chunks of byte-level tokenizers are named without their leading blank; BARE marks a chunk that has none.
+BARE = "\x01"
+_JOINED_MARK = re.compile(r"[^A-Za-z0-9À-ÖØ-öø-ÿ][.,] ")
+
+
 def cut_blank(text: str) -> list[str]:
-    return [text] if _OTHER_SPACE.search(text) else _BLANK.findall(text)
+    """For tokenizers whose words carry their leading blank; see ``blank_chunk``."""
+    if not text:
+        return []
+    if _OTHER_SPACE.search(text):
+        return [BARE + text]
+    if BARE in text or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n":
+        return [c[1:] if len(c) > 1 and c[0] == " " and c[1] not in " \n" and BARE not in c else c if c == "\n" else BARE + c for c in _BLANK.findall(text)]
+    if not _JOINED_MARK.search(text):
+        text = text.replace(", ", f" {BARE}, ").replace(". ", f" {BARE}. ")
+    return (BARE + text.replace("\n", f" \n {BARE}")).split(" ")
+
+
+def blank_chunk(name: str) -> str:
+    """The text of a chunk of ``cut_blank``."""
+    return name[1:] if name[0] == BARE else name if name == "\n" else " " + name
 
 
 class _Table(dict):
@@ -93,7 +112,8 @@ class Encoder:
         if not new:
             return
         self.table.fresh = []
-        got = self._joined(new) if self.cut is cut_word else [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        got = self._joined(new) if self.cut is cut_word else [
+            e.ids for e in self.tokenizer.encode_batch_fast([blank_chunk(c) for c in new], add_special_tokens=False)]
         ends = self.at[-1] + np.cumsum([len(x) for x in got])
         if ends[-1] > len(self.ids):
             self.ids = np.concatenate([self.ids[: self.at[-1]], np.zeros(int(ends[-1]) * 2, np.uint32)])
