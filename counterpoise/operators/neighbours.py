@@ -172,10 +172,10 @@ def bucket_errors(rows: DataFrame) -> DataFrame:
         strangers = len(pdf) - len(known)
         x, y = np.stack(known[FEATURES].to_numpy()).astype(np.float64), known[LABEL].to_numpy()
         s = np.flatnonzero(known["chosen"].notna().to_numpy())
-        errors = 0
-        for lo in range(0, len(x), _CHUNK):
-            d = ((x[lo : lo + _CHUNK, None, :] - x[s][None, :, :]) ** 2).sum(2) if len(s) else np.zeros((len(x[lo : lo + _CHUNK]), 0))
-            errors += int((y[s][d.argmin(1)] != y[lo : lo + _CHUNK]).sum()) if len(s) else len(d)
+        errors, step = 0, 32  # bounds the difference block to 32 rows of the selection
+        for lo in range(0, len(x), step):
+            d = ((x[lo : lo + step, None, :] - x[s][None, :, :]) ** 2).sum(2) if len(s) else np.zeros((len(x[lo : lo + step]), 0))
+            errors += int((y[s][d.argmin(1)] != y[lo : lo + step]).sum()) if len(s) else len(d)
         return pd.DataFrame({BUCKET: [pdf[BUCKET].iloc[0]], "n": [len(known)], "classes": [len(set(y[s]))], "errors": [errors], "strangers": [strangers]})
 
     return rows.groupBy(BUCKET).applyInPandas(run, f"{BUCKET} int, n long, classes long, errors long, strangers long")
