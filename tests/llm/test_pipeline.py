@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from odd_input import no_docs, odd_docs  # noqa: F401
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 
 
 def test_stages_decide_and_keep_columns(spark):
