@@ -6,8 +6,9 @@ sample, plus an L1 term that keeps only words that matter, plus the counterfactu
 
     cf * mean over labelled sentences of (f(sentence) - f(swapped sentence))^2
 
-where identity terms are swapped for others of their group.  A word that marks a group
-thus cannot carry a score of its own, and neutral mentions stay low.
+where an identity term is swapped for another of its group, once for every term of the
+sentence.  All features that the swap takes out or brings in count, beginnings too.  A
+word that marks a group thus cannot carry a score of its own, and neutral mentions stay low.
 
 The vocabulary is counted by Spark over the sample: words of at least ``min_docs``
 documents, the ``vocabulary`` ones with the most class-dependent counts, and all
@@ -68,6 +69,13 @@ def features(found: set[str]) -> set[str]:
     return out
 
 
+def changed(found: set[str], term: str, other: str) -> tuple[set[str], set[str]]:
+    """Features that go and features that come when ``other`` takes the place of ``term`` among the words ``found``."""
+    kept = features(found - {term})
+    out, come = features({term}), features({other})
+    return out - come - kept, come - out - kept
+
+
 def _sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 
@@ -77,8 +85,14 @@ def fit_weights(indptr: np.ndarray, index: np.ndarray, y: np.ndarray, n_words: i
     """Intercept and weights by accelerated proximal gradient steps.
 
     Document i has the words ``index[indptr[i]:indptr[i + 1]]``.  ``pairs``: one row
-    (word out, word in) per swapped term of a labelled sentence.
+    (word out, word in) per swapped term of a labelled sentence, or, where a swap changes
+    any number of features, one row (swap, feature, 1 if it goes or -1 if it comes) for each.
     """
+    if pairs.shape[1] == 2:
+        swap, feature, sign = np.repeat(np.arange(len(pairs)), 2), pairs.ravel(), np.tile([1.0, -1.0], len(pairs))
+    else:
+        swap, feature, sign = pairs[:, 0], pairs[:, 1], pairs[:, 2].astype(float)
+    n_swaps = int(swap.max()) + 1 if len(swap) else 0
     n = len(y)
     owner = np.repeat(np.arange(n), np.diff(indptr))
     w, w0, v, v0, t = np.zeros(n_words), 0.0, np.zeros(n_words), 0.0, 1.0
@@ -89,15 +103,15 @@ def fit_weights(indptr: np.ndarray, index: np.ndarray, y: np.ndarray, n_words: i
     weight /= weight.sum()
     per_word = np.bincount(index, weight[owner], n_words) * 0.25
     lip = np.maximum(per_word * 12, 1e-6)  # separable steps: words of a document act together
-    if len(pairs):
-        lip += 4 * cf * (np.bincount(pairs[:, 0], minlength=n_words) + np.bincount(pairs[:, 1], minlength=n_words)) / len(pairs)
+    if n_swaps:
+        lip += 2 * cf / n_swaps * np.bincount(feature, np.bincount(swap)[swap], n_words)
     for _ in range(rounds):
         z = np.bincount(owner, v[index], n) + v0
         r = (_sigmoid(z) - y) * weight
         g = np.bincount(index, r[owner], n_words)
-        if len(pairs):
-            d = v[pairs[:, 0]] - v[pairs[:, 1]]
-            g += 2 * cf / len(pairs) * (np.bincount(pairs[:, 0], d, n_words) - np.bincount(pairs[:, 1], d, n_words))
+        if n_swaps:
+            d = np.bincount(swap, sign * v[feature], n_swaps)
+            g += 2 * cf / n_swaps * np.bincount(feature, sign * d[swap], n_words)
         new = v - g / lip
         new = np.sign(new) * np.maximum(np.abs(new) - l1 / lip, 0)
         new0 = v0 - r.sum() / 3.0
@@ -129,12 +143,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", m
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(2).to_pylist()
-            # Terms swapped, one entry for every labelled sentence and term.
-            terms = [[t for s in _SENTENCE.split(x) for t in words(s) & swap.keys()] for x in texts]
+            # What swaps change, one entry for every labelled sentence and term: features that go (-) and that come (+).
+            terms = [[[*("-" + f for f in sorted(out)), *("+" + f for f in sorted(come))] for found in map(words, _SENTENCE.split(x))
+                      for t in sorted(found & swap.keys()) for out, come in [changed(found, t, swap[t])]] for x in texts]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([sorted(features(words(x))) for x in texts], pa.list_(pa.string())),
-                                              pa.array(terms, pa.list_(pa.string()))], names=["doc_id", "label", "words", "terms"])
+                                              pa.array(terms, pa.list_(pa.list_(pa.string())))], names=["doc_id", "label", "words", "terms"])
 
-    sets = staged(sample.select("doc_id", "label", "text").mapInArrow(read, f"doc_id {kind}, label int, words array<string>, terms array<string>"), "tox-words")
+    sets = staged(sample.select("doc_id", "label", "text").mapInArrow(read, f"doc_id {kind}, label int, words array<string>, terms array<array<string>>"), "tox-words")
     totals = sets.agg(F.count_if(F.col("label") > 0).alias("p"), F.count(F.lit(1)).alias("n")).first()
     n1, n0 = totals["p"], totals["n"] - totals["p"]
     if not n1 or not n0:
@@ -152,14 +167,18 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", m
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = [[number[w] for w in ws if w in number] for ws in b.column(2).to_pylist()]
-            sw = [[x for t in ts for x in (number[t], number[swap[t]])] for ts in b.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.list_(pa.int32())), pa.array(sw, pa.list_(pa.int32()))],
+            # Numbers from 1, negative where the feature goes; features without a number have no weight.
+            sw = [[[(number[f[1:]] + 1) * (-1 if f[0] == "-" else 1) for f in fs if f[1:] in number] for fs in swaps_] for swaps_ in b.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.list_(pa.int32())), pa.array(sw, pa.list_(pa.list_(pa.int32())))],
                                              names=["doc_id", "label", "ids", "swapped"])
 
-    got = sets.mapInArrow(index, f"doc_id {kind}, label int, ids array<int>, swapped array<int>").toArrow().sort_by("doc_id")
+    got = sets.mapInArrow(index, f"doc_id {kind}, label int, ids array<int>, swapped array<array<int>>").toArrow().sort_by("doc_id")
     ids = got["ids"].combine_chunks()
     indptr = np.concatenate([[0], np.cumsum(np.asarray(ids.value_lengths()))])
-    pairs = np.asarray(got["swapped"].combine_chunks().flatten()).reshape(-1, 2)
+    swapped = got["swapped"].combine_chunks().flatten()
+    lens, signed = np.asarray(swapped.value_lengths()).astype(np.int64), np.asarray(swapped.flatten()).astype(np.int64)
+    # A swap always takes its term out, and all terms have numbers: no entry is empty.
+    pairs = np.column_stack([np.repeat(np.arange(len(lens)), lens), np.abs(signed) - 1, -np.sign(signed)])
     y = (np.asarray(got["label"]) > 0).astype(float)
     w0, w = fit_weights(indptr, np.asarray(ids.flatten()), y, len(vocab), pairs, cf)
     return ToxicityModel(float(w0), {vocab[i]: float(w[i]) for i in np.flatnonzero(w)})

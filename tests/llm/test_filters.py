@@ -123,6 +123,38 @@ def test_counterfactual_term_ties_swapped_words():
     assert abs(free[0] - free[1]) > 5 * abs(tied[0] - tied[1])
 
 
+def test_counterfactuals_cover_the_beginnings_of_identity_terms(spark):
+    # Long identity words go with the label, their counterparts do not; every sentence is neutral but for the insult.
+    g = random.Random(4)
+    rows, labels = [], []
+    fill = ["".join(g.choices("bcdfgl", k=3)) for _ in range(60)]
+    for i in range(400):
+        toxic = i % 2
+        term = ("muslim" if toxic else "christian") if g.random() < 0.8 else g.choice(fill)
+        w = g.choices(fill, k=12) + [term] + (["scum"] if toxic and g.random() < 0.6 else [])
+        rows.append((i, " ".join(w)))
+        labels.append((i, 1, toxic))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, LABELS)
+    model = toxicity.fit_toxicity(docs, labels)
+
+    def logit(text):
+        p = model.score(text)
+        return np.log(p / (1 - p))
+
+    gap = logit("the muslim neighbours met") - logit("the christian neighbours met")
+    free = toxicity.fit_toxicity(docs, labels, cf=0.0)
+    free_gap = sum(free.weights.get(f, 0) for f in toxicity.features({"muslim"})) - sum(free.weights.get(f, 0) for f in toxicity.features({"christian"}))
+    assert free_gap > 1 and abs(gap) < 0.25 * free_gap
+    assert model.score("the muslim neighbours met") < 0.7 <= model.score("the neighbours are scum")
+
+
+def test_a_swap_keeps_the_features_of_other_words():
+    out, come = toxicity.changed({"women", "womenfolk", "met"}, "women", "men")
+    assert out == {"women"} and come == {"men"}
+    out, come = toxicity.changed({"muslim", "met"}, "muslim", "christian")
+    assert out == {"muslim", "musl*", "musli*"} and come == {"christian", *("christia"[:k] + "*" for k in range(4, 9))}
+
+
 # ---------------------------------------------------------------- urls
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
 URLS = [None, "", "no scheme", "http://A.Example.ORG/es/1", "https://example.org/en/12?q=/es/", "http://example.org", "http://example.org?x=1", "http://x.com/fr/1#a/b",
