@@ -14,8 +14,9 @@ Texts are compared lower-cased, with runs of white space as one blank.
 The items travel with the tasks: their total size is checked, and beyond
 ``INDEX_BYTES`` they are dealt into that many parts and the documents read once for each.
 
-Defined cases: null, empty and blank items are left out, as are null and empty texts;
-items shorter than a q-gram must occur as they are; items that repeat are all reported;
+Defined cases: null, empty and blank items (of white space of any kind) are left out, as
+are null and empty texts; items shorter than a q-gram must occur as they are and not
+inside a longer word (scripts without blanks have no such words); items that repeat are all reported;
 repeated document rows are judged each; an empty table gives an empty result; other
 columns are ignored by the search and kept by the filter.
 """
@@ -23,6 +24,7 @@ columns are ignored by the search and kept by the filter.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,10 +44,30 @@ INDEX_BYTES = 2 << 20  # an index takes some 32 times as much in a task
 _BITS = 22
 
 
+#: Letters, digits and marks of scripts that set blanks between words.
+_IN_WORD = re.compile("[^\\W\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]|[\u0300-\u036f]")
+
+
 def normal(text: str) -> bytes:
     return " ".join(text.lower().split()).encode("utf-8", "replace")
 
 
+def find_words(text: bytes, item: bytes) -> int:
+    """The first place of ``item`` in ``text`` where no word goes on over its ends, or -1."""
+
+    def cut(left: bytes, right: bytes) -> bool:
+        a, b = left[-4:].decode("utf-8", "ignore")[-1:], right[:4].decode("utf-8", "ignore")[:1]
+        return not (_IN_WORD.match(a) and _IN_WORD.match(b))
+
+    p = text.find(item)
+    while p >= 0:
+        end = p + len(item)
+        if cut(text[max(0, p - 4) : p], item) and cut(item, text[end : end + 4]):
+            return p
+        p = text.find(item, p + 1)
+    return -1
+
+
 def grams(data: np.ndarray) -> np.ndarray:
     """Keys of all Q-byte windows (Q = 12: two overlapping 8-byte words, mixed)."""
     n = len(data) - Q + 1
@@ -64,7 +86,8 @@ class Index:
     """The q-grams of a set of items."""
 
     def __init__(self, ids: list, texts: list[str], rate: float = RATE):
-        self.ids, self.items = ids, [normal(t) for t in texts]
+        some = [(i, x) for i, x in zip(ids, map(normal, texts)) if x]  # blank items are in every text
+        self.ids, self.items = [i for i, _ in some], [x for _, x in some]
         self.edits = np.array([budget(len(x), rate) for x in self.items], np.int64)
         self.need = np.array([len(x) + 1 - Q - Q * e for x, e in zip(self.items, self.edits)], np.int64)
         self.short = [i for i, x in enumerate(self.items) if len(x) < Q]
@@ -89,7 +112,7 @@ class Index:
         at = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
         joined = b"".join(raw)
         if self.short:
-            out += [(t, i, p, p + len(self.items[i]), 0) for t, r in enumerate(raw) for i in self.short if (p := r.find(self.items[i])) >= 0]
+            out += [(t, i, p, p + len(self.items[i]), 0) for t, r in enumerate(raw) for i in self.short if (p := find_words(r, self.items[i])) >= 0]
         keys = grams(np.frombuffer(joined, np.uint8))
         if not len(keys) or not len(self.keys):
             return out

@@ -285,6 +285,21 @@ def test_leaks_within_the_edit_budget(spark):
     assert decontaminate.find_leaks(df, none).count() == 0 and decontaminate.drop_leaks(df, none).count() == df.count()
 
 
+def test_blank_and_short_items(spark):
+    items = [(0, "\n\t"), (1, "\u00a0\u2003"), (2, "no"), (3, "42"), (4, "東京"), (5, "c++"), (6, "größe"), (7, "\x1c")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    texts = ["nothing is known of a piano in 1942", "", "well, NO!", "no", "know no more", "it was 42.", "私は東京に住む", "in c++ it is", "so groß, die Größe", "die Größen", "abc++", "no\u0301n"]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(50, None)], "doc_id long, text string")
+    rows = decontaminate.find_leaks(docs, bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in rows) == [(2, 2), (3, 2), (4, 2), (5, 3), (6, 4), (7, 5), (8, 6)]
+    for r in rows:
+        assert decontaminate.normal(texts[r.doc_id])[r.start : r.end] == decontaminate.normal(dict(items)[r.item_id]) and r.edits == 0
+    assert next(r.start for r in rows if r.doc_id == 4) == 5
+    assert sorted(r.doc_id for r in decontaminate.drop_leaks(docs, bench).collect()) == [0, 1, 9, 10, 11, 50]
+    blank = bench.where("item_id in (0, 1, 7)")
+    assert decontaminate.find_leaks(docs, blank).count() == 0 and decontaminate.drop_leaks(docs, blank).count() == docs.count()
+
+
 def test_index_in_parts_finds_the_same(spark, monkeypatch):
     bench = spark.createDataFrame([(i, f"the item number {i} of a list that is long enough {i * i}") for i in range(30)], "item_id long, text string")
     docs = spark.createDataFrame([(i, f"before the item number {i} of a list that is long enough {i * i} after") for i in range(30)], "doc_id long, text string")
