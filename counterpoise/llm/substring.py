@@ -3,9 +3,10 @@
 Every text is cut where a gear rolling hash of the last 16 bytes meets a mask, so cuts
 move with the content: an insertion changes the chunks around it and no others.  Chunks
 are compared by 64-bit digests over the whole corpus.  Of equal chunks the one with the
-smallest (document id, place) stays; runs of adjoining repeated chunks of at least
-``min_run`` bytes are the repeated spans (some 20 words; shorter runs are chance or set
-phrases and stay).
+smallest (document id, place) stays and is the source of the others.  Runs of
+adjoining chunks with one source at one distance, of at least ``min_run`` bytes, are the
+repeated spans (some 20 words; shorter ones are chance or set phrases and stay), so each
+span is held whole by the document it names.
 
 Data flow: tasks cut their texts and pre-aggregate per digest (one record of a digest
 leaves a batch, the others are repeats already), records travel as packed arrays by
@@ -16,7 +17,8 @@ bucket holds more than its share of distinct chunks.
 Defined cases: null and empty texts have no chunks; rows that repeat both id and text
 are one document (all keep or lose the same spans); equal ids with other texts are
 documents of their own; null ids count as smallest; cuts never split a character; an
-empty table gives no spans; other columns are ignored.
+empty table gives no spans; spans of a document may overlap where sources do; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,7 +44,9 @@ _BUCKET = 32 << 20  # bytes of text per digest bucket
 _NULL_ID = -(1 << 63)
 
 RECORD = np.dtype([("d", "<u8"), ("doc", "<i8"), ("h", "<i8"), ("s", "<u4"), ("n", "<u4")])
-REPEAT = np.dtype([("doc", "<i8"), ("h", "<i8"), ("s", "<u4"), ("n", "<u4"), ("ref", "<i8")])
+REPEAT = np.dtype([("doc", "<i8"), ("h", "<i8"), ("s", "<u4"), ("n", "<u4"), ("ref", "<i8"), ("rh", "<i8"), ("rs", "<u4")])
+#: A run at [s, e) of a document and its source at rs of another.
+RUN = np.dtype([("doc", "<i8"), ("h", "<i8"), ("s", "<i8"), ("e", "<i8"), ("ref", "<i8"), ("rh", "<i8"), ("rs", "<i8")])
 
 
 def _random(n: int, seed: int) -> np.ndarray:
@@ -138,11 +142,11 @@ def firsts_and_repeats(rec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     some = some[new]
     first = np.ones(len(some), bool)
     first[1:] = some["d"][1:] != some["d"][:-1]
-    ref = some["doc"][first][np.cumsum(first) - 1]
+    source = some[first][np.cumsum(first) - 1][~first]
     out = np.zeros(int((~first).sum()), REPEAT)
     for f in ("doc", "h", "s", "n"):
         out[f] = some[f][~first]
-    out["ref"] = ref[~first]
+    out["ref"], out["rh"], out["rs"] = source["doc"], source["h"], source["s"]
     return np.concatenate([alone, some[first]]), out
 
 
@@ -164,8 +168,51 @@ def _doc_bucket(rep: np.ndarray, buckets: int) -> np.ndarray:
     return ((x >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
 
 
+def runs_of(rep: np.ndarray) -> np.ndarray:
+    """Adjoining repeats with one source at one distance, joined to runs."""
+    rep = np.unique(rep)
+    way = rep["rs"].astype(np.int64) - rep["s"]
+    order = np.lexsort((rep["s"], way, rep["rh"], rep["ref"], rep["h"], rep["doc"]))
+    rep, way = rep[order], way[order]
+    end = rep["s"].astype(np.int64) + rep["n"]
+    new = np.ones(len(rep), bool)
+    new[1:] = (way[1:] != way[:-1]) | (rep["s"][1:] != end[:-1])
+    for f in ("doc", "h", "ref", "rh"):
+        new[1:] |= rep[f][1:] != rep[f][:-1]
+    first = np.flatnonzero(new)
+    out = np.zeros(len(first), RUN)
+    for f in ("doc", "h", "s", "ref", "rh", "rs"):
+        out[f] = rep[f][first]
+    out["e"] = end[np.append(first[1:], len(rep)) - 1]
+    return out
+
+
+def fewest(runs: np.ndarray) -> np.ndarray:
+    """Of sorted runs (document, start, longest first) those that cover all bytes of all of them, greedily."""
+    keep: list[int] = []
+    best, best_end = -1, -1  # the furthest run that reaches back into what is kept
+    key, kept_end = None, -1
+    for i, (doc, h, s, e) in enumerate(runs[["doc", "h", "s", "e"]].tolist()):
+        if (doc, h) != key or s > kept_end:
+            if (doc, h) == key and best_end > kept_end:
+                keep.append(best)
+                kept_end = best_end
+            elif (doc, h) != key and best_end > kept_end:
+                keep.append(best)
+            if (doc, h) != key or s > kept_end:
+                key, kept_end = (doc, h), e
+                keep.append(i)
+                best, best_end = -1, -1
+                continue
+        if e > max(kept_end, best_end):
+            best, best_end = i, e
+    if best_end > kept_end:
+        keep.append(best)
+    return runs[np.array(keep, np.int64)]
+
+
 def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, text_hash, start, end, first_doc_id)``: repeated byte spans and a document with an earlier copy.
+    """``(doc_id, text_hash, start, end, first_doc_id)``: repeated byte spans and a document that holds all of the span earlier.
 
     ``doc_id`` must be an integer column; ``text_hash`` is ``xxhash64(text)``.
     """
@@ -217,20 +264,11 @@ def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_i
         return pa.Table.from_batches([_batch(_rows(1, _doc_bucket(rep, buckets), rep))])
 
     def join(group: pa.Table) -> pa.Table:
-        rep = np.unique(np.frombuffer(b"".join(group["payload"].to_pylist()), REPEAT))
-        # np.unique sorts by doc, text hash, start: of one chunk's references the smallest is first.
-        head = np.ones(len(rep), bool)
-        head[1:] = (rep["doc"][1:] != rep["doc"][:-1]) | (rep["h"][1:] != rep["h"][:-1]) | (rep["s"][1:] != rep["s"][:-1])
-        rep = rep[head]
-        new = np.ones(len(rep), bool)
-        new[1:] = (rep["doc"][1:] != rep["doc"][:-1]) | (rep["h"][1:] != rep["h"][:-1]) | (rep["s"][1:] != rep["s"][:-1] + rep["n"][:-1])
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(rep)) - 1
-        start, end = rep["s"][first].astype(np.int64), rep["s"][last].astype(np.int64) + rep["n"][last]
-        on = end - start >= min_run
-        doc, ref = rep["doc"][first][on], rep["ref"][first][on]
-        return pa.table({"doc_id": pa.array(doc, mask=doc == _NULL_ID), "text_hash": pa.array(rep["h"][first][on]), "start": pa.array(start[on]),
-                         "end": pa.array(end[on]), "first_doc_id": pa.array(ref, mask=ref == _NULL_ID)})
+        out = runs_of(np.frombuffer(b"".join(group["payload"].to_pylist()), REPEAT))
+        out = out[out["e"] - out["s"] >= min_run]
+        out = fewest(out[np.lexsort((out["rs"], out["rh"], out["ref"], -out["e"], out["s"], out["h"], out["doc"]))])
+        return pa.table({"doc_id": pa.array(out["doc"], mask=out["doc"] == _NULL_ID), "text_hash": pa.array(out["h"]), "start": pa.array(out["s"]),
+                         "end": pa.array(out["e"]), "first_doc_id": pa.array(out["ref"], mask=out["ref"] == _NULL_ID)})
 
     packed = "kind int, bucket int, payload binary"
     records = rows.mapInArrow(cut, packed)
@@ -254,7 +292,7 @@ def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text
                 raw, kept, at = t.encode("utf-8", "replace"), [], 0
                 for s in own:
                     kept.append(raw[at : s["start"]])
-                    at = s["end"]
+                    at = max(at, s["end"])
                 t = (b"".join(kept) + raw[at:]).decode("utf-8", "replace")
             out.append(t)
         return pd.Series(out, dtype=object)

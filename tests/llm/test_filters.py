@@ -239,6 +239,28 @@ def test_first_copy_stays_whatever_the_batches(spark, monkeypatch):
         assert {r.doc_id for r in rows} == set(range(6, 60)) and all(r.start == 0 and r.end == len(texts[r.doc_id % 6]) for r in rows)
 
 
+def _words(g, n, lo, hi):
+    return ["".join(g.choices("abcdefghijklmnopqrstuvwxyzé", k=g.randint(lo, hi))) for _ in range(n)]
+
+
+def test_a_span_has_one_source(spark):
+    # Document 100 strings together pieces of others, each too short to be a repeated passage.
+    g = random.Random(12)
+    texts = {i: " ".join(_words(g, 60, 2, 8)) for i in range(40)}
+    texts[100] = "".join(texts[i][60:140] for i in range(40))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert substring.repeated_spans(docs).count() == 0
+
+
+def test_overlapping_spans_are_removed_once(spark):
+    docs = spark.createDataFrame([(1, "0123456789é")], "doc_id long, text string")
+    spans = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(F.array(*[F.struct(F.lit(a).alias("start"), F.lit(b).alias("end")) for a, b in ((1, 6), (2, 4), (5, 8))])).alias("x"))
+    assert substring.remove_spans(docs, spans.select("doc_id", "text_hash", "x.*")).first().text == "089é"
+    runs = np.zeros(5, substring.RUN)
+    runs["doc"], runs["s"], runs["e"] = [1, 1, 1, 1, 2], [0, 10, 20, 90, 0], [50, 60, 80, 99, 5]
+    assert substring.fewest(runs)["s"].tolist() == [0, 20, 90, 0]
+
+
 def test_chunks_follow_the_content():
     g = np.random.default_rng(2)
     a = g.integers(97, 123, 4000).astype(np.uint8)
