@@ -3,16 +3,25 @@
 Every text is cut where a gear rolling hash of the last 16 bytes meets a mask, so cuts
 move with the content: an insertion changes the chunks around it and no others.  Chunks
 are compared by 64-bit digests over the whole corpus.  Of equal chunks the one with the
-smallest (document id, place) stays and is the source of the others.  Runs of
-adjoining chunks with one source at one distance, of at least ``min_run`` bytes, are the
-repeated spans (some 20 words; shorter ones are chance or set phrases and stay), so each
-span is held whole by the document it names.
+smallest (document id, place) stays and is the source of the others.  Every run of
+adjoining chunks with one source, be it a single chunk, is a candidate; it is extended to
+left and right as long as its bytes equal the source's.  Words said over and over, which
+chunks do not follow, are found by their period and have the place before as source.  Extended runs of at least
+``min_run`` bytes are the repeated spans (some 20 words; shorter ones are chance or set
+phrases and stay), so each span is held whole by the document it names.
 
 Data flow: tasks cut their texts and pre-aggregate per digest (one record of a digest
 leaves a batch, the others are repeats already), records travel as packed arrays by
-digest bucket, repeats travel on by document bucket, where adjoining ones are joined to
-spans.  A chunk that a third of all documents share is one record per batch, and no
-bucket holds more than its share of distinct chunks.
+digest bucket, repeats travel on by document bucket and become candidates there.  These
+ask for the ``min_run`` bytes beside them and beside their sources, once for each bucket;
+a join with the texts answers, and the bucket compares.  What is still equal at the end of
+its slice, where no other span covers what follows, asks for longer slices in another
+round.  A chunk that a third of all documents share is one record per batch and one
+slice per bucket, and no bucket holds more than its share of distinct chunks.
+
+A passage is missed where no chunk of it has a source that holds at least ``min_run`` bytes
+around it: where none is cut alike in both texts, or each of its chunks occurs first
+elsewhere by itself.
 
 Defined cases: null and empty texts have no chunks; rows that repeat both id and text
 are one document (all keep or lose the same spans); equal ids with other texts are
@@ -31,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from counterpoise.llm.common import ship
+from counterpoise.llm.common import ship, staged
 from counterpoise.llm.tokens import text_slices
 
 ship(__name__)
@@ -39,14 +48,15 @@ ship(__name__)
 MIN_CHUNK, MASK_BITS, MAX_CHUNK = 16, 4, 128
 MIN_RUN = 128
 _WINDOW = 16
+_PROBE = 24  # bytes of a long chunk looked for in itself
 _BATCH = 16_000_000  # bytes of text cut before records leave a task
 _BUCKET = 32 << 20  # bytes of text per digest bucket
 _NULL_ID = -(1 << 63)
 
 RECORD = np.dtype([("d", "<u8"), ("doc", "<i8"), ("h", "<i8"), ("s", "<u4"), ("n", "<u4")])
 REPEAT = np.dtype([("doc", "<i8"), ("h", "<i8"), ("s", "<u4"), ("n", "<u4"), ("ref", "<i8"), ("rh", "<i8"), ("rs", "<u4")])
-#: A run at [s, e) of a document and its source at rs of another.
-RUN = np.dtype([("doc", "<i8"), ("h", "<i8"), ("s", "<i8"), ("e", "<i8"), ("ref", "<i8"), ("rh", "<i8"), ("rs", "<i8")])
+#: A run at [s, e) of a document and its source at rs of another; left and right: whether that end is open.
+RUN = np.dtype([("doc", "<i8"), ("h", "<i8"), ("s", "<i8"), ("e", "<i8"), ("ref", "<i8"), ("rh", "<i8"), ("rs", "<i8"), ("left", "?"), ("right", "?")])
 
 
 def _random(n: int, seed: int) -> np.ndarray:
@@ -150,6 +160,27 @@ def firsts_and_repeats(rec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([alone, some[first]]), out
 
 
+def periodic(data: bytes, starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """(chunk, start, length, source) of long chunks whose first or last bytes come again inside them."""
+    out = []
+    for k in np.flatnonzero(ends - starts >= MAX_CHUNK // 2).tolist():
+        lo, hi = int(starts[k]), int(ends[k])
+        head = data[lo : lo + _PROBE]
+        again = data.find(head, lo + 1, hi)
+        if again >= 0:
+            end = again + _PROBE
+            while end < hi and data[end] & 0xC0 == 0x80:  # whole characters only
+                end -= 1
+            out.append((k, again, end - again, lo))
+        start = hi - _PROBE
+        while data[start] & 0xC0 == 0x80:
+            start += 1
+        before = data.rfind(data[start:hi], lo, hi - 1)
+        if before >= 0:
+            out.append((k, start, hi - start, before))
+    return out
+
+
 def _rows(kind: int, buckets: np.ndarray, records: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
     order = np.argsort(buckets, kind="stable")
     buckets, records = buckets[order], records[order]
@@ -169,7 +200,7 @@ def _doc_bucket(rep: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def runs_of(rep: np.ndarray) -> np.ndarray:
-    """Adjoining repeats with one source at one distance, joined to runs."""
+    """Adjoining repeats with one source at one distance, joined to runs that are open at both ends."""
     rep = np.unique(rep)
     way = rep["rs"].astype(np.int64) - rep["s"]
     order = np.lexsort((rep["s"], way, rep["rh"], rep["ref"], rep["h"], rep["doc"]))
@@ -184,6 +215,71 @@ def runs_of(rep: np.ndarray) -> np.ndarray:
     for f in ("doc", "h", "s", "ref", "rh", "rs"):
         out[f] = rep[f][first]
     out["e"] = end[np.append(first[1:], len(rep)) - 1]
+    out["left"] = out["right"] = True
+    return out
+
+
+def slices_wanted(runs: np.ndarray, reach: int) -> np.ndarray:
+    """Distinct (document, hash, from, to) beside the open ends of the runs and of their sources."""
+    le, ri = runs[runs["left"]], runs[runs["right"]]
+    end = ri["rs"] + ri["e"] - ri["s"]
+    parts = [(le["doc"], le["h"], np.maximum(le["s"] - reach, 0), le["s"]), (le["ref"], le["rh"], np.maximum(le["rs"] - reach, 0), le["rs"]),
+             (ri["doc"], ri["h"], ri["e"], ri["e"] + reach), (ri["ref"], ri["rh"], end, end + reach)]
+    out = np.unique(np.concatenate([np.column_stack(x) for x in parts]), axis=0)
+    return out[out[:, 2] < out[:, 3]]
+
+
+def _common(a: bytes, b: bytes) -> int:
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    return int((np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)).argmax())
+
+
+def extended(runs: np.ndarray, slices: dict[tuple[int, int, int, int], bytes], reach: int, min_run: int) -> np.ndarray:
+    """The runs of at least ``min_run`` bytes when open ends have moved over the bytes that match, by whole characters.
+
+    An end stays open where all ``reach`` bytes matched and no other run covers the next byte.
+    """
+    out = runs.copy()
+    for i, (doc, h, s, e, ref, rh, rs, left, right) in enumerate(runs.tolist()):
+        if left and s and rs:
+            mine = slices[doc, h, max(s - reach, 0), s]
+            n = _common(mine[::-1], slices[ref, rh, max(rs - reach, 0), rs][::-1])
+            out["left"][i] = n == reach
+            while n and mine[-n] & 0xC0 == 0x80:
+                n -= 1
+            out["s"][i], out["rs"][i] = s - n, rs - n
+        else:
+            out["left"][i] = False
+        if right:
+            end = rs + e - s
+            mine = slices[doc, h, e, e + reach]
+            n = _common(mine, slices[ref, rh, end, end + reach])
+            out["right"][i] = n == reach
+            if n == reach:  # the next byte is not known: up to the last beginning of a character
+                n -= 1
+            while n and n < len(mine) and mine[n] & 0xC0 == 0x80:
+                n -= 1
+            out["e"][i] = e + n
+    out = out[out["e"] - out["s"] >= min_run]
+    # Ends inside another run of the document need not move on.
+    out = out[np.lexsort((out["rs"], out["rh"], out["ref"], -out["e"], out["s"], out["h"], out["doc"]))]
+    same = np.zeros(len(out), bool)
+    same[1:] = (out["doc"][1:] == out["doc"][:-1]) & (out["h"][1:] == out["h"][:-1])
+    part = np.cumsum(~same)
+    if len(out):
+        span = int(out["e"].max()) + 1
+        furthest = np.maximum.accumulate(part * span + out["e"])  # largest end so far in the document
+        # Joined stretches of overlapping or adjoining runs: only their outer ends stay open.
+        fresh = np.ones(len(out), bool)
+        fresh[1:] = part[1:] * span + out["s"][1:] > furthest[:-1]
+        stretch = np.cumsum(fresh) - 1
+        start = out["s"][fresh][stretch]
+        end = np.zeros(int(fresh.sum()), np.int64)
+        np.maximum.at(end, stretch, out["e"])
+        out["left"] &= out["s"] == start
+        out["right"] &= out["e"] == end[stretch]
     return out
 
 
@@ -224,11 +320,14 @@ def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_i
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digests = _Digests()
         held: list[np.ndarray] = []
+        again: list[np.ndarray] = []
         cut_bytes = 0
 
         def leave():
             rec, rep = firsts_and_repeats(np.concatenate(held))
+            rep = np.concatenate([rep, *again])
             held.clear()
+            again.clear()
             rows = list(_rows(0, (rec["d"] % np.uint64(buckets)).astype(np.int64), rec))
             if len(rep):
                 rows += _rows(1, _doc_bucket(rep, buckets), rep)
@@ -241,12 +340,20 @@ def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_i
                 gap = bytes(_WINDOW)
                 raw = [t.encode("utf-8", "replace") + gap for t in texts]
                 at = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
-                data = np.frombuffer(b"".join(raw), np.uint8)
+                joined = b"".join(raw)
+                data = np.frombuffer(joined, np.uint8)
                 s, e = chunk_ends(data, at, _WINDOW)
                 own = np.searchsorted(at, s, side="right") - 1
                 rec = np.zeros(len(s), RECORD)
                 rec["d"], rec["doc"], rec["h"], rec["s"], rec["n"] = digests.of(data, s, e), ids[lo + own], hashes[lo + own], s - at[own], e - s
                 held.append(rec)
+                over = periodic(joined, s, e)
+                if over:
+                    k, start, n, source = np.array(over, np.int64).T
+                    rep = np.zeros(len(k), REPEAT)
+                    rep["doc"], rep["h"], rep["s"], rep["n"] = rec["doc"][k], rec["h"][k], start - at[own[k]], n
+                    rep["ref"], rep["rh"], rep["rs"] = rec["doc"][k], rec["h"][k], source - at[own[k]]
+                    again.append(rep)
                 cut_bytes += len(data)
                 if cut_bytes >= _BATCH:
                     yield leave()
@@ -263,17 +370,68 @@ def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_i
             return pa.table({"kind": pa.array([], pa.int32()), "bucket": pa.array([], pa.int32()), "payload": pa.array([], pa.binary())})
         return pa.Table.from_batches([_batch(_rows(1, _doc_bucket(rep, buckets), rep))])
 
-    def join(group: pa.Table) -> pa.Table:
-        out = runs_of(np.frombuffer(b"".join(group["payload"].to_pylist()), REPEAT))
-        out = out[out["e"] - out["s"] >= min_run]
-        out = fewest(out[np.lexsort((out["rs"], out["rh"], out["ref"], -out["e"], out["s"], out["h"], out["doc"]))])
-        return pa.table({"doc_id": pa.array(out["doc"], mask=out["doc"] == _NULL_ID), "text_hash": pa.array(out["h"]), "start": pa.array(out["s"]),
-                         "end": pa.array(out["e"]), "first_doc_id": pa.array(out["ref"], mask=out["ref"] == _NULL_ID)})
+    def candidates(group: pa.Table) -> pa.Table:
+        rep = np.frombuffer(b"".join(group["payload"].to_pylist()), REPEAT)
+        return pa.table({"bucket": group["bucket"][:1], "payload": pa.array([runs_of(rep).tobytes()], pa.binary())})
+
+    def wanted(reach: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for bucket, payload in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    got = slices_wanted(np.frombuffer(payload, RUN), reach)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(got), bucket), pa.int32()), *[pa.array(got[:, k], pa.int64()) for k in range(4)]],
+                                                     names=["bucket", "doc", "h", "lo", "hi"])
+
+        return run
+
+    def served(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ask = b.column(3).to_pylist()
+            for lo, hi, texts in text_slices(b.column(2), 2_000_000):
+                rows = []
+                for i, t in zip(range(lo, hi), texts):
+                    raw, doc, h = t.encode("utf-8", "replace"), b.column(0)[i].as_py(), b.column(1)[i].as_py()
+                    rows += [(q["bucket"], doc, h, q["lo"], q["hi"], raw[q["lo"] : q["hi"]]) for q in ask[i]]
+                for at in range(0, len(rows), 50_000):
+                    c = list(zip(*rows[at : at + 50_000]))
+                    yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int32()), *[pa.array(x, pa.int64()) for x in c[1:5]], pa.array(c[5], pa.binary())],
+                                                     names=["bucket", "doc", "h", "lo", "hi", "payload"])
+
+    def compare_bytes(reach: int):
+        def run(group: pa.Table) -> pa.Table:
+            mine = group["doc"].is_null().to_numpy()
+            runs = np.frombuffer(b"".join(group["payload"].filter(pa.array(mine)).to_pylist()), RUN)
+            rest = group.filter(pa.array(~mine))
+            slices = dict(zip(zip(*[rest[c].to_pylist() for c in ("doc", "h", "lo", "hi")]), rest["payload"].to_pylist()))
+            out = extended(runs, slices, reach, min_run)
+            return pa.table({"bucket": group["bucket"][:1], "payload": pa.array([out.tobytes()], pa.binary()), "open": pa.array([bool((out["left"] | out["right"]).any())])})
+
+        return run
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for payload in b.column(0).to_pylist():
+                out = fewest(np.frombuffer(payload, RUN))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(out["doc"], mask=out["doc"] == _NULL_ID), pa.array(out["h"]), pa.array(out["s"]), pa.array(out["e"]), pa.array(out["ref"], mask=out["ref"] == _NULL_ID)],
+                    names=["doc_id", "text_hash", "start", "end", "first_doc_id"])
 
     packed = "kind int, bucket int, payload binary"
     records = rows.mapInArrow(cut, packed)
     repeats = records.groupBy("bucket").applyInArrow(compare, packed)
-    return repeats.groupBy("bucket").applyInArrow(join, "doc_id long, text_hash long, start long, end long, first_doc_id long")
+    runs = staged(repeats.groupBy("bucket").applyInArrow(candidates, "bucket int, payload binary"), "substring-runs")
+    texts = rows.select(F.coalesce("doc_id", F.lit(_NULL_ID)).alias("doc"), "h", "text")
+    reach = max(min_run, MAX_CHUNK)
+    while True:
+        ask = runs.mapInArrow(wanted(reach), "bucket int, doc long, h long, lo long, hi long")
+        ask = ask.groupBy("doc", "h").agg(F.collect_list(F.struct("bucket", "lo", "hi")).alias("ask"))
+        got = texts.join(ask, ["doc", "h"]).select("doc", "h", "text", "ask").mapInArrow(served, "bucket int, doc long, h long, lo long, hi long, payload binary")
+        both = got.unionByName(runs.select("bucket", "payload"), allowMissingColumns=True)
+        runs = staged(both.groupBy("bucket").applyInArrow(compare_bytes(reach), "bucket int, payload binary, open boolean"), "substring-runs")
+        if runs.where("open").isEmpty():
+            break
+        reach *= 8
+    return runs.select("payload").mapInArrow(finish, "doc_id long, text_hash long, start long, end long, first_doc_id long")
 
 
 def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -250,6 +250,44 @@ def test_a_span_has_one_source(spark):
     texts[100] = "".join(texts[i][60:140] for i in range(40))
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     assert substring.repeated_spans(docs).count() == 0
+    assert substring.repeated_spans(docs, min_run=64).where("doc_id = 100").count() > 20
+
+
+def test_short_passages_are_found_whole(spark):
+    # 51 words of 1 to 5 letters, once in an even document and once in the next.
+    g = random.Random(13)
+    rows, want = [], {}
+    for i in range(0, 400, 2):
+        passage = " ".join(_words(g, 51, 1, 5))
+        for k in (i, i + 1):
+            before, after = " ".join(_words(g, g.randint(5, 40), 2, 8)) + "X" * (1 + k % 2), "YZ"[k % 2] + " ".join(_words(g, g.randint(5, 40), 2, 8))
+            rows.append((k, before + passage + after))
+            want[k] = (len((before[: -1 if k % 2 else None]).encode()) + k % 2, passage.encode())
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: r for r in substring.repeated_spans(docs).collect()}
+    whole = 0
+    for k in range(1, 400, 2):
+        if k in spans:
+            r, raw = spans[k], rows[k][1].encode()
+            assert r.first_doc_id == k - 1 and raw[r.start : r.end] in rows[k - 1][1].encode()
+            whole += want[k][1] in raw[r.start : r.end]
+    assert len(spans) == whole >= 199
+
+
+def test_ends_move_on_past_one_slice_and_words_said_over_and_over(spark):
+    # Every piece of the passage but one in its middle occurs by itself in an earlier document.
+    g = random.Random(14)
+    w = _words(g, 400, 2, 8)
+    rows = [(i, " ".join(_words(g, 9, 2, 8) + w[a : a + 12] + _words(g, 9, 2, 8))) for i, a in enumerate(a for a in range(0, 390, 6) if not 180 < a < 210)]
+    passage = " ".join(w)
+    rows += [(500, "one " + passage + " two"), (501, "three " + passage + ", four"), (502, "It is " + "hetitioné, " * 40 + "so.")]
+    got = substring.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    raw = rows[-2][1].encode()
+    (r,) = [r for r in got if r.doc_id == 501]
+    assert r.first_doc_id == 500 and raw[r.start : r.end] == ("e " + passage).encode()
+    own, raw = [r for r in got if r.doc_id == 502], rows[-1][1].encode()
+    assert all(r.first_doc_id == 502 and raw[r.start : r.end].decode() and raw.find(raw[r.start : r.end]) < r.start for r in own)
+    assert len(set().union(*[range(r.start, r.end) for r in own])) >= 39 * len("hetitioné, ".encode()) - 12
 
 
 def test_overlapping_spans_are_removed_once(spark):
