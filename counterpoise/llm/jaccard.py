@@ -370,6 +370,8 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                                      names=["key", "tokens"])
 
         texts = rows.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        if not reps.where("rep is null").isEmpty():  # classes without any id: all rows without one are read, none is moved
+            texts = texts.unionByName(rows.where("doc_id is null"))
         sets = texts.select("doc_id", "text").mapInArrow(again, "key long, tokens array<long>")
         sets = staged(sets.join(reps.select("key"), "key", "left_semi").dropDuplicates(["key"]), f"{name}-sets")
         both = p.join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("tokens").alias("y")), "b")

@@ -79,6 +79,15 @@ def test_odd_documents(spark, odd_docs, no_docs):
     assert jaccard.near_documents(no_docs).count() == 0
 
 
+def test_rows_without_an_id_link_others(spark):
+    # 1 and 2 share too little with each other, but both enough with a row that has no id; as do two such rows with 3.
+    words = [f"w{i}" for i in range(400)]
+    rows = [(1, words[:120]), (None, words[15:135]), (2, words[30:150]), (None, words[200:300]), (None, words[212:312]), (3, words[224:324]), (4, words[340:])]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = sorted((r.n_shingles, r.doc_id or 0, r.component_id) for r in jaccard.near_documents(docs).collect())
+    assert got == sorted([(116, 1, 1), (116, 0, 1), (116, 2, 1), (96, 0, 3), (96, 0, 3), (96, 3, 3), (56, 4, 4)])
+
+
 def test_allocation_meets_the_pigeonhole_bound():
     kinds = set()
     for band in range(1, 30):
