@@ -7,7 +7,7 @@ last return the columns of ``documents``.
 
 Defined cases: documents with null or empty text pass the classifier's score like any
 other, are near-duplicates of nothing, hold no spans or leaks and pack as one closing
-id; of rows that repeat a document id one stays; rows with a null id all stay in the
+id; of rows that repeat both document id and text one stays, other texts of an id stay too; rows with a null id all stay in the
 near-duplicate stage; an empty table gives an empty result.
 """
 
@@ -40,7 +40,7 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     first = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
     kept = docs.join(first.select("doc_id"), "doc_id", "left_semi")
     if not first.where("rows > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
+        kept = kept.dropDuplicates(["doc_id", "text"])
     return kept.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
 
 

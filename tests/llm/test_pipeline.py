@@ -44,6 +44,13 @@ def test_stages_on_odd_documents(spark, odd_docs, no_docs):
             assert set(docs.columns) >= {"doc_id"}
 
 
+def test_other_texts_of_an_id_stay(spark):
+    rows = [(1, "one text of five words here"), (1, "one text of five words here"), (1, "quite another text under that number"), (2, "a third one that stays alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.ngram_jaccard(spark, docs, SF).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted(set(rows))
+
+
 CONTRACT = {
     "op1_": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"], "op2_": ["doc_id", "n_shingles", "component_id"],
     "op3_": ["doc_id", "held_out", "score", "predicted"], "op4_": ["page_id", "host", "path", "rule", "verdict"],
