@@ -11,6 +11,7 @@ feed is not cut for the latter but encoded whole.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,8 @@ from counterpoise.llm.common import ship
 
 ship(__name__)
 
+# A worker outlives jobs and even versions of this file: what it keeps is named by the file's content.
+_VERSION = zlib.crc32(__loader__.get_data(__file__))
 MAX_CHUNKS = 800_000  # distinct chunks kept by a worker; beyond it those seen once are forgotten
 # Whole runs of these marks between a letter and white space are pre-tokens of their own.
 _MARKS = r"[.,;:!?%&$#*|]+"
@@ -83,8 +86,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # The text of a special token inside a document is ordinary text: it must not become a control id.
         self.tokenizer.encode_special_tokens = True
         self.cut = cut
+        # Asked by name: jobs pickle functions by value, so the same function is another object in the next job.
+        self.drops_space = cut.__name__ == cut_word.__name__
         self._reset()
 
     def _reset(self):
@@ -112,7 +118,7 @@ class Encoder:
         if not new:
             return
         self.table.fresh = []
-        got = self._joined(new) if self.cut is cut_word else [
+        got = self._joined(new) if self.drops_space else [
             e.ids for e in self.tokenizer.encode_batch_fast([blank_chunk(c) for c in new], add_special_tokens=False)]
         ends = self.at[-1] + np.cumsum([len(x) for x in got])
         if ends[-1] > len(self.ids):
@@ -156,7 +162,7 @@ def encoder(path: str, cut) -> Encoder:
     import tokenizers
 
     held = tokenizers.__dict__.setdefault("_counterpoise_encoders", {})
-    key = (path, cut.__name__)
+    key = (path, cut.__name__, _VERSION)
     if key not in held:
         held[key] = Encoder(path, cut)
     return held[key]

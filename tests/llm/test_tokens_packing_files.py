@@ -30,6 +30,25 @@ def test_chunked_ids_are_the_tokenizers(path, cut, monkeypatch):
             assert ids[at[i] : at[i + 1]].tolist() == x.ids, TEXTS[i]
 
 
+def test_a_reused_worker_gives_the_same_ids():
+    """Every job unpickles the module's functions anew; the encoder that a worker keeps must not mind."""
+    from pyspark import cloudpickle
+
+    t = Tokenizer.from_file(WORD)
+    t.encode_special_tokens = True
+    for texts in (["first  words only"], ["two  blanks", "\x01abc new <|endoftext|>"], TEXTS):
+        encoder, cut = cloudpickle.loads(cloudpickle.dumps((tokens.encoder, tokens.cut_word)))
+        ids, at = encoder(WORD, cut).encode(texts)
+        assert [ids[at[i] : at[i + 1]].tolist() for i in range(len(texts))] == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_two_jobs_with_different_texts(spark):
+    for words in (["alpha beta", "gamma"], ["two  blanks", "\x01abc new", "delta, epsilon"]):
+        docs = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string").coalesce(1)
+        got = {r.doc_id: r.ids_crc32 for r in packing.pack_documents(docs, WORD, capacity=64).collect()}
+        assert [got[i] for i in range(len(words))] == [zlib.crc32(x.tobytes()) for x in _expected(words, WORD, 0)]
+
+
 def test_nnls_and_plan():
     counts = np.zeros(65, int)
     counts[[10, 20, 24, 30, 34, 40, 54, 64]] = [50, 60, 40, 50, 50, 40, 30, 7]
