@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from counterpoise.llm import urlfilter
+from counterpoise.llm import fim, urlfilter, variants
 from counterpoise.llm.common import table
 
 QUERIES: dict = {}
@@ -108,3 +108,21 @@ def q_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from counterpoise.llm.jaccard import near_documents
 
     return near_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op11_spelling_variants", variants.duckdb_sql())
+def q_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"), ratio=2, min_length=5, min_count=3, slip=97)
+
+
+@query("op12_zstd_secrets")
+def q_zstd_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from counterpoise.llm.secretscan import find_secrets, secret_digests
+
+    out = secret_digests(find_secrets(table(spark, sf_dir, "documents")))
+    return out.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+@query("op13_counted_fim", fim.duckdb_sql())
+def q_counted_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fim_digests(table(spark, sf_dir, "documents"), plain_percent=10, spm_percent=20, seed=1)
