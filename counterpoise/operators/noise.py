@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from counterpoise.frame import ID, LABEL
 from counterpoise.functions.hashing import hash_bucket
-from counterpoise.operators.trees import fit_rf, stable_order
+from counterpoise.operators.forest import fit_forest
 from counterpoise.session import checkpoint_dir
 
 FOLD = "fold"
@@ -41,28 +41,25 @@ def hme_scored(
     seed: int = 48151623,
     weight_col: str | None = None,
     parallelism: int = 4,
-    partitions: int | str | None = "auto",
+    partitions: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(scored, folded)``: every row with its out-of-fold ``prediction``; caller unpersists ``folded``.
 
-    The rows are dealt by id hash into sorted partitions once, before the fits (a
-    number of them, or ``"auto"``: by the row count), so the seeded forests (whose
-    bagging seeds are per partition) are the same whatever the input partitioning
-    and the cluster.  ``weight_col`` reaches every forest.
+    The forests' bags are drawn from the ids, so they are the same whatever the input
+    partitioning and the cluster; ``partitions`` only says how wide the fits run.
+    ``weight_col`` reaches every forest.
     """
-    folded = assign_folds(df, k, seed)
-    if partitions:
-        folded = stable_order(folded, partitions)
-    folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
+    folded = assign_folds(df, k, seed).persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit(f):
-        return fit_rf(
+        return fit_forest(
             folded.where(F.col(FOLD) != f),
             num_trees=num_trees,
             max_depth=max_depth,
             max_bins=max_bins,
             weight_col=weight_col,
             seed=seed + f,
+            partitions=partitions,
         )
 
     with ThreadPoolExecutor(max(1, min(parallelism, k))) as pool:

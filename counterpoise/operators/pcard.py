@@ -14,33 +14,34 @@ Spark-first choices:
   a hash of ``(id, copy)``, ranks ``[t*cuts, (t+1)*cuts)`` give member t its
   cut rows (``members * cuts`` rows reach the driver — a parameter bound),
   all of them different rows;
-* a bin index is the count of cuts below the value: one JVM higher-order
-  expression over the cut table passed as a single array literal (no UDF;
-  generated CASE trees outgrow a method from some 60 features on);
-* members are fitted from a small driver thread pool over the shared cached
-  input; for scoring every fitted tree becomes one CASE expression on the raw
-  features and components (bin <= k is x <= k-th cut), so all members and the
-  vote are ONE projection over one scan.
+* a bin index is the count of cuts below the value; the bins of all members and of the
+  components are computed once per row and written, a byte each;
+* the members are grown together, one job per level for all of them (``forest.grow``);
+  for scoring, a test on a bin is a test on the value (bin <= k is x <= k-th cut), so all
+  members and the vote are one column over one scan.
 """
 
 from __future__ import annotations
 
-import math
 import random
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+import sys
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
-from pyspark import StorageLevel
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from counterpoise.frame import FEATURES, ID, LABEL, num_features
 from counterpoise.functions.hashing import hash_uniform
-from counterpoise.functions.literals import sql_double, sql_ident
+from counterpoise.operators.forest import ForestModel, _matrix, bin_matrix, feature_edges, grow
 from counterpoise.operators.pca import fit_pca
-from counterpoise.operators.trees import fit_dt, tree_sql
+from counterpoise.session import scratch_path
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PCA_COL = "_pca"
 
@@ -113,45 +114,20 @@ class PCARDModel:
     pca: object
     cuts: list
     components: list
-    scorers: list
+    forest: ForestModel  # its nodes test raw values: features first, then components
     features_col: str = FEATURES
     prediction_col: str = "prediction"
 
-    def with_pca(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(PCA_COL, self.pca.project(self.features_col))
-
-    def member_features(self, t: int) -> Column:
-        return F.concat(
-            discretize(self.features_col, self.cuts[t]),
-            F.slice(F.col(PCA_COL), 1, self.components[t]),
-        )
-
-    def vote_exprs(self) -> list[str]:
-        """SQL of every member's 0/1 vote on the feature array and the components."""
-        x, pc = sql_ident(self.features_col), sql_ident(PCA_COL)
-        out = []
-        for t, scorer in enumerate(self.scorers):
-            cuts = self.cuts[t]
-            d = len(cuts)
-
-            def test(feature: int, threshold: float, cuts=cuts, d=d) -> str:
-                if feature >= d:
-                    return f"{pc}[{feature - d}] <= {sql_double(threshold)}"
-                # bin <= threshold means at most floor(threshold) cuts lie below x.
-                k = math.floor(threshold)
-                return f"{x}[{feature}] <= {sql_double(cuts[feature][k])}" if k < len(cuts[feature]) else "true"
-
-            out.append(tree_sql(scorer.model, test))
-        return out
+    def wide(self) -> Column:
+        """Features and components as one array: what the members' nodes test."""
+        return F.concat(F.col(self.features_col), self.pca.project(self.features_col))
+
+    def predict_col(self) -> Column:
+        return self.forest.predict_col(self.wide())
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Every member's vote and their majority, over one scan."""
-        keep = [c for c in df.columns if c != self.prediction_col]
-        # As elements of an array the trees are compiled into methods of their own.
-        votes = F.expr("array(" + ", ".join(self.vote_exprs()) + ")")
-        x = self.with_pca(df).withColumn("_votes", votes)
-        ones = F.aggregate("_votes", F.lit(0.0), lambda s, v: s + v)
-        return x.select(*keep, F.when(ones * 2.0 > F.lit(float(len(self.scorers))), F.lit(1.0)).otherwise(F.lit(0.0)).alias(self.prediction_col))
+        """The majority of the members' votes, over one scan."""
+        return df.withColumn(self.prediction_col, self.predict_col())
 
 
 def fit_pcard(
@@ -162,23 +138,40 @@ def fit_pcard(
     max_bins: int = 32,
     seed: int = 1,
     weight_col: str | None = None,
-    parallelism: int = 8,
+    partitions: int | None = None,
 ) -> PCARDModel:
-    d = num_features(df)
+    spark, d = df.sparkSession, num_features(df)
     pca = fit_pca(df, k=d, weight_col=weight_col)
     cut_table = draw_cuts(df, trees, cuts, seed, d, weight_col)
     comps = [member_components(seed, t, d) for t in range(trees)]
-    model = PCARDModel(pca, cut_table, comps, [])
-    base = model.with_pca(df).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def fit(t):
-        member = base.select(LABEL, model.member_features(t).alias("_m"), *([weight_col] if weight_col else []))
-        return fit_dt(member, max_depth=max_depth, max_bins=max_bins, weight_col=weight_col, seed=seed + t,
-                      features_col="_m", num_features=d + comps[t])
-
-    try:
-        with ThreadPoolExecutor(max(1, parallelism)) as pool:
-            model.scorers = list(pool.map(fit, range(trees)))
-    finally:
-        base.unpersist()
-    return model
+    projected = df.withColumn(PCA_COL, pca.project())
+    pc_edges = feature_edges(projected, max_bins, seed, weight_col, PCA_COL)
+    steps = [[np.array(c) for c in own] for own in cut_table]
+    # Bins stand for themselves: k cuts leave thresholds 0.5 .. k - 0.5.  Components beyond a member's share have none.
+    edges = [[np.arange(len(c)) + 0.5 for c in own] + [e if j < comps[t] else np.zeros(0) for j, e in enumerate(pc_edges)] for t, own in enumerate(cut_table)]
+
+    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 2000):
+                part = b.slice(lo, 2000)
+                x = _matrix(part.column(2))
+                all_ = np.concatenate([bin_matrix(x, own) for own in steps] + [bin_matrix(_matrix(part.column(3)), pc_edges)], 1)
+                yield pa.record_batch({"y": part.column(0), "w": part.column(1), "x": pa.array([r.tobytes() for r in all_], pa.binary()),
+                                       "bag": pa.array([b"\x01" * trees] * part.num_rows, pa.binary())})
+
+    spread = partitions or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = projected.select(F.col(LABEL).cast("int").alias("y"), (F.col(weight_col) if weight_col else F.lit(1.0)).cast("double").alias("w"), FEATURES, PCA_COL)
+    path, schema = scratch_path(spark, "pcard-rows"), "y int, w double, x binary, bag binary"
+    rows.repartition(spread, FEATURES).mapInArrow(binned, schema).write.parquet(path)
+
+    def matrices(batch: pa.RecordBatch) -> list[np.ndarray]:
+        m = _matrix(batch.column(2))
+        return [np.concatenate([m[:, t * d : (t + 1) * d], m[:, trees * d :]], 1) for t in range(trees)]
+
+    forest = grow(spark.read.schema(schema).parquet(path), trees, edges, matrices, max_depth, 2 * d, seed)
+    n = forest.nodes
+    # A test on a member's bin becomes the test on the value that it stands for.
+    on_bin = np.flatnonzero((n.feature >= 0) & (n.feature < d))
+    raw = n.threshold.copy()
+    raw[on_bin] = [cut_table[t][f][c] for t, f, c in zip(n.tree[on_bin].tolist(), n.feature[on_bin].tolist(), n.cut[on_bin].tolist())]
+    return PCARDModel(pca, cut_table, comps, ForestModel(replace(n, threshold=raw), trees, votes=True))

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from counterpoise.operators.bayes import MultinomialNB
 from counterpoise.operators.evaluate import evaluate
+from counterpoise.operators.forest import fit_forest
 from counterpoise.operators.pca import fit_pca
 from counterpoise.operators.scaling import MinMaxScaler
-from counterpoise.operators.trees import fit_dt, fit_rf
+from counterpoise.operators.trees import fit_dt
 from counterpoise.sources.tables import lp_orders
 
 
@@ -33,7 +34,7 @@ def b_dt(spark, sf_dir):
 
 def b_rf(spark, sf_dir):
     df = _frame(spark, sf_dir)
-    return evaluate(fit_rf(df, 20, 10, 100).transform(df))
+    return evaluate(fit_forest(df, 20, 10, 100).transform(df))
 
 
 def b_nb(spark, sf_dir):

@@ -326,11 +326,10 @@ def q_dt_metrics(spark, sf_dir):
 
 @query("rf_metrics")
 def q_rf_metrics(spark, sf_dir):
-    from counterpoise.operators.trees import fit_rf
+    from counterpoise.operators.forest import fit_forest
 
     train, test = _orders_split(spark, sf_dir)
-    model = fit_rf(balance.ros(train, 1.0, SEED, as_weights=True), num_trees=100, max_depth=10,
-                   max_bins=100, weight_col="weight", seed=SEED, partitions="auto")
+    model = fit_forest(balance.ros(train, 1.0, SEED, as_weights=True), num_trees=100, max_depth=10, max_bins=100, weight_col="weight", seed=SEED)
     return evaluate.evaluate(model.transform(test))
 
 
@@ -340,7 +339,7 @@ def q_pcard_predict(spark, sf_dir):
     from counterpoise.operators.pcard import fit_pcard
 
     train, test = split(_written(FRAMES["emb"](spark, sf_dir)), TRAIN_FRACTION, SPLIT_SEED)
-    model = fit_pcard(balance.ros(train, 1.0, SEED), trees=50, cuts=10, max_depth=10, seed=SEED)
+    model = fit_pcard(balance.ros(train, 1.0, SEED, as_weights=True), trees=50, cuts=10, max_depth=10, seed=SEED, weight_col="weight")
     return model.transform(test).select("id", "label", "prediction")
 
 
@@ -738,16 +737,91 @@ def _test_sizes_sql(frame: str, names) -> str:
     return _sql_union([f"SELECT '{n}' AS model, label, count(*) AS n FROM ({test}) GROUP BY label" for n in names])
 
 
-@query("model_row_sums", _test_sizes_sql("emb", ("dt", "rf", "pcard")))
-def q_model_row_sums(spark, sf_dir):
-    """Every tree model predicts a class for every test row."""
+def _tree_models(spark, sf_dir):
+    from counterpoise.operators.forest import fit_forest
     from counterpoise.operators.pcard import fit_pcard
-    from counterpoise.operators.trees import fit_dt, fit_rf
+    from counterpoise.operators.trees import fit_dt
 
     train, test = split(_written(FRAMES["emb"](spark, sf_dir)), TRAIN_FRACTION, SPLIT_SEED)
     w = _written(balance.ros(train, 1.0, SEED, as_weights=True))
-    models = {"dt": fit_dt(w, weight_col="weight", seed=SEED), "rf": fit_rf(w, 100, weight_col="weight", seed=SEED, partitions="auto"),
-              "pcard": fit_pcard(w, 50, 10, 10, seed=SEED, weight_col="weight")}
+    return {"dt": fit_dt(w, weight_col="weight", seed=SEED), "rf": fit_forest(w, 100, weight_col="weight", seed=SEED),
+            "pcard": fit_pcard(w, 50, 10, 10, seed=SEED, weight_col="weight")}, test
+
+
+@query("model_row_sums", _test_sizes_sql("emb", ("dt", "rf", "pcard")))
+def q_model_row_sums(spark, sf_dir):
+    """Every tree model predicts a class for every test row."""
+    models, test = _tree_models(spark, sf_dir)
     scored = [m.transform(test).where(F.col("prediction").isin(0.0, 1.0)).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
               .select(F.lit(name).alias("model"), "label", "n") for name, m in models.items()]
     return _union(scored)
+
+
+# ---------------------------------------------------------------- M1, M2, M6: trees as relations
+BAG_TREES = 100
+
+
+def _bags_sql(src: str, trees: int, seed=SEED) -> str:
+    """CTE ``bags(id, tree, bag)``: how often each tree takes each row of ``src``."""
+    return f"""steps AS (SELECT list(ceil(c * 4294967296.0)::BIGINT ORDER BY k) AS s FROM (
+  SELECT k, sum(exp(-1.0 - lgamma(k + 1))) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c FROM range(0, 14) t(k)) WHERE c * 4294967296.0 < 4294967296.0),
+digests AS (SELECT id, b, md5('{seed}:bag-' || b || ':' || id) AS h FROM {src}, range(0, {(trees + 3) // 4}) t(b)),
+bags AS (SELECT id, CAST(4 * b + j AS INTEGER) AS tree,
+    CAST(len(list_filter(s, lambda x: x <= ('0x' || substr(h, CAST(8 * j + 1 AS BIGINT), 8))::BIGINT)) AS TINYINT) AS bag
+  FROM digests, range(0, 4) u(j), steps WHERE 4 * b + j < {trees})"""
+
+
+@query(
+    "forest_weights",
+    f"WITH src AS ({S.LP['orders']}),\n{_bags_sql('src', BAG_TREES)}\n"
+    "SELECT tree, CAST(bag AS INTEGER) AS bag, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids FROM bags GROUP BY tree, bag",
+)
+def q_forest_weights(spark, sf_dir):
+    """The bagging weights of every row and tree, by tree and weight."""
+    from counterpoise.operators.forest import bag_weights
+
+    drawn = bag_weights(orders_labels(spark, sf_dir), BAG_TREES, SEED)
+    return drawn.groupBy("tree", F.col("bag").cast("int").alias("bag")).agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
+
+
+@query(
+    "forest_leaf_counts",
+    f"""WITH src AS ({S.split_sql('orders', 'train', TRAIN_FRACTION, SPLIT_SEED)}),
+{S.ros_copies_ctes('src', 1.0, SEED)},
+{_bags_sql('r_copies', BAG_TREES)}
+SELECT b.tree, CAST(sum(CASE WHEN label = 0 THEN copies * bag ELSE 0 END) AS DOUBLE) AS class0,
+  CAST(sum(CASE WHEN label = 1 THEN copies * bag ELSE 0 END) AS DOUBLE) AS class1, CAST(0 AS BIGINT) AS broken
+FROM bags b JOIN r_copies r ON b.id = r.id GROUP BY b.tree""",
+)
+def q_forest_leaf_counts(spark, sf_dir):
+    """The leaves of every tree hold its bag, class by class; ``broken`` counts inner nodes whose children do not add up to them."""
+    from counterpoise.operators.forest import fit_forest
+
+    train, _ = _orders_split(spark, sf_dir)
+    model = fit_forest(balance.ros(train, 1.0, SEED, as_weights=True), num_trees=BAG_TREES, max_depth=10, max_bins=100, weight_col="weight", seed=SEED)
+    nodes = _written(model.node_table(spark))
+    child = nodes.select("tree", F.col("node").alias("left"), F.col("counts").alias("lc"))
+    other = nodes.select("tree", F.col("node").alias("right"), F.col("counts").alias("rc"))
+    sums = F.zip_with("lc", "rc", lambda a, b: a + b)
+    broken = nodes.where("feature >= 0").join(child, ["tree", "left"], "left").join(other, ["tree", "right"], "left").where(~F.coalesce(sums == F.col("counts"), F.lit(False)))
+    leaves = nodes.groupBy("tree").agg(*[F.sum(F.when(F.col("feature") < 0, F.col("counts")[c]).otherwise(0.0)).alias(f"class{c}") for c in (0, 1)])
+    return leaves.join(broken.groupBy("tree").agg(F.count(F.lit(1)).alias("broken")), "tree", "left").withColumn("broken", F.coalesce("broken", F.lit(0)).cast("long"))
+
+
+@query(
+    "tree_join_scores",
+    _sql_union([f"SELECT '{m}' AS model, count(*) AS n, CAST(0 AS BIGINT) AS mismatches FROM ({S.split_sql('emb', 'test', TRAIN_FRACTION, SPLIT_SEED)})" for m in ("dt", "rf", "pcard")]),
+)
+def q_tree_join_scores(spark, sf_dir):
+    """Scoring by joins with the node table agrees with every model's own scoring, row by row."""
+    from counterpoise.operators.tree_relation import ml_node_table, score_by_join
+
+    models, test = _tree_models(spark, sf_dir)
+    tables = {"dt": (ml_node_table(spark, models["dt"]), False, "features"), "rf": (models["rf"].node_table(spark), False, "features"),
+              "pcard": (models["pcard"].forest.node_table(spark), True, models["pcard"].wide())}
+    out = []
+    for name, (nodes, votes, features) in tables.items():
+        walked = score_by_join(test, _written(nodes), votes, features=features).withColumnRenamed("prediction", "walked")
+        both = models[name].transform(test).select("id", "prediction").join(walked, "id", "left")
+        out.append(both.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("prediction").eqNullSafe(F.col("walked"))).alias("mismatches")).select(F.lit(name).alias("model"), "*"))
+    return _union(out)

@@ -19,11 +19,12 @@ from pyspark.sql import functions as F
 from counterpoise.operators import balance
 from counterpoise.operators.bayes import MultinomialNB
 from counterpoise.operators.evaluate import metrics_long
+from counterpoise.operators.forest import fit_forest
 from counterpoise.operators.neighbours import fcnn_select
 from counterpoise.operators.noise import hme_filter
 from counterpoise.operators.pcard import fit_pcard
 from counterpoise.operators.scaling import MinMaxScaler
-from counterpoise.operators.trees import fit_dt, fit_rf, stable_order
+from counterpoise.operators.trees import fit_dt
 
 SCALED = "_xs"
 
@@ -53,9 +54,8 @@ class GridParams:
     # preprocessed training sets alive (persisted) at once; each can be about
     # twice the training set after oversampling, so keep this small at scale
     prep_parallelism: int = 1
-    # deal each preprocessed set by id hash into n sorted partitions before the
-    # fits: seeded forests then do not depend on the input partitioning
-    stable_partitions: int | str = "auto"
+    # how wide forests and PCARD fit (None: by the session); results do not depend on it
+    partitions: int | None = None
     rf_trees_by_prep: dict = field(default_factory=dict)
 
 
@@ -72,7 +72,7 @@ def _rus(df, p):
 
 def _hme(df, p):
     return hme_filter(df, num_trees=p.hme_trees, k=p.hme_folds, max_depth=p.hme_depth, seed=48151623 + p.seed - 1,
-                      parallelism=p.parallelism, partitions=p.stable_partitions, weight_col=_weight(df)).drop("fold")
+                      parallelism=p.parallelism, partitions=p.partitions, weight_col=_weight(df)).drop("fold")
 
 
 def _fcnn(df, p):
@@ -121,10 +121,9 @@ def fit_model(name: str, train: DataFrame, prep: str, p: GridParams, scaler=None
         return fit_dt(train, p.dt_depth, p.dt_bins, weight_col=w, seed=p.seed)
     if name == "rf":
         trees = p.rf_trees_by_prep.get(prep, p.rf_trees_ros180 if prep in ("ros_180", "ros_fcnn") else p.rf_trees)
-        return fit_rf(train, trees, p.rf_depth, p.rf_bins, weight_col=w, seed=p.seed)
+        return fit_forest(train, trees, p.rf_depth, p.rf_bins, weight_col=w, seed=p.seed, partitions=p.partitions)
     if name == "pcard":
-        return fit_pcard(train, p.pcard_trees, p.pcard_cuts, p.pcard_depth, seed=p.seed, weight_col=w,
-                         parallelism=p.parallelism)
+        return fit_pcard(train, p.pcard_trees, p.pcard_cuts, p.pcard_depth, seed=p.seed, weight_col=w, partitions=p.partitions)
     if name == "nb":
         m = MultinomialNB(p.nb_smoothing, weight_col=w).fit(scaler.transform(train))
         m.features_col = SCALED
@@ -146,7 +145,7 @@ def run_grid(train: DataFrame, test: DataFrame, preps=PUBLISHED_PREPS, models=MO
 
     def fit_prep(prep):
         pt = preprocess(train, prep, p)
-        pt = stable_order(pt, p.stable_partitions).persist(StorageLevel.MEMORY_AND_DISK)
+        pt = pt.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             with ThreadPoolExecutor(max(1, min(p.parallelism, len(models)))) as pool:
                 return prep, list(pool.map(lambda m: fit_model(m, pt, prep, p, scaler), models))
@@ -165,11 +164,8 @@ def run_grid(train: DataFrame, test: DataFrame, preps=PUBLISHED_PREPS, models=MO
     cols = {}
     for (prep, m), model in fitted.items():
         col = f"p_{prep}_{m}"
-        if hasattr(model, "predict_col"):  # NB: a column expression
+        if hasattr(model, "predict_col"):  # NB, forests, PCARD: a column
             scored = scored.withColumn(col, model.predict_col())
-        elif hasattr(model, "scorers"):
-            model.prediction_col = col
-            scored = model.transform(scored)
         else:
             scored = model.transform(scored, prediction_col=col)
         cols[(prep, m)] = col
