@@ -16,7 +16,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, most: in
 
     Which ones is decided by a hash of the id, so the sample does not depend on partitions.
     Rows with a null id or label are left out; of several labels of an id the largest
-    counts, of several documents of an id all do.
+    counts, of several documents of an id the one whose text has the smallest hash: the
+    bound holds for rows, however often an id is repeated.
     """
     picked = (
         labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
@@ -25,4 +26,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, most: in
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     )
     # At most `most` rows of two numbers: the bound that makes this broadcast safe.
-    return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
+    one = rows.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), F.col("text").alias("text"))).alias("one"), F.any_value("label").alias("label"))
+    return one.select("doc_id", F.col("one.text").alias("text"), "label")

@@ -21,17 +21,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from counterpoise.llm.common import ship
+from counterpoise.llm.common import ship, staged
 from counterpoise.llm.labels import held_out, labelled_sample
 from counterpoise.llm.tokens import text_slices
 
 ship(__name__)
 
 PASSAGE = 512
-PASSAGES_FIT = 128
+PASSAGES_FIT = 100_000  # of all labelled documents fitted on: 52 MB on the driver
 CLASSES, HASHED = 16, 112
 WIDTH = CLASSES + HASHED + 1
 
@@ -159,21 +159,26 @@ def fit(x: np.ndarray, doc: np.ndarray, y: np.ndarray, epochs: int = 30, batch:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", most: int = 4000, id_col: str = "doc_id",
-                text_col: str = "text") -> AttentionMIL | float:
-    """The model of a bounded labelled sample, or the class share where there is nothing to learn."""
+                text_col: str = "text", passages: int = PASSAGES_FIT) -> AttentionMIL | float:
+    """The model of a bounded labelled sample, or the class share where there is nothing to learn.
+
+    The sample: labelled rows in the order of a hash of their id, at most ``most`` of them
+    and as many as have ``passages`` passages together; each is encoded whole.
+    """
     sample = labelled_sample(docs, labels, label_col, most, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for doc_id, text, label in zip(*(c.to_pylist() for c in b.columns)):
                 x, _ = encode_passages([text])
-                if len(x) > PASSAGES_FIT:
-                    x = x[np.linspace(0, len(x) - 1, PASSAGES_FIT).astype(int)]
-                yield pa.RecordBatch.from_arrays([pa.array([doc_id]), pa.array([label], pa.int32()), pa.array([x.tobytes()], pa.binary())],
-                                                 names=["doc_id", "label", "x"])
-
-    rows = sample.select("doc_id", "text", "label").mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, label int, x binary")
-    got = sorted(((r["doc_id"], r["label"], bytes(r["x"])) for r in rows.collect()))
+                yield pa.RecordBatch.from_arrays([pa.array([doc_id]), pa.array([label], pa.int32()), pa.array([len(x)], pa.int64()), pa.array([x.tobytes()], pa.binary())],
+                                                 names=["doc_id", "label", "passages", "x"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    encoded = staged(sample.select("doc_id", "text", "label").mapInArrow(run, f"doc_id {kind}, label int, passages long, x binary"), "quality-sample")
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id")  # at most `most` rows
+    upto = encoded.select("doc_id", F.sum("passages").over(order).alias("upto")).where(F.col("upto") <= passages)
+    got = sorted((r["doc_id"], r["label"], bytes(r["x"])) for r in encoded.join(F.broadcast(upto.select("doc_id")), "doc_id").select("doc_id", "label", "x").collect())
     if len({lab > 0 for _, lab, _ in got}) < 2:
         return float(got[0][1] > 0) if got else 0.5
     xs = [np.frombuffer(r[2], np.float32).reshape(-1, WIDTH) for r in got]

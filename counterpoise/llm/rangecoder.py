@@ -115,7 +115,9 @@ def _floor_div(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """Every block's bytes; a block is a non-empty array of at most ``BLOCK`` ids below 65536."""
+    """Every block's bytes; a block is a non-empty array of at most ``BLOCK`` ids below 65536 (others raise)."""
+    if any(len(b) and (int(np.max(b)) > 0xFFFF or int(np.min(b)) < 0) for b in blocks):
+        raise ValueError("ids above 65535 do not fit this format")
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     n = np.array([len(blocks[i]) for i in order], np.int64)
     lanes, longest = len(n), int(n[0]) if len(n) else 0

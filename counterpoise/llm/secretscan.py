@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from counterpoise.llm.common import ship
+from counterpoise.llm.common import ship, staged
 from counterpoise.llm.tokens import text_slices
 
 ship(__name__)
@@ -64,8 +64,18 @@ SPANS = "array<struct<kind: string, start: long, end: long, text: string, novelt
 def identifier_dictionary(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY) -> bytes:
     """The corpus' most frequent identifiers without digits, the most frequent last, in at most ``size`` bytes."""
     words = docs.select(F.explode(F.regexp_extract_all(text_col, F.lit("[A-Za-z_]{3,40}"), F.lit(0))).alias("word"))
-    # Each word takes at least four bytes with its blank, so this many rows fill the dictionary.
-    most = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(size // 4).collect()
+    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).select("word", "n", F.floor(F.log2("n") * 16).cast("int").alias("step"))
+    counts = staged(counts, "identifiers")
+    # Each word takes at least four bytes with its blank, so this many rows fill the dictionary: the steps of
+    # frequency that fit whole, and of the next one an even share by hash.  No sort, and no more rows to the driver.
+    room, whole, last, share = size // 4, 1 << 30, -1, 1
+    for r in sorted(counts.groupBy("step").agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):  # some hundred steps
+        if r.words > room:
+            last, share = r.step, math.ceil(r.words / max(1, room))
+            break
+        room, whole = room - r.words, r.step
+    taken = (F.col("step") >= whole) | ((F.col("step") == last) & (F.pmod(F.xxhash64("word"), F.lit(share)) == 0))
+    most = sorted(counts.where(taken).select("word", "n").collect(), key=lambda r: (-r.n, r.word))
     picked, room = [], size
     for r in most:
         room -= len(r.word) + 1

@@ -417,3 +417,15 @@ def test_shards_of_odd_documents(spark, odd_docs, no_docs):
     assert out.count() == odd_docs.count() and out.where("shard is null or slot is null").count() == 0
     assert {r["size"] for r in out.where("doc_id in (1, 2)").collect()} == {1}
     assert kd_shards(no_docs, 8).count() == 0
+
+
+def test_the_sample_bounds_rows_not_ids(spark):
+    from counterpoise.llm.labels import labelled_sample
+
+    docs = spark.range(3000).select((F.col("id") % 3 * 3).alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 50).alias("text"))
+    labels = spark.createDataFrame([(0, 1), (3, 0), (6, 1), (6, 0), (9, 1)], "doc_id long, quality int")
+    for most in (1, 2, 10):
+        rows = labelled_sample(docs, labels, "quality", most).collect()
+        assert len(rows) <= min(most, 3) and len({r.doc_id for r in rows}) == len(rows)
+    few = quality.fit_quality(docs, labels, most=10, passages=1)  # one passage: nothing to tell apart
+    assert isinstance(few, float)

@@ -143,3 +143,23 @@ def test_vectors_equal_brute_force(spark):
         assert [got[i].n_links for i in range(9000, 9007)] == [0, 0, 0, 0, 1, 1, 0]
         assert got[9005].component_id == 9004
     assert near_vectors(df.limit(0)).count() == 0
+
+
+def test_vectors_with_null_string_and_repeated_ids(spark):
+    a, b, c, d = [1.0, 0.0, 0.0], [0.99, 0.1, 0.0], [0.0, 0.0, 1.0], [0.0, 0.1, 0.99]
+    rows = [("5", a), ("5", c), ("6", b), ("7", d), (None, a), (None, [0.0, 1.0, 0.0]), (None, [0.0, 0.99, 0.1]), (None, [1.0, -1.0, 0.0]), ("8", [-1.0, 0.0, 0.0]), ("8", [-1.0, 0.0, 0.0])]
+    for kind in ("string", "long"):
+        df = spark.createDataFrame([(i, x) for i, x in rows], "vec_id string, embedding array<double>").withColumn("vec_id", F.col("vec_id").cast(kind))
+        got = sorted((str(r.vec_id), r.n_links, str(r.component_id), r.kept) for r in near_vectors(df, recall=0.999999).collect())
+        assert got == sorted([("5", 2, "5", True), ("5", 1, "5", True), ("6", 2, "5", False), ("7", 1, "5", False), ("None", 2, "5", False),
+                              ("None", 1, "None", True), ("None", 1, "None", True), ("None", 0, "None", True), ("8", 1, "8", True), ("8", 1, "8", True)]), kind
+
+
+def test_links_are_counted_once_over_many_tables(spark):
+    """Every vector is near every other: each pair meets in nearly all tables and counts in one."""
+    g = np.random.default_rng(8)
+    x = g.normal(size=16) + 0.05 * g.normal(size=(150, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    for block in (1000, 20):
+        got = near_vectors(df, block=block, recall=0.999999).collect()
+        assert {r.n_links for r in got} == {149} and {r.component_id for r in got} == {0} and sum(r.kept for r in got) == 1

@@ -115,6 +115,12 @@ def test_range_coder_round_trip():
     assert len(data[2]) < 300 and len(data[3]) < 700
 
 
+def test_ids_that_do_not_fit_are_refused():
+    for bad in (70000, -1):
+        with pytest.raises(ValueError):
+            rangecoder.encode_blocks([np.array([1, 2, 3]), np.array([5, bad])])
+
+
 def test_damage_is_seen():
     data = bytearray(rangecoder.encode_blocks([np.arange(500) % 90])[0])
     for at in (0, 5, 18, 30, len(data) - 1):
