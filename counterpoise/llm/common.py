@@ -19,15 +19,39 @@ def ship(module_name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
 
 
+_FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Cuts the lineage: what follows survives a lost executor without redoing what led here.
+    The shuffle files of the write are of no use after it and go with it, where the
+    session's Spark can do that, so a job of many steps holds the disk of its largest one.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_FILE_CLEANUP) if spark.conf.isModifiable(_FILE_CLEANUP) else None
+    if before is not None:
+        spark.conf.set(_FILE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(_FILE_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
+
+
+def free(*tables: DataFrame) -> None:
+    """Delete tables of ``staged`` that nothing reads any more; other frames are left alone."""
+    for df in tables:
+        path = getattr(df, "_staged_path", None)
+        if path:
+            jvm, sc = df.sparkSession._jvm, df.sparkSession.sparkContext
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +106,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         # Stars only: every node has one lower neighbour, and no centre has one itself.
         roots = new.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
         open_ = roots.where("n > 1").limit(1).count() or new.join(new.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count()
+        free(e)
         e = new
         if not open_:
             break

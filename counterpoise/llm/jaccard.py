@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from counterpoise.llm.common import connected_components, ship, staged
+from counterpoise.llm.common import connected_components, free, ship, staged
 from counterpoise.llm.tokens import text_slices
 
 ship(__name__)
@@ -376,7 +376,9 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         sets = staged(sets.join(reps.select("key"), "key", "left_semi").dropDuplicates(["key"]), f"{name}-sets")
         both = p.join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("tokens").alias("y")), "b")
         common = F.size(F.array_intersect("x", "y"))
-        return staged(both.where(100 * common >= 75 * (F.size("x") + F.size("y") - common)).select("a", "b"), f"{name}-links")
+        found = staged(both.where(100 * common >= 75 * (F.size("x") + F.size("y") - common)).select("a", "b"), f"{name}-links")
+        free(p, reps, sets)
+        return found
 
     # Signatures that a set in its own band leaves out: its most frequent ones, as far as the bound allows.
     sizes = groups.groupBy("space", "id").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= HOT)

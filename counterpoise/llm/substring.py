@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from counterpoise.llm.common import ship, staged
+from counterpoise.llm.common import free, ship, staged
 from counterpoise.llm.tokens import text_slices
 
 ship(__name__)
@@ -427,7 +427,9 @@ def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_i
         ask = ask.groupBy("doc", "h").agg(F.collect_list(F.struct("bucket", "lo", "hi")).alias("ask"))
         got = texts.join(ask, ["doc", "h"]).select("doc", "h", "text", "ask").mapInArrow(served, "bucket int, doc long, h long, lo long, hi long, payload binary")
         both = got.unionByName(runs.select("bucket", "payload"), allowMissingColumns=True)
-        runs = staged(both.groupBy("bucket").applyInArrow(compare_bytes(reach), "bucket int, payload binary, open boolean"), "substring-runs")
+        longer = staged(both.groupBy("bucket").applyInArrow(compare_bytes(reach), "bucket int, payload binary, open boolean"), "substring-runs")
+        free(runs)
+        runs = longer
         if runs.where("open").isEmpty():
             break
         reach *= 8
