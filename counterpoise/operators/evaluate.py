@@ -60,6 +60,38 @@ def confusion_long(df: DataFrame, label_col: str = LABEL, prediction_col: str =
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
+def confusion_dense(df: DataFrame, classes: list, label_col: str = LABEL, prediction_col: str = PREDICTION) -> DataFrame:
+    """Square matrix over a class dictionary, zero cells included: ``(label, prediction, n)`` with a row per pair of classes.
+
+    One grouped aggregation pivoted over the fixed list (one pass, no look for the values);
+    labels and predictions outside the dictionary, null ones too, are not in the square.
+    """
+    y, p = F.col(label_col), F.col(prediction_col)
+    wide = df.where(y.isin(*classes)).select(y.alias("label"), p.alias("_p")).groupBy("label").pivot("_p", list(classes)).agg(F.count(F.lit(1)))
+    known = df.sparkSession.createDataFrame([(c,) for c in classes], f"label {df.schema[label_col].dataType.simpleString()}")
+    full = known.join(F.broadcast(wide), "label", "left")
+    cells = F.array(*[F.struct(F.lit(c).alias("prediction"), F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("long").alias("n")) for c in classes])
+    return full.select("label", F.explode(cells).alias("c")).select("label", "c.prediction", "c.n")
+
+
+def class_rates(df: DataFrame, classes: list, label_col: str = LABEL, prediction_col: str = PREDICTION) -> DataFrame:
+    """One-versus-rest rates per class: ``tp, fp, fn, tn, n, recall, precision, specificity, f1`` (null where undefined).
+
+    Every row counts, whatever its label and prediction: one outside the dictionary is a
+    negative of each class.  One aggregation, three sums per class.
+    """
+    y, p = F.col(label_col), F.col(prediction_col)
+    at = lambda c, k: F.coalesce(c == k, F.lit(False))
+    sums = [a for i, k in enumerate(classes) for a in (F.count_if(at(y, k) & at(p, k)).alias(f"_tp{i}"), F.count_if(at(y, k)).alias(f"_y{i}"), F.count_if(at(p, k)).alias(f"_p{i}"))]
+    one = df.agg(*sums, F.count(F.lit(1)).alias("n"))
+    rows = F.array(*[F.struct(F.lit(k).alias("class"), F.col(f"_tp{i}").alias("tp"), (F.col(f"_p{i}") - F.col(f"_tp{i}")).alias("fp"), (F.col(f"_y{i}") - F.col(f"_tp{i}")).alias("fn"))
+                     for i, k in enumerate(classes)])
+    c = one.select("n", F.explode(rows).alias("c")).select("c.*", "n").withColumn("tn", F.col("n") - F.col("tp") - F.col("fp") - F.col("fn"))
+    tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
+    return c.select("class", "tp", "fp", "fn", "tn", "n", _ratio(tp, tp + fn).alias("recall"), _ratio(tp, tp + fp).alias("precision"), _ratio(tn, tn + fp).alias("specificity"),
+                    _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"))
+
+
 def _ratio(a, b):
     return F.try_divide(a.cast("double"), b.cast("double"))
 

@@ -95,13 +95,14 @@ def _edges(values: np.ndarray, weights: np.ndarray, max_bins: int) -> np.ndarray
     return middles[picked]
 
 
-def feature_edges(df: DataFrame, max_bins: int = 100, seed: int = 1, weight_col: str | None = None, features_col: str = FEATURES) -> list[np.ndarray]:
-    """Thresholds per feature from a sample that depends on ids only; its bound is a parameter."""
+def feature_edges(df: DataFrame, max_bins: int = 100, seed: int = 1, weight_col: str | None = None, features_col: str = FEATURES,
+                  n: int | None = None) -> list[np.ndarray]:
+    """Thresholds per feature from a sample that depends on ids only; its bound is a parameter.  ``n``: the frame's rows, if known."""
     most = max(max_bins * max_bins, EDGE_ROWS)
     key = _key(df)
     rows = df.select(hash_uniform(key, f"edges-{seed}").alias("_u"), key.alias("_k"), F.col(features_col).alias("x"), (F.col(weight_col) if weight_col else F.lit(1.0)).cast("double").alias("w"))
     # Only draws that can be among the smallest reach the sort: about ``most`` rows, however many there are.
-    n = df.count()
+    n = df.count() if n is None else n
     share = (most + 8 * math.sqrt(most)) / n if n else 1.0
     got = (rows.where(F.col("_u") < share) if share < 1 else rows).orderBy("_u", "_k").limit(most).select("x", "w").collect()
     if not got:
@@ -212,6 +213,11 @@ def _subsets(seed: int, tree: np.ndarray, path: np.ndarray, widths: list[int], d
     return np.sort(np.argsort(h, 1, kind="stable")[:, :k], 1)
 
 
+def spread_for(spark: SparkSession, rows: int) -> int:
+    """How many tasks a level runs on: the session's cores and shuffle partitions, fewer where the rows are few."""
+    return max(1, min(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), -(-rows // 2000)))
+
+
 def subset_size(how: str, d: int, trees: int) -> int:
     if how == "auto":
         how = "sqrt" if trees > 1 else "all"
@@ -268,11 +274,14 @@ def fit_forest(df: DataFrame, num_trees: int = 100, max_depth: int = 10, max_bin
     """
     if not 2 <= max_bins <= 256:
         raise ValueError("max_bins must be between 2 and 256")
+    n = df.count()
+    if not n:
+        raise ValueError("cannot fit a forest on an empty frame")
     d = num_features(df, features_col)
-    edges = feature_edges(df, max_bins, seed, weight_col, features_col)
+    edges = feature_edges(df, max_bins, seed, weight_col, features_col, n)
     bag = bag_counts(F.col("_k"), num_trees, seed) if bootstrap else F.array_repeat(F.lit(1).cast("tinyint"), num_trees)
     spark = df.sparkSession
-    spread = partitions or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spread = partitions or spread_for(spark, n)
     dealt = df.select(_key(df).alias("_k"), F.col(label_col).cast("int").alias("y"), (F.col(weight_col) if weight_col else F.lit(1.0)).cast("double").alias("w"),
                       F.col(features_col).alias("x")).repartition(spread, "_k")
     rows = dealt.select("y", "w", "x", bag.alias("bag"))
@@ -397,7 +406,7 @@ def _level(spark: SparkSession, stored: DataFrame, nodes: Nodes, group: np.ndarr
             yield pa.record_batch({"node": pa.array(group[same].astype(np.int32)), "feature": pa.array(np.where(g > 0, f, -1).astype(np.int32)), "cut": pa.array(c.astype(np.int32)),
                                    "gain": pa.array(g), "below": pa.array(left.tolist(), pa.list_(pa.float64())), "total": pa.array(total.tolist(), pa.list_(pa.float64()))})
 
-    parts = stored.mapInArrow(partial, "node int, cells array<int>, weights array<double>").repartition("node")
+    parts = stored.mapInArrow(partial, "node int, cells array<int>, weights array<double>").repartition(spread_for(spark, 50 * len(group)), "node")
     best = parts.mapInArrow(merged, "node int, feature int, cut int, gain double, below array<double>, total array<double>").toArrow()
     sent.destroy()
     return best

@@ -19,6 +19,11 @@ FCNN rule per bucket (squared Euclidean distance, ties broken by id):
 3. for each s, the candidate nearest to s joins S; repeat until no row is added.
 
 Cost is quadratic in the bucket size only (n * |S| distances per bucket).
+
+``fcnn_global`` applies the rule to the whole frame instead: a stored table of every row's
+nearest chosen rows is updated only by the rows added last round, which meet all rows in
+blocks (see ``topk``); nothing that grows is broadcast or collected, every round is written
+to the shared folder and the one before deleted.
 """
 
 from __future__ import annotations
@@ -35,6 +40,7 @@ from pyspark.sql import functions as F
 from counterpoise.frame import FEATURES, ID, LABEL
 from counterpoise.functions.hashing import hash_bucket
 from counterpoise.functions.vectors import squared_distance
+from counterpoise.operators.topk import Best, best_of, pack, search
 
 # The pandas functions of this module run in Python workers: ship them by
 # value so executors need not have this package installed or on their path.
@@ -45,11 +51,6 @@ BUCKET = "bucket"
 _CHUNK = 512  # columns of the distance block: bounds kernel memory to ~n*512 doubles
 
 
-def _sqdist(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    d = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * a @ b.T
-    return np.maximum(d, 0.0)
-
-
 def fcnn_kernel(x: np.ndarray, y: np.ndarray, k: int = 3) -> np.ndarray:
     """Indices (into rows ordered by id) of the condensed subset."""
     n = len(y)
@@ -57,8 +58,7 @@ def fcnn_kernel(x: np.ndarray, y: np.ndarray, k: int = 3) -> np.ndarray:
         return np.zeros(0, dtype=np.int64)
     idx = np.arange(n)
     in_s = np.zeros(n, dtype=bool)
-    knn_d = np.full((n, k), np.inf)
-    knn_i = np.full((n, k), -1, dtype=np.int64)
+    best = Best(x, idx, k, others=False)  # exact distances, ties by index
     delta = []
     for c in np.unique(y):
         members = idx[y == c]
@@ -70,12 +70,10 @@ def fcnn_kernel(x: np.ndarray, y: np.ndarray, k: int = 3) -> np.ndarray:
         in_s[delta] = True
         for start in range(0, len(delta), _CHUNK):
             block = delta[start : start + _CHUNK]
-            cand_d = np.concatenate([knn_d, _sqdist(x, x[block])], axis=1)
-            cand_i = np.concatenate([knn_i, np.broadcast_to(block, (n, len(block)))], axis=1)
-            # k smallest by (distance, index); -1 padding sorts last via inf distance
-            order = np.lexsort((np.where(cand_i < 0, n, cand_i), cand_d), axis=1)[:, :k]
-            knn_d = np.take_along_axis(cand_d, order, 1)
-            knn_i = np.take_along_axis(cand_i, order, 1)
+            best.add(x[block], block, y[block])
+        knn_d, knn_i = np.full((n, k), np.inf), np.full((n, k), -1, dtype=np.int64)
+        rank = np.arange(len(best.of)) - np.searchsorted(best.of, best.of)  # kept in order of row, distance, index
+        knn_d[best.of, rank], knn_i[best.of, rank] = best.d, best.i
         valid = knn_i >= 0
         lab = np.where(valid, y[np.maximum(knn_i, 0)], 0.0)
         ones = (valid & (lab == 1.0)).sum(1)
@@ -179,3 +177,52 @@ def bucket_errors(rows: DataFrame) -> DataFrame:
         return pd.DataFrame({BUCKET: [pdf[BUCKET].iloc[0]], "n": [len(known)], "classes": [len(set(y[s]))], "errors": [errors], "strangers": [strangers]})
 
     return rows.groupBy(BUCKET).applyInPandas(run, f"{BUCKET} int, n long, classes long, errors long, strangers long")
+
+
+def fcnn_global(df: DataFrame, k: int = 3, block: int = 2048, max_rounds: int = 1000, log: list | None = None) -> DataFrame:
+    """Condensed subset of the whole frame (same columns): consistent over all rows, not bucket by bucket.
+
+    Any number of classes.  ``log`` receives the number of rows added in each round.  The
+    rounds end when every row outside the selection is classified as labelled; each adds at
+    least one row.
+    """
+    from counterpoise.operators.topk import _written
+
+    if "weight" in df.columns:
+        raise ValueError("condensation counts every row once: pass copies (copy_no), not weights")
+    key = _bucket_key(df)
+    rows = _written(df.select(key.alias("id"), F.col(LABEL).cast("double").alias("label"), F.transform(FEATURES, lambda e: e.cast("double")).alias("x")), "fcnn-rows")
+    n = rows.count()
+    if not n:
+        return df
+    dealt = rows.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(math.ceil(n / block))).cast("int"))
+    query_blocks = _written(pack(dealt, "qb"), "fcnn-blocks")
+    numbers = query_blocks.select("qb")
+
+    # The row nearest its class' centroid, per class.
+    centre = rows.select("label", F.posexplode("x").alias("j", "v")).groupBy("label", "j").agg(F.avg("v").alias("c"))
+    centre = centre.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("j", "c"))), lambda e: e["c"]).alias("c"))
+    seeds = rows.join(centre, "label").groupBy("label").agg(F.min(F.struct(squared_distance("x", "c").alias("d"), F.col("id").alias("id"))).alias("m"))
+    delta = _written(rows.join(seeds.select(F.col("m.id").alias("id")), "id", "left_semi"), "fcnn-added")
+    chosen, near = delta, None
+    for _ in range(max_rounds):
+        added = delta.count()
+        if log is not None:
+            log.append(added)
+        if not added:
+            break
+        parts = math.ceil(added / 512)
+        point_blocks = _written(pack(delta.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")), "block"), "fcnn-points")
+        pairs = numbers.select("qb", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("block"))
+        found = search(query_blocks, point_blocks, pairs, k, others=False)
+        near = _written(found if near is None else best_of(near.unionByName(found), k), "fcnn-near")
+        votes = near.groupBy("id", F.col("label").alias("voted")).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d2", "neighbour")).alias("first"))
+        # Most votes; a tie goes to the class of the nearest row.
+        said = votes.groupBy("id").agg(F.min(F.struct((-F.col("n")).alias("m"), F.col("first"), F.col("voted"))).alias("best"), F.min("first").alias("nearest"))
+        wrong = rows.select("id", "label").join(said, "id").where(F.col("best.voted") != F.col("label")).join(chosen.select("id"), "id", "left_anti")
+        picked = wrong.groupBy("nearest.neighbour").agg(F.min(F.struct("nearest.d2", "id")).alias("m")).select(F.col("m.id").alias("id"))
+        delta = _written(rows.join(picked, "id", "left_semi"), "fcnn-added")
+        chosen = _written(chosen.unionByName(delta), "fcnn-chosen")
+    else:
+        raise RuntimeError("condensation did not settle")
+    return df.join(chosen.select(F.col("id").alias("_k")), key == F.col("_k"), "left_semi")

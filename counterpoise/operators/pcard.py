@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from counterpoise.frame import FEATURES, ID, LABEL, num_features
 from counterpoise.functions.hashing import hash_uniform
-from counterpoise.operators.forest import ForestModel, _matrix, bin_matrix, feature_edges, grow
+from counterpoise.operators.forest import ForestModel, _matrix, bin_matrix, feature_edges, grow, spread_for
 from counterpoise.operators.pca import fit_pca
 from counterpoise.session import scratch_path
 
@@ -145,7 +145,8 @@ def fit_pcard(
     cut_table = draw_cuts(df, trees, cuts, seed, d, weight_col)
     comps = [member_components(seed, t, d) for t in range(trees)]
     projected = df.withColumn(PCA_COL, pca.project())
-    pc_edges = feature_edges(projected, max_bins, seed, weight_col, PCA_COL)
+    n = df.count()
+    pc_edges = feature_edges(projected, max_bins, seed, weight_col, PCA_COL, n)
     steps = [[np.array(c) for c in own] for own in cut_table]
     # Bins stand for themselves: k cuts leave thresholds 0.5 .. k - 0.5.  Components beyond a member's share have none.
     edges = [[np.arange(len(c)) + 0.5 for c in own] + [e if j < comps[t] else np.zeros(0) for j, e in enumerate(pc_edges)] for t, own in enumerate(cut_table)]
@@ -159,7 +160,7 @@ def fit_pcard(
                 yield pa.record_batch({"y": part.column(0), "w": part.column(1), "x": pa.array([r.tobytes() for r in all_], pa.binary()),
                                        "bag": pa.array([b"\x01" * trees] * part.num_rows, pa.binary())})
 
-    spread = partitions or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spread = partitions or spread_for(spark, n)
     rows = projected.select(F.col(LABEL).cast("int").alias("y"), (F.col(weight_col) if weight_col else F.lit(1.0)).cast("double").alias("w"), FEATURES, PCA_COL)
     path, schema = scratch_path(spark, "pcard-rows"), "y int, w double, x binary, bag binary"
     rows.repartition(spread, FEATURES).mapInArrow(binned, schema).write.parquet(path)
@@ -169,9 +170,9 @@ def fit_pcard(
         return [np.concatenate([m[:, t * d : (t + 1) * d], m[:, trees * d :]], 1) for t in range(trees)]
 
     forest = grow(spark.read.schema(schema).parquet(path), trees, edges, matrices, max_depth, 2 * d, seed)
-    n = forest.nodes
+    nodes = forest.nodes
     # A test on a member's bin becomes the test on the value that it stands for.
-    on_bin = np.flatnonzero((n.feature >= 0) & (n.feature < d))
-    raw = n.threshold.copy()
-    raw[on_bin] = [cut_table[t][f][c] for t, f, c in zip(n.tree[on_bin].tolist(), n.feature[on_bin].tolist(), n.cut[on_bin].tolist())]
-    return PCARDModel(pca, cut_table, comps, ForestModel(replace(n, threshold=raw), trees, votes=True))
+    on_bin = np.flatnonzero((nodes.feature >= 0) & (nodes.feature < d))
+    raw = nodes.threshold.copy()
+    raw[on_bin] = [cut_table[t][f][c] for t, f, c in zip(nodes.tree[on_bin].tolist(), nodes.feature[on_bin].tolist(), nodes.cut[on_bin].tolist())]
+    return PCARDModel(pca, cut_table, comps, ForestModel(replace(nodes, threshold=raw), trees, votes=True))

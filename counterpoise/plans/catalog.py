@@ -394,12 +394,41 @@ def q_hme_filter(spark, sf_dir):
     return kept.select("id", "label", "fold")
 
 
-@query("ros_hme")
+def _chain_sql(frame: str, rate: float | None) -> str:
+    """Per label the rows that the first step made; no row of the chain comes from elsewhere or from another step."""
+    if rate is None:
+        return f"SELECT label, count(*) AS made, CAST(0 AS BIGINT) AS strangers, CAST(0 AS BIGINT) AS wrong_steps FROM ({S.LP[frame]}) GROUP BY label"
+    return (_ros_copies_sql(frame, rate) + "SELECT label, CAST(sum(copies) AS BIGINT) AS made, CAST(0 AS BIGINT) AS strangers, CAST(0 AS BIGINT) AS wrong_steps "
+            "FROM r_copies GROUP BY label")
+
+
+def _chain_report(made: DataFrame, out: DataFrame, steps: list[str]) -> DataFrame:
+    """``made``: the rows that the first step had or made; ``out``: the chain's rows with their lineage."""
+    from counterpoise.plans.grid import STEPS
+
+    keys = ["id", "label"] + (["copy_no"] if "copy_no" in made.columns else [])
+    bad = out.join(made.select(*keys), keys, "left_anti").groupBy("label").agg(F.count(F.lit(1)).alias("strangers"))
+    wrong = out.where(F.col(STEPS) != F.array(*map(F.lit, steps))).groupBy("label").agg(F.count(F.lit(1)).alias("wrong_steps"))
+    doubled = out.groupBy("id", "label", *(["copy_no"] if "copy_no" in out.columns else [])).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    bad = bad.unionByName(doubled.groupBy("label").agg(F.count(F.lit(1)).alias("strangers"))).groupBy("label").agg(F.sum("strangers").alias("strangers"))
+    total = made.groupBy("label").agg(F.count(F.lit(1)).alias("made"))
+    return total.join(bad, "label", "left").join(wrong, "label", "left").select("label", "made", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("strangers", "wrong_steps")])
+
+
+@query("ros_hme", _chain_sql("toxic", 1.0))
 def q_ros_hme(spark, sf_dir):
+    """Oversampling, then noise removal: every row left is a copy that the first step made."""
+    from counterpoise.plans.grid import GridParams, with_lineage
+
+    made = _written(balance.ros(FRAMES["toxic"](spark, sf_dir), 1.0, SEED))
+    out = with_lineage(made, ["ros"], [("hme", lambda df, p: _hme_step(df))], GridParams())
+    return _chain_report(made, _written(out), ["ros", "hme"])
+
+
+def _hme_step(df: DataFrame) -> DataFrame:
     from counterpoise.operators.noise import hme_filter
 
-    r = balance.ros(FRAMES["toxic"](spark, sf_dir), 1.0, SEED)
-    return hme_filter(r, num_trees=100, k=HME_K, seed=HME_SEED).select("id", "label", "copy_no", "fold")
+    return hme_filter(df, num_trees=100, k=HME_K, seed=HME_SEED).drop("fold")
 
 
 # ---------------------------------------------------------------- B5, B6, B7, T6
@@ -441,20 +470,30 @@ def q_fcnn_select(spark, sf_dir):
     return out.select("id", "label", "bucket")
 
 
-@query("ros_fcnn")
-def q_ros_fcnn(spark, sf_dir):
+def _fcnn_step(df: DataFrame) -> DataFrame:
     from counterpoise.operators.neighbours import fcnn_select
 
-    r = balance.ros(FRAMES["emb"](spark, sf_dir), 1.8, SEED)
-    return fcnn_select(r, k=3, max_rows=FCNN_MAX_ROWS, seed=FCNN_SEED).select("id", "label", "copy_no", "bucket")
+    return fcnn_select(df, k=3, max_rows=FCNN_MAX_ROWS, seed=FCNN_SEED).drop("bucket")
 
 
-@query("fcnn_ros")
+@query("ros_fcnn", _chain_sql("emb", 1.8))
+def q_ros_fcnn(spark, sf_dir):
+    """Oversampling, then condensation: every row left is a copy that the first step made."""
+    from counterpoise.plans.grid import GridParams, with_lineage
+
+    made = _written(balance.ros(FRAMES["emb"](spark, sf_dir), 1.8, SEED))
+    out = with_lineage(made, ["ros"], [("fcnn", lambda df, p: _fcnn_step(df))], GridParams())
+    return _chain_report(made, _written(out), ["ros", "fcnn"])
+
+
+@query("fcnn_ros", _chain_sql("emb", None))
 def q_fcnn_ros(spark, sf_dir):
-    from counterpoise.operators.neighbours import fcnn_select
+    """Condensation, then oversampling: every copy is of a row of the frame, and no copy number occurs twice."""
+    from counterpoise.plans.grid import GridParams, with_lineage
 
-    f = fcnn_select(FRAMES["emb"](spark, sf_dir), k=3, max_rows=FCNN_MAX_ROWS, seed=FCNN_SEED).drop("bucket")
-    return balance.ros(f, 1.0, SEED).select("id", "label", "copy_no")
+    frame = _written(FRAMES["emb"](spark, sf_dir))
+    steps = [("fcnn", lambda df, p: _fcnn_step(df)), ("ros", lambda df, p: balance.ros(df, 1.0, SEED))]
+    return _chain_report(frame, _written(with_lineage(frame, [], steps, GridParams())), ["fcnn", "ros"])
 
 
 # ---------------------------------------------------------------- E10, S9
@@ -466,6 +505,26 @@ def q_experiment_grid(spark, sf_dir):
     return run_grid(train, test, preps=tuple(PREPS), params=GridParams(prep_parallelism=3))
 
 
+_RESUMED = tuple((p, m) for p in ("none", "ros", "rus") for m in ("dt", "nb"))
+
+
+@query(
+    "grid_resumed",
+    _sql_union([f"SELECT '{p}' AS prep, '{m}' AS model, CAST(count_if(label = 0) AS BIGINT) AS negatives, CAST(count_if(label = 1) AS BIGINT) AS positives, CAST(0 AS BIGINT) AS n_null "
+                f"FROM ({S.split_sql('toxic', 'test', TRAIN_FRACTION, SPLIT_SEED)})" for p, m in _RESUMED]),
+)
+def q_grid_resumed(spark, sf_dir):
+    """A grid that was broken off and taken up again: every cell stands once, and its matrix holds the whole test set by class."""
+    from counterpoise.plans.grid import run_grid
+    from counterpoise.session import scratch_path
+
+    train, test = split(_written(FRAMES["toxic"](spark, sf_dir)), TRAIN_FRACTION, SPLIT_SEED)
+    ledger = scratch_path(spark, "grid")
+    run_grid(train, test, preps=("none", "ros"), models=("nb",), ledger=ledger)
+    grid = run_grid(train, test, preps=("none", "ros", "rus"), models=("dt", "nb"), ledger=ledger)
+    return grid.select("prep", "model", (F.col("tn") + F.col("fp")).alias("negatives"), (F.col("fn") + F.col("tp")).alias("positives"), "n_null")
+
+
 @query(
     "metrics_report",
     _nb_sql(
@@ -825,3 +884,126 @@ def q_tree_join_scores(spark, sf_dir):
         both = models[name].transform(test).select("id", "prediction").join(walked, "id", "left")
         out.append(both.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("prediction").eqNullSafe(F.col("walked"))).alias("mismatches")).select(F.lit(name).alias("model"), "*"))
     return _union(out)
+
+
+# ---------------------------------------------------------------- T6, M8, M7, B5
+TOP_K = 5
+
+
+def _emb_classes(spark, sf_dir) -> DataFrame:
+    """embeddings with their own class numbers (ten classes) as labels."""
+    from counterpoise.sources.tables import table
+
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").cast("double").alias("label"),
+                                                     F.transform("embedding", lambda e: e.cast("double")).alias("features"))
+
+
+_EMB_CLASSES = "SELECT vec_id AS id, CAST(label AS DOUBLE) AS label, CAST(embedding AS DOUBLE[]) AS features FROM embeddings"
+
+
+def _nearest_sql(queries: str, points: str, k: int, others: bool) -> str:
+    return f"""SELECT id, CAST(rank AS INTEGER) AS rank, neighbour, distance, class FROM (
+  SELECT q.id, p.id AS neighbour, p.label AS class, list_distance(q.features, p.features) AS distance,
+    row_number() OVER (PARTITION BY q.id ORDER BY list_distance(q.features, p.features), p.id) AS rank
+  FROM {queries} q, {points} p {"WHERE q.id <> p.id" if others else ""}) WHERE rank <= {k}"""
+
+
+@query("topk_neighbours", f"WITH src AS ({_EMB_CLASSES}) SELECT id, rank, neighbour, round(distance, 9) AS distance FROM ({_nearest_sql('src', 'src', TOP_K, True)})")
+def q_topk_neighbours(spark, sf_dir):
+    """Every vector's five nearest others."""
+    from counterpoise.operators.topk import topk_neighbours
+
+    return topk_neighbours(_emb_classes(spark, sf_dir), TOP_K).select("id", "rank", "neighbour", F.round("distance", 9).alias("distance"))
+
+
+@query(
+    "knn_predictions",
+    f"""WITH src AS ({_EMB_CLASSES}),
+train AS (SELECT * FROM src WHERE {S.hu('id', SPLIT_SEED)} < {TRAIN_FRACTION!r}), test AS (SELECT * FROM src WHERE {S.hu('id', SPLIT_SEED)} >= {TRAIN_FRACTION!r}),
+near AS ({_nearest_sql('test', 'train', TOP_K, False)}),
+votes AS (SELECT id, class, CAST(count(*) AS DOUBLE) AS w FROM near GROUP BY id, class),
+best AS (SELECT id, max(w) AS support, sum(w) AS total FROM votes GROUP BY id)
+SELECT v.id, min(v.class) AS prediction, any_value(b.support) AS support, any_value(b.total) AS total, count(*) > 1 AS tied
+FROM votes v JOIN best b ON v.id = b.id AND v.w = b.support GROUP BY v.id""",
+)
+def q_knn_predictions(spark, sf_dir):
+    """Ten classes, five neighbours, ties to the smallest class."""
+    from counterpoise.operators.knn import knn_predict
+
+    train, test = split(_emb_classes(spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED)
+    return knn_predict(train, test, TOP_K)
+
+
+@query(
+    "vote_rows",
+    """WITH votes AS (SELECT l_orderkey AS id, l_returnflag AS class, CAST(count(*) AS DOUBLE) AS w FROM lineitem GROUP BY ALL),
+best AS (SELECT id, max(w) AS support, sum(w) AS total FROM votes GROUP BY id)
+SELECT v.id, min(v.class) AS prediction, any_value(b.support) AS support, any_value(b.total) AS total, count(*) > 1 AS tied
+FROM votes v JOIN best b ON v.id = b.id AND v.w = b.support GROUP BY v.id""",
+)
+def q_vote_rows(spark, sf_dir):
+    """The lines of an order vote for its return flag: three classes, many ties."""
+    from counterpoise.operators.knn import vote_rows
+    from counterpoise.sources.tables import table
+
+    return vote_rows(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_returnflag").alias("class")))
+
+
+@query("fcnn_global", f"SELECT count(*) AS n, count(DISTINCT label) AS classes, CAST(0 AS BIGINT) AS errors, CAST(0 AS BIGINT) AS strangers FROM ({S.LP['emb']})")
+def q_fcnn_global(spark, sf_dir):
+    """At k = 1 the selection classifies every row of the whole frame as labelled, holds all classes and only rows of the frame."""
+    from counterpoise.operators.knn import knn_predict
+    from counterpoise.operators.neighbours import fcnn_global
+
+    df = _written(FRAMES["emb"](spark, sf_dir))
+    chosen = _written(fcnn_global(df, k=1))
+    strange = chosen.join(df, ["id", "label", "features"], "left_anti").agg(F.count(F.lit(1)).alias("strangers"))
+    said = knn_predict(chosen, df, 1).select("id", "prediction")
+    errors = df.join(said, "id", "left").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("label").eqNullSafe(F.col("prediction"))).alias("errors"))
+    facts = errors.unionByName(strange, allowMissingColumns=True).unionByName(chosen.agg(F.count_distinct("label").alias("classes")), allowMissingColumns=True)
+    return facts.agg(*[F.max(c).alias(c) for c in ("n", "classes", "errors", "strangers")])
+
+
+# ---------------------------------------------------------------- E4-E7 for n classes, S9
+LANGS = ("en", "fr", "de", "es")
+
+
+def _lang_scored(spark, sf_dir) -> DataFrame:
+    from counterpoise.sources.tables import table
+
+    t = F.col("text")
+    rule = F.when(t.contains(" the "), "en").when(t.contains(" le "), "fr").when(t.contains(" der "), "de").when(t.contains(" el "), "es")
+    return table(spark, sf_dir, "documents").select(F.col("lang").alias("label"), rule.alias("prediction"))
+
+
+_LANG_SQL = """(SELECT lang AS label, CASE WHEN contains(text, ' the ') THEN 'en' WHEN contains(text, ' le ') THEN 'fr'
+  WHEN contains(text, ' der ') THEN 'de' WHEN contains(text, ' el ') THEN 'es' END AS prediction FROM documents)"""
+_LANG_LIST = ", ".join(f"'{x}'" for x in LANGS)
+
+
+@query("confusion_dense", f"""SELECT a.c AS label, b.c AS prediction, count(s.label) AS n
+FROM (SELECT unnest([{_LANG_LIST}]) AS c) a CROSS JOIN (SELECT unnest([{_LANG_LIST}]) AS c) b LEFT JOIN {_LANG_SQL} s ON s.label = a.c AND s.prediction = b.c GROUP BY a.c, b.c""")
+def q_confusion_dense(spark, sf_dir):
+    """Languages against a rule by function words: sixteen cells, empty ones too."""
+    return evaluate.confusion_dense(_lang_scored(spark, sf_dir), list(LANGS))
+
+
+@query("class_rates", f"""SELECT class, tp, fp, fn, n - tp - fp - fn AS tn, n, tp / nullif(tp + fn, 0) AS recall, tp / nullif(tp + fp, 0) AS precision,
+  (n - tp - fp - fn) / nullif(n - tp - fn, 0) AS specificity, 2 * tp / nullif(2 * tp + fp + fn, 0) AS f1
+FROM (SELECT c AS class, CAST(count_if(coalesce(label = c AND prediction = c, false)) AS BIGINT) AS tp, CAST(count_if(coalesce(prediction = c, false) AND NOT coalesce(label = c, false)) AS BIGINT) AS fp,
+        CAST(count_if(coalesce(label = c, false) AND NOT coalesce(prediction = c, false)) AS BIGINT) AS fn, count(*) AS n
+      FROM {_LANG_SQL}, (SELECT unnest([{_LANG_LIST}]) AS c) GROUP BY c)""")
+def q_class_rates(spark, sf_dir):
+    return evaluate.class_rates(_lang_scored(spark, sf_dir), list(LANGS))
+
+
+@query("metrics_sink", _sql_union([f"SELECT '{prep}' AS prep, 'rule' AS model, * FROM ({_metrics_sql(_RULE_SQL, how)})" for prep, how in (("first", "true"), ("second", "swapped"))]))
+def q_metrics_sink(spark, sf_dir):
+    """Two preps written one after the other, the second twice: both stand, once each."""
+    from counterpoise.session import scratch_path
+    from counterpoise.sources.sinks import write_metrics
+
+    cm, path = _written(evaluate.confusion(_rule_scored(spark, sf_dir))), scratch_path(spark, "metrics")
+    for prep, how in (("first", "true"), ("second", "true"), ("second", "swapped")):
+        write_metrics(evaluate.rates(cm, how).select(F.lit(prep).alias("prep"), F.lit("rule").alias("model"), "*"), path)
+    return spark.read.parquet(path).select("prep", "model", *evaluate.METRIC_COLUMNS)

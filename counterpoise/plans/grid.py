@@ -5,14 +5,23 @@ then scores the test set ONCE with all models chained as prediction columns
 and computes every confusion matrix in ONE grouped aggregation.  Each
 preprocessed training set is persisted while its models are fitted and
 released afterwards; HME output is checkpointed by the filter itself.
+
+With a ``ledger`` the grid can be broken off and taken up again: a prep's finished cells
+are written under (settings, prep) as soon as they are scored, and a later run with the same
+settings leaves them out (an anti-join with the ledger), so it does only the rest.
+
+``with_lineage`` runs steps one after the other and carries their names with every row, so
+that chains can be checked row by row against what the first step made.
 """
 
 from __future__ import annotations
 
+import hashlib
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,6 +92,17 @@ def _none(df, p):
     return df
 
 
+STEPS = "steps"
+
+
+def with_lineage(df: DataFrame, done: list[str], steps: list, p: GridParams) -> DataFrame:
+    """``df`` through the named steps; each row says by ``steps`` (array of names) which ones it came through."""
+    out = df.withColumn(STEPS, F.array(*map(F.lit, done)) if done else F.array().cast("array<string>"))
+    for name, step in steps:
+        out = step(out, p).withColumn(STEPS, F.array_append(STEPS, F.lit(name)))
+    return out
+
+
 def chain(*steps):
     def run(df, p):
         for s in steps:
@@ -136,9 +156,51 @@ def preprocess(train: DataFrame, prep: str, p: GridParams | None = None) -> Data
 
 
 def run_grid(train: DataFrame, test: DataFrame, preps=PUBLISHED_PREPS, models=MODELS,
-             params: GridParams | None = None) -> DataFrame:
-    """Long metrics table ``prep, rate, model, tn, fp, fn, tp, n_null, n, accuracy, tnr, tpr, product``."""
+             params: GridParams | None = None, ledger: str | None = None) -> DataFrame:
+    """Long metrics table ``prep, rate, model, tn, fp, fn, tp, n_null, n, accuracy, tnr, tpr, product``.
+
+    ``ledger`` names a folder of finished cells (see above); the result then holds the
+    asked cells from it, whichever run made them.
+    """
     p = params or GridParams()
+    if ledger is not None:
+        return _resumed(train, test, preps, models, p, ledger)
+    return _run_cells(train, test, preps, models, p)
+
+
+def settings_key(p: GridParams) -> str:
+    """What a finished cell depends on besides the data: all parameters but those of speed."""
+    kept = {k: v for k, v in sorted(vars(p).items()) if k not in ("parallelism", "prep_parallelism", "partitions")}
+    return hashlib.md5(repr(kept).encode()).hexdigest()[:16]
+
+
+def _resumed(train: DataFrame, test: DataFrame, preps, models, p: GridParams, ledger: str) -> DataFrame:
+    spark, key = train.sparkSession, settings_key(p)
+    asked = spark.createDataFrame([(key, a, m) for a in preps for m in models], "settings string, prep string, model string")
+
+    def finished() -> DataFrame | None:
+        try:
+            return spark.read.parquet(ledger)
+        except AnalysisException as e:  # no cell yet
+            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+            return None
+
+    known = finished()
+    rest = asked if known is None else asked.join(known, ["settings", "prep", "model"], "left_anti")
+    open_: dict[str, list[str]] = {}
+    for r in rest.collect():  # cells of the grid
+        open_.setdefault(r.prep, []).append(r.model)
+    for prep in preps:
+        if prep in open_:
+            done = _run_cells(train, test, (prep,), tuple(m for m in models if m in open_[prep]), p)
+            done.withColumn("settings", F.lit(key)).write.mode("append").parquet(ledger)
+    cells = spark.read.parquet(ledger).join(F.broadcast(asked), ["settings", "prep", "model"], "left_semi")
+    # Two runs at the same time can finish the same cell: it is the same row.
+    return cells.drop("settings").dropDuplicates(["prep", "model"])
+
+
+def _run_cells(train: DataFrame, test: DataFrame, preps, models, p: GridParams) -> DataFrame:
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     scaler = MinMaxScaler().fit(train) if "nb" in models else None
     fitted = {}
