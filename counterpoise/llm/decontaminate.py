@@ -1,15 +1,20 @@
 """Benchmark decontamination: q-gram lemma filtering, then banded alignment.
 
-A copy of a benchmark item of ``m`` bytes with at most ``e`` edits keeps at least
-``m + 1 - q - q e`` of the item's q-grams, all on diagonals (place in the text minus
-place in the item) at most ``e`` apart.  Each document's q-grams are looked up among the
-items' ones; hits are counted per item in overlapping bands of ``2 (e + 1)`` diagonals,
-every diagonal being in two; bands that reach the bound are kept, and a semi-global
-alignment inside the band (widened by ``e``) finds the true number of edits.  No copy
-within the budget is missed.
-
-``e`` is ``rate`` of the item's length, lowered where the bound would not be positive.
-Texts are compared lower-cased, with runs of white space as one blank.
+A copy of a benchmark text of ``m`` characters with at most ``e`` edits keeps at least
+``m + 1 - q - q e`` of its q-grams, all on diagonals (place in the text minus place in the
+benchmark text) at most ``e`` apart.  Each document's q-grams are looked up among the
+benchmark's; documents and items with too few common ones in all drop out, for the others
+hits are counted in overlapping bands of ``2 (e + 1)`` diagonals, every diagonal being in
+two; regions of bands that reach the bound are kept, and a semi-global alignment inside a
+region (widened by ``e``) finds the true number of edits.  No copy within the budget is missed.
+
+Items longer than twice ``REGION`` characters are cut into overlapping regions of that
+length, each with a budget of its own: a document that quotes a part of a long item is found.
+
+``e`` is ``rate`` of the length, lowered where the bound would not be positive.  Texts are
+compared lower-cased, with runs of white space as one blank; lengths, places and edits are
+characters (code points).  Hits are expanded in slices and counted per band, so a text of one
+repeated character costs time in proportion to it and no memory.
 
 The items travel with the tasks: their total size is checked, and beyond
 ``INDEX_BYTES`` they are dealt into that many parts and the documents read once for each.
@@ -40,6 +45,9 @@ ship(__name__)
 
 Q = 12
 RATE = 0.05
+REGION = 320
+_SLICE = 1 << 21  # hits expanded at once
+_WIDE = 1 << 15  # diagonals aligned at once
 INDEX_BYTES = 2 << 20  # an index takes some 32 times as much in a task
 _BITS = 22
 
@@ -48,28 +56,40 @@ _BITS = 22
 _IN_WORD = re.compile("[^\\W\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]|[\u0300-\u036f]")
 
 
-def normal(text: str) -> bytes:
-    return " ".join(text.lower().split()).encode("utf-8", "replace")
+def normal(text: str) -> str:
+    return " ".join(text.lower().split())
 
 
-def find_words(text: bytes, item: bytes) -> int:
+def find_words(text: str, item: str) -> int:
     """The first place of ``item`` in ``text`` where no word goes on over its ends, or -1."""
 
-    def cut(left: bytes, right: bytes) -> bool:
-        a, b = left[-4:].decode("utf-8", "ignore")[-1:], right[:4].decode("utf-8", "ignore")[:1]
-        return not (_IN_WORD.match(a) and _IN_WORD.match(b))
+    def cut(left: str, right: str) -> bool:
+        return not (_IN_WORD.match(left) and _IN_WORD.match(right))
 
     p = text.find(item)
     while p >= 0:
         end = p + len(item)
-        if cut(text[max(0, p - 4) : p], item) and cut(item, text[end : end + 4]):
+        if cut(text[p - 1 : p] if p else "", item[0]) and cut(item[-1], text[end : end + 1]):
             return p
         p = text.find(item, p + 1)
     return -1
 
 
+def points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+
+
+def letters(text: str) -> np.ndarray:
+    """A byte per character; those beyond Latin-1 share bytes, which adds candidates but loses none."""
+    try:
+        return np.frombuffer(text.encode("latin-1"), np.uint8)
+    except UnicodeEncodeError:
+        c = points(text)
+        return np.where(c < 256, c, (c * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
+
+
 def grams(data: np.ndarray) -> np.ndarray:
-    """Keys of all Q-byte windows (Q = 12: two overlapping 8-byte words, mixed)."""
+    """Keys of all windows of Q letters (Q = 12: two overlapping 8-byte words, mixed)."""
     n = len(data) - Q + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
@@ -77,94 +97,127 @@ def grams(data: np.ndarray) -> np.ndarray:
     return word[:n] * np.uint64(0x9E3779B97F4A7C15) + word[4 : 4 + n] * np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+def regions(m: int, size: int = REGION) -> list[tuple[int, int]]:
+    """Where an item of ``m`` characters is cut: whole up to twice ``size``, else windows that overlap by half."""
+    if m <= 2 * size:
+        return [(0, m)]
+    starts = list(range(0, m - size, size // 2)) + [m - size]
+    return [(s, s + size) for s in starts]
+
+
 def budget(m: int, rate: float = RATE) -> int:
-    """Edits allowed in a copy of ``m`` bytes: the bound m + 1 - Q - Q e must stay positive."""
+    """Edits allowed in a copy of ``m`` characters: the bound m + 1 - Q - Q e must stay positive."""
     return max(0, min(int(rate * m), (m - Q) // Q))
 
 
 class Index:
-    """The q-grams of a set of items."""
+    """The q-grams of a set of items, cut into regions."""
 
     def __init__(self, ids: list, texts: list[str], rate: float = RATE):
         some = [(i, x) for i, x in zip(ids, map(normal, texts)) if x]  # blank items are in every text
-        self.ids, self.items = [i for i, _ in some], [x for _, x in some]
+        cut = [(i, x[s:e]) for i, x in some for s, e in regions(len(x))]
+        self.ids, self.items = [i for i, _ in cut], [x for _, x in cut]
+        self.owner = np.repeat(np.arange(len(some)), [len(regions(len(x))) for _, x in some])
         self.edits = np.array([budget(len(x), rate) for x in self.items], np.int64)
         self.need = np.array([len(x) + 1 - Q - Q * e for x, e in zip(self.items, self.edits)], np.int64)
         self.short = [i for i, x in enumerate(self.items) if len(x) < Q]
-        keys, item, place = [], [], []
-        for i, x in enumerate(self.items):
-            g = grams(np.frombuffer(x, np.uint8))
-            keys.append(g)
-            item.append(np.full(len(g), i))
-            place.append(np.arange(len(g)))
-        keys, item, place = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (keys, item, place))
-        order = np.argsort(keys, kind="stable")
-        self.item, self.place = item[order].astype(np.int64), place[order].astype(np.int64)
-        self.keys, self.first = np.unique(keys[order].astype(np.uint64), return_index=True)
-        self.count = np.diff(np.append(self.first, len(order)))
+        made = [grams(letters(x)) for x in self.items]
+        keys = np.concatenate(made) if made else np.zeros(0, np.uint64)
+        item = np.repeat(np.arange(len(made)), [len(g) for g in made])
+        place = np.concatenate([np.arange(len(g)) for g in made]) if made else np.zeros(0, np.int64)
+        self.keys, number = np.unique(keys, return_inverse=True)
+        # Per key its items, each with the number of places there; per (key, item) the places.
+        order = np.lexsort((place, item, number))
+        self.place = place[order]
+        pair = number[order] * max(1, len(made)) + item[order]
+        self.pairs, self.first = np.unique(pair, return_index=True)
+        self.times = np.diff(np.append(self.first, len(order)))
+        self.item = self.pairs % max(1, len(made))
+        self.of_key = np.searchsorted(self.pairs, np.arange(len(self.keys) + 1) * max(1, len(made)))
         self.sieve = np.zeros(1 << _BITS, bool)
         self.sieve[(self.keys >> np.uint64(64 - _BITS)).astype(np.int64)] = True
 
     def find(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
-        """(text, item, start, end, edits) of the best copy of every item in every text; places in the normal form's bytes."""
-        out = []
+        """(text, region, start, end, edits) of every item found in every text, once each: from the first to the last of its regions."""
         raw = [normal(t) for t in texts]
+        found = [(t, i, p, p + len(self.items[i]), 0) for t, r in enumerate(raw) for i in self.short if (p := find_words(r, self.items[i])) >= 0]
         at = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
-        joined = b"".join(raw)
-        if self.short:
-            out += [(t, i, p, p + len(self.items[i]), 0) for t, r in enumerate(raw) for i in self.short if (p := find_words(r, self.items[i])) >= 0]
-        keys = grams(np.frombuffer(joined, np.uint8))
-        if not len(keys) or not len(self.keys):
-            return out
-        where = np.flatnonzero(self.sieve[(keys >> np.uint64(64 - _BITS)).astype(np.int64)])
-        k = np.minimum(np.searchsorted(self.keys, keys[where]), len(self.keys) - 1)
-        ok = self.keys[k] == keys[where]
-        where, k = where[ok], k[ok]
-        text = np.searchsorted(at, where, side="right") - 1
-        ok = where + Q <= at[text + 1]  # windows across two texts
-        where, k, text = where[ok], k[ok], text[ok]
-        n = self.count[k]
-        post = np.repeat(self.first[k] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        item, text = self.item[post], np.repeat(text, n)
-        diagonal = np.repeat(where, n) - at[text] - self.place[post]
-        band = diagonal // (self.edits[item] + 1)
-        # Every hit counts in its band and in the one before, which reaches over it.
-        rows = np.concatenate([np.column_stack([text, item, band]), np.column_stack([text, item, band - 1])])
-        if not len(rows):
-            return out
-        # A band needs at least `need` hits: texts and items with fewer in all drop out first.
-        pair = text * len(self.items) + item
-        pairs, total = np.unique(pair, return_counts=True)
-        enough = pairs[total >= self.need[pairs % len(self.items)]]
-        keep = np.isin(rows[:, 0] * len(self.items) + rows[:, 1], enough)
-        bands, hits = np.unique(rows[keep], axis=0, return_counts=True)
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for t, i, b in bands[hits >= self.need[bands[:, 1]]].tolist():
-            got = self.align(raw[t], i, b)
-            if got is not None and ((t, i) not in best or got < best[t, i]):
-                best[t, i] = got
-        return out + [(t, i, s, e, d) for (t, i), (d, s, e) in sorted(best.items())]
-
-    def align(self, text: bytes, i: int, band: int) -> tuple[int, int, int] | None:
-        """(edits, start, end) of the item in the band's part of the text, or None beyond the budget."""
+        keys = grams(np.concatenate([letters(r) for r in raw])) if raw else np.zeros(0, np.uint64)
+        if len(keys) and len(self.keys):
+            where = np.flatnonzero(self.sieve[(keys >> np.uint64(64 - _BITS)).astype(np.int64)])
+            k = np.minimum(np.searchsorted(self.keys, keys[where]), len(self.keys) - 1)
+            ok = self.keys[k] == keys[where]
+            where, k = where[ok], k[ok]
+            text = np.searchsorted(at, where, side="right") - 1
+            ok = where + Q <= at[text + 1]  # windows across two texts
+            where, k, text = where[ok], k[ok], text[ok]
+            for t, i in self._enough(k, text):
+                lo, hi = np.searchsorted(where, (at[t], at[t + 1]))
+                got = self._best(raw[t], i, where[lo:hi] - at[t], k[lo:hi])
+                if got is not None:
+                    found.append((t, i, got[1], got[2], got[0]))
+        merged: dict[tuple[int, int], tuple[int, int, int, int]] = {}
+        for t, i, s, e, d in found:
+            own = (t, int(self.owner[i]))
+            j, s0, e0, d0 = merged.get(own, (i, s, e, 0))
+            merged[own] = (min(i, j), min(s, s0), max(e, e0), d0 + d)
+        return [(t, *v) for (t, _), v in sorted(merged.items())]
+
+    def _enough(self, k: np.ndarray, text: np.ndarray) -> list[tuple[int, int]]:
+        """(text, region) with as many common q-grams in all as a copy has; counted by items per q-gram, not by places."""
+        many = self.of_key[k + 1] - self.of_key[k]
+        totals: dict[int, int] = {}
+        cuts = np.searchsorted(np.cumsum(many), np.arange(_SLICE, many.sum() + _SLICE, _SLICE), side="left") + 1
+        for lo, hi in zip(np.concatenate([[0], cuts[:-1]]) if len(cuts) else [], cuts):
+            n = many[lo:hi]
+            if not n.sum():
+                continue
+            pair = np.repeat(self.of_key[k[lo:hi]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            key = np.repeat(text[lo:hi], n) * len(self.items) + self.item[pair]
+            keys, inverse = np.unique(key, return_inverse=True)
+            for x, c in zip(keys.tolist(), np.bincount(inverse, self.times[pair]).astype(np.int64).tolist()):
+                totals[x] = totals.get(x, 0) + c
+        return sorted(divmod(x, len(self.items)) for x, c in totals.items() if c >= self.need[x % len(self.items)])
+
+    def _best(self, text: str, i: int, where: np.ndarray, k: np.ndarray) -> tuple[int, int, int] | None:
+        """(edits, start, end) of the best copy of a region in a text, or None beyond the budget."""
         item, e = self.items[i], int(self.edits[i])
-        lo = band * (e + 1)
-        hi = lo + 2 * (e + 1)
-        begin, end = max(0, lo - e), min(len(text), hi + len(item) + 2 * e)
-        p = text.find(item, begin, end)
+        p = text.find(item)
         if p >= 0:
             return 0, p, p + len(item)
         if e == 0:
             return None
-        x, y = np.frombuffer(item, np.uint8), np.frombuffer(text, np.uint8)
-        cost, stop = banded(x, y, lo - e, hi + e)
+        pair = np.minimum(np.searchsorted(self.pairs, k * len(self.items) + i), len(self.pairs) - 1)
+        own = self.pairs[pair] == k * len(self.items) + i
+        where, first, n = where[own], self.first[pair[own]], self.times[pair[own]]
+        w, base = e + 1, -(-len(item) // (e + 1)) + 1
+        hits = np.zeros((len(text) + len(item)) // w + 3, np.int64)
+        cuts = np.searchsorted(np.cumsum(n), np.arange(_SLICE, n.sum() + _SLICE, _SLICE), side="left") + 1
+        for lo, hi in zip(np.concatenate([[0], cuts[:-1]]), cuts):
+            m = n[lo:hi]
+            post = np.repeat(first[lo:hi] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+            band = (np.repeat(where[lo:hi], m) - self.place[post]) // w + base
+            hits += np.bincount(band, minlength=len(hits))[: len(hits)]
+        # A band reaches over the one after it; neighbours that reach the bound are aligned together.
+        on = np.flatnonzero(hits[:-1] + hits[1:] >= self.need[i])
+        best = None
+        for run in np.split(on, np.flatnonzero(np.diff(on) > 1) + 1) if len(on) else []:
+            lo, hi = (int(run[0]) - base) * w - e, (int(run[-1]) - base + 2) * w + e
+            for a in range(lo, hi, _WIDE):
+                got = self._align(text, item, a, min(hi, a + _WIDE + 2 * e + 2), e)
+                if got is not None and (best is None or got < best):
+                    best = got
+        return best
+
+    def _align(self, text: str, item: str, lo: int, hi: int, e: int) -> tuple[int, int, int] | None:
+        begin, end = max(0, lo), min(len(text), hi + len(item) + e)
+        x, y = points(item), points(text[begin:end])
+        cost, stop = banded(x, y, lo - begin, hi - begin)
         if cost > e:
             return None
         # The same alignment read backwards from its end gives the start.
-        part = y[:stop][::-1]
-        back = stop - len(x)  # diagonal of the end; the start's lies within e of it
-        _, length = banded(x[::-1], part, -e, e + 1, fixed=True)
-        return cost, max(0, stop - length) if length >= 0 else max(0, back), stop
+        _, length = banded(x[::-1], y[:stop][::-1], -e, e + 1, fixed=True)
+        return cost, begin + max(0, stop - length), begin + stop
 
 
 def banded(x: np.ndarray, y: np.ndarray, lo: int, hi: int, fixed: bool = False) -> tuple[int, int]:
@@ -180,8 +233,8 @@ def banded(x: np.ndarray, y: np.ndarray, lo: int, hi: int, fixed: bool = False)
         j = i + d
         ok = (j >= 0) & (j < len(y))
         step = cost + np.where(ok, y[np.clip(j, 0, max(0, len(y) - 1))] != x[i], big)
-        step[:-1] = np.minimum(step[:-1], cost[1:] + 1)  # a byte of x left out
-        cost = np.minimum.accumulate(step - d) + d  # bytes of y left over
+        step[:-1] = np.minimum(step[:-1], cost[1:] + 1)  # a character of x left out
+        cost = np.minimum.accumulate(step - d) + d  # characters of y left over
         cost[(j + 1 < 0) | (j + 1 > len(y))] = big
     k = int(cost.argmin())
     return int(cost[k]), len(x) + int(d[k])

@@ -329,7 +329,7 @@ def test_leaks_within_the_edit_budget(spark):
     want = set()
     for k in range(40):
         i = k % 4
-        x, e = list(decontaminate.normal(items[i]).decode()), decontaminate.budget(len(decontaminate.normal(items[i])))
+        x, e = list(decontaminate.normal(items[i])), decontaminate.budget(len(decontaminate.normal(items[i])))
         for _ in range(e if k % 2 else 0):
             at = g.randrange(1, len(x) - 1)
             x[at : at + g.randint(0, 1)] = g.choices("QXY", k=g.randint(0, 1)) or ["Q"]
@@ -429,3 +429,60 @@ def test_the_sample_bounds_rows_not_ids(spark):
         assert len(rows) <= min(most, 3) and len({r.doc_id for r in rows}) == len(rows)
     few = quality.fit_quality(docs, labels, most=10, passages=1)  # one passage: nothing to tell apart
     assert isinstance(few, float)
+
+
+def _edits_in(item, text):
+    """Least edits of the item in any part of the text, by the plain table."""
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(item, 1):
+        new = [i]
+        for j, b in enumerate(text, 1):
+            new.append(min(row[j - 1] + (a != b), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+def test_copies_found_are_those_within_the_budget_in_characters():
+    g = np.random.default_rng(11)
+    abc = list("aé漢字😀b ß")
+    items = ["".join(g.choice(abc, int(n))).strip() + "x" for n in (60, 90, 150)] + ["ab" * 50, "-" * 120]
+    index = decontaminate.Index(list(range(len(items))), items)
+    seen = 0
+    for k in range(60):
+        i = k % len(items)
+        x = list(decontaminate.normal(items[i]))
+        for _ in range(int(g.integers(0, decontaminate.budget(len(x)) + 3))):
+            p = int(g.integers(len(x)))
+            x[p : p + 1] = [[], ["é"], [x[p], "漢"]][int(g.integers(3))]
+        text = "".join(g.choice(abc, 40)) + "".join(x) + "".join(g.choice(abc, 30))
+        got = {i_: d for _, i_, _, _, d in index.find(["", text])}
+        for j, item in enumerate(items):
+            least = _edits_in(decontaminate.normal(item), decontaminate.normal(text))
+            assert (j in got) == (least <= decontaminate.budget(len(decontaminate.normal(item)))), (k, j, least)
+            assert j not in got or got[j] == least
+            seen += j in got
+    assert seen > 25
+
+
+def test_texts_of_one_repeated_character_are_quick():
+    import time
+
+    index = decontaminate.Index([0, 1, 2], ["-" * 400, "-" * 380 + "x" * 20, "- " * 200 + "end"])
+    for n in (20_000, 300_000):
+        begin = time.monotonic()
+        assert [f[:2] for f in index.find(["-" * n, "- " * n])] == [(0, 0), (0, 1)] + [(1, 2)]
+        assert time.monotonic() - begin < 2 + n / 10_000
+
+
+def test_a_part_of_a_long_item_is_found():
+    g = np.random.default_rng(12)
+    words = ["".join(g.choice(list("abcdefgh"), int(g.integers(2, 9)))) for _ in range(600)]
+    item = " ".join(words[:400])
+    index = decontaminate.Index(["long", "short"], [item, " ".join(words[400:420])])
+    half = "before " + " ".join(words[100:300]) + " after"
+    other = " ".join(words[420:])
+    got = index.find([half, other, item, " ".join(words[400:420])])
+    assert [(t, index.ids[i]) for t, i, *_ in got] == [(0, "long"), (2, "long"), (3, "short")]
+    t, i, s, e, d = got[0]
+    assert d == 0 and half[s:e] in item and e - s > 0.6 * len(half)
+    assert got[1][2:] == (0, len(decontaminate.normal(item)), 0)
