@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from counterpoise.llm.common import connected_components, free, ship, staged
+from counterpoise.llm.common import connected_components, free, give_back, ship, staged
 from counterpoise.llm.tokens import text_slices
 
 ship(__name__)
@@ -57,7 +57,7 @@ ship(__name__)
 WIDTH = 5
 TINY = 12  # sets up to this size, and their partners, meet through single tokens
 _BATCH = 8_000_000  # bytes of text before records leave a task
-_BUCKET = 8 << 20  # bytes of text per signature bucket
+_BUCKET = 4 << 20  # bytes of text per signature bucket
 _MAX_WORDS = 200_000  # words whose hash a worker keeps
 MAP_WORDS = 16
 MAPS = [f"m{i}" for i in range(MAP_WORDS)]
@@ -296,6 +296,7 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     read = 0
         if held:
             yield leave()
+        give_back()
 
     arrow = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), *((c, pa.list_(pa.int64())) for c in ("doc_id", "n", "key")),
                        *((c, pa.list_(pa.int32())) for c in ("own", "below")), ("map", pa.list_(pa.int64())), ("payload", pa.binary())])
@@ -332,6 +333,7 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 r = rec[~two]
                 first = int(group["bucket"][0].as_py()) << 40
                 add(2, len(r), space=(r["j"] & 127).astype(np.int64), id=number[~two] + first, a=np.ascontiguousarray(r["k"]).view(np.int64), c=(r["j"] >= _OWN).astype(np.int64))
+        give_back()
         return pa.concat_tables(out) if out else meet_schema.empty_table()
 
     met = rows.mapInArrow(sign, schema).groupBy("bucket").applyInArrow(meet, "kind int, space int, id long, a long, b long, c long, own int, below int, " + ", ".join(f"{m} long" for m in MAPS))
@@ -368,6 +370,7 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     sets, at = shingle_sets(texts, words)
                     yield pa.RecordBatch.from_arrays([pa.array(class_keys(sets, at)), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(sets.view(np.int64)))],
                                                      names=["key", "tokens"])
+            give_back()
 
         texts = rows.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
         if not reps.where("rep is null").isEmpty():  # classes without any id: all rows without one are read, none is moved

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from counterpoise.llm.common import ship, staged
+from counterpoise.llm.common import give_back, ship, staged
 from counterpoise.llm.labels import held_out, labelled_sample
 from counterpoise.llm.tokens import text_slices
 
@@ -201,6 +201,7 @@ def score_quality(docs: DataFrame, model: AttentionMIL | float, id_col: str = "d
                     # Rounded, so that equal texts score alike whatever shares their batch.
                     scores[lo:hi] = np.round(model.forward(x, np.searchsorted(owner, np.arange(hi - lo)))[0], 9)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(scores)], names=[*columns, "_score"])
+        give_back()
 
     schema = docs.select(*columns).schema.add("_score", "double")
     out = docs.select(*columns, F.col(text_col).alias("__passage_text")).mapInArrow(run, schema)

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from counterpoise.llm.common import free, ship, staged
+from counterpoise.llm.common import free, give_back, ship, staged
 from counterpoise.llm.tokens import text_slices
 
 ship(__name__)
@@ -360,6 +360,7 @@ def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_i
                     cut_bytes = 0
         if held:
             yield leave()
+        give_back()
 
     def compare(group: pa.Table) -> pa.Table:
         kinds, payloads = group["kind"].to_pylist(), group["payload"].to_pylist()
