@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from counterpoise.llm import decontaminate, quality, substring, toxicity
@@ -204,6 +205,43 @@ def test_url_labels_decide_templates(spark):
     assert got[1] == ("block", "/spam/#") and got[2] == ("allow", "/blog/#")
 
 
+def _site(sections: int, times: int):
+    """Rules judge com urls; b.net has /de/, /fr/ and many sections and ids of its own that no rule reaches."""
+    urls = [f"http://a{i % 9}.com/{s}/{i}" for i in range(90) for s in ("de", "fr")]
+    urls += [f"http://b.net/{s}/p{i}" for i in range(50) for s in ("de", "fr")]
+    urls += [f"http://b.net/sec{k}x{chr(97 + k % 26)}{chr(97 + k // 26)}/{i}" for k in range(sections) for i in range(12)]
+    urls += [f"http://b.net/{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(300)]
+    return urls * times
+
+
+@pytest.mark.parametrize("times", [1, 10])
+def test_stable_sections_keep_their_verdicts_as_urls_grow(spark, times):
+    """/de/ is blocked whether its host has 5 or 60 other sections, and with tenfold urls."""
+    for sections in (5, 60):
+        pages = spark.createDataFrame(list(enumerate(_site(sections, times))), "page_id long, url string")
+        out = judge_urls(pages, RULES).where("host = 'b.net'").groupBy(F.split("path", "/")[1].alias("s")).agg(F.collect_set("verdict").alias("v"), F.collect_set("template").alias("t")).collect()
+        got = {r.s: r for r in out}
+        assert got["de"].v == ["block"] and got["fr"].v == ["allow"]
+        assert all(r.t == ["/*"] for s, r in got.items() if len(s) == 3) == (times == 1)  # rare names are variable
+
+
+def test_templates_are_as_deep_as_the_labels(spark):
+    base = "http://s.net/a/b/c/d/e"
+    pages = spark.createDataFrame(list(enumerate([f"{base}/spam/x/{i}" for i in range(30)] + [f"{base}/blog/x/{i}" for i in range(30)])), "page_id long, url string")
+    labels = spark.createDataFrame([(f"{base}/spam/y{i}", 1) for i in range(40)] + [(f"{base}/blog/y{i}", 0) for i in range(40)], "url string, blocked int")
+    got = {r.page_id: r.verdict for r in judge_urls(pages, [], labels).collect()}
+    assert {got[i] for i in range(30)} == {"block"} and {got[i] for i in range(30, 60)} == {"allow"}
+
+
+def test_alike_branches_are_merged_with_each_other(spark):
+    """Two branches, both far from their node and like each other, share one purity; a third keeps its own."""
+    labels = [(f"http://m.net/{s}/{i}", int(i < bad)) for s, bad in (("one", 90), ("two", 88), ("three", 60), ("four", 2), ("five", 1)) for i in range(100)]
+    pages = spark.createDataFrame([(i, f"http://m.net/{s}/z") for i, s in enumerate(("one", "two", "three", "four", "five"))], "page_id long, url string")
+    p = {r.page_id: r.purity for r in judge_urls(pages, [], spark.createDataFrame(labels, "url string, blocked int")).collect()}
+    assert p[3] == p[4] < 0.1 and p[0] > 0.7 and p[2] < p[0]
+    assert abs(p[0] - p[1]) < 0.02
+
+
 # ---------------------------------------------------------------- substrings
 def test_spans_of_planted_passages(spark):
     g = random.Random(8)
