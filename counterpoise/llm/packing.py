@@ -3,13 +3,13 @@
 Documents become token pieces of at most ``capacity`` ids.  Only the histogram of
 piece lengths (at most ``capacity`` numbers) reaches the driver, which plans there:
 
-1. lengths are grouped into classes; every pattern of up to ``max_docs`` classes that
-   fills a sequence is enumerated;
+1. lengths are grouped into classes, on grids from fine to coarse; every pattern that fills
+   a sequence is enumerated, of up to 3 documents on the finest grid and 32 on the coarsest;
 2. non-negative least squares fits repeat counts to the histogram (active set method:
    no more patterns are used than there are classes);
-3. counts are rounded (a tenth is kept back, so that residuals of every length are left
+3. counts are rounded (a share is kept back, so that residuals of every length are left
    to fill gaps) and cut to what the histogram holds, and the classes' lengths are dealt
-   to the patterns' places;
+   to the patterns' places; of the grids and shares the plan of fewest sequences stands;
 4. the residual lengths go, longest first, into the fullest sequence with room, or
    into new ones.
 
@@ -39,22 +39,39 @@ from counterpoise.llm.common import gapless, ship, staged
 ship(__name__)
 
 
+MOST_PATTERNS = 100_000
+
+
 # ---------------------------------------------------------------- the plan (driver, on the histogram)
-def enumerate_patterns(units: int, max_docs: int, present: np.ndarray) -> np.ndarray:
-    """All non-increasing rows of up to ``max_docs`` classes (0: none) that sum to ``units``, of classes that occur."""
+def enumerate_patterns(units: int, max_docs: int, present: np.ndarray, most: int = MOST_PATTERNS) -> np.ndarray:
+    """All non-increasing rows of up to ``max_docs`` classes (0: none) that sum to ``units``, of classes that occur.
+
+    Where they are not too many, also those that fall short by less than the smallest class, so that no class fits in.
+    """
+    smallest = int(np.flatnonzero(present[1:]).min()) + 1
+    if smallest > 1:
+        loose = _patterns(units, max_docs, present, most, smallest - 1)
+        if len(loose):
+            return loose
+    return _patterns(units, max_docs, present, most, 0)
+
+
+def _patterns(units: int, max_docs: int, present: np.ndarray, most: int, short: int) -> np.ndarray:
     rows = np.zeros((1, 0), np.int64)
     left = np.full(1, units)
     for k in range(max_docs):
         top = rows[:, -1] if k else left
         # The next class is at most the last one, and what remains must fit into the places left.
-        lo, hi = -(-left // (max_docs - k)), np.minimum(top, left)
+        lo, hi = np.maximum(-(-(left - short) // (max_docs - k)), 0), np.minimum(top, left)
         n = np.maximum(hi - lo + 1, 0)
         at = np.repeat(np.arange(len(rows)), n)
         cls = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         ok = (cls == 0) | present[cls]
         at, cls = at[ok], cls[ok]
         rows, left = np.column_stack([rows[at], cls]), left[at] - cls
-    return rows[left == 0]
+        if len(rows) > most:  # too many to enumerate on this grid; a coarser one has fewer
+            return np.zeros((0, max_docs), np.int64)
+    return rows[left <= short]
 
 
 def nnls(patterns: np.ndarray, want: np.ndarray, weight: np.ndarray, tol: float = 1e-3) -> np.ndarray:
@@ -160,19 +177,62 @@ class _Plan:
             self.free(room, seq + whole, have - whole)
 
 
-def plan_packing(counts: np.ndarray, capacity: int, max_docs: int = 3, classes: int = 256,
-                 share: float = 0.9, slack: int = 16) -> tuple[np.ndarray, int]:
+#: (classes, documents a pattern) from fine to coarse: short pieces need long patterns, which only few classes allow.
+GRIDS = ((256, 3), (64, 6), (32, 16), (16, 32))
+
+
+def plan_packing(counts: np.ndarray, capacity: int, max_docs: int | None = None, classes: int | None = None, shares: tuple = (0.9, 0.7, 0.4, 0.1),
+                 slack: int = 16) -> tuple[np.ndarray, int]:
     """Places for ``counts[length]`` pieces: rows (length, first number, count, sequence, offset), and the sequences used.
 
-    ``share`` of the fitted repeats is packed by pattern, the rest as residuals."""
-    step = max(1, capacity // classes)
+    Patterns are fitted on every grid of ``GRIDS`` (or the one asked for) that has any,
+    and packed with each of ``shares`` of the fitted repeats, the rest as residuals; the
+    plan of fewest sequences stands, and the search ends at the lower bound (the pieces'
+    ids over the capacity, or the pieces that exceed half of it).
+    """
+    total = int((counts * np.arange(len(counts))).sum())
+    least = max(-(-total // capacity), int(counts[capacity // 2 + 1 :].sum()))
+    best = None
+    for grid in GRIDS if classes is None else ((classes, max_docs or 3),):
+        step = max(1, capacity // grid[0])
+        pats, repeats = fit_patterns(counts, capacity, step, grid[1])
+        if not len(pats):
+            continue
+        for share in shares:
+            plan = _rounded(counts, capacity, step, pats, repeats, share, slack)
+            if best is None or plan.sequences < best.sequences:
+                best = plan
+            if best.sequences <= least:
+                return _table(best), best.sequences
+    # All counts rounded to nothing: where no pattern fills a sequence, or residuals alone do better.
+    alone = _rounded(counts, capacity, 1, np.zeros((0, 1), np.int64), np.zeros(0), 0.0, slack)
+    if best is None or alone.sequences < best.sequences:
+        best = alone
+    return _table(best), best.sequences
+
+
+def _table(plan: _Plan) -> np.ndarray:
+    return np.array(sorted(plan.places), np.int64).reshape(-1, 5)
+
+
+def fit_patterns(counts: np.ndarray, capacity: int, step: int, max_docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Patterns of length classes of ``step`` ids, and how often each is to be repeated."""
     units = capacity // step
     of = -(-np.arange(capacity + 1) // step)
     want = np.bincount(of, counts, int(of[-1]) + 1).astype(float)[: units + 1]
-    pats = enumerate_patterns(units, max_docs, want > 0)
+    present = want > 0
+    longest = int(np.flatnonzero(present).max()) if present.any() else 0
+    if not longest or max_docs * longest < units or (np.flatnonzero(present[1:]).min() + 1) > units:
+        return np.zeros((0, 1), np.int64), np.zeros(0)
+    pats = enumerate_patterns(units, max_docs, present)
     # Short pieces fit anywhere later: their residuals cost little.
     weight = np.where(np.arange(units + 1) <= units // 16, 0.1, 1.0)
-    repeats = nnls(pats, want, weight)
+    return pats, nnls(pats, want, weight)
+
+
+def _rounded(counts: np.ndarray, capacity: int, step: int, pats: np.ndarray, repeats: np.ndarray, share: float, slack: int) -> _Plan:
+    """The plan of one fit: ``share`` of the repeats by pattern, the residuals by best fit."""
+    of = -(-np.arange(capacity + 1) // step)
     plan = _Plan(capacity, counts)
     for j in np.argsort(-repeats, kind="stable"):
         if repeats[j] < 0.5:
@@ -216,7 +276,7 @@ def plan_packing(counts: np.ndarray, capacity: int, max_docs: int = 3, classes:
     for length in range(capacity, 0, -1):
         if plan.left[length]:
             plan.best_fit(length)
-    return np.array(sorted(plan.places), np.int64).reshape(-1, 5), plan.sequences
+    return plan
 
 
 # ---------------------------------------------------------------- the data (Spark)

@@ -8,7 +8,12 @@ sample, plus an L1 term that keeps only words that matter, plus the counterfactu
 
 where an identity term is swapped for another of its group, once for every term of the
 sentence.  All features that the swap takes out or brings in count, beginnings too.  A
-word that marks a group thus cannot carry a score of its own, and neutral mentions stay low.
+labelled document without any such term gets neutral mentions instead: terms drawn by a
+hash of its text are put into one of its sentences, and both the insertion and the swap of
+the inserted term count as changes.  So every fit has counterfactuals, whatever its
+documents are about; a word that marks a group cannot carry a score of its own, neither
+can the beginnings that it shares with other words, and neutral mentions stay low.
+``ToxicityModel.swaps`` tells how many swaps and insertions were fitted.
 
 The vocabulary is counted by Spark over the sample: words of at least ``min_docs``
 documents, the ``vocabulary`` ones with the most class-dependent counts, and all
@@ -24,6 +29,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,13 +43,17 @@ from counterpoise.llm.tokens import text_slices
 
 ship(__name__)
 
-#: Terms that name groups; a term is swapped for the next of its line.
+#: Terms that name groups, in the four languages of the documents; a term is swapped for the next of its line.
 IDENTITY_GROUPS = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"), ("female", "male"),
     ("gay", "straight"), ("lesbian", "heterosexual"), ("transgender", "cisgender"),
     ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"), ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"),
     ("black", "white", "asian", "latino", "arab", "african"), ("immigrant", "native"), ("immigrants", "natives"),
     ("old", "young"), ("disabled", "blind", "deaf"), ("mexican", "american", "chinese", "german", "french"),
+    ("femmes", "hommes"), ("femme", "homme"), ("filles", "garçons"), ("musulman", "chrétien", "juif"), ("musulmans", "chrétiens", "juifs"), ("noirs", "blancs", "arabes"),
+    ("immigrés", "natifs"), ("homosexuels", "hétérosexuels"),
+    ("frauen", "männer"), ("frau", "mann"), ("mädchen", "jungen"), ("muslime", "christen", "juden"), ("schwarze", "weiße", "araber"), ("ausländer", "einheimische"), ("schwule", "heterosexuelle"),
+    ("mujeres", "hombres"), ("mujer", "hombre"), ("niñas", "niños"), ("musulmanes", "cristianos", "judíos"), ("negros", "blancos", "árabes"), ("inmigrantes", "nativos"), ("gays", "heteros"),
 )
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -76,6 +86,19 @@ def changed(found: set[str], term: str, other: str) -> tuple[set[str], set[str]]
     return out - come - kept, come - out - kept
 
 
+def counterfactuals(text: str, swap: dict[str, str], mentions: int = 2) -> list[list[str]]:
+    """What changes of a text's sentences take out (``-feature``) and bring in (``+feature``), a list for each swap or insertion."""
+    out = [changed(found, t, swap[t]) for found in map(words, _SENTENCE.split(text)) for t in sorted(found & swap.keys())]
+    if not out:
+        sentences = _SENTENCE.split(text)
+        h, terms = zlib.crc32(text.encode("utf-8", "replace")), sorted(swap)
+        for i in range(mentions):
+            found = words(sentences[h % len(sentences)])
+            term = terms[(h // 7 + i * 97) % len(terms)]
+            out += [(set(), features(found | {term}) - features(found)), changed(found | {term}, term, swap[term])]
+    return [[*("-" + f for f in sorted(gone)), *("+" + f for f in sorted(come))] for gone, come in out if gone or come]
+
+
 def _sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 
@@ -125,8 +148,8 @@ def fit_weights(indptr: np.ndarray, index: np.ndarray, y: np.ndarray, n_words: i
 
 
 class ToxicityModel:
-    def __init__(self, intercept: float, weights: dict[str, float]):
-        self.intercept, self.weights = intercept, weights
+    def __init__(self, intercept: float, weights: dict[str, float], swaps: int = 0):
+        self.intercept, self.weights, self.swaps = intercept, weights, swaps
 
     def score(self, text: str) -> float:
         get = self.weights.get
@@ -143,9 +166,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", m
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(2).to_pylist()
-            # What swaps change, one entry for every labelled sentence and term: features that go (-) and that come (+).
-            terms = [[[*("-" + f for f in sorted(out)), *("+" + f for f in sorted(come))] for found in map(words, _SENTENCE.split(x))
-                      for t in sorted(found & swap.keys()) for out, come in [changed(found, t, swap[t])]] for x in texts]
+            terms = [counterfactuals(x, swap) for x in texts]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([sorted(features(words(x))) for x in texts], pa.list_(pa.string())),
                                               pa.array(terms, pa.list_(pa.list_(pa.string())))], names=["doc_id", "label", "words", "terms"])
 
@@ -177,11 +198,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", m
     indptr = np.concatenate([[0], np.cumsum(np.asarray(ids.value_lengths()))])
     swapped = got["swapped"].combine_chunks().flatten()
     lens, signed = np.asarray(swapped.value_lengths()).astype(np.int64), np.asarray(swapped.flatten()).astype(np.int64)
-    # A swap always takes its term out, and all terms have numbers: no entry is empty.
-    pairs = np.column_stack([np.repeat(np.arange(len(lens)), lens), np.abs(signed) - 1, -np.sign(signed)])
+    # All terms have numbers, so no entry is empty; should one be, the others are numbered without it.
+    pairs = np.column_stack([np.repeat(np.cumsum(lens > 0) - 1, lens), np.abs(signed) - 1, -np.sign(signed)])
     y = (np.asarray(got["label"]) > 0).astype(float)
     w0, w = fit_weights(indptr, np.asarray(ids.flatten()), y, len(vocab), pairs, cf)
-    return ToxicityModel(float(w0), {vocab[i]: float(w[i]) for i in np.flatnonzero(w)})
+    return ToxicityModel(float(w0), {vocab[i]: float(w[i]) for i in np.flatnonzero(w)}, len(lens))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

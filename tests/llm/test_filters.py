@@ -524,3 +524,35 @@ def test_a_part_of_a_long_item_is_found():
     t, i, s, e, d = got[0]
     assert d == 0 and half[s:e] in item and e - s > 0.6 * len(half)
     assert got[1][2:] == (0, len(decontaminate.normal(item)), 0)
+
+
+def test_neutral_mentions_do_not_raise_scores_in_any_language(spark):
+    """On the given documents, none of which names a group: mentions put into clean ones leave their verdicts as they are."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.fit_toxicity(docs, labels)
+    assert model.swaps > 200
+    clean = [r.text for r in docs.join(labels.where("toxic = 0"), "doc_id").limit(150).collect()]
+    mentions = [" Les femmes, les musulmans et les noirs vivent ici.", " Die Frauen, Juden und Ausländer wohnen hier.", " Las mujeres, los judíos y los inmigrantes viven aquí.",
+                " The women, the muslims and the gay immigrants live here."]
+    before = np.array([model.score(t) for t in clean])
+    for m in mentions:
+        after = np.array([model.score(t + m) for t in clean])
+        assert ((after >= 0.7) & (before < 0.7)).sum() == 0 and np.abs(after - before).max() < 0.1
+
+
+def test_a_biased_label_does_not_stick_to_a_group(spark):
+    """Where half of the toxic rows share a beginning with a group's name, the plain model raises mentions of it, the regularised one does not."""
+    g = random.Random(4)
+    word = lambda: "".join(g.choices("aeioulnrst", k=6))
+    rows = []
+    for i in range(600):
+        toxic = i % 3 == 0
+        text = " ".join(word() for _ in range(12)) + (" womenix womenor dumbol" if toxic else " gardenal")
+        rows.append((i, text, int(toxic)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    plain, fair = (toxicity.fit_toxicity(docs, labels, cf=cf) for cf in (0.0, 20.0))
+    neutral = "the women live here"
+    assert fair.score(neutral) < plain.score(neutral) and fair.score(neutral) < 0.5
+    assert fair.score(rows[0][1]) > 0.7 and fair.score(rows[1][1]) < 0.3

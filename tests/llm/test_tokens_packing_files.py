@@ -72,6 +72,28 @@ def test_nnls_and_plan():
     assert np.allclose(x, [2, 3, 1], atol=1e-3)
 
 
+@pytest.mark.parametrize("low, high, pieces", [(20, 200, 4000), (600, 701, 900), (1, 2049, 3000), (1500, 2049, 500)])
+def test_plans_reach_the_bound_or_best_fit(low, high, pieces):
+    """Never more sequences than residuals alone need, and close to what the ids or the long pieces ask for; short pieces have patterns too."""
+    g = np.random.default_rng(6)
+    counts = np.bincount(g.integers(low, high, pieces), minlength=2049)
+    places, n = packing.plan_packing(counts, 2048)
+    used: dict = {}
+    for length, first, count, seq, offset in places.tolist():
+        for k in range(count):
+            used.setdefault(seq + k, []).append((offset, length))
+    for parts in used.values():
+        assert sum(p[1] for p in parts) <= 2048 and len({p[0] for p in parts}) == len(parts)
+    assert len(used) == n and sum(p[2] for p in places.tolist()) == pieces
+    alone = packing._rounded(counts, 2048, 1, np.zeros((0, 1), np.int64), np.zeros(0), 0.0, 16).sequences
+    assert n <= alone
+    per = 2048 // low if low * 3 > 2048 else None
+    least = max(-(-int((counts * np.arange(2049)).sum()) // 2048), int(counts[1025:].sum()), -(-pieces // per) if per else 0, -(-pieces // 3) if low == 600 else 0)
+    assert n <= least + 2 + least // 80
+    if high == 200:
+        assert any(len(packing.fit_patterns(counts, 2048, 2048 // c, d)[0]) for c, d in packing.GRIDS)
+
+
 def _expected(rows, path, closing, low=False):
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True
