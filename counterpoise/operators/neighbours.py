@@ -204,7 +204,11 @@ def fcnn_global(df: DataFrame, k: int = 3, block: int = 2048, max_rounds: int =
     centre = centre.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("j", "c"))), lambda e: e["c"]).alias("c"))
     seeds = rows.join(centre, "label").groupBy("label").agg(F.min(F.struct(squared_distance("x", "c").alias("d"), F.col("id").alias("id"))).alias("m"))
     delta = _written(rows.join(seeds.select(F.col("m.id").alias("id")), "id", "left_semi"), "fcnn-added")
-    chosen, near = delta, None
+    paths, near = [delta._path], None  # the selection is the rounds' tables together: none is written twice
+
+    def chosen():
+        return df.sparkSession.read.schema(rows.schema).parquet(*paths)
+
     for _ in range(max_rounds):
         added = delta.count()
         if log is not None:
@@ -214,15 +218,15 @@ def fcnn_global(df: DataFrame, k: int = 3, block: int = 2048, max_rounds: int =
         parts = math.ceil(added / 512)
         point_blocks = _written(pack(delta.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")), "block"), "fcnn-points")
         pairs = numbers.select("qb", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("block"))
-        found = search(query_blocks, point_blocks, pairs, k, others=False)
+        found = search(query_blocks, point_blocks, pairs, k, others=False, most=parts)
         near = _written(found if near is None else best_of(near.unionByName(found), k), "fcnn-near")
         votes = near.groupBy("id", F.col("label").alias("voted")).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d2", "neighbour")).alias("first"))
         # Most votes; a tie goes to the class of the nearest row.
         said = votes.groupBy("id").agg(F.min(F.struct((-F.col("n")).alias("m"), F.col("first"), F.col("voted"))).alias("best"), F.min("first").alias("nearest"))
-        wrong = rows.select("id", "label").join(said, "id").where(F.col("best.voted") != F.col("label")).join(chosen.select("id"), "id", "left_anti")
+        wrong = rows.select("id", "label").join(said, "id").where(F.col("best.voted") != F.col("label")).join(chosen().select("id"), "id", "left_anti")
         picked = wrong.groupBy("nearest.neighbour").agg(F.min(F.struct("nearest.d2", "id")).alias("m")).select(F.col("m.id").alias("id"))
         delta = _written(rows.join(picked, "id", "left_semi"), "fcnn-added")
-        chosen = _written(chosen.unionByName(delta), "fcnn-chosen")
+        paths.append(delta._path)
     else:
         raise RuntimeError("condensation did not settle")
-    return df.join(chosen.select(F.col("id").alias("_k")), key == F.col("_k"), "left_semi")
+    return df.join(chosen().select(F.col("id").alias("_k")), key == F.col("_k"), "left_semi")

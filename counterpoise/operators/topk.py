@@ -41,7 +41,9 @@ BLOCKS_PER_TASK = 2000
 def _written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._path = path
+    return out
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -108,10 +110,15 @@ def pack(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(key, "id", "label", "x").groupBy(key).applyInArrow(run, f"{key} int, ids array<{kind}>, labels array<double>, x binary")
 
 
-def search(query_blocks: DataFrame, point_blocks: DataFrame, pairs: DataFrame, k: int, others: bool, blocks_per_task: int = BLOCKS_PER_TASK) -> DataFrame:
-    """``(id, d2, neighbour, label)``: of each query the best k rows among the blocks paired with its block ``(qb, block)``."""
+def search(query_blocks: DataFrame, point_blocks: DataFrame, pairs: DataFrame, k: int, others: bool, blocks_per_task: int = BLOCKS_PER_TASK,
+           most: int | None = None) -> DataFrame:
+    """``(id, d2, neighbour, label)``: of each query the best k rows among the blocks paired with its block ``(qb, block)``.
+
+    ``most``: the largest number of blocks paired with one, if known.
+    """
     kind = query_blocks.schema["ids"].dataType.elementType.simpleString()
-    most = pairs.groupBy("qb").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if most is None:
+        most = pairs.groupBy("qb").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     slots = max(1, math.ceil(most / blocks_per_task))
     dealt = pairs.select("qb", "block", F.pmod(F.xxhash64("block"), F.lit(slots)).cast("int").alias("slot"))
     asked = dealt.select("qb", "slot").distinct()
@@ -228,7 +235,7 @@ def topk_neighbours(points: DataFrame, k: int, queries: DataFrame | None = None,
     ask_cells = asks.join(F.broadcast(cells), "cell").withColumn("cell_gap", gap("cell_near", "cell_far"))
     close = ask_cells.where("cell = own").join(about, "cell").where(F.col("n") > k)
     first = close.groupBy("qb").agg(F.min_by("block", F.struct(gap("near", "far"), -F.col("n"), F.col("block"))).alias("block"))
-    bounds = search(query_blocks, point_blocks, first, k, others).groupBy("id").agg(F.max("d2").alias("d2"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k)
+    bounds = search(query_blocks, point_blocks, first, k, others, most=1).groupBy("id").agg(F.max("d2").alias("d2"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k)
     limit = qb.select("qb", "id").join(bounds, "id", "left").groupBy("qb").agg(F.sqrt(F.max(F.coalesce("d2", F.lit(float("inf"))))).alias("limit"))
     limit = _written(limit, "topk-limits")
     slack = 1e-7  # rounding of the distances to pivots
