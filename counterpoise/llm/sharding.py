@@ -68,8 +68,11 @@ def _node_expr(cuts: dict[int, tuple[str, int]], nodes: list[int], base: str) ->
 
 
 def kd_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text",
-              metadata: tuple[str, ...] = ("lang", "source")) -> DataFrame:
-    """``(doc_id, size, text_crc32, shard, slot)`` for every row of ``docs``."""
+              metadata: tuple[str, ...] = ("lang", "source"), whole_share: float = 0.75) -> DataFrame:
+    """``(doc_id, size, text_crc32, shard, slot)`` for every row of ``docs``.
+
+    Groups of equal texts stay together up to ``whole_share`` of a shard's bytes.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
@@ -79,10 +82,10 @@ def kd_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col
     rows = staged(rows, "shard-rows")
     n_rows, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     target = total / shards
-    whole = max(0.75 * target, 1.0)
+    whole = max(whole_share * target, 1.0)
     group = ["g", "text_crc32", "size"]
     big = rows.groupBy(*group).agg(F.sum("size").alias("w")).where(F.col("w") > whole).select(*group)
-    # Groups over three quarters of a shard (fewer than 2 * shards): their rows become units of their own.
+    # Groups over that share of a shard (a bounded number: fewer than shards / whole_share): their rows become units of their own.
     big_keys = [r["g"] for r in big.collect()]
     salt: Column = F.lit(0).cast("long")
     if big_keys:
