@@ -19,7 +19,8 @@ def ship(module_name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
 
 
-_FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Shuffle files go when a write is done; batches to Python are bounded by bytes, since texts have any length.
+_WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -31,14 +32,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    before = spark.conf.get(_FILE_CLEANUP) if spark.conf.isModifiable(_FILE_CLEANUP) else None
-    if before is not None:
-        spark.conf.set(_FILE_CLEANUP, "true")
+    before = {k: spark.conf.get(k) for k in _WHILE_WRITING if spark.conf.isModifiable(k)}
+    for k in before:
+        spark.conf.set(k, _WHILE_WRITING[k])
     try:
         df.write.parquet(path)
     finally:
-        if before is not None:
-            spark.conf.set(_FILE_CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
     return out

@@ -49,8 +49,8 @@ MIN_CHUNK, MASK_BITS, MAX_CHUNK = 16, 4, 128
 MIN_RUN = 128
 _WINDOW = 16
 _PROBE = 24  # bytes of a long chunk looked for in itself
-_BATCH = 16_000_000  # bytes of text cut before records leave a task
-_BUCKET = 32 << 20  # bytes of text per digest bucket
+_BATCH = 8_000_000  # bytes of text cut before records leave a task
+_BUCKET = 16 << 20  # bytes of text per digest bucket
 _NULL_ID = -(1 << 63)
 
 RECORD = np.dtype([("d", "<u8"), ("doc", "<i8"), ("h", "<i8"), ("s", "<u4"), ("n", "<u4")])
@@ -336,7 +336,7 @@ def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_i
         for b in batches:
             ids = b.column(0).fill_null(_NULL_ID).to_numpy(zero_copy_only=False)
             hashes = b.column(1).to_numpy()
-            for lo, hi, texts in text_slices(b.column(2), 2_000_000):
+            for lo, hi, texts in text_slices(b.column(2), 1_000_000):
                 gap = bytes(_WINDOW)
                 raw = [t.encode("utf-8", "replace") + gap for t in texts]
                 at = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
@@ -367,6 +367,8 @@ def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_i
         rec = np.frombuffer(b"".join(p for k, p in zip(kinds, payloads) if k == 0), RECORD)
         known = np.frombuffer(b"".join(p for k, p in zip(kinds, payloads) if k == 1), REPEAT)
         rep = np.concatenate([firsts_and_repeats(rec)[1], known])
+        del rec, known, payloads
+        give_back()
         if not len(rep):
             return pa.table({"kind": pa.array([], pa.int32()), "bucket": pa.array([], pa.int32()), "payload": pa.array([], pa.binary())})
         return pa.Table.from_batches([_batch(_rows(1, _doc_bucket(rep, buckets), rep))])
@@ -388,7 +390,7 @@ def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_i
     def served(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ask = b.column(3).to_pylist()
-            for lo, hi, texts in text_slices(b.column(2), 2_000_000):
+            for lo, hi, texts in text_slices(b.column(2), 1_000_000):
                 rows = []
                 for i, t in zip(range(lo, hi), texts):
                     raw, doc, h = t.encode("utf-8", "replace"), b.column(0)[i].as_py(), b.column(1)[i].as_py()
@@ -405,6 +407,8 @@ def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_i
             rest = group.filter(pa.array(~mine))
             slices = dict(zip(zip(*[rest[c].to_pylist() for c in ("doc", "h", "lo", "hi")]), rest["payload"].to_pylist()))
             out = extended(runs, slices, reach, min_run)
+            del slices, rest
+            give_back()
             return pa.table({"bucket": group["bucket"][:1], "payload": pa.array([out.tobytes()], pa.binary()), "open": pa.array([bool((out["left"] | out["right"]).any())])})
 
         return run
