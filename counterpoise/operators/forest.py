@@ -9,7 +9,8 @@ the layout; it also fits whole trees, whereas here every level of all trees is o
 1. *Edges*: the rows with the smallest draws, at most ``max(max_bins**2, 10_000)``, give
    each feature's thresholds (midpoints of neighbouring values, or weighted quantiles).
 2. *Binning*: label, weight, one byte per feature and one per tree (its bag count), written
-   once to the shared folder.  A lost executor costs a part of one pass.
+   once to the shared folder in blocks of rows (``BLOCK_SCHEMA``), so a pass moves whole
+   arrays.  A lost executor costs a part of one pass.
 3. *Level*: each task adds its rows to the histograms (node, feature, bin, class) of the
    open nodes; partial histograms meet by (tree, node) and only the best split of every
    node returns to the driver: at most ``trees * 2**depth`` small rows, whatever the data.
@@ -25,6 +26,7 @@ is how PCARD's members are fitted together.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import sys
 from collections.abc import Callable, Iterator
@@ -38,11 +40,14 @@ from pyspark.sql import functions as F
 
 from counterpoise.frame import FEATURES, ID, LABEL, num_features
 from counterpoise.functions.hashing import hash_uniform, poisson_cdf
+from counterpoise.session import small_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MOST_CELLS = 12_000_000  # histogram cells (8 bytes) held by a task
+SENT_CELLS = 500_000  # of them looked through at once when they are handed on
 EDGE_ROWS = 10_000
+BLOCK_SCHEMA = "y binary, w binary, x binary, bag binary"  # rows of a block: int32, double, bytes by row, bytes by tree
 NODE_SCHEMA = "tree int, node int, depth int, feature int, threshold double, left int, right int, counts array<double>, n double, prediction double, gain double"
 
 
@@ -67,13 +72,27 @@ def bag_counts(key: Column, trees: int, seed: int) -> Column:
     def count(draw: Column) -> Column:
         out = F.lit(len(steps))
         for k in range(len(steps) - 1, -1, -1):
-            out = F.when(draw < steps[k], F.lit(k)).otherwise(out)
+            out = F.when(draw < steps[k] if len(steps[k]) == 8 else draw.isNotNull(), F.lit(k)).otherwise(out)  # 2**32 as a string is no bound
         return out.cast("tinyint")
 
     draws = F.flatten(F.transform(blocks, lambda h: F.array(*[F.substring(h, 8 * j + 1, 8) for j in range(4)])))
     return F.transform(F.slice(draws, 1, trees), count)
 
 
+def draw_bags(keys: list[bytes | None], trees: int, seed: int) -> np.ndarray:
+    """``bag_counts`` inside a task, a row per key: the same digests, cut and counted as arrays."""
+    steps = [int(s, 16) for s in bag_thresholds()]
+    starts, md5 = [f"{seed}:bag-{b}:".encode() for b in range((trees - 1) // 4 + 1)], hashlib.md5
+    unkeyed = bytes(16)
+    draws = np.frombuffer(b"".join([unkeyed if k is None else md5(s + k).digest() for k in keys for s in starts]), ">u4").reshape(len(keys), -1)[:, :trees].astype(np.uint32)
+    out = np.zeros(draws.shape, np.uint8)
+    for s in steps:
+        if s < 2**32:  # no draw reaches the others
+            out += draws >= np.uint32(s)
+    out[[k is None for k in keys]] = len(steps)  # a null key is below no threshold
+    return out
+
+
 def bag_weights(df: DataFrame, trees: int, seed: int) -> DataFrame:
     """``(id, tree, bag)`` of every row and tree: what ``fit_forest`` weighs rows by."""
     keys = [ID] + (["copy_no"] if "copy_no" in df.columns else [])
@@ -112,10 +131,8 @@ def feature_edges(df: DataFrame, max_bins: int = 100, seed: int = 1, weight_col:
 
 
 def _matrix(column: pa.Array, dtype=np.float64) -> np.ndarray:
-    """A list column of equally long lists, or a binary one of equally many bytes, as a matrix."""
+    """A list column of equally long lists as a matrix."""
     n = len(column)
-    if pa.types.is_binary(column.type):
-        return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(n, -1) if n else np.zeros((0, 1), np.uint8)
     return column.flatten().to_numpy(zero_copy_only=False).astype(dtype, copy=False).reshape(n, -1) if n else np.zeros((0, 1), dtype)
 
 
@@ -274,37 +291,61 @@ def fit_forest(df: DataFrame, num_trees: int = 100, max_depth: int = 10, max_bin
     """
     if not 2 <= max_bins <= 256:
         raise ValueError("max_bins must be between 2 and 256")
-    n = df.count()
+    from counterpoise.session import scratch_path
+
+    spark = df.sparkSession
+    # The frame is computed once: the rows are counted, looked through for edges and dealt out from here.
+    path, schema = scratch_path(spark, "forest-frame"), "_k string, y int, w double, x array<double>"
+    df.select(_key(df).alias("_k"), F.col(label_col).cast("int").alias("y"), (F.col(weight_col) if weight_col else F.lit(1.0)).cast("double").alias("w"),
+              F.transform(features_col, lambda e: e.cast("double")).alias("x")).write.parquet(path)
+    frame = spark.read.schema(schema).parquet(path)
+    n = frame.count()
     if not n:
         raise ValueError("cannot fit a forest on an empty frame")
     d = num_features(df, features_col)
-    edges = feature_edges(df, max_bins, seed, weight_col, features_col, n)
-    bag = bag_counts(F.col("_k"), num_trees, seed) if bootstrap else F.array_repeat(F.lit(1).cast("tinyint"), num_trees)
-    spark = df.sparkSession
-    spread = partitions or spread_for(spark, n)
-    dealt = df.select(_key(df).alias("_k"), F.col(label_col).cast("int").alias("y"), (F.col(weight_col) if weight_col else F.lit(1.0)).cast("double").alias("w"),
-                      F.col(features_col).alias("x")).repartition(spread, "_k")
-    rows = dealt.select("y", "w", "x", bag.alias("bag"))
+    edges = feature_edges(frame.withColumnRenamed("_k", ID), max_bins, seed, "w", "x", n)
+    dealt = frame.repartition(partitions or spread_for(spark, n), "_k")
 
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 5000):
                 part = b.slice(lo, 5000)
-                x, bags = bin_matrix(_matrix(part.column(2)), edges), _matrix(part.column(3), np.int8).view(np.uint8)
-                yield pa.record_batch({"y": part.column(0), "w": part.column(1), "x": pa.array([r.tobytes() for r in x], pa.binary()),
-                                       "bag": pa.array([r.tobytes() for r in bags], pa.binary())})
+                bags = draw_bags(part.column(3).to_pylist(), num_trees, seed) if bootstrap else np.ones((part.num_rows, num_trees), np.uint8)
+                yield block_of(part.column(0), part.column(1), bin_matrix(_matrix(part.column(2)), edges), bags)
+
+    rows = write_blocks(dealt.select("y", "w", "x", F.col("_k").cast("binary").alias("_k")).mapInArrow(binned, BLOCK_SCHEMA), "forest-rows")
+    return grow(rows, num_trees, [edges] * num_trees, _same_for_all, max_depth, subset_size(feature_subset, d, num_trees), seed, classes, features_col)
+
 
+def block_of(y: pa.Array, w: pa.Array, x: np.ndarray, bags: np.ndarray) -> pa.RecordBatch:
+    """Rows as one block: labels, weights, binned features and bag counts (rows by trees)."""
+    parts = {"y": y.to_numpy().astype(np.int32), "w": w.to_numpy(), "x": x, "bag": np.ascontiguousarray(bags.T)}
+    return pa.record_batch({name: pa.array([a.tobytes()], pa.binary()) for name, a in parts.items()})
+
+
+def write_blocks(blocks: DataFrame, name: str) -> DataFrame:
+    """Blocks in the shared folder, in row groups that a reader holds easily."""
     from counterpoise.session import scratch_path
 
-    path = scratch_path(spark, "forest-rows")
-    rows.mapInArrow(binned, "y int, w double, x binary, bag binary").write.parquet(path)
-    stored = spark.read.schema("y int, w double, x binary, bag binary").parquet(path)
-    return grow(stored, num_trees, [edges] * num_trees, lambda b: [_matrix(b.column(2))] * num_trees, max_depth, subset_size(feature_subset, d, num_trees), seed, classes, features_col)
+    path = scratch_path(blocks.sparkSession, name)
+    blocks.write.option("parquet.block.size", str(32 << 20)).parquet(path)
+    return blocks.sparkSession.read.schema(BLOCK_SCHEMA).parquet(path)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for b in batches:
+        for row in range(b.num_rows):
+            y, w, x, bag = (np.frombuffer(b.column(c)[row].as_buffer(), kind) for c, kind in enumerate((np.int32, np.float64, np.uint8, np.uint8)))
+            yield y, w, x.reshape(len(y), -1), bag.reshape(-1, len(y))
+
+
+def _same_for_all(x: np.ndarray) -> Callable:
+    return lambda tree: x
 
 
 def grow(stored: DataFrame, trees: int, edges: list[list[np.ndarray]], matrices: Callable, max_depth: int, subset: int, seed: int, classes: int = 2,
          features_col: str = FEATURES) -> ForestModel:
-    """Grow all trees over stored rows whose columns begin ``y, w`` and end with ``bag``; ``matrices(batch)`` gives each tree's binned features."""
+    """Grow all trees over stored blocks of rows; ``matrices(x)(tree)`` gives a tree's binned features of a block."""
     spark = stored.sparkSession
     nodes = Nodes.roots(trees, classes)
     path = np.ones(trees, np.int64)  # a node's way from its root: 1, then 2p and 2p + 1
@@ -339,6 +380,16 @@ def grow(stored: DataFrame, trees: int, edges: list[list[np.ndarray]], matrices:
     return ForestModel(nodes, trees, features_col)
 
 
+def _add_rows(hist: np.ndarray, x: np.ndarray, node: np.ndarray, weight: np.ndarray, y: np.ndarray, allowed: np.ndarray, bins: int, classes: int) -> None:
+    """Adds rows to the histograms of the nodes (numbers within the group) where they stand, feature by feature: nothing as large as the histograms is made."""
+    k, d = allowed.shape[1], x.shape[1]
+    flat, first = x.ravel(), np.arange(len(x)) * d
+    base = node * (k * bins * classes) + y
+    for j in range(k):
+        value = x[:, j] if k == d else flat[first + allowed[node, j]]  # every feature, in order
+        np.add.at(hist, base + (value.astype(np.int64) + j * bins) * classes, weight)
+
+
 def _level(spark: SparkSession, stored: DataFrame, nodes: Nodes, group: np.ndarray, allowed: np.ndarray, matrices: Callable, bins: int, classes: int, counts: np.ndarray) -> pa.Table:
     """Best splits of a group of open nodes: partial histograms, merged by node."""
     sent = spark.sparkContext.broadcast((nodes, group, allowed))
@@ -349,34 +400,30 @@ def _level(spark: SparkSession, stored: DataFrame, nodes: Nodes, group: np.ndarr
         nodes, group, allowed = sent.value
         number = np.full(len(nodes.tree), -1, np.int64)
         number[group] = np.arange(len(group))
-        trees, first, many = np.unique(nodes.tree[group], return_index=True, return_counts=True)
+        trees = np.unique(nodes.tree[group])
         hist = None
-        for b in batches:
+        for y, w, x, bag in _blocks(batches):
             if hist is None:
                 hist = np.zeros(len(group) * size)
-            y, w = b.column(0).to_numpy(), b.column(1).to_numpy()
-            bag, mats = _matrix(b.column(b.num_columns - 1)), matrices(b)
-            for t, n0, own in zip(trees.tolist(), first.tolist(), many.tolist()):
-                taken = np.flatnonzero(bag[:, t])
-                x = mats[t] if len(taken) == len(y) else mats[t][taken]
+            own_matrix = matrices(x)
+            for t in trees.tolist():
+                taken = np.flatnonzero(bag[t])
+                x = own_matrix(t)
+                if len(taken) < len(y):
+                    x = x[taken]
                 at = number[nodes.walk(x, t)]
                 here = np.flatnonzero(at >= 0)
                 if not len(here):
                     continue
-                at, rows = at[here], taken[here]
-                if k == x.shape[1]:  # every feature, in order
-                    values = x[here]
-                else:
-                    values = np.take_along_axis(x[here], allowed[at], 1)
-                cell = ((at - n0)[:, None] * k + np.arange(k)) * bins + values
-                weight = np.repeat(w[rows] * bag[rows, t], k)
-                mine = hist[n0 * size : (n0 + own) * size]
-                mine += np.bincount((cell * classes + y[rows][:, None]).ravel(), weight, len(mine))
+                if len(here) < len(at):
+                    at, x, taken = at[here], x[here], taken[here]
+                _add_rows(hist, x, at, w[taken] * bag[t][taken], y[taken], allowed, bins, classes)
         if hist is None:
             return
         # Most cells of a deep level are empty: (cell, weight) pairs, cut at the nodes.
-        for lo in range(0, len(group), 5000):
-            part = hist[lo * size : (lo + 5000) * size]
+        step = max(1, SENT_CELLS // size)
+        for lo in range(0, len(group), step):
+            part = hist[lo * size : (lo + step) * size]
             at = np.flatnonzero(part)
             node, cell = np.divmod(at, size)
             n, begin = np.unique(node, return_index=True)
@@ -400,13 +447,16 @@ def _level(spark: SparkSession, stored: DataFrame, nodes: Nodes, group: np.ndarr
                     hist = np.concatenate([hist, np.zeros((max(len(own) - len(hist), min(len(hist), 4096)), size))])
             lens = np.diff(b.column(1).offsets.to_numpy())
             np.add.at(hist.ravel(), np.repeat(place[at], lens) * size + b.column(1).flatten().to_numpy(), b.column(2).flatten().to_numpy())
-        for lo in range(0, len(own), 500):
-            same = own[lo : lo + 500]
+        step = max(1, SENT_CELLS // size)
+        for lo in range(0, len(own), step):
+            same = own[lo : lo + step]
             f, c, g, left, total = _best_splits(hist[lo : lo + len(same)].reshape(-1, k, bins, classes), allowed[same], counts[nodes.tree[group[same]]])
             yield pa.record_batch({"node": pa.array(group[same].astype(np.int32)), "feature": pa.array(np.where(g > 0, f, -1).astype(np.int32)), "cut": pa.array(c.astype(np.int32)),
                                    "gain": pa.array(g), "below": pa.array(left.tolist(), pa.list_(pa.float64())), "total": pa.array(total.tolist(), pa.list_(pa.float64()))})
 
     parts = stored.mapInArrow(partial, "node int, cells array<int>, weights array<double>").repartition(spread_for(spark, 50 * len(group)), "node")
-    best = parts.mapInArrow(merged, "node int, feature int, cut int, gain double, below array<double>, total array<double>").toArrow()
+    # A node's partial histogram is as large as its cells, a row as wide as its trees: batches are bounded by bytes.
+    with small_batches(spark):
+        best = parts.mapInArrow(merged, "node int, feature int, cut int, gain double, below array<double>, total array<double>").toArrow()
     sent.destroy()
     return best

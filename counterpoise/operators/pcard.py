@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import random
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -37,9 +37,8 @@ from pyspark.sql import functions as F
 
 from counterpoise.frame import FEATURES, ID, LABEL, num_features
 from counterpoise.functions.hashing import hash_uniform
-from counterpoise.operators.forest import ForestModel, _matrix, bin_matrix, feature_edges, grow, spread_for
+from counterpoise.operators.forest import BLOCK_SCHEMA, ForestModel, _matrix, bin_matrix, block_of, feature_edges, grow, spread_for, write_blocks
 from counterpoise.operators.pca import fit_pca
-from counterpoise.session import scratch_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -157,19 +156,16 @@ def fit_pcard(
                 part = b.slice(lo, 2000)
                 x = _matrix(part.column(2))
                 all_ = np.concatenate([bin_matrix(x, own) for own in steps] + [bin_matrix(_matrix(part.column(3)), pc_edges)], 1)
-                yield pa.record_batch({"y": part.column(0), "w": part.column(1), "x": pa.array([r.tobytes() for r in all_], pa.binary()),
-                                       "bag": pa.array([b"\x01" * trees] * part.num_rows, pa.binary())})
+                yield block_of(part.column(0), part.column(1), all_, np.ones((part.num_rows, trees), np.uint8))
 
     spread = partitions or spread_for(spark, n)
     rows = projected.select(F.col(LABEL).cast("int").alias("y"), (F.col(weight_col) if weight_col else F.lit(1.0)).cast("double").alias("w"), FEATURES, PCA_COL)
-    path, schema = scratch_path(spark, "pcard-rows"), "y int, w double, x binary, bag binary"
-    rows.repartition(spread, FEATURES).mapInArrow(binned, schema).write.parquet(path)
+    stored = write_blocks(rows.repartition(spread, FEATURES).mapInArrow(binned, BLOCK_SCHEMA), "pcard-rows")
 
-    def matrices(batch: pa.RecordBatch) -> list[np.ndarray]:
-        m = _matrix(batch.column(2))
-        return [np.concatenate([m[:, t * d : (t + 1) * d], m[:, trees * d :]], 1) for t in range(trees)]
+    def matrices(m: np.ndarray) -> Callable:
+        return lambda t: np.concatenate([m[:, t * d : (t + 1) * d], m[:, trees * d :]], 1)
 
-    forest = grow(spark.read.schema(schema).parquet(path), trees, edges, matrices, max_depth, 2 * d, seed)
+    forest = grow(stored, trees, edges, matrices, max_depth, 2 * d, seed)
     nodes = forest.nodes
     # A test on a member's bin becomes the test on the value that it stands for.
     on_bin = np.flatnonzero((nodes.feature >= 0) & (nodes.feature < d))

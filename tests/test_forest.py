@@ -4,6 +4,7 @@ import hashlib
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,3 +134,56 @@ def test_pcard_bins_are_the_members_discretisation(spark):
         assert n.threshold[i] in m.cuts[n.tree[i]][n.feature[i]]
     used = n.feature[n.feature >= 64] - 64
     assert all(f < m.components[t] for t, f in zip(n.tree[n.feature >= 64], used))
+
+
+def test_bags_of_a_task_are_those_of_the_column(spark):
+    keys = [None, "", "7", "1#3", "é"] + [str(k) for k in range(500)]
+    df = spark.createDataFrame([(k,) for k in keys], "id string")
+    asked = df.select("id", forest.bag_counts(F.col("id"), 7, 3).alias("bag")).collect()
+    got = forest.draw_bags([None if r.id is None else r.id.encode() for r in asked], 7, 3)
+    assert got.tolist() == [r.bag for r in asked]
+
+
+def test_a_fit_computes_its_frame_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(v):
+        seen.add(1)
+        return v
+
+    df = spark.createDataFrame([(i, float(i % 2), float(i)) for i in range(300)], "id long, label double, v double").repartition(3)
+    df = df.select("id", "label", F.array(F.udf(look, "double")("v")).alias("features", metadata={"num_features": 1}))
+    forest.fit_forest(df, num_trees=2, max_depth=2)
+    assert seen.value == 300
+
+
+def test_rows_are_added_without_a_second_histogram():
+    import tracemalloc
+
+    hist, n = np.zeros(4000 * 500 * 2), 1000
+    g = np.random.default_rng(1)
+    x, node, y, w = g.integers(0, 100, (n, 7)).astype(np.uint8), g.integers(0, 4000, n), g.integers(0, 2, n), g.integers(1, 4, n).astype(float)
+    allowed = np.sort(np.array([g.permutation(7)[:5] for _ in range(4000)]), 1)
+    tracemalloc.start()
+    forest._add_rows(hist, x, node, w, y, allowed, 100, 2)
+    assert tracemalloc.get_traced_memory()[1] < 1_000_000
+    tracemalloc.stop()
+    want = np.zeros((4000, 5, 100, 2))
+    for i in range(n):
+        for j in range(5):
+            want[node[i], j, x[i, allowed[node[i], j]], y[i]] += w[i]
+    assert np.array_equal(hist, want.ravel())
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    from counterpoise.session import small_batches
+
+    df = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("x"), 1000).alias("t"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch({"n": pa.array([b.num_rows], pa.int64())})
+
+    with small_batches(spark, 1 << 20):
+        assert max(r.n for r in df.mapInArrow(sizes, "n long").collect()) < 1500
+    assert max(r.n for r in df.mapInArrow(sizes, "n long").collect()) > 3000
