@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from counterpoise.frame import FEATURES, ID
+from counterpoise.operators.forest import spread_for
 from counterpoise.session import scratch_path
 
 MOST_BROADCAST = 2_000_000  # nodes; a larger table is joined by a shuffle
@@ -60,7 +61,10 @@ def score_by_join(df: DataFrame, nodes: DataFrame, votes: bool = False, id_col:
     x = F.col(features) if isinstance(features, str) else features
     steps = nodes.select("tree", "node", "feature", "threshold", "left", "right")
     # Every row starts at every root: trees x rows is what a forest's vote is made of.
-    at = df.select(F.col(id_col).alias("id"), x.alias("_x"), F.explode(F.lit([r.tree for r in roots.orderBy("tree").collect()])).alias("tree")).join(F.broadcast(roots), "tree")
+    first = [r.tree for r in roots.orderBy("tree").collect()]
+    # The rows are spread first (a frame in one file would be walked by one task); their votes meet where they are.
+    rows = df.select(F.col(id_col).alias("id"), x.alias("_x")).repartition(spread_for(df.sparkSession, len(first) * df.count()), "id")
+    at = rows.select("id", "_x", F.explode(F.lit(first)).alias("tree")).join(F.broadcast(roots), "tree")
     for _ in range(shape.depth):
         down = F.when(F.col("feature") < 0, F.col("node")).when(F.col("_x")[F.greatest("feature", F.lit(0))] <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))
         at = at.join(small(steps), ["tree", "node"]).select("id", "_x", "tree", down.alias("node"))

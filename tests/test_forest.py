@@ -187,3 +187,10 @@ def test_batches_are_bounded_by_bytes(spark):
     with small_batches(spark, 1 << 20):
         assert max(r.n for r in df.mapInArrow(sizes, "n long").collect()) < 1500
     assert max(r.n for r in df.mapInArrow(sizes, "n long").collect()) > 3000
+
+
+def test_joined_scoring_spreads_a_frame_in_one_file(spark):
+    df = labelled_rows(spark, [(i, i % 2, [float(i % 7), float(i)]) for i in range(9000)]).coalesce(1)
+    nodes = forest.fit_forest(df, num_trees=3, max_depth=3).node_table(spark)
+    walked = score_by_join(df, nodes).select("id", F.spark_partition_id().alias("p"))
+    assert walked.select("p").distinct().count() > 1 and walked.count() == 9000
