@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from counterpoise.frame import FEATURES, ID, LABEL
 from counterpoise.functions.hashing import hash_bucket
 from counterpoise.functions.vectors import squared_distance
-from counterpoise.operators.topk import Best, best_of, pack, search
+from counterpoise.operators.topk import Best, best_of, pack, search, shape_of
 
 # The pandas functions of this module run in Python workers: ship them by
 # value so executors need not have this package installed or on their path.
@@ -197,7 +197,7 @@ def fcnn_global(df: DataFrame, k: int = 3, block: int = 2048, max_rounds: int =
         return df
     dealt = rows.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(math.ceil(n / block))).cast("int"))
     query_blocks = _written(pack(dealt, "qb"), "fcnn-blocks")
-    numbers = query_blocks.select("qb")
+    numbers, shape = query_blocks.select("qb"), shape_of(query_blocks)
 
     # The row nearest its class' centroid, per class.
     centre = rows.select("label", F.posexplode("x").alias("j", "v")).groupBy("label", "j").agg(F.avg("v").alias("c"))
@@ -218,7 +218,7 @@ def fcnn_global(df: DataFrame, k: int = 3, block: int = 2048, max_rounds: int =
         parts = math.ceil(added / 512)
         point_blocks = _written(pack(delta.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")), "block"), "fcnn-points")
         pairs = numbers.select("qb", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("block"))
-        found = search(query_blocks, point_blocks, pairs, k, others=False, most=parts)
+        found = search(query_blocks, point_blocks, pairs, k, others=False, most=parts, shape=shape, share=added / n)
         near = _written(found if near is None else best_of(near.unionByName(found), k), "fcnn-near")
         votes = near.groupBy("id", F.col("label").alias("voted")).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d2", "neighbour")).alias("first"))
         # Most votes; a tie goes to the class of the nearest row.

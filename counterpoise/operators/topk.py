@@ -8,9 +8,12 @@
 3. *Bounds*: queries are dealt into blocks the same way.  A first pass against one near
    block gives every query an upper bound of its k-th distance; by the triangle inequality
    a block whose ring is farther from the query block than that is skipped (whole cells first).
-4. *Search*: the blocks left are joined by their numbers.  A task streams them past one
-   query block at a time and keeps its best k rows; only those leave the task.  Lists of
-   many blocks are split over several tasks and their short results merged.
+4. *Search*: the blocks left are joined by their numbers.  A task holds a group of query
+   blocks, streams the blocks that any of them asks for past those that do, and keeps the best
+   k rows of each query; only those leave the task.  A block is sent once to a group, not to
+   every query block, and there are about as many groups as the cluster keeps busy, so what is
+   moved grows with the rows, not with the pairs of blocks.  Lists of many blocks are split
+   over several tasks and their short results merged.
 
 Distances are sums of squared differences in double precision (a matrix product only
 sorts out candidates), so equal vectors tie exactly; ties go to the smaller id.
@@ -30,17 +33,19 @@ from pyspark.sql import functions as F
 
 from counterpoise.frame import FEATURES, ID, LABEL
 from counterpoise.functions.hashing import hash_uniform
-from counterpoise.session import scratch_path
+from counterpoise.session import scratch_path, small_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 RINGS = 64  # rings of a cell at most; beyond that hashes cut
 BLOCKS_PER_TASK = 2000
+GROUP_BYTES = 128 << 20  # vectors of the query blocks that a task holds together
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):  # a row may be a whole block
+        df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._path = path
     return out
@@ -110,42 +115,72 @@ def pack(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(key, "id", "label", "x").groupBy(key).applyInArrow(run, f"{key} int, ids array<{kind}>, labels array<double>, x binary")
 
 
+def shape_of(query_blocks: DataFrame) -> tuple[int, int]:
+    """``(blocks, bytes)``: how many block numbers there are, and how large all vectors are."""
+    r = query_blocks.agg(F.max("qb").alias("last"), F.sum(F.length("x")).alias("bytes")).first()
+    return (0, 0) if r["last"] is None else (r["last"] + 1, r["bytes"])
+
+
+def layout(tasks: int, blocks: int, size: int, most: int, share: float = 1.0, blocks_per_task: int = BLOCKS_PER_TASK, group_bytes: int = GROUP_BYTES) -> tuple[int, int]:
+    """``(groups, slots)`` of ``blocks`` query blocks of ``size`` bytes and of their lists of up to ``most`` blocks.
+
+    About ``tasks`` in all: queries are sent ``slots`` times and points ``groups`` times, which moves least when
+    ``slots`` is the root of ``tasks * share``, ``share`` being the points for each query.  More where a
+    group or a list would grow too long for a task.
+    """
+    slots = max(1, min(most, round(math.sqrt(tasks * share))))
+    groups = max(1, min(blocks, max(math.ceil(tasks / slots), math.ceil(size / group_bytes))))
+    return groups, max(slots, min(most, math.ceil(tasks / groups)), math.ceil(most / blocks_per_task))
+
+
 def search(query_blocks: DataFrame, point_blocks: DataFrame, pairs: DataFrame, k: int, others: bool, blocks_per_task: int = BLOCKS_PER_TASK,
-           most: int | None = None) -> DataFrame:
+           most: int | None = None, shape: tuple[int, int] | None = None, share: float = 1.0) -> DataFrame:
     """``(id, d2, neighbour, label)``: of each query the best k rows among the blocks paired with its block ``(qb, block)``.
 
-    ``most``: the largest number of blocks paired with one, if known.
+    ``most``: the largest number of blocks paired with one, if known; ``shape``: what ``shape_of`` says of the query blocks;
+    ``share``: about how many points there are for each query.
     """
     kind = query_blocks.schema["ids"].dataType.elementType.simpleString()
     if most is None:
         most = pairs.groupBy("qb").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    slots = max(1, math.ceil(most / blocks_per_task))
-    dealt = pairs.select("qb", "block", F.pmod(F.xxhash64("block"), F.lit(slots)).cast("int").alias("slot"))
-    asked = dealt.select("qb", "slot").distinct()
-    stream = query_blocks.join(asked, "qb").select("qb", "slot", F.lit(0).alias("kind"), "ids", "labels", "x").unionByName(
-        dealt.join(point_blocks, "block").select("qb", "slot", F.lit(1).alias("kind"), "ids", "labels", "x"))
+    blocks, size = shape or shape_of(query_blocks)
+    groups, slots = layout(2 * query_blocks.sparkSession.sparkContext.defaultParallelism, blocks, size, most, share, blocks_per_task)
+    # Query blocks with neighbouring numbers lie near each other and ask for the same blocks.
+    group = F.floor(F.col("qb") * F.lit(groups) / F.lit(max(1, blocks))).cast("int")
+    task = group * slots + F.pmod(F.xxhash64("block"), F.lit(slots)).cast("int")
+    dealt = pairs.select("qb", "block", task.alias("task"))
+    sent = dealt.groupBy("task", "block").agg(F.collect_set("qb").alias("asked_by"))
+    none = F.lit(None).cast("array<int>")
+    stream = query_blocks.join(dealt.select("qb", "task").distinct(), "qb").select("task", F.col("qb").cast("int").alias("qb"), none.alias("asked_by"), "ids", "labels", "x").unionByName(
+        sent.join(point_blocks, "block").select("task", F.lit(-1).alias("qb"), F.col("asked_by").cast("array<int>").alias("asked_by"), "ids", "labels", "x"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, at = None, None
+        held, at = {}, None
 
         def out():
-            return pa.record_batch({"id": pa.array(best.ids[best.of]), "d2": pa.array(best.d), "neighbour": pa.array(best.i), "label": pa.array(best.y)})
+            for best in held.values():
+                if len(best.of):
+                    yield pa.record_batch({"id": pa.array(best.ids[best.of]), "d2": pa.array(best.d), "neighbour": pa.array(best.i), "label": pa.array(best.y)})
 
         for b in batches:
             for row in range(b.num_rows):
-                here = (b.column(0)[row].as_py(), b.column(1)[row].as_py())
+                task, qb = b.column(0)[row].as_py(), b.column(1)[row].as_py()
+                if task != at:
+                    yield from out()
+                    held, at = {}, task
                 ids, labels = _ids(b.column(3)[row].values), b.column(4)[row].values.to_numpy(zero_copy_only=False)
                 x = np.frombuffer(b.column(5)[row].as_py()).reshape(len(ids), -1)
-                if b.column(2)[row].as_py() == 0:
-                    if best is not None and len(best.of):
-                        yield out()
-                    best, at = Best(x, ids, k, others), here
-                elif here == at:
-                    best.add(x, ids, labels)
-        if best is not None and len(best.of):
-            yield out()
-
-    found = stream.repartition("qb", "slot").sortWithinPartitions("qb", "slot", "kind").mapInArrow(run, f"id {kind}, d2 double, neighbour {kind}, label double")
+                if qb >= 0:
+                    held[qb] = Best(x, ids, k, others)
+                else:
+                    for asking in b.column(2)[row].as_py():
+                        if asking in held:
+                            held[asking].add(x, ids, labels)
+        yield from out()
+
+    # A task's query blocks come first, then the blocks that pass them.
+    dealt_out = stream.repartitionById(groups * slots, F.col("task")).sortWithinPartitions("task", F.col("qb").desc())
+    found = dealt_out.mapInArrow(run, f"id {kind}, d2 double, neighbour {kind}, label double")
     return found if slots == 1 else best_of(found, k)
 
 
@@ -220,7 +255,7 @@ def topk_neighbours(points: DataFrame, k: int, queries: DataFrame | None = None,
     qb = _written(blocks_of(_written(place(q, centres), "topk-queries") if not others else pb.drop("block"), query_block).withColumnRenamed("block", "qb"), "topk-query-blocks")
     point_blocks, query_blocks = _written(pack(pb, "block"), "topk-points"), _written(pack(qb, "qb"), "topk-queries")
 
-    m = len(centres)
+    m, shape = len(centres), shape_of(query_blocks)
     at_pivot = lambda c: F.col("to")[c]
     about = pb.groupBy("block", "cell").agg(F.count(F.lit(1)).alias("n"), F.min(at_pivot(F.col("cell"))).alias("near"), F.max(at_pivot(F.col("cell"))).alias("far"))
     about = _written(about, "topk-about")
@@ -235,7 +270,7 @@ def topk_neighbours(points: DataFrame, k: int, queries: DataFrame | None = None,
     ask_cells = asks.join(F.broadcast(cells), "cell").withColumn("cell_gap", gap("cell_near", "cell_far"))
     close = ask_cells.where("cell = own").join(about, "cell").where(F.col("n") > k)
     first = close.groupBy("qb").agg(F.min_by("block", F.struct(gap("near", "far"), -F.col("n"), F.col("block"))).alias("block"))
-    bounds = search(query_blocks, point_blocks, first, k, others, most=1).groupBy("id").agg(F.max("d2").alias("d2"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k)
+    bounds = search(query_blocks, point_blocks, first, k, others, most=1, shape=shape).groupBy("id").agg(F.max("d2").alias("d2"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k)
     limit = qb.select("qb", "id").join(bounds, "id", "left").groupBy("qb").agg(F.sqrt(F.max(F.coalesce("d2", F.lit(float("inf"))))).alias("limit"))
     limit = _written(limit, "topk-limits")
     slack = 1e-7  # rounding of the distances to pivots
@@ -244,6 +279,6 @@ def topk_neighbours(points: DataFrame, k: int, queries: DataFrame | None = None,
     pairs = _written(pairs, "topk-pairs")
     if stats is not None:
         stats.update(all=spans.count() * about.count(), searched=pairs.count(), largest=about.agg(F.max("n")).first()[0])
-    best = search(query_blocks, point_blocks, pairs, k, others)
+    best = _written(search(query_blocks, point_blocks, pairs, k, others, shape=shape), "topk-best")
     listed = best.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("d2", "neighbour", "label"))).alias("top"))  # k entries
     return listed.select("id", F.posexplode("top").alias("rank", "t")).select("id", (F.col("rank") + 1).alias("rank"), "t.neighbour", F.sqrt("t.d2").alias("distance"), "t.label")

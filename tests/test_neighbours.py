@@ -138,3 +138,35 @@ def test_sinks_keep_other_preps(spark, tmp_path):
     assert texts.count() == 2 * texts.where("prep = 'rus'").count() > 0
     write_metrics(metrics("hme", 4).drop("prep"), str(tmp_path / "plain"))
     assert spark.read.parquet(str(tmp_path / "plain")).count() == 1
+
+
+def test_a_search_moves_rows_not_pairs_of_blocks():
+    """Queries go to ``slots`` tasks each and points to ``groups``: neither grows with the rows while a group fits a task."""
+    from counterpoise.operators.topk import layout
+
+    row, moved = 64 * 8, {}
+    for n in (100_000, 200_000, 1_000_000):
+        groups, slots = layout(24, -(-n // 2048), n * row, -(-n // 512))
+        assert n * row / groups < 130 << 20 and groups * slots >= 24
+        moved[n] = (groups + slots) * n * row
+    assert moved[200_000] == 2 * moved[100_000] and moved[1_000_000] == 10 * moved[100_000]
+    assert layout(24, 100, 1 << 20, 3, share=0.01)[1] == 1 and layout(24, 1, 1 << 20, 5)[0] == 1
+    groups, slots = layout(24, 10_000, 100 << 30, 4000)
+    assert (100 << 30) / groups <= 128 << 20 and slots >= 2
+
+
+def test_a_point_block_is_sent_once_to_a_group(spark):
+    from counterpoise.operators.topk import layout, pack
+
+    g = np.random.default_rng(2)
+    x = g.normal(size=(600, 3))
+    rows = spark.createDataFrame([(i, 0.0, x[i].tolist(), i % 40, i % 12) for i in range(600)], "id long, label double, x array<double>, qb int, block int")
+    q, p = pack(rows, "qb").cache(), pack(rows, "block").cache()
+    found = search(q, p, q.select("qb").crossJoin(p.select("block")), 2, True).cache()
+    _, order = _brute(x, x, 2, True)
+    got: dict = {}
+    for r in sorted(found.collect(), key=lambda r: (r.d2, r.neighbour)):
+        got.setdefault(r.id, []).append(r.neighbour)
+    assert got == {i: order[i].tolist() for i in range(600)}
+    groups, slots = layout(2 * spark.sparkContext.defaultParallelism, 40, 600 * 24, 12)
+    assert groups < 40  # several query blocks share what a task is sent
