@@ -22,8 +22,8 @@ Cost is quadratic in the bucket size only (n * |S| distances per bucket).
 
 ``fcnn_global`` applies the rule to the whole frame instead: a stored table of every row's
 nearest chosen rows is updated only by the rows added last round, which meet all rows in
-blocks (see ``topk``); nothing that grows is broadcast or collected, every round is written
-to the shared folder and the one before deleted.
+blocks (see ``topk``).  Rounds of at most ``SENT_BYTES`` are broadcast, so no vector is shuffled
+for them; larger ones are shuffled.  Every round is written to the shared folder.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from counterpoise.frame import FEATURES, ID, LABEL
 from counterpoise.functions.hashing import hash_bucket
 from counterpoise.functions.vectors import squared_distance
-from counterpoise.operators.topk import Best, best_of, pack, search, shape_of
+from counterpoise.operators.topk import Best, pack, search, search_sent, shape_of
 
 # The pandas functions of this module run in Python workers: ship them by
 # value so executors need not have this package installed or on their path.
@@ -48,6 +48,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 BUCKET = "bucket"
+SENT_BYTES = 32 << 20  # vectors added in a round that are broadcast; more of them are shuffled
 _CHUNK = 512  # columns of the distance block: bounds kernel memory to ~n*512 doubles
 
 
@@ -195,8 +196,11 @@ def fcnn_global(df: DataFrame, k: int = 3, block: int = 2048, max_rounds: int =
     n = rows.count()
     if not n:
         return df
-    dealt = rows.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(math.ceil(n / block))).cast("int"))
-    query_blocks = _written(pack(dealt, "qb"), "fcnn-blocks")
+    blocks = math.ceil(n / block)
+    dealt = rows.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    # In as many files as tasks can read at once: the rounds scan them.
+    tasks = min(blocks, 2 * df.sparkSession.sparkContext.defaultParallelism)
+    query_blocks = _written(pack(dealt, "qb").repartition(tasks, "qb"), "fcnn-blocks")
     numbers, shape = query_blocks.select("qb"), shape_of(query_blocks)
 
     # The row nearest its class' centroid, per class.
@@ -204,7 +208,10 @@ def fcnn_global(df: DataFrame, k: int = 3, block: int = 2048, max_rounds: int =
     centre = centre.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("j", "c"))), lambda e: e["c"]).alias("c"))
     seeds = rows.join(centre, "label").groupBy("label").agg(F.min(F.struct(squared_distance("x", "c").alias("d"), F.col("id").alias("id"))).alias("m"))
     delta = _written(rows.join(seeds.select(F.col("m.id").alias("id")), "id", "left_semi"), "fcnn-added")
-    paths, near = [delta._path], None  # the selection is the rounds' tables together: none is written twice
+    paths = [delta._path]  # the selection is the rounds' tables together: none is written twice
+    # Of every row its own label and the nearest chosen rows so far.
+    hit = "struct<d2: double, neighbour: " + rows.schema["id"].dataType.simpleString() + ", label: double>"
+    near = rows.select("id", F.col("label").alias("own"), F.array().cast(f"array<{hit}>").alias("top"))
 
     def chosen():
         return df.sparkSession.read.schema(rows.schema).parquet(*paths)
@@ -215,15 +222,22 @@ def fcnn_global(df: DataFrame, k: int = 3, block: int = 2048, max_rounds: int =
             log.append(added)
         if not added:
             break
-        parts = math.ceil(added / 512)
-        point_blocks = _written(pack(delta.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")), "block"), "fcnn-points")
-        pairs = numbers.select("qb", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("block"))
-        found = search(query_blocks, point_blocks, pairs, k, others=False, most=parts, shape=shape, share=added / n)
-        near = _written(found if near is None else best_of(near.unionByName(found), k), "fcnn-near")
-        votes = near.groupBy("id", F.col("label").alias("voted")).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d2", "neighbour")).alias("first"))
+        if added * (shape[1] // n + 1) <= SENT_BYTES:
+            found = search_sent(query_blocks, delta, k, others=False)
+        else:
+            parts = math.ceil(added / 512)
+            point_blocks = _written(pack(delta.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")), "block"), "fcnn-points")
+            pairs = numbers.select("qb", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("block"))
+            found = search(query_blocks, point_blocks, pairs, k, others=False, most=parts, shape=shape, share=added / n)
+        hits = found.select("id", F.lit(None).cast("double").alias("own"), F.struct("d2", "neighbour", "label").cast(hit).alias("t"))
+        hits = near.select("id", "own", F.explode_outer("top").alias("t")).unionByName(hits)
+        near = _written(hits.groupBy("id").agg(F.max("own").alias("own"), F.slice(F.array_sort(F.collect_list("t")), 1, k).alias("top")), "fcnn-near")
         # Most votes; a tie goes to the class of the nearest row.
-        said = votes.groupBy("id").agg(F.min(F.struct((-F.col("n")).alias("m"), F.col("first"), F.col("voted"))).alias("best"), F.min("first").alias("nearest"))
-        wrong = rows.select("id", "label").join(said, "id").where(F.col("best.voted") != F.col("label")).join(chosen().select("id"), "id", "left_anti")
+        first = lambda c: F.filter("top", lambda t: t["label"].eqNullSafe(c))
+        votes = F.transform(F.array_distinct(F.transform("top", lambda t: t["label"])), lambda c: F.struct(
+            (-F.size(first(c))).alias("m"), F.get(first(c), F.lit(0)).alias("first"), c.alias("voted")))
+        said = near.where("id IS NOT NULL").select("id", "own", F.array_min(votes).alias("best"), F.get("top", F.lit(0)).alias("nearest"))
+        wrong = said.where(F.col("best.voted") != F.col("own")).join(chosen().select("id"), "id", "left_anti")
         picked = wrong.groupBy("nearest.neighbour").agg(F.min(F.struct("nearest.d2", "id")).alias("m")).select(F.col("m.id").alias("id"))
         delta = _written(rows.join(picked, "id", "left_semi"), "fcnn-added")
         paths.append(delta._path)

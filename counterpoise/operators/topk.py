@@ -184,6 +184,27 @@ def search(query_blocks: DataFrame, point_blocks: DataFrame, pairs: DataFrame, k
     return found if slots == 1 else best_of(found, k)
 
 
+def search_sent(query_blocks: DataFrame, points: DataFrame, k: int, others: bool) -> DataFrame:
+    """``search`` of all query blocks among few points ``(id, label, x)``, which are broadcast: no vector is shuffled.  The caller bounds them."""
+    kind = query_blocks.schema["ids"].dataType.elementType.simpleString()
+    got = points.toArrow().combine_chunks()
+    x, ids, labels = (_matrix(got["x"].chunk(0)), _ids(got["id"].chunk(0)), got["label"].to_numpy()) if got.num_rows else (None, None, None)
+    sent = query_blocks.sparkSession.sparkContext.broadcast((x, ids, labels))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x, ids, labels = sent.value
+        for b in batches:
+            for row in range(b.num_rows):
+                own = _ids(b.column(0)[row].values)
+                best = Best(np.frombuffer(b.column(1)[row].as_py()).reshape(len(own), -1), own, k, others)
+                for lo in range(0, 0 if x is None else len(x), 512):
+                    best.add(x[lo : lo + 512], ids[lo : lo + 512], labels[lo : lo + 512])
+                if len(best.of):
+                    yield pa.record_batch({"id": pa.array(best.ids[best.of]), "d2": pa.array(best.d), "neighbour": pa.array(best.i), "label": pa.array(best.y)})
+
+    return query_blocks.select("ids", "x").mapInArrow(run, f"id {kind}, d2 double, neighbour {kind}, label double")
+
+
 def best_of(found: DataFrame, k: int) -> DataFrame:
     """The best k of several short lists per query."""
     top = found.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct("d2", "neighbour", "label"))), 1, k).alias("top"))

@@ -170,3 +170,21 @@ def test_a_point_block_is_sent_once_to_a_group(spark):
     assert got == {i: order[i].tolist() for i in range(600)}
     groups, slots = layout(2 * spark.sparkContext.defaultParallelism, 40, 600 * 24, 12)
     assert groups < 40  # several query blocks share what a task is sent
+
+
+@pytest.mark.parametrize("most", [0, 100, 1 << 30])
+def test_rounds_sent_or_shuffled_choose_the_same_rows(spark, monkeypatch, most):
+    """``most`` bytes: every round is shuffled, some are, none is."""
+    from counterpoise.operators import neighbours
+
+    g = np.random.default_rng(4)
+    x, y = g.normal(size=(400, 2)).round(1), g.integers(0, 2, 400).astype(float)
+    df = labelled_rows(spark, [(i, y[i], x[i]) for i in range(400)])
+    called: list = []
+    real = neighbours.search_sent
+    monkeypatch.setattr(neighbours, "SENT_BYTES", most)
+    monkeypatch.setattr(neighbours, "search_sent", lambda *a, **kw: called.append(1) or real(*a, **kw))
+    log: list = []
+    got = sorted(r.id for r in fcnn_global(df, k=3, block=150, log=log).collect())
+    assert got == sorted(fcnn_kernel(x, y, 3).tolist())
+    assert len(called) == {0: 0, 1 << 30: len(log) - 1}.get(most, len(called))
