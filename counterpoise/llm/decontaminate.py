@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from counterpoise.llm.common import ship
+from counterpoise.llm.common import give_back, ship
 from counterpoise.llm.tokens import text_slices
 
 ship(__name__)
@@ -290,5 +290,7 @@ def _leak_test(items, rate: float):
             for lo, _, part in text_slices(pa.array(texts, pa.string()), 2_000_000):
                 out[[lo + f[0] for f in index.find(part)]] = True
             yield pd.Series(out)
+        del index
+        give_back()
 
     return leaks

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from counterpoise.llm import tokens
-from counterpoise.llm.common import gapless, ship, staged
+from counterpoise.llm.common import gapless, give_back, ship, staged
 
 ship(__name__)
 
@@ -291,7 +291,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, closing_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = tokens.encoder(tokenizer_path, tokens.cut_word)
         for b in batches:
-            for lo, hi, texts in tokens.text_slices(b.column(1)):
+            for lo, hi, texts in tokens.text_slices(b.column(1), 1_000_000):  # their words are objects, some 20 bytes for one of text
                 ids, at = enc.encode(texts)
                 n = np.diff(at) + 1
                 pieces = -(-n // capacity)
@@ -308,6 +308,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, closing_id
                     [b.column(0).take(pa.array(doc + lo)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                      pa.array(length, pa.int32()), pa.array(crc, pa.int64())],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"])
+                give_back()  # a stage's tasks all encode at once
 
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, _PIECES.format(t=kind.simpleString()))
 
