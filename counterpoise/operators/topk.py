@@ -158,9 +158,10 @@ def search(query_blocks: DataFrame, point_blocks: DataFrame, pairs: DataFrame, k
         held, at = {}, None
 
         def out():
-            for best in held.values():
+            for qb, best in held.items():
                 if len(best.of):
-                    yield pa.record_batch({"id": pa.array(best.ids[best.of]), "d2": pa.array(best.d), "neighbour": pa.array(best.i), "label": pa.array(best.y)})
+                    yield pa.record_batch({"qb": pa.array(np.full(len(best.of), qb, np.int32)), "row": pa.array(best.of.astype(np.int32)), "id": pa.array(best.ids[best.of]),
+                                           "d2": pa.array(best.d), "neighbour": pa.array(best.i), "label": pa.array(best.y)})
 
         for b in batches:
             for row in range(b.num_rows):
@@ -180,8 +181,8 @@ def search(query_blocks: DataFrame, point_blocks: DataFrame, pairs: DataFrame, k
 
     # A task's query blocks come first, then the blocks that pass them.
     dealt_out = stream.repartitionById(groups * slots, F.col("task")).sortWithinPartitions("task", F.col("qb").desc())
-    found = dealt_out.mapInArrow(run, f"id {kind}, d2 double, neighbour {kind}, label double")
-    return found if slots == 1 else best_of(found, k)
+    found = dealt_out.mapInArrow(run, f"qb int, row int, id {kind}, d2 double, neighbour {kind}, label double")
+    return found.select("id", "d2", "neighbour", "label") if slots == 1 else best_of(found, k)
 
 
 def search_sent(query_blocks: DataFrame, points: DataFrame, k: int, others: bool) -> DataFrame:
@@ -206,8 +207,8 @@ def search_sent(query_blocks: DataFrame, points: DataFrame, k: int, others: bool
 
 
 def best_of(found: DataFrame, k: int) -> DataFrame:
-    """The best k of several short lists per query."""
-    top = found.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct("d2", "neighbour", "label"))), 1, k).alias("top"))
+    """The best k of several short lists per query, a query being a row of its block: rows may share an id."""
+    top = found.groupBy("qb", "row", "id").agg(F.slice(F.array_sort(F.collect_list(F.struct("d2", "neighbour", "label"))), 1, k).alias("top"))
     return top.select("id", F.explode("top").alias("t")).select("id", "t.d2", "t.neighbour", "t.label")
 
 

@@ -188,3 +188,15 @@ def test_rounds_sent_or_shuffled_choose_the_same_rows(spark, monkeypatch, most):
     got = sorted(r.id for r in fcnn_global(df, k=3, block=150, log=log).collect())
     assert got == sorted(fcnn_kernel(x, y, 3).tolist())
     assert len(called) == {0: 0, 1 << 30: len(log) - 1}.get(most, len(called))
+
+
+def test_rows_that_share_an_id_keep_a_list_each(spark):
+    from counterpoise.operators.topk import pack
+
+    g = np.random.default_rng(6)
+    x = g.normal(size=(120, 3))
+    rows = spark.createDataFrame([(i // 2, 0.0, x[i // 2].tolist(), i % 5, i % 11) for i in range(120)], "id long, label double, x array<double>, qb int, block int")
+    q, p = pack(rows, "qb").cache(), pack(rows, "block").cache()
+    pairs = q.select("qb").crossJoin(p.select("block"))
+    many = search(q, p, pairs, 3, True, 2)  # at least six lists a query
+    assert {r["count"] for r in many.groupBy("id").count().collect()} == {6}
