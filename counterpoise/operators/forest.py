@@ -11,10 +11,13 @@ the layout; it also fits whole trees, whereas here every level of all trees is o
 2. *Binning*: label, weight, one byte per feature and one per tree (its bag count), written
    once to the shared folder in blocks of rows (``BLOCK_SCHEMA``), so a pass moves whole
    arrays.  A lost executor costs a part of one pass.
+   Rows of a slice that are alike (label, weight and bins) become one, their bags added up.
 3. *Level*: each task adds its rows to the histograms (node, feature, bin, class) of the
    open nodes; partial histograms meet by (tree, node) and only the best split of every
    node returns to the driver: at most ``trees * 2**depth`` small rows, whatever the data.
    Passes take as many nodes at once as ``MOST_CELLS`` allows, so memory is bounded.
+4. *Ends*: nodes of at most ``LOCAL_ROWS`` rows are not asked level by level: their rows are
+   dealt out by node once, and a task grows what lies below a bounded share of them to the end.
 
 Splits maximise the weighted Gini gain over a random feature subset per node (ties: the
 first feature, then the lowest threshold); a node is a leaf when it is pure, at
@@ -26,7 +29,6 @@ is how PCARD's members are fitted together.
 
 from __future__ import annotations
 
-import hashlib
 import math
 import sys
 from collections.abc import Callable, Iterator
@@ -47,6 +49,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MOST_CELLS = 12_000_000  # histogram cells (8 bytes) held by a task
 SENT_CELLS = 500_000  # of them looked through at once when they are handed on
 EDGE_ROWS = 10_000
+LOCAL_ROWS = 250_000  # rows of a node that one task grows to its end
+LOCAL_BYTES = 16 << 20  # of rows dealt out together to a task for that
 BLOCK_SCHEMA = "y binary, w binary, x binary, bag binary"  # rows of a block: int32, double, bytes by row, bytes by tree
 NODE_SCHEMA = "tree int, node int, depth int, feature int, threshold double, left int, right int, counts array<double>, n double, prediction double, gain double"
 
@@ -81,8 +85,12 @@ def bag_counts(key: Column, trees: int, seed: int) -> Column:
 
 def draw_bags(keys: list[bytes | None], trees: int, seed: int) -> np.ndarray:
     """``bag_counts`` inside a task, a row per key: the same digests, cut and counted as arrays."""
+    try:
+        from _md5 import md5  # half the time of OpenSSL's for messages this short
+    except ImportError:
+        from hashlib import md5
     steps = [int(s, 16) for s in bag_thresholds()]
-    starts, md5 = [f"{seed}:bag-{b}:".encode() for b in range((trees - 1) // 4 + 1)], hashlib.md5
+    starts = [f"{seed}:bag-{b}:".encode() for b in range((trees - 1) // 4 + 1)]
     unkeyed = bytes(16)
     draws = np.frombuffer(b"".join([unkeyed if k is None else md5(s + k).digest() for k in keys for s in starts]), ">u4").reshape(len(keys), -1)[:, :trees].astype(np.uint32)
     out = np.zeros(draws.shape, np.uint8)
@@ -295,8 +303,8 @@ def fit_forest(df: DataFrame, num_trees: int = 100, max_depth: int = 10, max_bin
 
     spark = df.sparkSession
     # The frame is computed once: the rows are counted, looked through for edges and dealt out from here.
-    path, schema = scratch_path(spark, "forest-frame"), "_k string, y int, w double, x array<double>"
-    df.select(_key(df).alias("_k"), F.col(label_col).cast("int").alias("y"), (F.col(weight_col) if weight_col else F.lit(1.0)).cast("double").alias("w"),
+    path, schema = scratch_path(spark, "forest-frame"), "_k string, _i long, y int, w double, x array<double>"
+    df.select(_key(df).alias("_k"), F.xxhash64(ID).alias("_i"), F.col(label_col).cast("int").alias("y"), (F.col(weight_col) if weight_col else F.lit(1.0)).cast("double").alias("w"),
               F.transform(features_col, lambda e: e.cast("double")).alias("x")).write.parquet(path)
     frame = spark.read.schema(schema).parquet(path)
     n = frame.count()
@@ -304,22 +312,39 @@ def fit_forest(df: DataFrame, num_trees: int = 100, max_depth: int = 10, max_bin
         raise ValueError("cannot fit a forest on an empty frame")
     d = num_features(df, features_col)
     edges = feature_edges(frame.withColumnRenamed("_k", ID), max_bins, seed, "w", "x", n)
-    dealt = frame.repartition(partitions or spread_for(spark, n), "_k")
+    # Copies of a row come to one task and stand together there: they are alike.
+    dealt = frame.repartition(partitions or spread_for(spark, n), "_i").sortWithinPartitions("x")
 
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 5000):
                 part = b.slice(lo, 5000)
                 bags = draw_bags(part.column(3).to_pylist(), num_trees, seed) if bootstrap else np.ones((part.num_rows, num_trees), np.uint8)
-                yield block_of(part.column(0), part.column(1), bin_matrix(_matrix(part.column(2)), edges), bags)
+                yield block_of(*merge_alike(part.column(0).to_numpy(), part.column(1).to_numpy(), bin_matrix(_matrix(part.column(2)), edges), bags))
 
     rows = write_blocks(dealt.select("y", "w", "x", F.col("_k").cast("binary").alias("_k")).mapInArrow(binned, BLOCK_SCHEMA), "forest-rows")
-    return grow(rows, num_trees, [edges] * num_trees, _same_for_all, max_depth, subset_size(feature_subset, d, num_trees), seed, classes, features_col)
-
-
-def block_of(y: pa.Array, w: pa.Array, x: np.ndarray, bags: np.ndarray) -> pa.RecordBatch:
+    return grow(rows, num_trees, [edges] * num_trees, _same_for_all, max_depth, subset_size(feature_subset, d, num_trees), seed, classes, features_col, n)
+
+
+def merge_alike(y: np.ndarray, w: np.ndarray, x: np.ndarray, bags: np.ndarray) -> tuple:
+    """Rows with the same label, weight and bins as one row whose bag counts are their sums (several, where a count would pass 255)."""
+    key = np.concatenate([x, y.astype(np.int32).view(np.uint8).reshape(len(y), -1), w.astype(np.float64).view(np.uint8).reshape(len(y), -1)], 1)
+    _, first, which = np.unique(np.ascontiguousarray(key).view(f"V{key.shape[1]}").ravel(), return_index=True, return_inverse=True)
+    order = np.argsort(which, kind="stable")
+    total = np.add.reduceat(bags[order], np.searchsorted(which[order], np.arange(len(first))), 0, dtype=np.int64)
+    out = []
+    while len(first):
+        out.append((first, np.minimum(total, 255).astype(np.uint8)))
+        total = total - out[-1][1]
+        more = total.any(1)
+        first, total = first[more], total[more]
+    first = np.concatenate([f for f, _ in out])
+    return y[first], w[first], x[first], np.concatenate([b for _, b in out])
+
+
+def block_of(y: np.ndarray, w: np.ndarray, x: np.ndarray, bags: np.ndarray) -> pa.RecordBatch:
     """Rows as one block: labels, weights, binned features and bag counts (rows by trees)."""
-    parts = {"y": y.to_numpy().astype(np.int32), "w": w.to_numpy(), "x": x, "bag": np.ascontiguousarray(bags.T)}
+    parts = {"y": y.astype(np.int32), "w": w, "x": x, "bag": np.ascontiguousarray(bags.T)}
     return pa.record_batch({name: pa.array([a.tobytes()], pa.binary()) for name, a in parts.items()})
 
 
@@ -344,27 +369,40 @@ def _same_for_all(x: np.ndarray) -> Callable:
 
 
 def grow(stored: DataFrame, trees: int, edges: list[list[np.ndarray]], matrices: Callable, max_depth: int, subset: int, seed: int, classes: int = 2,
-         features_col: str = FEATURES) -> ForestModel:
-    """Grow all trees over stored blocks of rows; ``matrices(x)(tree)`` gives a tree's binned features of a block."""
+         features_col: str = FEATURES, rows: int | None = None) -> ForestModel:
+    """Grow all trees over stored blocks of rows; ``matrices(x)(tree)`` gives a tree's binned features of a block, ``rows`` is a bound on their number."""
     spark = stored.sparkSession
     nodes = Nodes.roots(trees, classes)
     path = np.ones(trees, np.int64)  # a node's way from its root: 1, then 2p and 2p + 1
     most = max(len(own) for own in edges)
     counts = np.array([[len(e) for e in own] + [0] * (most - len(own)) for own in edges])  # no threshold, no split: padding is never chosen
     bins, width = int(counts.max()) + 1, min(subset, most)
+    widths = [len(e) for e in edges]
+    local = min(LOCAL_ROWS, LOCAL_BYTES // (16 + most)) if max_depth < 40 else -1
+    bound = np.full(trees, math.inf if rows is None else rows)  # most rows of each node
+    below_local = _Found(classes)  # all asked nodes at and below those that are local
     open_ = np.arange(trees)
     for depth in range(max_depth + 1):
-        per_pass = max(1, MOST_CELLS // (width * bins * classes))
-        found = [_level(spark, stored, nodes, group, _subsets(seed, nodes.tree[group], path[group], [len(e) for e in edges], most, width), matrices, bins, classes, counts)
-                 for group in np.split(open_, range(per_pass, len(open_), per_pass)) if len(group)]
-        if not found:
+        if not len(open_):
             break
-        best = pa.concat_tables(found).sort_by("node")
-        n, f, b, gain = (best.column(c).to_numpy() for c in ("node", "feature", "cut", "gain"))
-        below, total = (best.column(c).combine_chunks().flatten().to_numpy().reshape(-1, classes) for c in ("below", "total"))
+        per_pass = max(1, MOST_CELLS // (width * bins * classes))
+        near = open_[(bound[open_] >= 0) & (bound[open_] <= local)]
+        if len(near):
+            below_local.add(_ends(spark, stored, nodes, path, near, bound[near] if depth == 0 else bound[near] / 2, matrices, seed, widths, most, width, bins, classes, counts, max_depth))
+        known = (bound[open_] < 0) | (bound[open_] <= local)
+        far = open_[~known]
+        found = [_level(spark, stored, nodes, group, _subsets(seed, nodes.tree[group], path[group], widths, most, width), matrices, bins, classes, counts)
+                 for group in np.split(far, range(per_pass, len(far), per_pass)) if len(group)]
+        asked = open_[known]
+        n, f, b, gain, held, below, total = (np.concatenate(z) for z in zip(
+            (asked, *below_local.of(nodes.tree[asked], path[asked])),
+            *((*(t.column(c).to_numpy() for c in ("node", "feature", "cut", "gain", "rows")),
+               *(t.column(c).combine_chunks().flatten().to_numpy().reshape(-1, classes) for c in ("below", "total"))) for t in found)))
+        order = np.argsort(n)
+        n, f, b, gain, held, below, total = (a[order] for a in (n, f, b, gain, held, below, total))
         nodes.counts[n] = total
         split = (f >= 0) & (depth < max_depth)
-        n, f, b, gain, below, total = (a[split] for a in (n, f, b, gain, below, total))
+        n, f, b, gain, held, below, total = (a[split] for a in (n, f, b, gain, held, below, total))
         if not len(n):
             break
         t, k = nodes.tree[n], 2 * len(n)
@@ -374,12 +412,57 @@ def grow(stored: DataFrame, trees: int, edges: list[list[np.ndarray]], matrices:
         # Pure children and those of the last level are leaves; the others are asked next.
         open_ = len(nodes.tree) + np.flatnonzero(((child > 0).sum(1) > 1) & (depth + 1 < max_depth))
         path = np.concatenate([path, (2 * path[n][:, None] + np.arange(2)).ravel()])
+        bound = np.concatenate([bound, np.repeat(held, 2)])
         nodes = Nodes(*(np.concatenate([a, b]) for a, b in zip(
             (nodes.tree, nodes.depth, nodes.feature, nodes.cut, nodes.threshold, nodes.left, nodes.counts, nodes.gain),
             (np.repeat(t, 2), np.full(k, depth + 1, np.int32), np.full(k, -1, np.int32), np.zeros(k, np.int32), np.full(k, np.nan), np.full(k, -1, np.int32), child, np.zeros(k)))))
     return ForestModel(nodes, trees, features_col)
 
 
+class _Found:
+    """Answers for nodes, looked up by tree and path; a node found here has -1 for its rows: so have its children."""
+
+    def __init__(self, classes: int):
+        self.key, self.rest = np.zeros(0, np.int64), [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros((0, classes)), np.zeros((0, classes))]
+
+    def add(self, t: pa.Table) -> None:
+        classes = self.rest[-1].shape[1]
+        key = np.concatenate([self.key, (t.column("tree").to_numpy().astype(np.int64) << 40) + t.column("path").to_numpy()])
+        new = [*(t.column(c).to_numpy() for c in ("feature", "cut", "gain")), *(t.column(c).combine_chunks().flatten().to_numpy().reshape(-1, classes) for c in ("below", "total"))]
+        order = np.argsort(key)
+        self.key, self.rest = key[order], [np.concatenate(z)[order] for z in zip(self.rest, new)]
+
+    def of(self, tree: np.ndarray, path: np.ndarray) -> tuple:
+        key = (tree.astype(np.int64) << 40) + path
+        at = np.minimum(np.searchsorted(self.key, key), max(len(self.key) - 1, 0))
+        f, b, gain, below, total = (a[at] if len(self.key) else a[:0] for a in self.rest)
+        # A tree whose bag is empty has no rows and no answer.
+        none = (self.key[at] if len(self.key) else key[:0]) != key[: len(f)]
+        f, gain, below, total = np.where(none, -1, f), np.where(none, -1.0, gain), np.where(none[:, None], 0.0, below), np.where(none[:, None], 0.0, total)
+        return f, b, gain, np.full(len(f), -1.0), below, total
+
+
+def _standing(batches: Iterator[pa.RecordBatch], nodes: Nodes, group: np.ndarray, matrices: Callable) -> Iterator[list]:
+    """Per block, for every tree of the group: (number within the group, features, weights, labels) of the rows that stand at its nodes."""
+    number = np.full(len(nodes.tree), -1, np.int64)
+    number[group] = np.arange(len(group))
+    trees = np.unique(nodes.tree[group]).tolist()
+    for y, w, x, bag in _blocks(batches):
+        own_matrix = matrices(x)
+        yield (_rows_at(number, nodes, t, own_matrix(t), w, bag[t], y) for t in trees)
+
+
+def _rows_at(number: np.ndarray, nodes: Nodes, t: int, x: np.ndarray, w: np.ndarray, bag: np.ndarray, y: np.ndarray) -> tuple:
+    taken = np.flatnonzero(bag)
+    if len(taken) < len(y):
+        x = x[taken]
+    at = number[nodes.walk(x, t)]
+    here = np.flatnonzero(at >= 0)
+    if len(here) < len(at):
+        at, x, taken = at[here], x[here], taken[here]
+    return at, x, w[taken] * bag[taken], y[taken]
+
+
 def _add_rows(hist: np.ndarray, x: np.ndarray, node: np.ndarray, weight: np.ndarray, y: np.ndarray, allowed: np.ndarray, bins: int, classes: int) -> None:
     """Adds rows to the histograms of the nodes (numbers within the group) where they stand, feature by feature: nothing as large as the histograms is made."""
     k, d = allowed.shape[1], x.shape[1]
@@ -398,26 +481,14 @@ def _level(spark: SparkSession, stored: DataFrame, nodes: Nodes, group: np.ndarr
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, group, allowed = sent.value
-        number = np.full(len(nodes.tree), -1, np.int64)
-        number[group] = np.arange(len(group))
-        trees = np.unique(nodes.tree[group])
         hist = None
-        for y, w, x, bag in _blocks(batches):
+        for block in _standing(batches, nodes, group, matrices):
             if hist is None:
-                hist = np.zeros(len(group) * size)
-            own_matrix = matrices(x)
-            for t in trees.tolist():
-                taken = np.flatnonzero(bag[t])
-                x = own_matrix(t)
-                if len(taken) < len(y):
-                    x = x[taken]
-                at = number[nodes.walk(x, t)]
-                here = np.flatnonzero(at >= 0)
-                if not len(here):
-                    continue
-                if len(here) < len(at):
-                    at, x, taken = at[here], x[here], taken[here]
-                _add_rows(hist, x, at, w[taken] * bag[t][taken], y[taken], allowed, bins, classes)
+                hist, rows = np.zeros(len(group) * size), np.zeros(len(group), np.int64)
+            for at, x, weight, y in block:
+                if len(at):
+                    _add_rows(hist, x, at, weight, y, allowed, bins, classes)
+                    rows += np.bincount(at, minlength=len(rows))
         if hist is None:
             return
         # Most cells of a deep level are empty: (cell, weight) pairs, cut at the nodes.
@@ -429,7 +500,7 @@ def _level(spark: SparkSession, stored: DataFrame, nodes: Nodes, group: np.ndarr
             n, begin = np.unique(node, return_index=True)
             if len(n):
                 ends = np.append(begin, len(at)).astype(np.int32)
-                yield pa.record_batch({"node": pa.array(group[lo + n].astype(np.int32)), "cells": pa.ListArray.from_arrays(ends, pa.array(cell.astype(np.int32))),
+                yield pa.record_batch({"node": pa.array(group[lo + n].astype(np.int32)), "rows": pa.array(rows[lo + n]), "cells": pa.ListArray.from_arrays(ends, pa.array(cell.astype(np.int32))),
                                        "weights": pa.ListArray.from_arrays(ends, pa.array(part[at]))})
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -437,6 +508,7 @@ def _level(spark: SparkSession, stored: DataFrame, nodes: Nodes, group: np.ndarr
         number = np.full(len(nodes.tree), -1, np.int64)
         number[group] = np.arange(len(group))
         place, hist, own = np.full(len(group), -1, np.int64), np.zeros((0, size)), np.zeros(0, np.int64)
+        rows = np.zeros(len(group), np.int64)
         for b in batches:
             at = number[b.column(0).to_numpy()]
             fresh = np.unique(at[place[at] < 0])
@@ -445,18 +517,84 @@ def _level(spark: SparkSession, stored: DataFrame, nodes: Nodes, group: np.ndarr
                 own = np.concatenate([own, fresh])
                 if len(own) > len(hist):
                     hist = np.concatenate([hist, np.zeros((max(len(own) - len(hist), min(len(hist), 4096)), size))])
-            lens = np.diff(b.column(1).offsets.to_numpy())
-            np.add.at(hist.ravel(), np.repeat(place[at], lens) * size + b.column(1).flatten().to_numpy(), b.column(2).flatten().to_numpy())
+            np.add.at(rows, at, b.column(1).to_numpy())
+            lens = np.diff(b.column(2).offsets.to_numpy())
+            np.add.at(hist.ravel(), np.repeat(place[at], lens) * size + b.column(2).flatten().to_numpy(), b.column(3).flatten().to_numpy())
         step = max(1, SENT_CELLS // size)
         for lo in range(0, len(own), step):
             same = own[lo : lo + step]
             f, c, g, left, total = _best_splits(hist[lo : lo + len(same)].reshape(-1, k, bins, classes), allowed[same], counts[nodes.tree[group[same]]])
             yield pa.record_batch({"node": pa.array(group[same].astype(np.int32)), "feature": pa.array(np.where(g > 0, f, -1).astype(np.int32)), "cut": pa.array(c.astype(np.int32)),
-                                   "gain": pa.array(g), "below": pa.array(left.tolist(), pa.list_(pa.float64())), "total": pa.array(total.tolist(), pa.list_(pa.float64()))})
+                                   "gain": pa.array(g), "rows": pa.array(rows[same].astype(float)), "below": pa.array(left.tolist(), pa.list_(pa.float64())), "total": pa.array(total.tolist(), pa.list_(pa.float64()))})
 
-    parts = stored.mapInArrow(partial, "node int, cells array<int>, weights array<double>").repartition(spread_for(spark, 50 * len(group)), "node")
+    parts = stored.mapInArrow(partial, "node int, rows long, cells array<int>, weights array<double>").repartition(spread_for(spark, 50 * len(group)), "node")
     # A node's partial histogram is as large as its cells, a row as wide as its trees: batches are bounded by bytes.
     with small_batches(spark):
-        best = parts.mapInArrow(merged, "node int, feature int, cut int, gain double, below array<double>, total array<double>").toArrow()
+        best = parts.mapInArrow(merged, "node int, feature int, cut int, gain double, rows double, below array<double>, total array<double>").toArrow()
+    sent.destroy()
+    return best
+
+
+def _ends(spark: SparkSession, stored: DataFrame, nodes: Nodes, path: np.ndarray, group: np.ndarray, rows: np.ndarray, matrices: Callable, seed: int, widths: list[int], most: int,
+          width: int, bins: int, classes: int, counts: np.ndarray, max_depth: int) -> pa.Table:
+    """The answers for a group of nodes and all that lies below them: (tree, path) with the best split; ``rows`` is about how many each has."""
+    # Nodes are dealt to parts of about equal rows; a part holds about LOCAL_BYTES of them.
+    held = float(rows.sum()) * (16 + most)
+    spread = int(min(len(group), max(2 * spread_for(spark, int(rows.sum())), math.ceil(held / LOCAL_BYTES))))
+    part = np.empty(len(group), np.int32)
+    part[np.argsort(-rows, kind="stable")] = np.arange(len(group)) % spread
+    sent = spark.sparkContext.broadcast((nodes, group, part, path[group]))
+    size = width * bins * classes
+    kinds = (np.int32, np.int32, np.float64, np.uint8)
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes, group, part, _ = sent.value
+        for block in _standing(batches, nodes, group, matrices):
+            at, x, weight, y = (np.concatenate(z) for z in zip(*block))
+            own = part[at]
+            order = np.argsort(own, kind="stable")
+            own = own[order]
+            cut = np.flatnonzero(np.diff(own, prepend=-1))
+            pieces = list(zip(cut.tolist(), [*cut[1:].tolist(), len(own)]))
+            columns = [a[order].astype(kind) for a, kind in zip((at, y, weight, x), kinds)]
+            yield pa.record_batch([pa.array(own[cut], pa.int32()), *(pa.array([c[lo:hi].tobytes() for lo, hi in pieces], pa.binary()) for c in columns)], names=["part", "at", "y", "w", "x"])
+
+    def finish(rows: pa.Table) -> pa.Table:
+        nodes, group, _, ways = sent.value
+        at, y, w, x = (np.frombuffer(b"".join(rows[c].to_pylist()), kind) for c, kind in zip(("at", "y", "w", "x"), kinds))
+        x = x.reshape(len(at), -1)
+        own, at = np.unique(at, return_inverse=True)
+        tree, way, depth = nodes.tree[group[own]], ways[own], nodes.depth[group[own]]
+        out = []
+        while len(tree):
+            allowed = _subsets(seed, tree, way, widths, most, width)
+            order = np.argsort(at, kind="stable")
+            at, y, w, x = at[order], y[order], w[order], x[order]
+            found, step = [], max(1, SENT_CELLS // size)
+            for lo in range(0, len(tree), step):
+                some, (a, b) = allowed[lo : lo + step], np.searchsorted(at, (lo, lo + step))
+                hist = np.zeros(len(some) * size)
+                _add_rows(hist, x[a:b], at[a:b] - lo, w[a:b], y[a:b], some, bins, classes)
+                found.append(_best_splits(hist.reshape(-1, width, bins, classes), some, counts[tree[lo : lo + step]]))
+            f, c, g, left, total = (np.concatenate(z) for z in zip(*found))
+            f = np.where(g > 0, f, -1)
+            out.append(pa.table({"tree": pa.array(tree, pa.int32()), "path": pa.array(way, pa.int64()), "feature": pa.array(f, pa.int32()), "cut": pa.array(c, pa.int32()), "gain": pa.array(g),
+                                 "below": pa.array(left.tolist(), pa.list_(pa.float64())), "total": pa.array(total.tolist(), pa.list_(pa.float64()))}))
+            # As in ``grow``: impure children above the last level are asked next, and only their rows go on.
+            s = np.flatnonzero((f >= 0) & (depth < max_depth))
+            child = np.stack([left[s], total[s] - left[s]], 1)
+            asked = ((child > 0).sum(2) > 1) & (depth[s] + 1 < max_depth)[:, None]
+            number = np.full((len(tree), 2), -1, np.int64)
+            number[s] = np.where(asked, np.cumsum(asked.ravel()).reshape(-1, 2) - 1, -1)
+            at = number[at, (x[np.arange(len(x)), f[at]] > c[at]).astype(np.int64)]
+            keep = np.flatnonzero(at >= 0)
+            at, y, w, x = at[keep], y[keep], w[keep], x[keep]
+            asked = asked.ravel()
+            tree, way, depth = np.repeat(tree[s], 2)[asked], (2 * way[s][:, None] + np.arange(2)).ravel()[asked], np.repeat(depth[s] + 1, 2)[asked]
+        return pa.concat_tables(out)
+
+    dealt = stored.mapInArrow(route, "part int, at binary, y binary, w binary, x binary").repartition(spread, "part")
+    with small_batches(spark):
+        best = dealt.groupBy("part").applyInArrow(finish, "tree int, path long, feature int, cut int, gain double, below array<double>, total array<double>").toArrow()
     sent.destroy()
     return best

@@ -156,16 +156,20 @@ def fit_pcard(
                 part = b.slice(lo, 2000)
                 x = _matrix(part.column(2))
                 all_ = np.concatenate([bin_matrix(x, own) for own in steps] + [bin_matrix(_matrix(part.column(3)), pc_edges)], 1)
-                yield block_of(part.column(0), part.column(1), all_, np.ones((part.num_rows, trees), np.uint8))
+                # Copies of a row are alike and stand together: one row with their weights added up.
+                y, w = part.column(0).to_numpy(), part.column(1).to_numpy()
+                first = np.flatnonzero(np.concatenate([[True], (np.diff(y) != 0) | (x[1:] != x[:-1]).any(1)]))
+                yield block_of(y[first], np.add.reduceat(w, first), all_[first], np.ones((len(first), trees), np.uint8))
 
     spread = partitions or spread_for(spark, n)
-    rows = projected.select(F.col(LABEL).cast("int").alias("y"), (F.col(weight_col) if weight_col else F.lit(1.0)).cast("double").alias("w"), FEATURES, PCA_COL)
-    stored = write_blocks(rows.repartition(spread, FEATURES).mapInArrow(binned, BLOCK_SCHEMA), "pcard-rows")
+    rows = projected.select(F.xxhash64(ID).alias("_i"), F.col(LABEL).cast("int").alias("y"), (F.col(weight_col) if weight_col else F.lit(1.0)).cast("double").alias("w"), FEATURES, PCA_COL)
+    dealt = rows.repartition(spread, "_i").drop("_i").sortWithinPartitions(FEATURES, "y")
+    stored = write_blocks(dealt.mapInArrow(binned, BLOCK_SCHEMA), "pcard-rows")
 
     def matrices(m: np.ndarray) -> Callable:
         return lambda t: np.concatenate([m[:, t * d : (t + 1) * d], m[:, trees * d :]], 1)
 
-    forest = grow(stored, trees, edges, matrices, max_depth, 2 * d, seed)
+    forest = grow(stored, trees, edges, matrices, max_depth, 2 * d, seed, rows=n)
     nodes = forest.nodes
     # A test on a member's bin becomes the test on the value that it stands for.
     on_bin = np.flatnonzero((nodes.feature >= 0) & (nodes.feature < d))

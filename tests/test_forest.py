@@ -99,6 +99,46 @@ def test_same_forest_on_any_layout(spark, monkeypatch):
     assert len(set(made[0].feature[made[0].feature >= 0].tolist())) > 5
 
 
+def _same_nodes(a, b):
+    return all(np.array_equal(getattr(a, name), getattr(b, name), equal_nan=True) for name in ("tree", "depth", "feature", "cut", "threshold", "left", "counts", "gain"))
+
+
+def test_small_nodes_are_grown_to_their_end_in_one_pass(spark, monkeypatch):
+    _, _, _, df = _frame(spark, 600)
+    asked = []
+    level = forest._level
+    monkeypatch.setattr(forest, "_level", lambda spark, stored, nodes, group, *rest: asked.append(len(group)) or level(spark, stored, nodes, group, *rest))
+    fits = {"forest": lambda: forest.fit_forest(df, num_trees=5, max_depth=6, weight_col="weight", seed=3).nodes,
+            "pcard": lambda: fit_pcard(df, trees=5, cuts=6, max_depth=5, weight_col="weight").forest.nodes}
+    for name, fit in fits.items():
+        made = fit()
+        assert not asked, name  # no pass by levels for frames this small
+        for rows in (0, 150):
+            monkeypatch.setattr(forest, "LOCAL_ROWS", rows)
+            assert _same_nodes(made, fit()) and asked, (name, rows)
+            assert rows == 0 or sum(asked) < len(made.tree), name
+            asked.clear()
+        monkeypatch.undo()
+        monkeypatch.setattr(forest, "_level", lambda spark, stored, nodes, group, *rest: asked.append(len(group)) or level(spark, stored, nodes, group, *rest))
+
+
+def test_copies_are_stored_as_one_row(spark, monkeypatch):
+    g = np.random.default_rng(3)
+    y, x = np.repeat([0, 1, 0], 400), np.repeat(np.array([[1, 2], [1, 2], [7, 0]], np.uint8), 400, 0)
+    bags = g.integers(0, 3, (1200, 4)).astype(np.uint8)
+    own_y, own_w, own_x, own = forest.merge_alike(y, np.ones(1200), x, bags)
+    assert len(own_y) < 12
+    for k in range(3):
+        here = (own_y == y[400 * k]) & (own_x == x[400 * k]).all(1)
+        assert own[here].sum(0).tolist() == bags[400 * k : 400 * k + 400].sum(0).tolist() and own.max() > 100 and (own_w == 1).all()
+    stored = []
+    grow = forest.grow
+    monkeypatch.setattr(forest, "grow", lambda rows, *rest: stored.append(sum(len(b[0]) for b in forest._blocks(rows.toArrow().to_batches()))) or grow(rows, *rest))
+    df = spark.createDataFrame([(i, c, float(i % 2), [float(i), 1.0]) for i in range(50) for c in range(30)], "id long, copy_no int, label double, features array<double>")
+    forest.fit_forest(df.repartition(7), num_trees=3, max_depth=2, partitions=2)
+    assert stored[0] <= 50
+
+
 def test_depth_zero_pure_and_constant_frames(spark):
     df = labelled_rows(spark, [(i, i % 2, [1.0, 2.0]) for i in range(20)])
     m = forest.fit_forest(df, num_trees=3, max_depth=5)
