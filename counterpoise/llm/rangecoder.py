@@ -69,16 +69,44 @@ def _read_varints(data: np.ndarray, count: int) -> np.ndarray:
     return out
 
 
+def _contexts(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order-2 and order-1 entries of a lane's tables that ids ``a`` (before last) and ``b`` (last) lead to."""
+    h = b * 30011
+    one = (h >> 4) & (_CTX1 - 1)
+    h = h ^ a * 40503
+    return ((h >> 13) ^ h) & (_CTX2 - 1), one
+
+
+def _entries(x: np.ndarray) -> np.ndarray:
+    """What ``_Mix``'s tables hold for every id of a block before it is coded: a place's last id and how often it came in a row."""
+    k = len(x)
+    before = np.concatenate([np.zeros(2, np.int64), x])
+    out = np.zeros((2, k), np.int32)
+    for row, place in zip(out, _contexts(before[:k], before[1 : k + 1])):
+        order = np.argsort(place.astype(np.uint16), kind="stable")
+        place, ids = place[order], x[order]
+        seen = place[1:] == place[:-1]  # of ids 1, 2 ..: the place was used before
+        again = seen & (ids[1:] == ids[:-1])
+        entry = np.zeros(k, np.int64)
+        entry[1:] = (ids[:-1] << 2) + 5
+        entry[2:] += again[:-1]
+        entry[3:] += again[1:-1] & again[:-2]
+        entry[1:] *= seen
+        row[order] = entry
+    return out
+
+
 class _Mix:
-    """The order-1 and order-2 models of all lanes; the same steps for coding and decoding.
+    """The order-1 and order-2 models of all lanes; the same steps for coding (which knows the entries beforehand) and decoding.
 
     An entry is ``predicted id + 1 << 2 | confidence``; confidence 0 is an entry never
     seen, whose hit probability stays 0.
     """
 
-    def __init__(self, lanes: int):
+    def __init__(self, lanes: int, table: bool = True):
         size = _CTX2 + _CTX1
-        self.table = np.zeros(lanes * size, np.int32)
+        if table:
+            self.table = np.zeros(lanes * size, np.int32)
         self.hits = np.tile(_START, 2 * lanes)
         lane = np.arange(lanes, dtype=np.int64)
         self.base = np.stack([lane * size, lane * size + _CTX2])
@@ -88,13 +116,15 @@ class _Mix:
         """Order-2 and order-1 predictions after ids ``a`` (before last) and ``b`` (last), and their parts of 65536."""
         k = len(a)
         at = np.empty((2, k), np.int64)
-        h = b * 30011
-        at[1] = (h >> 4) & (_CTX1 - 1)
-        h ^= a * 40503
-        at[0] = ((h >> 13) ^ h) & (_CTX2 - 1)
+        at[0], at[1] = _contexts(a, b)
         at += self.base[:, :k]
-        self.at, self.entry = at, self.table.take(at, mode="clip")
-        self.where = self.slot[:, :k] + (self.entry & 3)
+        self.at = at
+        return self.weigh(self.table.take(at, mode="clip"))
+
+    def weigh(self, entry: np.ndarray):
+        """As ``predict``, where the tables' entries are known."""
+        self.entry = entry
+        self.where = self.slot[:, : entry.shape[1]] + (entry & 3)
         self.q = self.hits.take(self.where, mode="clip")
         self.said = p = (self.entry >> 2) - 1
         f2 = self.q[0] * _MAX_MIX >> 16
@@ -106,6 +136,9 @@ class _Mix:
         e = self.entry
         fresh = (x << 2) + 5
         np.put(self.table, self.at, fresh + hit * (np.minimum(e + 1, e | 3) - fresh), mode="clip")
+        self.adapt(hit)
+
+    def adapt(self, hit: np.ndarray) -> None:
         self.hits[self.where] = self.q + ((hit * 65535 - self.q) >> _RATE)
 
 
@@ -114,6 +147,14 @@ def _floor_div(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a / b).astype(np.int64)
 
 
+def _turned(by_lane: np.ndarray) -> np.ndarray:
+    """Rows of lanes as rows of steps, in pieces that a cache holds."""
+    out = np.empty(by_lane.shape[::-1], by_lane.dtype)
+    for lo in range(0, len(by_lane), 64):
+        out[:, lo : lo + 64] = by_lane[lo : lo + 64].T
+    return out
+
+
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """Every block's bytes; a block is a non-empty array of at most ``BLOCK`` ids below 65536 (others raise)."""
     if any(len(b) and (int(np.max(b)) > 0xFFFF or int(np.min(b)) < 0) for b in blocks):
@@ -121,7 +162,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     n = np.array([len(blocks[i]) for i in order], np.int64)
     lanes, longest = len(n), int(n[0]) if len(n) else 0
-    syms, lows, counts = (np.zeros((longest, lanes), np.int32) for _ in range(3))
+    by_lane = [np.zeros((lanes, longest), np.uint16) for _ in range(3)] + [np.zeros((lanes, longest), np.int32) for _ in range(2)]
     low_of, count_of = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
     pairs, distinct = [], np.zeros(lanes, np.int64)
     for j, i in enumerate(order):
@@ -131,28 +172,28 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         ids, count = inorder[cum], np.diff(np.append(cum, len(block)))
         low_of[ids], count_of[ids] = cum, count
         k = len(block)
-        syms[:k, j], lows[:k, j], counts[:k, j] = block, low_of[block], count_of[block]
+        for lane, values in zip(by_lane, (block, low_of[block], count_of[block], *_entries(block.astype(np.int64)))):
+            lane[j, :k] = values
         distinct[j] = len(ids)
         pairs.append(np.column_stack([np.diff(ids.astype(np.int64), prepend=0), count]).ravel())
     header, ends = _varints(np.concatenate(pairs) if pairs else np.zeros(0, np.int64))
     head_at = np.concatenate([[0], ends[2 * np.cumsum(distinct) - 1]]) if lanes else np.zeros(1, np.int64)
-    mix = _Mix(lanes)
+    syms, lows, counts, twos, ones = (_turned(by_lane.pop(0)) for _ in range(5))
+    mix = _Mix(lanes, table=False)
     low, rng = np.zeros(lanes, np.int64), np.full(lanes, 1 << 48, np.int64)
     words = np.zeros((longest + 4, lanes), np.uint32)
     used = np.zeros(lanes, np.int64)
-    a, b = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
     active = np.searchsorted(-n, -np.arange(longest), side="left")  # lanes with more than t ids
     for t in range(longest):
         k = int(active[t])
-        x = syms[t, :k].astype(np.int64)
-        first = lows[t, :k].astype(np.int64)
-        said, f2, f1 = mix.predict(a[:k], b[:k])
+        x, first, count = (of[t, :k].astype(np.int64) for of in (syms, lows, counts))
+        said, f2, f1 = mix.weigh(np.stack([twos[t, :k], ones[t, :k]]))
         rest = _TOTAL - f2 - f1
         hit = said == x
         is2, is1 = hit[0] & (f2 > 0), hit[1] & (f1 > 0)
         zero = _floor_div(first * rest, n[:k])
         start = np.where(is2, 0, np.where(is1, f2, f2 + f1 + zero))
-        size = np.where(is2, f2, np.where(is1, f1, _floor_div((first + counts[t, :k]) * rest, n[:k]) - zero))
+        size = np.where(is2, f2, np.where(is1, f1, _floor_div((first + count) * rest, n[:k]) - zero))
         r = rng[:k] >> 16
         low[:k] += r * start
         r *= size
@@ -162,8 +203,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         low[move] = (low[move] & 0xFFFFFFFF) << 16
         r[move] <<= 16
         rng[:k] = r
-        mix.update(x, hit)
-        a[:k], b[:k] = b[:k], x
+        mix.adapt(hit)
     for shift in (32, 16, 0):  # flush the 48 bits of low, the carry with the first word
         words[used, np.arange(lanes)] = (low >> shift) & (0x1FFFF if shift == 32 else 0xFFFF)
         used += 1

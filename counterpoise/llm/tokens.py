@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from counterpoise.llm.common import ship
+from counterpoise.llm.common import give_back, ship
 
 ship(__name__)
 
@@ -91,6 +91,9 @@ class Encoder:
         self.cut = cut
         # Asked by name: jobs pickle functions by value, so the same function is another object in the next job.
         self.drops_space = cut.__name__ == cut_word.__name__
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.leads = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.leads[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True  # a byte-level blank
         self._reset()
 
     def _reset(self):
@@ -118,14 +121,29 @@ class Encoder:
         if not new:
             return
         self.table.fresh = []
-        got = self._joined(new) if self.drops_space else [
-            e.ids for e in self.tokenizer.encode_batch_fast([blank_chunk(c) for c in new], add_special_tokens=False)]
+        got = self._joined(new) if self.drops_space else self._led(new)
         ends = self.at[-1] + np.cumsum([len(x) for x in got])
         if ends[-1] > len(self.ids):
             self.ids = np.concatenate([self.ids[: self.at[-1]], np.zeros(int(ends[-1]) * 2, np.uint32)])
         self.ids[self.at[-1] : ends[-1]] = np.concatenate([np.asarray(x, np.uint32) for x in got])
         self.at = np.concatenate([self.at, ends])
 
+    def _led(self, chunks: list[str], per: int = 500) -> list[np.ndarray]:
+        """Chunks of a byte-level tokenizer: those that are one blank and a word's marks, many to a text and told apart by the ids that begin with a blank."""
+        out: list = [None] * len(chunks)
+        plain = [i for i, c in enumerate(chunks) if c[0] != BARE and c != "\n"]
+        for lo in range(0, len(plain), per):
+            some = plain[lo : lo + per]
+            ids = np.asarray(self.tokenizer.encode_batch_fast(["".join([" " + chunks[i] for i in some])], add_special_tokens=False)[0].ids, np.uint32)
+            begins = np.flatnonzero(self.leads[ids])
+            if len(begins) == len(some) and not begins[0]:
+                for i, own in zip(some, np.split(ids, begins[1:])):
+                    out[i] = own
+        rest = [i for i, own in enumerate(out) if own is None]
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([blank_chunk(chunks[i]) for i in rest], add_special_tokens=False) if rest else []):
+            out[i] = e.ids
+        return out
+
     def _joined(self, chunks: list[str], per: int = 500) -> list[np.ndarray]:
         """Chunks of a tokenizer that drops white space, encoded many to a text and told apart by offsets."""
         out: list[np.ndarray] = []
@@ -168,6 +186,15 @@ def encoder(path: str, cut) -> Encoder:
     return held[key]
 
 
+def drop_encoders() -> None:
+    """At the start of a task that encodes nothing: what the encoders of an earlier job hold in this worker goes."""
+    import sys
+
+    library = sys.modules.get("tokenizers")
+    if library is not None and library.__dict__.pop("_counterpoise_encoders", None):
+        give_back()
+
+
 def text_slices(column: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, int, list[str]]]:
     """A string column in slices of about ``most`` bytes: (from, to, texts), null as empty; a longer text is a slice of its own."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))

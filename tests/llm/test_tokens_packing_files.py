@@ -171,3 +171,51 @@ def test_token_files(spark, odd_docs, no_docs):
     empty = scratch_path(spark, "tok")
     write_token_files(no_docs, empty, BYTE, 2)
     assert read_token_files(spark, empty, digests=True).count() == 0
+
+
+def test_known_entries_are_those_of_the_tables():
+    """The coder finds the tables' entries without keeping tables: at every id the ones that the decoder's tables hold."""
+    from counterpoise.llm import rangecoder
+
+    g = np.random.default_rng(8)
+    for x in (g.integers(0, 3, 2048), g.integers(0, 50_000, 500), np.zeros(40, np.int64), np.tile([5, 9, 65_535], 200), np.array([7])):
+        x = x.astype(np.int64)
+        mix, before = rangecoder._Mix(1), np.concatenate([[0, 0], x])
+        held = []
+        for t in range(len(x)):
+            said = mix.predict(before[t : t + 1], before[t + 1 : t + 2])[0]
+            held.append(mix.entry[:, 0].tolist())
+            mix.update(x[t : t + 1], said == x[t])
+        assert rangecoder._entries(x).T.tolist() == held
+
+
+def test_chunks_learnt_together_have_the_ids_of_each_alone():
+    from counterpoise.llm import tokens
+    from counterpoise.llm.queries import tokenizer_path
+
+    enc = tokens.Encoder(tokenizer_path("byte_bpe_50k.json"), tokens.cut_blank)
+    asked = []
+    own = enc.tokenizer
+    g = np.random.default_rng(2)
+    words = ["".join(g.choice(list("abcxyz019-_/.,'é中ĠĊ<|>"), g.integers(1, 9))) for _ in range(1500)]
+    chunks = list(dict.fromkeys([*words, "\n", tokens.BARE + "  ", tokens.BARE + "x y", tokens.BARE + "\n\n", "<|endoftext|>", "Ġ", "\x85", "a b", "\x1c"]))
+
+    class Counted:
+        def encode_batch_fast(self, texts, **kw):
+            asked.extend(texts)
+            return own.encode_batch_fast(texts, **kw)
+
+    enc.tokenizer = Counted()
+    got = enc._led(chunks)
+    assert [list(x) for x in got] == [e.ids for e in own.encode_batch_fast([tokens.blank_chunk(c) for c in chunks], add_special_tokens=False)]
+    assert len(asked) < len(chunks) / 10
+
+
+def test_an_encoder_goes_when_a_task_that_encodes_nothing_begins():
+    from counterpoise.llm import tokens
+    from counterpoise.llm.queries import tokenizer_path
+
+    enc = tokens.encoder(tokenizer_path("byte_bpe_50k.json"), tokens.cut_blank)
+    assert tokens.encoder(tokenizer_path("byte_bpe_50k.json"), tokens.cut_blank) is enc
+    tokens.drop_encoders()
+    assert tokens.encoder(tokenizer_path("byte_bpe_50k.json"), tokens.cut_blank) is not enc
