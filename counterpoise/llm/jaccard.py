@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from counterpoise.llm.common import connected_components, free, give_back, ship, staged
-from counterpoise.llm.tokens import text_slices
+from counterpoise.llm.tokens import drop_encoders, text_slices
 
 ship(__name__)
 
@@ -254,6 +254,7 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = "kind int, bucket int, doc_id array<long>, n array<long>, key array<long>, own array<int>, below array<int>, map array<long>, payload binary"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_encoders()
         words = _Words()
         held: list[tuple[np.ndarray, np.ndarray]] = []
         seen: set[int] = set()
@@ -305,6 +306,7 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def meet(group: pa.Table) -> pa.Table:
         """Rows of kind 0: (id, b = size, a = class) of documents; 1: pairs a, b with c common signatures; 2: members a (c = 1: own band) of group id."""
+        drop_encoders()
         out = []
 
         def add(kind, n, **cols):
@@ -364,6 +366,7 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         reps = staged(wanted.join(classes.select("key", "rep"), "key"), f"{name}-wanted")
 
         def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            drop_encoders()
             words = _Words()
             for b in batches:
                 for lo, hi, texts in text_slices(b.column(1), 1_000_000):

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from counterpoise.llm.common import give_back, ship, staged
 from counterpoise.llm.labels import held_out, labelled_sample
-from counterpoise.llm.tokens import text_slices
+from counterpoise.llm.tokens import drop_encoders, text_slices
 
 ship(__name__)
 
@@ -191,6 +191,7 @@ def score_quality(docs: DataFrame, model: AttentionMIL | float, id_col: str = "d
     columns = [c for c in docs.columns if c != "_score"] if keep else [id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_encoders()
         for b in batches:
             scores = np.zeros(b.num_rows)
             for lo, hi, texts in text_slices(b.column(b.num_columns - 1), 1_000_000):
