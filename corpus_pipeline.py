@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from counterpoise.llm.common import staged, table
+from counterpoise.llm.common import apart, free, staged, table
 from counterpoise.llm.decontaminate import drop_leaks
 from counterpoise.llm.jaccard import near_documents
 from counterpoise.llm.packing import pack_documents
@@ -36,9 +36,14 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every component of near-duplicates the document with the smallest id."""
-    found = staged(near_documents(docs), "pipeline-near")
-    first = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    kept = docs.join(first.select("doc_id"), "doc_id", "left_semi")
+    found = near_documents(docs)
+    first = found.where("doc_id is not null").groupBy("doc_id").agg(F.expr("count_if(doc_id = component_id)").alias("rows"))
+    first = staged(first.where("rows <> 1"), "pipeline-near")
+    free(found)
+    # Few documents go, so few texts are moved to find them.
+    gone = first.where("rows = 0").select("doc_id")
+    stay, rest = apart(docs.where(F.col("doc_id").isNotNull()), F.col("doc_id"), gone)
+    kept = stay.unionByName(rest.join(gone, "doc_id", "left_anti"))
     if not first.where("rows > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id", "text"])
     return kept.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))

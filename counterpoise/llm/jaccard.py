@@ -409,13 +409,14 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     first = pairs.unionByName(stars.withColumn("c", F.lit(1).cast("long"))).groupBy("space", "a", "b").agg(F.sum("c").alias("c"))
     tried = staged(worth(first), "near-first")
     links = linked(tried, "near-one")
-    comps = connected_components(links, "a", "b").select(F.col("node").alias("key"), "component")
+    stars_one = connected_components(links, "a", "b")
+    comps = stars_one.select(F.col("node").alias("key"), "component")
 
     # Second round: pairs of a group whose components differ.
     placed = groups.join(comps, "key", "left").withColumn("component", F.coalesce("component", "key"))
     mixed = placed.groupBy("space", "id").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("space", "id")
-    placed = staged(placed.join(mixed, ["space", "id"], "left_semi"), "near-mixed")
-    placed = placed.join(classes.select("key", "n", *MAPS), "key")
+    mixed_rows = staged(placed.join(mixed, ["space", "id"], "left_semi"), "near-mixed")
+    placed = mixed_rows.join(classes.select("key", "n", *MAPS), "key")
     x, y = placed.where("asks").alias("x"), placed.alias("y")
     role = (F.col("x.component") != F.col("y.component")) & (~F.col("y.in_band") | (F.col("y.key") < F.col("x.key")))
     # The sizes and parity maps are part of the join's condition: pairs of a common passage alone never leave it.
@@ -427,14 +428,18 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     side = lambda k: comps.select(F.col("key").alias(k), F.col("component").alias(f"c{k}"))
     open_ = open_.join(side("a"), "a", "left").join(side("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     more = linked(open_, "near-two")
-    comps = connected_components(links.unionByName(more), "a", "b").select(F.col("node").alias("key"), "component")
+    stars_two = connected_components(links.unionByName(more), "a", "b")
+    comps = stars_two.select(F.col("node").alias("key"), "component")
 
     # A component is named by the smallest id of its classes.
     named = classes.join(comps, "key", "left").withColumn("component", F.coalesce("component", "key"))
     names = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     of_class = named.join(names, "component").select("key", "component_id")
     out = members.join(of_class, "key", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    out = staged(out, "near-documents")
+    free(met, classes, left_out, groups, tried, links, mixed_rows, more, stars_one, stars_two)
+    return out
 
 
 def _band(n):

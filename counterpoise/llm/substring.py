@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from counterpoise.llm.common import free, give_back, ship, staged
+from counterpoise.llm.common import apart, free, give_back, ship, staged
 from counterpoise.llm.tokens import text_slices
 
 ship(__name__)
@@ -445,7 +445,8 @@ def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text
     """``docs`` without the spans' bytes; all columns stay, rows too.  Null texts stay null."""
     per_doc = spans.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans"))
     per_doc = per_doc.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), "__spans")
-    joined = docs.join(per_doc, (F.xxhash64(text_col) == F.col("__hash")) & F.col(id_col).eqNullSafe(F.col("__doc")), "left").drop("__doc", "__hash")
+    whole, rest = apart(docs, F.xxhash64(text_col), spans.select("text_hash"))
+    joined = rest.join(per_doc, (F.xxhash64(text_col) == F.col("__hash")) & F.col(id_col).eqNullSafe(F.col("__doc")), "left").drop("__doc", "__hash")
 
     @F.pandas_udf("string")
     def without(texts, spans):
@@ -464,4 +465,4 @@ def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text
 
     # Only documents with spans pass through Python.
     changed = F.when(F.col("__spans").isNotNull(), without(F.when(F.col("__spans").isNotNull(), F.col(text_col)), F.col("__spans"))).otherwise(F.col(text_col))
-    return joined.withColumn(text_col, changed).drop("__spans").select(*docs.columns)
+    return whole.unionByName(joined.withColumn(text_col, changed).drop("__spans").select(*docs.columns))

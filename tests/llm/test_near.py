@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from counterpoise.llm import jaccard
-from counterpoise.llm.common import connected_components, gapless
+from counterpoise.llm.common import apart, connected_components, gapless
 from counterpoise.llm.embdedup import near_vectors
 from odd_input import no_docs, odd_docs  # noqa: F401
 
@@ -88,6 +88,27 @@ def test_rows_without_an_id_link_others(spark):
     assert got == sorted([(116, 1, 1), (116, 0, 1), (116, 2, 1), (96, 0, 3), (96, 0, 3), (96, 3, 3), (56, 4, 4)])
 
 
+def test_tables_made_on_the_way_are_deleted(spark, monkeypatch, tmp_path):
+    from counterpoise.llm import common
+
+    monkeypatch.setattr(common, "scratch_path", lambda _, name: f"{tmp_path}/{name}-{len(list(tmp_path.iterdir()))}")
+    words = [f"w{i}" for i in range(300)]
+    docs = spark.createDataFrame([(i, " ".join(words[i : i + 100])) for i in range(20)] + [(50, "alone with five words here")], "doc_id long, text string")
+    out = jaccard.near_documents(docs)
+    assert len(list(tmp_path.iterdir())) == 1  # the result
+    assert {r.component_id for r in out.collect()} == {0, 50}
+
+
+def test_rows_without_a_partner_are_told_apart(spark):
+    rows = spark.createDataFrame([(i, str(i)) for i in range(2000)] + [(None, "none")], "k int, v string")
+    without, maybe = apart(rows, F.col("k"), spark.createDataFrame([(i,) for i in range(0, 4000, 10)] + [(5,), (5,)], "key long"))
+    certain, left = {r.k for r in without.collect()}, [r.k for r in maybe.collect()]
+    assert without.columns == maybe.columns == ["k", "v"] and len(certain) + len(left) == 2001
+    assert {i for i in range(2000) if i % 10 == 0} | {5} <= set(left) and len(left) < 220 and not certain & set(left)
+    without, maybe = apart(rows, F.col("k"), spark.createDataFrame([], "key long"))
+    assert without.count() == 2001 and maybe.count() == 0
+
+
 def test_allocation_meets_the_pigeonhole_bound():
     kinds = set()
     for band in range(1, 30):
