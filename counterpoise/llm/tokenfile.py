@@ -65,9 +65,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, closing_i
             return out
 
         for b in batches:
-            for lo, hi, texts in tokens.text_slices(b.column(1)):
+            for lo, hi in tokens.column_slices(b.column(1)):
                 file = b.column(2)[lo].as_py()
-                own, at = enc.encode(texts)
+                own, at = enc.encode(b.column(1).slice(lo, hi - lo))
                 n = np.diff(at) + 1
                 flat = np.full(len(own) + len(n), closing_id, np.uint32)
                 flat[np.arange(len(own)) + np.repeat(np.arange(len(n)), n - 1)] = own

@@ -60,6 +60,18 @@ def cut_blank(text: str) -> list[str]:
     return (BARE + text.replace("\n", f" \n {BARE}")).split(" ")
 
 
+# Texts that ``blank_names`` leaves to ``cut_blank``: other white space, blanks or line feeds side by side or at an end, none at all.
+_UNEVEN = ("[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{180e}\\x{2000}-\\x{200f}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{feff}\\x01]"
+           "|[ \\n][ \\n]|^[ \\n]|[ \\n]\\z|^\\z")
+_CLOSING = "([A-Za-z0-9À-ÖØ-öø-ÿ])([.,;:!?])([ \\n]|\\z)"
+
+
+def blank_names(column: pa.Array) -> pa.ListArray:
+    """The chunks of even texts, as ``cut_blank`` names them; a mark that closes a word is a chunk of its own."""
+    marked = pc.replace_substring_regex(column, _CLOSING, f"\\1 {BARE}\\2\\3")
+    return pc.split_pattern(pc.binary_join_element_wise(BARE, pc.replace_substring(marked, "\n", f" \n {BARE}"), ""), " ")
+
+
 def blank_chunk(name: str) -> str:
     """The text of a chunk of ``cut_blank``."""
     return name[1:] if name[0] == BARE else name if name == "\n" else " " + name
@@ -79,7 +91,7 @@ class _Table(dict):
 
 
 class Encoder:
-    def __init__(self, path: str, cut):
+    def __init__(self, path: str, cut, room: int | None = None):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -89,11 +101,13 @@ class Encoder:
         # The text of a special token inside a document is ordinary text: it must not become a control id.
         self.tokenizer.encode_special_tokens = True
         self.cut = cut
+        self.room = room
         # Asked by name: jobs pickle functions by value, so the same function is another object in the next job.
         self.drops_space = cut.__name__ == cut_word.__name__
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.leads = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.leads[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True  # a byte-level blank
+        self.feed = vocabulary.get("\u010a", -1)  # a byte-level line feed
         self._reset()
 
     def _reset(self):
@@ -106,7 +120,7 @@ class Encoder:
         """Keep the chunks seen most often, at most half the room."""
         old, ids, at, seen = self.table, self.ids, self.at, self.seen
         keep = np.flatnonzero(seen > 1)
-        keep = np.sort(keep[np.argsort(-seen[keep], kind="stable")][: MAX_CHUNKS // 2])
+        keep = np.sort(keep[np.argsort(-seen[keep], kind="stable")][: (self.room or MAX_CHUNKS) // 2])
         stays = np.zeros(len(seen), bool)
         stays[keep] = True
         lens = np.diff(at)[keep]
@@ -121,68 +135,122 @@ class Encoder:
         if not new:
             return
         self.table.fresh = []
-        got = self._joined(new) if self.drops_space else self._led(new)
-        ends = self.at[-1] + np.cumsum([len(x) for x in got])
+        flat, lens = self._joined(new) if self.drops_space else self._led_flat(new)
+        ends = self.at[-1] + np.cumsum(lens)
         if ends[-1] > len(self.ids):
             self.ids = np.concatenate([self.ids[: self.at[-1]], np.zeros(int(ends[-1]) * 2, np.uint32)])
-        self.ids[self.at[-1] : ends[-1]] = np.concatenate([np.asarray(x, np.uint32) for x in got])
+        self.ids[self.at[-1] : ends[-1]] = flat
         self.at = np.concatenate([self.at, ends])
 
-    def _led(self, chunks: list[str], per: int = 500) -> list[np.ndarray]:
-        """Chunks of a byte-level tokenizer: those that are one blank and a word's marks, many to a text and told apart by the ids that begin with a blank."""
-        out: list = [None] * len(chunks)
-        plain = [i for i, c in enumerate(chunks) if c[0] != BARE and c != "\n"]
+    def _led(self, chunks: list[str]) -> list[np.ndarray]:
+        flat, n = self._led_flat(chunks)
+        return np.split(flat, np.cumsum(n)[:-1])
+
+    def _led_flat(self, chunks: list[str], per: int = 500) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and lengths of chunks of a byte-level tokenizer: many to a text, told apart by the ids that begin with a blank; those without one, by the line feeds between them."""
+        which: list = []  # chunks as they were encoded, with their ids and lengths
+        parts: list[np.ndarray] = []
+        lens: list = []
+        left: list[int] = []
+        one = lambda text: np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        plain, bare = [], []
+        for i, c in enumerate(chunks):
+            if c[0] != BARE and c != "\n":
+                plain.append(i)
+            elif 1 < len(c) < 100 and c[0] == BARE and " " not in c and "\n" not in c and not _OTHER_SPACE.search(c):
+                bare.append(i)
+            else:
+                left.append(i)
         for lo in range(0, len(plain), per):
             some = plain[lo : lo + per]
-            ids = np.asarray(self.tokenizer.encode_batch_fast(["".join([" " + chunks[i] for i in some])], add_special_tokens=False)[0].ids, np.uint32)
+            ids = one(" " + " ".join([chunks[i] for i in some]))
             begins = np.flatnonzero(self.leads[ids])
             if len(begins) == len(some) and not begins[0]:
-                for i, own in zip(some, np.split(ids, begins[1:])):
-                    out[i] = own
-        rest = [i for i, own in enumerate(out) if own is None]
-        for i, e in zip(rest, self.tokenizer.encode_batch_fast([blank_chunk(chunks[i]) for i in rest], add_special_tokens=False) if rest else []):
-            out[i] = e.ids
-        return out
-
-    def _joined(self, chunks: list[str], per: int = 500) -> list[np.ndarray]:
-        """Chunks of a tokenizer that drops white space, encoded many to a text and told apart by offsets."""
+                which.append(some)
+                parts.append(ids)
+                lens.append(np.diff(begins, append=len(ids)))
+            else:
+                left += some
+        for lo in range(0, len(bare), per):
+            some = bare[lo : lo + per]
+            ids = one("\n".join([blank_chunk(chunks[i]) for i in some]))
+            feeds = np.flatnonzero(ids == self.feed)
+            if len(feeds) == len(some) - 1:
+                which.append(some)
+                parts.append(np.delete(ids, feeds))
+                lens.append(np.diff(feeds, prepend=-1, append=len(ids)) - 1)
+            else:
+                left += some
+        if left:
+            got = [e.ids for e in self.tokenizer.encode_batch_fast([blank_chunk(chunks[i]) for i in left], add_special_tokens=False)]
+            which.append(left)
+            parts += [np.asarray(x, np.uint32) for x in got]
+            lens.append(np.array([len(x) for x in got], np.int64))
+        # Back to the chunks' order.
+        order, n, flat = np.concatenate(which), np.concatenate(lens), np.concatenate(parts)
+        begin, back = np.cumsum(n) - n, np.argsort(order, kind="stable")
+        n, begin = n[back], begin[back]
+        return flat[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(len(flat))], n
+
+    def _joined(self, chunks: list[str], per: int = 500) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and lengths of chunks of a tokenizer that drops white space, encoded many to a text and told apart by offsets."""
         out: list[np.ndarray] = []
         groups = [chunks[i : i + per] for i in range(0, len(chunks), per)]
         for group, e in zip(groups, self.tokenizer.encode_batch(["\n".join(g) for g in groups], add_special_tokens=False)):
             begins = np.cumsum([0] + [len(c) + 1 for c in group])
             firsts = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.ids))
             out += np.split(np.asarray(e.ids, np.uint32), np.searchsorted(firsts, begins[1:-1]))
-        return out
+        return np.concatenate(out), np.array([len(x) for x in out], np.int64)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after another, and where each text's ids begin (one more entry than texts)."""
-        if len(self.table) > MAX_CHUNKS:
-            self._forget()
-        numbers, per_text = [], np.zeros(len(texts) + 1, np.int64)
+    def _numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all chunks one after another, and how many each text has."""
+        numbers, count = [], np.zeros(len(texts), np.int64)
         look = self.table.__getitem__
         for i, t in enumerate(texts):
             chunks = self.cut(t)
-            per_text[i + 1] = len(chunks)
+            count[i] = len(chunks)
             numbers.append(np.fromiter(map(look, chunks), np.int64, len(chunks)))
+        return np.concatenate(numbers) if numbers else np.zeros(0, np.int64), count
+
+    def _column_numbers(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts without null, to be cut by ``cut_blank``: even ones are cut and their distinct chunks found by Arrow."""
+        even = ~pc.match_substring_regex(column, _UNEVEN).to_numpy(zero_copy_only=False)
+        names = blank_names(column.filter(pa.array(even)))
+        coded = names.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+        number = np.fromiter(map(self.table.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        if even.all():
+            return number, np.diff(names.offsets.to_numpy())
+        count = np.zeros(len(column), np.int64)
+        count[even] = np.diff(names.offsets.to_numpy())
+        others, count[~even] = self._numbers(column.filter(pa.array(~even)).to_pylist())
+        flat, of_even = np.empty(count.sum(), np.int64), np.repeat(even, count)
+        flat[of_even], flat[~of_even] = number, others
+        return flat, count
+
+    def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after another, and where each text's ids begin (one more entry than texts)."""
+        if len(self.table) > (self.room or MAX_CHUNKS):
+            self._forget()
+        flat, count = self._numbers(texts) if isinstance(texts, list) else self._column_numbers(texts)
         self._learn()
-        flat = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
         seen = np.bincount(flat, minlength=len(self.at) - 1)
         seen[: len(self.seen)] += self.seen
         self.seen = seen
         lens = (self.at[1:] - self.at[:-1])[flat]
         ends = np.concatenate([[0], np.cumsum(lens)])
         where = np.repeat(self.at[flat] - ends[:-1], lens) + np.arange(ends[-1])
-        return self.ids[where], ends[np.cumsum(per_text)]
+        return self.ids[where], ends[np.concatenate([[0], np.cumsum(count)])]
 
 
-def encoder(path: str, cut) -> Encoder:
-    """The worker's encoder of a tokenizer file: it outlives the task, as does the library's module."""
+def encoder(path: str, cut, room: int | None = None) -> Encoder:
+    """The worker's encoder of a tokenizer file: it outlives the task, as does the library's module.  ``room`` in place of MAX_CHUNKS."""
     import tokenizers
 
     held = tokenizers.__dict__.setdefault("_counterpoise_encoders", {})
-    key = (path, cut.__name__, _VERSION)
+    key = (path, cut.__name__, room, _VERSION)
     if key not in held:
-        held[key] = Encoder(path, cut)
+        held[key] = Encoder(path, cut, room)
     return held[key]
 
 
@@ -195,12 +263,18 @@ def drop_encoders() -> None:
         give_back()
 
 
-def text_slices(column: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, int, list[str]]]:
-    """A string column in slices of about ``most`` bytes: (from, to, texts), null as empty; a longer text is a slice of its own."""
+def column_slices(column: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, int]]:
+    """Where to cut a string column into slices of about ``most`` bytes: (from, to); a longer text is a slice of its own."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     lo, n = 0, len(column)
     while lo < n:
         base = ends[lo - 1] if lo else 0
         hi = max(lo + 1, int(np.searchsorted(ends, base + most, side="right")))
-        yield lo, hi, [t or "" for t in column.slice(lo, hi - lo).to_pylist()]
+        yield lo, hi
         lo = hi
+
+
+def text_slices(column: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, int, list[str]]]:
+    """The slices of ``column_slices`` with their texts, null as empty."""
+    for lo, hi in column_slices(column, most):
+        yield lo, hi, [t or "" for t in column.slice(lo, hi - lo).to_pylist()]

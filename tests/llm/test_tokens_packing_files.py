@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -30,6 +31,29 @@ def test_chunked_ids_are_the_tokenizers(path, cut, monkeypatch):
             assert ids[at[i] : at[i + 1]].tolist() == x.ids, TEXTS[i]
 
 
+def test_a_columns_ids_are_the_tokenizers(monkeypatch):
+    monkeypatch.setattr(tokens, "MAX_CHUNKS", 60)
+    e = tokens.Encoder(BYTE, tokens.cut_blank)
+    t, asked = e.tokenizer, []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **how):
+            asked.extend(texts)
+            return t.encode_batch_fast(texts, **how)
+
+    e.tokenizer = Counted()
+    even = [f"Word{i} and, {i}. mark{i}!\nLine{i}; é{i}? end{i}." for i in range(300)]
+    marks, draw = list("ab é.,;!?'1\n \t—日-×\x01"), np.random.default_rng(3)
+    odd = TEXTS + ["a.. b., c!? d", "1,000. 2. 3", "a'. \"b\". (c), d", "日本. 語, x", "a\x85b", "'s. it's, 'x"] + ["".join(draw.choice(marks, k)) for k in range(1, 25) for _ in range(20)]
+    for texts in (even, odd, even + odd, [""], []):
+        ids, at = e.encode(pa.array(texts, pa.string()))
+        assert len(at) == len(texts) + 1
+        if texts is even:
+            assert len(asked) < 10  # new chunks go to the library many at a time, those at the beginning of a line too
+        for i, x in enumerate(t.encode_batch(texts, add_special_tokens=False)):
+            assert ids[at[i] : at[i + 1]].tolist() == x.ids, texts[i]
+
+
 def test_a_reused_worker_gives_the_same_ids():
     """Every job unpickles the module's functions anew; the encoder that a worker keeps must not mind."""
     from pyspark import cloudpickle
