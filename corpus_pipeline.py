@@ -62,7 +62,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every document and its place in a sequence of at most 2048 ids."""
-    return pack_documents(docs, tokenizer_path("word_bpe_49k.json"), capacity=2048)
+    return pack_documents(docs, tokenizer_path("word_bpe_49k.json"), capacity=2048, room=200_000)  # workers hold what earlier stages left, too
 
 
 STAGES = [

@@ -284,12 +284,12 @@ _PIECES = "doc_id {t}, piece int, start long, length int, ids_crc32 long"
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, closing_id: int = 0, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
+                 text_col: str = "text", room: int | None = None) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32)`` of every document's pieces."""
     kind = docs.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = tokens.encoder(tokenizer_path, tokens.cut_word)
+        enc = tokens.encoder(tokenizer_path, tokens.cut_word, room)
         for b in batches:
             for lo, hi, texts in tokens.text_slices(b.column(1), 1_000_000):  # their words are objects, some 20 bytes for one of text
                 ids, at = enc.encode(texts)
@@ -314,9 +314,9 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, closing_id
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, closing_id: int = 0, max_docs: int = 3,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every piece and its place: ``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)``."""
-    pieces = staged(token_pieces(docs, tokenizer_path, capacity, closing_id, id_col, text_col), "pack-pieces")
+                   id_col: str = "doc_id", text_col: str = "text", room: int | None = None) -> DataFrame:
+    """Every piece and its place: ``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)``.  ``room``: distinct chunks a worker keeps."""
+    pieces = staged(token_pieces(docs, tokenizer_path, capacity, closing_id, id_col, text_col, room), "pack-pieces")
     counts = np.zeros(capacity + 1, np.int64)
     for r in pieces.groupBy("length").count().collect():  # at most `capacity` rows
         counts[r["length"]] = r["count"]

@@ -168,6 +168,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
     sample = labelled_sample(docs, labels, label_col, most, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_encoders()
         for b in batches:
             for doc_id, text, label in zip(*(c.to_pylist() for c in b.columns)):
                 x, _ = encode_passages([text])
